@@ -281,17 +281,14 @@ def find_replace(
     lengths = [r[0] for r in rule.select(F.length("__find")).distinct().collect()]
     values = df.select(v.alias("__v")).filter(F.col("__v").isNotNull()).distinct()
     vv = F.col("__v")
+
+    def grams_of(n: int) -> Column:
+        # every substring of length n (Spark reads a 2-argument lambda as (x, index))
+        starts = F.sequence(F.lit(1), F.greatest(F.length(vv) - F.lit(n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.substr(vv, i, F.lit(n)))
+
     grams = values.select(
-        "__v",
-        F.explode(
-            F.flatten(F.array(*[
-                F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.length(vv) - F.lit(n - 1), F.lit(1))),
-                    lambda i, n=n: F.substr(vv, i, F.lit(n)),
-                )
-                for n in lengths
-            ]))
-        ).alias("__find"),
+        "__v", F.explode(F.flatten(F.array(*[grams_of(n) for n in lengths]))).alias("__find")
     ).distinct()
     first = grams.join(rule, "__find").groupBy("__v").agg(F.min_by(F.struct("__find", "__repl"), "__ord").alias("__hit"))
     res = df.join(first, v == F.col("__v"), "left")

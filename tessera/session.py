@@ -65,7 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def apply_defaults(spark: SparkSession) -> SparkSession:
     """Set the runtime SQL settings above on an existing session when unset."""
     for k, v in DEFAULT_CONF.items():
-        if k == "spark.ui.enabled":
+        if not k.startswith("spark.sql."):
             continue
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
