@@ -169,12 +169,22 @@ def value_at(df: DataFrame, position: str, lookup: DataFrame, value_col: str, or
     return df.join(numbered, df[position] == numbered["__pos"], "left").drop("__pos")
 
 
-def hlookup(df: DataFrame, key: str, wide: DataFrame, header_col_values: list[str], row_key: str,
+def hlookup(df: DataFrame, key: str, wide: DataFrame, header_values: list[str], row_on: list[tuple[str, str]],
             out: str = "value") -> DataFrame:
-    """HLOOKUP over a table whose *columns* are the lookup keys: unpivot, then exact lookup."""
-    long = wide.unpivot([row_key], header_col_values, "__hdr", "__val")
-    j = df.join(long, (df[key] == long["__hdr"]), "left")
-    return j.withColumnRenamed("__val", out).drop("__hdr")
+    """HLOOKUP: the header row holds the keys (column names of ``wide``).
+
+    ``wide`` is unpivoted to (row keys, header, value) and joined on the
+    header value plus the ``row_on`` pairs ``(df_column, wide_column)`` that
+    choose the row.
+    """
+    row_cols = [w for _, w in row_on]
+    long = wide.select(*row_cols, *header_values).unpivot(row_cols, header_values, "__hdr", "__val")
+    long = long.select(*[F.col(w).alias(f"__row_{i}") for i, w in enumerate(row_cols)], "__hdr", "__val")
+    cond = df[key] == long["__hdr"]
+    for i, (d, _) in enumerate(row_on):
+        cond = cond & (df[d] == long[f"__row_{i}"])
+    j = df.join(long, cond, "left")
+    return j.withColumnRenamed("__val", out).drop("__hdr", *[f"__row_{i}" for i in range(len(row_on))])
 
 
 # J10 ------------------------------------------------------------------------------------

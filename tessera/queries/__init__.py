@@ -31,6 +31,16 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def as_double(df: DataFrame, *cols: str) -> DataFrame:
+    """Integer columns that can hold nulls, as double.
+
+    Result comparison goes through pandas, where a nullable integer column
+    becomes float64 on one engine and Int64 on the other; double on both
+    sides keeps the comparison about values.
+    """
+    return df.withColumns({c: df[c].cast("double") for c in cols})
+
+
 def load_all() -> None:
     for m in MODULES:
         try:
