@@ -24,6 +24,7 @@ from typing import Iterable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double"}
 KINDS = {"sum", "count", "min", "max", "last", "row_number", "rank", "dense_rank", "group_count"}
@@ -376,7 +377,9 @@ def linear_recurrence(df: DataFrame, order_by, a: str, b: str, out: str, partiti
     blocked = df.withColumn("__blk", _bucket(key, splits, 0 if asc else len(splits)))
     order_names = [c for c, _ in spec]
     ascending = [x for _, x in spec]
-    schema = blocked.schema.add("__A", "double").add("__x", "double").add("__last", "boolean")
+    # StructType.add mutates in place, and DataFrame.schema is cached: build a new one
+    schema = StructType(list(blocked.schema.fields) + [
+        StructField("__A", DoubleType()), StructField("__x", DoubleType()), StructField("__last", BooleanType())])
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order_names, ascending=ascending, kind="mergesort", na_position="first")
@@ -396,7 +399,7 @@ def linear_recurrence(df: DataFrame, order_by, a: str, b: str, out: str, partiti
 
     local = blocked.groupBy(*pk, "__blk").applyInPandas(solve, schema)
     ends = local.filter("__last").select(*pk, "__blk", "__A", "__x")
-    end_schema = ends.select(*pk, "__blk").schema.add("__xin", "double")
+    end_schema = StructType(list(ends.select(*pk, "__blk").schema.fields) + [StructField("__xin", DoubleType())])
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__blk")
