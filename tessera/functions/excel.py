@@ -17,6 +17,13 @@ from pyspark.sql import functions as F
 from .blank import blank_to_null, coalesce_false, col, lit, to_number
 
 
+def _num(v) -> Column:
+    """Numeric argument: a column name, a Column or a number."""
+    if isinstance(v, Column):
+        return v
+    return F.col(v) if isinstance(v, str) else F.lit(v)
+
+
 def _quote_regex(s: str) -> str:
     return "\\Q" + s + "\\E"
 
@@ -71,16 +78,16 @@ def NOT(cond) -> Column:
 # FX4-FX10 dates -------------------------------------------------------------
 def DATE(y, m, d) -> Column:
     """Month and day overflow roll over, as in the spreadsheet (DATE(2024,14,1) = 2025-02-01)."""
-    start = F.make_date(lit(y), F.lit(1), F.lit(1))
-    return F.date_add(F.add_months(start, lit(m) - F.lit(1)), lit(d) - F.lit(1))
+    start = F.make_date(_num(y), F.lit(1), F.lit(1))
+    return F.date_add(F.add_months(start, _num(m) - F.lit(1)), _num(d) - F.lit(1))
 
 
 def EDATE(d, months) -> Column:
-    return F.add_months(col(d), lit(months))
+    return F.add_months(col(d), _num(months))
 
 
 def EOMONTH(d, months) -> Column:
-    return F.last_day(F.add_months(col(d), lit(months)))
+    return F.last_day(F.add_months(col(d), _num(months)))
 
 
 def YEAR(d) -> Column:
@@ -149,7 +156,7 @@ def DATEDIF(start, end, unit: str) -> Column:
 
 
 def DATEVALUE(text, fmt: str = "yyyy-MM-dd") -> Column:
-    return F.try_to_date(col(text), F.lit(fmt))
+    return F.try_to_date(col(text), fmt)
 
 
 def _weekdays_before(d: Column) -> Column:
@@ -225,15 +232,15 @@ def TEXT(value, code: str) -> Column:
 
 # FX13-FX19 text ------------------------------------------------------------
 def LEFT(text, n=1) -> Column:
-    return F.left(col(text), lit(n))
+    return F.left(col(text), _num(n))
 
 
 def RIGHT(text, n=1) -> Column:
-    return F.right(col(text), lit(n))
+    return F.right(col(text), _num(n))
 
 
 def MID(text, start, n) -> Column:
-    return F.substr(col(text), lit(start), lit(n))
+    return F.substr(col(text), _num(start), _num(n))
 
 
 def LEN(text) -> Column:
@@ -241,8 +248,8 @@ def LEN(text) -> Column:
 
 
 def CONCAT(*parts) -> Column:
-    """Blank cells count as empty text."""
-    return F.concat(*[F.coalesce(lit(p).cast("string"), F.lit("")) for p in parts])
+    """Blank cells count as empty text. Strings name columns; wrap text in ``F.lit``."""
+    return F.concat(*[F.coalesce(col(p).cast("string"), F.lit("")) for p in parts])
 
 
 CONCATENATE = CONCAT
@@ -250,9 +257,9 @@ CONCATENATE = CONCAT
 
 def TEXTJOIN(sep: str, ignore_empty: bool, *parts) -> Column:
     if ignore_empty:
-        cols = [blank_to_null(lit(p).cast("string")) for p in parts]
+        cols = [blank_to_null(col(p).cast("string")) for p in parts]
     else:
-        cols = [F.coalesce(lit(p).cast("string"), F.lit("")) for p in parts]
+        cols = [F.coalesce(col(p).cast("string"), F.lit("")) for p in parts]
     return F.concat_ws(sep, *cols)
 
 
@@ -290,18 +297,18 @@ def SUBSTITUTE(text, old: str, new: str, instance: int | None = None) -> Column:
 
 
 def REPLACE(text, start, n, new) -> Column:
-    return F.overlay(col(text), lit(new), lit(start), lit(n))
+    return F.overlay(col(text), lit(new), _num(start), _num(n))
 
 
 def FIND(find, within, start=1) -> Column:
     """1-based position, case-sensitive; null when absent (#VALUE!)."""
-    pos = F.position(lit(find), col(within), lit(start))
+    pos = F.position(lit(find), col(within), _num(start))
     return F.when(pos > 0, pos)
 
 
 def SEARCH(find, within, start=1) -> Column:
     """As FIND, ignoring case (wildcards are not interpreted)."""
-    pos = F.position(F.lower(lit(find)), F.lower(col(within)), lit(start))
+    pos = F.position(F.lower(lit(find)), F.lower(col(within)), _num(start))
     return F.when(pos > 0, pos)
 
 
@@ -341,12 +348,12 @@ def ABS(x) -> Column:
 
 def MOD(x, y) -> Column:
     """Result takes the divisor's sign; null for a zero divisor."""
-    x, y = lit(x).cast("double"), lit(y).cast("double")
+    x, y = _num(x).cast("double"), _num(y).cast("double")
     return F.when(y != 0, x - y * F.floor(x / y))
 
 
 def POWER(x, y) -> Column:
-    return F.pow(lit(x), lit(y))
+    return F.pow(_num(x), _num(y))
 
 
 def SQRT(x) -> Column:
@@ -373,5 +380,5 @@ def RAND(seed: int | None = None) -> Column:
 
 
 def RANDBETWEEN(lo, hi, seed: int | None = None) -> Column:
-    lo_c, hi_c = lit(lo), lit(hi)
+    lo_c, hi_c = _num(lo), _num(hi)
     return (F.floor(F.rand(seed) * (hi_c - lo_c + F.lit(1))) + lo_c).cast("bigint")
