@@ -292,7 +292,7 @@ def SUBSTITUTE(text, old: str, new: str, instance: int | None = None) -> Column:
         raise ValueError("instance starts at 1")
     parts = F.split(t, _quote_regex(old), -1)
     head = F.array_join(F.slice(parts, 1, instance), old)
-    tail = F.array_join(F.slice(parts, instance + 1, 2147483647), old)
+    tail = F.array_join(F.slice(parts, F.lit(instance + 1), F.size(parts)), old)
     return F.when(F.size(parts) > instance, F.concat(head, F.lit(new), tail)).otherwise(t)
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.blank import is_not_blank, to_number
-from .window import group_total, running
+from .common import with_scalars
+from .window import group_total, materialize_if_costly, running
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -294,7 +295,7 @@ def moments(df: DataFrame, var: str, by=None) -> DataFrame:
     x = F.col(var).cast("double")
     keys = _keys(by)
     m = df.groupBy(*keys).agg(F.count(x).alias("n"), F.avg(x).alias("mean"))
-    j = df.join(m, keys) if keys else _with_global(df, m)
+    j = df.join(m, keys) if keys else with_scalars(df, m)
     d = F.col(var).cast("double") - F.col("mean")
     s = j.groupBy(*keys).agg(
         F.first("n").alias("n"), F.first("mean").alias("mean"),
@@ -307,10 +308,6 @@ def moments(df: DataFrame, var: str, by=None) -> DataFrame:
     return s.select(*keys, "n", "mean", F.sqrt(var_).alias("std"), skew.alias("skewness"), kurt.alias("kurtosis"))
 
 
-def _with_global(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    return df.withColumn("__one", F.lit(1)).join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one").drop("__one")
-
-
 def exact_quantiles(df: DataFrame, var: str, probs: list[float], by=None, prefix: str = "p") -> DataFrame:
     """Exact ``percentile_cont`` per group without holding a group in one task.
 
@@ -322,7 +319,7 @@ def exact_quantiles(df: DataFrame, var: str, probs: list[float], by=None, prefix
     vals = df.select(*keys, F.col(var).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
     numbered = running(vals, ["__v"], {"__rn": ("row_number", None), "__n": ("group_count", None)}, keys)
     g = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    numbered = numbered.withColumn("__g", g)
+    numbered = materialize_if_costly(numbered.withColumn("__g", g))
     counts = numbered.groupBy("__g").agg(F.max("__n").alias("__n"), *[F.first(F.col(k)).alias(k) for k in keys])
     out = counts
     for p in probs:
@@ -354,7 +351,7 @@ def univariate(df: DataFrame, var: str, by=None, probs=(0.25, 0.5, 0.75)) -> Dat
     parts = [moments(df, var, keys), mode(df, var, keys), exact_quantiles(df, var, list(probs), keys)]
     out = basic
     for p in parts:
-        out = out.join(p, keys) if keys else _with_global(out, p)
+        out = out.join(p, keys) if keys else with_scalars(out, p)
     return out
 
 

@@ -14,6 +14,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import with_scalars
 from .window import running
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -181,7 +182,7 @@ def binary_metrics(df: DataFrame, score_col: str, label_col: str, threshold: flo
     asc = running(lv, ["s"], {"neg_le": ("sum", "neg")})
     desc = running(asc, [("s", False)], {"tp": ("sum", "pos"), "fp": ("sum", "neg")})
     tot = lv.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    j = desc.withColumn("__one", F.lit(1)).join(F.broadcast(tot.withColumn("__one", F.lit(1))), "__one")
+    j = with_scalars(desc, tot)
     auc_terms = F.col("pos") * (F.col("neg_le") - F.col("neg")) + 0.5 * F.col("pos") * F.col("neg")
     prec = F.col("tp") / (F.col("tp") + F.col("fp"))
     ap_terms = F.col("pos") / F.col("P") * prec
@@ -197,7 +198,7 @@ def binary_metrics(df: DataFrame, score_col: str, label_col: str, threshold: flo
     tp, fp, fn = F.col("__tp"), F.col("__fp"), F.col("__fn")
     pt = pt.select("log_loss", (tp / (tp + fp)).alias("precision"), (tp / (tp + fn)).alias("recall"),
                    (2 * tp / (2 * tp + fp + fn)).alias("f1"))
-    return curve.withColumn("__one", F.lit(1)).join(pt.withColumn("__one", F.lit(1)), "__one").drop("__one")
+    return with_scalars(curve, pt)
 
 
 def lift_table(df: DataFrame, score_col: str, label_col: str, bins: int = 10) -> DataFrame:
@@ -212,7 +213,7 @@ def lift_table(df: DataFrame, score_col: str, label_col: str, bins: int = 10) ->
     per = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("positives"),
                                     F.avg("s").alias("mean_score"))
     overall = df.agg(F.avg(y).alias("__rate"))
-    per = per.withColumn("__one", F.lit(1)).join(F.broadcast(overall.withColumn("__one", F.lit(1))), "__one")
+    per = with_scalars(per, overall)
     rate = F.col("positives") / F.col("n")
     return per.select("bin", "n", "positives", rate.alias("rate"), (rate / F.col("__rate")).alias("lift"),
                       "mean_score", F.abs(F.col("mean_score") - rate).alias("calibration_gap"))
@@ -230,7 +231,7 @@ def threshold_curve(df: DataFrame, score_col: str, label_col: str, steps: int =
     full = grid.join(per, "b", "left").fillna(0, ["pos", "neg"])
     cum = running(full, [("b", False)], {"tp": ("sum", "pos"), "fp": ("sum", "neg")})
     tot = per.agg(F.sum("pos").alias("P"))
-    cum = cum.withColumn("__one", F.lit(1)).join(F.broadcast(tot.withColumn("__one", F.lit(1))), "__one")
+    cum = with_scalars(cum, tot)
     tp, fp, P = F.col("tp"), F.col("fp"), F.col("P")
     return cum.select((F.col("b") / F.lit(float(steps))).alias("threshold"), tp.alias("tp"), fp.alias("fp"),
                       F.when(tp + fp > 0, tp / (tp + fp)).alias("precision"), (tp / P).alias("recall"),

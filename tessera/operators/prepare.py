@@ -97,14 +97,18 @@ def select_fields(df: DataFrame, fields: list[dict]) -> DataFrame:
 # P8, P9, P17 ---------------------------------------------------------------
 def filter_on_value(df: DataFrame, column: str, values: Iterable, action: str = "KEEP") -> DataFrame:
     """KEEP rows whose value is listed; REMOVE them (rows with null are kept by REMOVE)."""
-    hit = coalesce_false(F.col(column).isin(list(values)))
-    return df.filter(hit if action.upper() == "KEEP" else ~hit)
+    hit = F.col(column).isin([v for v in values if v is not None])
+    if action.upper() == "KEEP":
+        return df.filter(hit)
+    # hit is unknown exactly when the value is null: both parts push down to Parquet
+    return df.filter(~hit | F.col(column).isNull())
 
 
 def filter_formula(df: DataFrame, cond: Column, action: str = "KEEP") -> DataFrame:
     """KEEP rows where the condition is true; REMOVE them (unknown counts as false)."""
-    hit = coalesce_false(cond)
-    return df.filter(hit if action.upper() == "KEEP" else ~hit)
+    # written so Catalyst can push both forms to the Parquet scan:
+    # KEEP drops unknown rows by itself; REMOVE keeps them explicitly
+    return df.filter(cond if action.upper() == "KEEP" else (~cond | cond.isNull()))
 
 
 # Operators of the simple filter mode.
@@ -131,8 +135,7 @@ def simple_condition(field: str, operator: str, operand=None) -> Column:
 
 def filter_split(df: DataFrame, cond: Column) -> tuple[DataFrame, DataFrame]:
     """Both outputs of a filter tool: (True, False). Null conditions go to False."""
-    hit = coalesce_false(cond)
-    return df.filter(hit), df.filter(~hit)
+    return df.filter(cond), df.filter(~cond | cond.isNull())
 
 
 # P10, P11 ----------------------------------------------------------------------
@@ -323,8 +326,9 @@ def regex_tokenize(df: DataFrame, column: str, pattern: str, out: str) -> DataFr
 # P22, P23 ------------------------------------------------------------------------
 def parse_date(df: DataFrame, column: str, fmt: str, out: str | None = None, as_date: bool = False) -> DataFrame:
     """Text to timestamp (or date) by a Java pattern; null when it does not fit."""
-    fn = F.try_to_date if as_date else F.try_to_timestamp
-    return df.withColumn(out or column, fn(F.col(column), F.lit(fmt)))
+    if as_date:
+        return df.withColumn(out or column, F.try_to_date(F.col(column), fmt))
+    return df.withColumn(out or column, F.try_to_timestamp(F.col(column), F.lit(fmt)))
 
 
 def format_date(df: DataFrame, column: str, fmt: str, out: str | None = None) -> DataFrame:

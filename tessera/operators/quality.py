@@ -183,7 +183,9 @@ def reconcile(expected: DataFrame, produced: DataFrame, keys, compare=None) -> D
     status = (F.when(F.col("__p").isNull(), "missing").when(F.col("__e").isNull(), "extra")
               .when(F.size(diffs) > 0, "changed").otherwise("same"))
     return j.select(*[F.coalesce(F.col(f"e_k__{k}"), F.col(f"p_k__{k}")).alias(k) for k in keys],
-                    status.alias("status"), F.array_join(diffs, ",").alias("diff_columns"))
+                    status.alias("status"),
+                    F.when(F.col("__e").isNotNull() & F.col("__p").isNotNull(), F.array_join(diffs, ","))
+                    .otherwise(F.lit("")).alias("diff_columns"))
 
 
 def reconcile_summary(expected: DataFrame, produced: DataFrame, keys, compare=None) -> DataFrame:

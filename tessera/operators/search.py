@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from .common import with_scalars
+
 MAX_BLOCK_CELLS = 20_000_000  # query rows x document rows scored in one task
 MAX_QUERY_BLOCK = 4096
 
@@ -172,7 +174,7 @@ def bm25_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_i
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     qt = tokens(queries, q_id, q_text).distinct().withColumnRenamed("__id", "__qid")
     post = tf.join(dl, "__id").join(dfreq, "term")
-    post = post.withColumn("__one", F.lit(1)).join(F.broadcast(stats.withColumn("__one", F.lit(1))), "__one")
+    post = with_scalars(post, stats)
     idf = F.log(F.lit(1.0) + (F.col("N") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
     scored = qt.join(post.select("term", "__id", part.alias("__s")), "term").groupBy("__qid", "__id").agg(

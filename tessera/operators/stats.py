@@ -15,8 +15,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from .window import running
+from .common import with_scalars
+from .window import materialize_if_costly, running
 
 # -- distribution helpers (scalar, pure Python) ------------------------------------------
 
@@ -110,17 +112,17 @@ def chi2_sf(x: float, k: float) -> float:
     return gammaincc(k / 2.0, x / 2.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([t_sf_two_sided(a, b) for a, b in zip(t, df)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def f_pvalue(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([f_sf(a, b, c) for a, b, c in zip(f, d1, d2)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_pvalue(x: pd.Series, k: pd.Series) -> pd.Series:
     return pd.Series([chi2_sf(a, b) for a, b in zip(x, k)])
 
@@ -143,7 +145,7 @@ def chi_square(df: DataFrame, a: str, b: str, by=None, p_value: bool = True) ->
     tot = cells.groupBy(*keys).agg(F.sum("o").alias("n"), F.count_distinct(a).alias("r"),
                                    F.count_distinct(b).alias("c"))
     j = cells.join(rows, [*keys, a]).join(cols, [*keys, b]).join(tot, keys) if keys else \
-        _glob(cells.join(rows, a).join(cols, b), tot)
+        with_scalars(cells.join(rows, a).join(cols, b), tot)
     out = j.groupBy(*keys).agg(
         (F.sum(F.col("o") * F.col("o") * F.col("n") / (F.col("ra") * F.col("cb"))) - F.first("n")).alias("chi2"),
         ((F.first("r") - 1) * (F.first("c") - 1)).alias("df"),
@@ -153,10 +155,6 @@ def chi_square(df: DataFrame, a: str, b: str, by=None, p_value: bool = True) ->
     return out
 
 
-def _glob(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    return df.withColumn("__one", F.lit(1)).join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one").drop("__one")
-
-
 # T2 -------------------------------------------------------------------------------------
 def fisher_exact_2x2(df: DataFrame, a: str, b: str, first_a=1, first_b=1) -> DataFrame:
     """Two-sided Fisher exact test of a 2x2 table (levels ``first_*`` vs the rest).
@@ -179,7 +177,7 @@ def fisher_exact_2x2(df: DataFrame, a: str, b: str, first_a=1, first_b=1) -> Dat
     ratio = F.when(F.col("k") == kmin, F.lit(0.0)).otherwise(
         F.log((F.lit(r1) - F.col("k") + 1) * (F.lit(c1) - F.col("k") + 1))
         - F.log(F.col("k") * (F.lit(r2 - c1) + F.col("k"))))
-    terms = running(ks.withColumn("lr", ratio), ["k"], {"lw": ("sum", "lr")})
+    terms = materialize_if_costly(running(ks.withColumn("lr", ratio), ["k"], {"lw": ("sum", "lr")}))
     mx = terms.agg(F.max("lw")).first()[0]
     obs = terms.filter(F.col("k") == n11).select("lw").first()[0]
     res = terms.agg(
@@ -313,7 +311,7 @@ def kaplan_meier(df: DataFrame, time: str, event: str, by=None) -> DataFrame:
     ev = F.col(event).cast("int") == 1
     lv = df.groupBy(*keys, time).agg(F.count_if(ev).alias("events"), F.count(F.lit(1)).alias("n_time"))
     tot = lv.groupBy(*keys).agg(F.sum("n_time").alias("__total"))
-    lv = lv.join(tot, keys) if keys else _glob(lv, tot)
+    lv = lv.join(tot, keys) if keys else with_scalars(lv, tot)
     lv = running(lv, [time], {"__before_incl": ("sum", "n_time")}, keys)
     lv = lv.withColumn("at_risk", F.col("__total") - F.col("__before_incl") + F.col("n_time"))
     lv = lv.withColumns({

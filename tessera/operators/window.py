@@ -19,6 +19,7 @@ the plain per-group window is used.
 
 from __future__ import annotations
 
+import re
 from typing import Iterable
 
 import pandas as pd
@@ -26,6 +27,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
+from ..session import ensure_checkpoint_dir
+from .common import with_scalars
+
 NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double"}
 KINDS = {"sum", "count", "min", "max", "last", "row_number", "rank", "dense_rank", "group_count"}
 
@@ -78,16 +82,50 @@ def default_blocks(df: DataFrame) -> int:
     return max(1, min(4096, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
+PLAIN_MAX_ROWS_CONF = "tessera.scan.plainMaxRows"
+DEFAULT_PLAIN_MAX_ROWS = 200_000
+# Logical operators whose output is costly to recompute (a shuffle or Python).
+_COSTLY = re.compile(r"\b(Join|Aggregate|Window|Sort|Expand|Generate|Deduplicate|Repartition\w*|"
+                     r"\w*InPandas\w*|ArrowEvalPython|BatchEvalPython)\b")
+
+
+def plain_max_rows(spark) -> int:
+    return int(spark.conf.get(PLAIN_MAX_ROWS_CONF, str(DEFAULT_PLAIN_MAX_ROWS)))
+
+
+def materialize_if_costly(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` to the shared checkpoint folder when its plan shuffles or runs Python.
+
+    Operators that read their input twice (statistics pass, then the data
+    pass) call this so an expensive upstream is computed once; the reliable
+    checkpoint also cuts the lineage, so a lost executor does not recompute
+    the upstream. Plain scans/filters/projections are simply read again.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if not _COSTLY.search(plan):
+        return df
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def block_splits(df: DataFrame, order_by, blocks: int, rel_err: float | None = None) -> list[float] | None:
     """Quantile split points of the block key (``blocks - 1`` numbers at most)."""
+    return _count_and_splits(df, order_by, blocks, rel_err)[1]
+
+
+def _count_and_splits(df: DataFrame, order_by, blocks: int, rel_err: float | None = None):
+    """Row count and quantile split points of the block key in one aggregate job."""
     spec = _order_spec(order_by)
     k = _block_key(df, *spec[0])
     if k is None or blocks <= 1:
-        return None
+        return None, None
     probs = [i / blocks for i in range(1, blocks)]
     err = rel_err if rel_err is not None else 1.0 / (4 * blocks)
-    qs = df.select(k.alias("__k")).approxQuantile("__k", probs, err)
-    return sorted(set(q for q in qs if q is not None))
+    row = df.select(k.alias("__k")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("__k", probs, int(max(10_000, 1.0 / err))).alias("q")).first()
+    qs = row["q"] or []
+    return int(row["n"]), sorted(set(q for q in qs if q is not None))
 
 
 def running(
@@ -114,7 +152,14 @@ def running(
             raise ValueError(f"unknown running kind {kind!r} for {name}")
     n_blocks = default_blocks(df) if blocks is None else blocks
     if splits is None and n_blocks > 1:
-        splits = block_splits(df, order_by, n_blocks)
+        # the input is read twice below (statistics, then data): compute it once
+        df = materialize_if_costly(df)
+        n, splits = _count_and_splits(df, order_by, n_blocks)
+        if blocks is None and n is not None and n <= plain_max_rows(df.sparkSession):
+            # small input: no group can be large, one window per group is cheapest
+            splits = None
+    elif splits:
+        df = materialize_if_costly(df)
     if not splits:
         return _running_plain(df, spec, aggs, pk)
     return _running_blocked(df, spec, aggs, pk, splits)
@@ -249,20 +294,15 @@ def group_total(df: DataFrame, partition_by, aggs: dict[str, Column]) -> DataFra
     a skewed key otherwise. No task ever holds a whole group.
     """
     pk = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    df = materialize_if_costly(df)  # read twice: aggregate branch and row branch
     if not pk:
         totals = df.agg(*[v.alias(k) for k, v in aggs.items()])
-        return _attach_global(df, totals)
+        return with_scalars(df, totals)
     g = F.struct(*[F.col(c) for c in pk])
     totals = df.groupBy(g.alias("__g")).agg(*[v.alias(k) for k, v in aggs.items()])
     return df.withColumn("__g", g).join(totals, "__g", "left").drop("__g")
 
 
-def _attach_global(df: DataFrame, totals: DataFrame) -> DataFrame:
-    # A one-row table of grand totals joined on a constant key (size bound: 1 row).
-    return df.withColumn("__one", F.lit(1)).join(
-        F.broadcast(totals.withColumn("__one", F.lit(1))), "__one", "left").drop("__one")
-
-
 # W3, W4, W5, W6 ----------------------------------------------------------------
 def rank(df: DataFrame, order_by, partition_by=(), out: str = "rank", dense: bool = False, **kw) -> DataFrame:
     return running(df, order_by, {out: ("dense_rank" if dense else "rank", None)}, partition_by, **kw)
@@ -323,7 +363,7 @@ def shifted(df: DataFrame, columns, order_by, partition_by=(), offset: int = 1,
     sfx = suffix or (f"_lag{offset}" if offset >= 0 else f"_lead{-offset}")
     numbered = row_number(df, order_by, pk, out="__rn", **kw)
     g = F.struct(*[F.col(c) for c in pk]) if pk else F.lit(0)
-    numbered = numbered.withColumn("__g", g)
+    numbered = materialize_if_costly(numbered.withColumn("__g", g))
     other = numbered.select(
         "__g", (F.col("__rn") + F.lit(offset)).alias("__rn"), *[F.col(c).alias(c + sfx) for c in cols])
     out = numbered.join(other, ["__g", "__rn"], "left")
@@ -373,6 +413,7 @@ def linear_recurrence(df: DataFrame, order_by, a: str, b: str, out: str, partiti
     key = _block_key(df, first, asc)
     if key is None:
         raise ValueError("order column must be numeric, date or timestamp")
+    df = materialize_if_costly(df)
     splits = block_splits(df, order_by, n_blocks) or []
     blocked = df.withColumn("__blk", _bucket(key, splits, 0 if asc else len(splits)))
     order_names = [c for c, _ in spec]

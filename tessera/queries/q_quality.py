@@ -114,8 +114,10 @@ SELECT coalesce(e.o_orderkey, p.o_orderkey) AS o_orderkey,
        CASE WHEN p.o_orderkey IS NULL THEN 'missing' WHEN e.o_orderkey IS NULL THEN 'extra'
             WHEN e.o_totalprice IS DISTINCT FROM p.o_totalprice OR e.o_orderstatus IS DISTINCT FROM p.o_orderstatus
             THEN 'changed' ELSE 'same' END AS status,
-       concat_ws(',', CASE WHEN e.o_totalprice IS DISTINCT FROM p.o_totalprice THEN 'o_totalprice' END,
-                      CASE WHEN e.o_orderstatus IS DISTINCT FROM p.o_orderstatus THEN 'o_orderstatus' END) AS diff_columns
+       CASE WHEN e.o_orderkey IS NOT NULL AND p.o_orderkey IS NOT NULL
+            THEN concat_ws(',', CASE WHEN e.o_totalprice IS DISTINCT FROM p.o_totalprice THEN 'o_totalprice' END,
+                           CASE WHEN e.o_orderstatus IS DISTINCT FROM p.o_orderstatus THEN 'o_orderstatus' END)
+            ELSE '' END AS diff_columns
 FROM e FULL OUTER JOIN p ON e.o_orderkey = p.o_orderkey""")
 def q08(spark, d):
     o = table(spark, d, "orders")

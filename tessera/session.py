@@ -36,6 +36,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     )
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
+    if os.environ.get("TESSERA_PLAIN_MAX_ROWS"):
+        builder = builder.config("tessera.scan.plainMaxRows", os.environ["TESSERA_PLAIN_MAX_ROWS"])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
