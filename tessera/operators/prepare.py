@@ -539,6 +539,7 @@ def _step(kind: str) -> Callable:
             df, [c for c in df.columns if c not in p["columns"]], p["columns"], p["nameColumn"], p["valueColumn"]),
         "ExtractRegex": lambda df, p: regex_extract(df, p["column"], p["pattern"], p["outColumns"]),
         "RemoveDuplicates": lambda df, p: df.dropDuplicates(p.get("columns") or None),
+        "Python": lambda df, p: df.transform(p["fn"]),
     }[kind]
 
 
