@@ -168,8 +168,9 @@ def bm25_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_i
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)); each distinct query term counts once.
     """
     dt = tokens(docs, d_id, d_text)
+    # one tokenization: term frequencies, then lengths and document frequencies from them
     tf = dt.groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    dl = dt.groupBy("__id").agg(F.count(F.lit(1)).alias("dl"))
+    dl = tf.groupBy("__id").agg(F.sum("tf").alias("dl"))
     stats = dl.agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl"))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     qt = tokens(queries, q_id, q_text).distinct().withColumnRenamed("__id", "__qid")

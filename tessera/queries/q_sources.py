@@ -114,3 +114,19 @@ def st01(spark, d):
 
     run_available(stream, steps, sink)
     return S.read(spark, sink)
+
+
+@register("s08_sql_dialect", """
+SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) AS price,
+       CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_totalprice / (o_custkey % 7) END AS per_unit,
+       CASE WHEN o_custkey % 7 = 0 THEN 0.0 ELSE o_totalprice / (o_custkey % 7) END AS per_unit0,
+       o_orderstatus || '/' || o_orderpriority AS tag
+FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""")
+def s08(spark, d):
+    S.register_dialect_functions(spark)
+    return S.sql_step(spark, """
+        SELECT o_orderkey, (o_totalprice::DECIMAL(12, 2))::DOUBLE AS price,
+               SAFE_DIVIDE(o_totalprice, o_custkey % 7) AS per_unit, DIV0(o_totalprice, o_custkey % 7) AS per_unit0,
+               concat_ws('/', STRUCT(o_orderstatus, o_orderpriority).o_orderstatus, `o`.`o_orderpriority`) AS tag
+        FROM ${orders} AS `o` WHERE o_orderdate >= ${start}::TIMESTAMP_NTZ""",
+                      views={"orders": table(spark, d, "orders")}, variables={"start": "1998-01-01"})

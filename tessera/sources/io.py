@@ -138,6 +138,26 @@ def sql_step(spark: SparkSession, query: str, views: dict[str, DataFrame] | None
     return spark.sql(_VAR.sub(sub, query), args=params or None)
 
 
+# SQL dialect functions accepted in SQL steps, as (name, signature, Spark body).
+DIALECT_FUNCTIONS = [
+    ("safe_divide", "a DOUBLE, b DOUBLE", "DOUBLE", "try_divide(a, b)"),
+    ("div0", "a DOUBLE, b DOUBLE", "DOUBLE", "CASE WHEN b = 0 THEN 0D ELSE a / b END"),
+]
+
+
+def register_dialect_functions(spark: SparkSession) -> None:
+    """Make common warehouse-dialect functions available to SQL steps.
+
+    They are SQL functions (inlined by the analyzer), not Python UDFs.
+    ``x::type`` casts, ``STRUCT(a, b)``, back-quoted names, ``zeroifnull`` and
+    ``nullifzero`` are native; a name Spark already defines is left alone.
+    """
+    builtin = {r[0].split(".")[-1] for r in spark.sql("SHOW SYSTEM FUNCTIONS").collect()}
+    for name, params, ret, body in DIALECT_FUNCTIONS:
+        if name not in builtin:
+            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {ret} RETURN {body}")
+
+
 # S10, S11 -----------------------------------------------------------------------------
 def write_partitioned(df: DataFrame, path: str, discrete=(), time_column: str | None = None, period: str = "DAY",
                       fmt: str = "parquet", dynamic_overwrite: bool = True) -> None:
