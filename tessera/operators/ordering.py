@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .window import _order_cols, _order_spec
+from .window import _order_cols, _order_spec, materialize_if_costly, running
 
 
 def sort(df: DataFrame, columns) -> DataFrame:
@@ -66,19 +66,19 @@ def distinct(df: DataFrame, keys=None) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def unique(df: DataFrame, keys, order_by) -> tuple[DataFrame, DataFrame]:
+def unique(df: DataFrame, keys, order_by, **kw) -> tuple[DataFrame, DataFrame]:
     """Unique tool: (first row per key in order, all other rows).
 
-    The unique output uses ``row_number() <= 1`` (map-side partial group
-    limit). The duplicates output joins each row to its key's kept order
-    value; AQE splits a hot key on the big side of that join.
+    Rows are numbered per key with the blocked scan (a key holding a third of
+    the rows is spread over many tasks), and the numbering is materialized
+    once so both outputs come from the same numbering even among ties.
+    When only the first rows are needed, :func:`top_k_per_group` with k=1 is
+    cheaper (partial group limit before the shuffle).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    spec = _order_spec(order_by)
-    w = Window.partitionBy(*keys).orderBy(*_order_cols(spec))
-    ranked = df.withColumn("__rn", F.row_number().over(w))
-    first = ranked.filter(F.col("__rn") <= 1).drop("__rn")
-    dups = ranked.filter(F.col("__rn") > 1).drop("__rn")
+    numbered = materialize_if_costly(running(df, order_by, {"__rn": ("row_number", None)}, keys, **kw))
+    first = numbered.filter(F.col("__rn") == 1).drop("__rn")
+    dups = numbered.filter(F.col("__rn") > 1).drop("__rn")
     return first, dups
 
 

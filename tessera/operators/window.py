@@ -66,8 +66,12 @@ def _block_key(df: DataFrame, name: str, asc: bool) -> Column | None:
     return k if asc else -k
 
 
-def _bucket(k: Column, splits: list[float], null_block: int) -> Column:
-    """Binary search over sorted split points as nested CASE (codegen friendly)."""
+def _bucket(k: Column, splits: list[float], null_block: int, nan_block: int | None = None) -> Column:
+    """Binary search over sorted split points as nested CASE (codegen friendly).
+
+    Nulls go to ``null_block``; NaN (which Spark orders above every number)
+    goes to ``nan_block`` (the last block ascending, the first descending).
+    """
 
     def build(lo: int, hi: int) -> Column:
         if lo == hi:
@@ -75,7 +79,10 @@ def _bucket(k: Column, splits: list[float], null_block: int) -> Column:
         mid = (lo + hi) // 2
         return F.when(k < F.lit(splits[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
 
-    return F.when(k.isNull(), F.lit(null_block)).otherwise(build(0, len(splits)))
+    expr = F.when(k.isNull(), F.lit(null_block))
+    if nan_block is not None:
+        expr = expr.when(F.isnan(k), F.lit(nan_block))
+    return expr.otherwise(build(0, len(splits)))
 
 
 def default_blocks(df: DataFrame) -> int:
@@ -125,7 +132,7 @@ def _count_and_splits(df: DataFrame, order_by, blocks: int, rel_err: float | Non
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("__k", probs, int(max(10_000, 1.0 / err))).alias("q")).first()
     qs = row["q"] or []
-    return int(row["n"]), sorted(set(q for q in qs if q is not None))
+    return int(row["n"]), sorted(set(q for q in qs if q is not None and q == q))
 
 
 def running(
@@ -191,9 +198,10 @@ def _running_blocked(df, spec, aggs, pk, splits):
     first, asc = spec[0]
     key = _block_key(df, first, asc)
     null_block = 0 if asc else len(splits)
+    nan_block = len(splits) if asc else 0
     cols = df.columns
     g = F.struct(*[F.col(c) for c in pk]) if pk else F.lit(0)
-    blocked = df.withColumns({"__g": g, "__blk": _bucket(key, splits, null_block)})
+    blocked = df.withColumns({"__g": g, "__blk": _bucket(key, splits, null_block, nan_block)})
 
     order = _order_cols(spec)
     w = Window.partitionBy("__g", "__blk").orderBy(*order)
@@ -415,7 +423,7 @@ def linear_recurrence(df: DataFrame, order_by, a: str, b: str, out: str, partiti
         raise ValueError("order column must be numeric, date or timestamp")
     df = materialize_if_costly(df)
     splits = block_splits(df, order_by, n_blocks) or []
-    blocked = df.withColumn("__blk", _bucket(key, splits, 0 if asc else len(splits)))
+    blocked = df.withColumn("__blk", _bucket(key, splits, 0 if asc else len(splits), len(splits) if asc else 0))
     order_names = [c for c, _ in spec]
     ascending = [x for _, x in spec]
     # StructType.add mutates in place, and DataFrame.schema is cached: build a new one

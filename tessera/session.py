@@ -33,6 +33,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)

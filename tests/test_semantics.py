@@ -222,3 +222,13 @@ def test_reconcile(spark):
     p = spark.createDataFrame([(2, "B"), (3, None), (4, "d")], "k int, v string")
     got = sorted((r.k, r.status, r.diff_columns) for r in Q.reconcile(e, p, "k").collect())
     assert got == [(1, "missing", ""), (2, "changed", "v"), (3, "same", ""), (4, "extra", "")]
+
+
+def test_nan_and_null_keys_blocked(spark):
+    vals = [(i, float(i % 9)) for i in range(60)] + [(100, float("nan")), (101, None), (102, float("nan"))]
+    df = spark.createDataFrame(vals, "id int, k double")
+    for asc in (True, False):
+        spec = [("k", asc), ("id", True)]
+        plain = W.running(df, spec, {"rn": ("row_number", None)}, blocks=1)
+        blocked = W.running(df, spec, {"rn": ("row_number", None)}, splits=[2.0, 4.0, 6.0])
+        assert sorted((r.id, r.rn) for r in plain.collect()) == sorted((r.id, r.rn) for r in blocked.collect())
