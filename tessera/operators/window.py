@@ -360,23 +360,33 @@ def retain(df: DataFrame, by, order_by, carry: dict[str, str] | None = None, sum
 # W8 ---------------------------------------------------------------------------------
 def shifted(df: DataFrame, columns, order_by, partition_by=(), offset: int = 1, default=None,
             suffix: str | None = None, **kw) -> DataFrame:
-    """Read the value ``offset`` rows back (negative: forward) in the group's order.
+    """Read the value ``offset`` rows back (negative: forward) in the group's order."""
+    cols = [columns] if isinstance(columns, str) else list(columns)
+    sfx = suffix or (f"_lag{offset}" if offset >= 0 else f"_lead{-offset}")
+    return shift_many(df, [(c, offset, default, c + sfx) for c in cols], order_by, partition_by, **kw)
+
 
-    Rows are numbered with the blocked scan and matched to row number
-    ``rn - offset`` by an equi-join on (group, row number), so rows of a hot
-    group spread across all partitions. Give a total order.
+def shift_many(df: DataFrame, shifts: list[tuple[str, int, object, str]], order_by, partition_by=(), **kw) -> DataFrame:
+    """Several lag/lead columns at once: ``(column, offset, default, out)``; positive offsets look back.
+
+    Rows are numbered once with the blocked scan (materialized), then each
+    distinct offset is one equi-join on (group, row number ± offset); rows of
+    a hot group spread over all partitions because the row number is part of
+    the key. Give a total order.
     """
-    cols = [columns] if isinstance(columns, str) else list(columns)
     pk = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    sfx = suffix or (f"_lag{offset}" if offset >= 0 else f"_lead{-offset}")
     numbered = row_number(df, order_by, pk, out="__rn", **kw)
     g = F.struct(*[F.col(c) for c in pk]) if pk else F.lit(0)
     numbered = materialize_if_costly(numbered.withColumn("__g", g))
-    other = numbered.select(
-        "__g", (F.col("__rn") + F.lit(offset)).alias("__rn"), *[F.col(c).alias(c + sfx) for c in cols])
-    out = numbered.join(other, ["__g", "__rn"], "left")
-    if default is not None:
-        out = out.withColumns({c + sfx: F.coalesce(F.col(c + sfx), F.lit(default)) for c in cols})
+    out = numbered
+    for off in sorted({s[1] for s in shifts}):
+        these = [s for s in shifts if s[1] == off]
+        other = numbered.select("__g", (F.col("__rn") + F.lit(off)).alias("__rn"),
+                                *[F.col(c).alias(name) for c, _, _, name in these])
+        out = out.join(other, ["__g", "__rn"], "left")
+        fills = {name: F.coalesce(F.col(name), F.lit(dflt)) for _, _, dflt, name in these if dflt is not None}
+        if fills:
+            out = out.withColumns(fills)
     return out.drop("__g", "__rn")
 
 

@@ -119,11 +119,9 @@ SELECT event_id, lag(value, 1) OVER w AS value_lag1, lead(value, 2) OVER w AS va
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def w08(spark, d):
     ev = table(spark, d, "events").select("event_id", "user_id", "ts", "value")
-    a = W.shifted(ev, ["value"], ["ts", "event_id"], "user_id", offset=1)
-    b = W.shifted(a, ["value"], ["ts", "event_id"], "user_id", offset=-2)
-    c = W.shifted(b.withColumn("prev_id", F.col("event_id")), ["prev_id"], ["ts", "event_id"], "user_id",
-                  offset=1, default=-1, suffix="_x")
-    return as_double(c.select("event_id", "value_lag1", "value_lead2", F.col("prev_id_x").alias("prev_id")), "prev_id")
+    out = W.shift_many(ev, [("value", 1, None, "value_lag1"), ("value", -2, None, "value_lead2"),
+                            ("event_id", 1, -1, "prev_id")], ["ts", "event_id"], "user_id")
+    return as_double(out.select("event_id", "value_lag1", "value_lead2", "prev_id"), "prev_id")
 
 
 @register("w09_linear_recurrence", """
