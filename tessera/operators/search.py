@@ -80,8 +80,11 @@ def similarity_search(
         par = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         blocks = _blocks(qn.count(), dn.count(), par)
     bq, bd = blocks
-    qx = qn.withColumns({"__qb": F.pmod(F.xxhash64("__qid"), F.lit(bq)), "__db": F.explode(F.sequence(F.lit(0), F.lit(bd - 1)))})
-    dx = dn.withColumns({"__db": F.pmod(F.xxhash64("__did"), F.lit(bd)), "__qb": F.explode(F.sequence(F.lit(0), F.lit(bq - 1)))})
+    # both sides must carry the block keys with the same types, or the cogroup hashes them apart
+    qx = qn.withColumns({"__qb": F.pmod(F.xxhash64("__qid"), F.lit(bq)).cast("int"),
+                         "__db": F.explode(F.sequence(F.lit(0), F.lit(bd - 1)))})
+    dx = dn.withColumns({"__db": F.pmod(F.xxhash64("__did"), F.lit(bd)).cast("int"),
+                         "__qb": F.explode(F.sequence(F.lit(0), F.lit(bq - 1)))})
     thr = threshold
 
     def score_block(qp: pd.DataFrame, dp: pd.DataFrame) -> pd.DataFrame:
