@@ -130,3 +130,21 @@ def s08(spark, d):
                concat_ws('/', STRUCT(o_orderstatus, o_orderpriority).o_orderstatus, `o`.`o_orderpriority`) AS tag
         FROM ${orders} AS `o` WHERE o_orderdate >= ${start}::TIMESTAMP_NTZ""",
                       views={"orders": table(spark, d, "orders")}, variables={"start": "1998-01-01"})
+
+
+@register("st02_stream_static_join", """
+SELECT e.event_id, e.event_type, c.c_mktsegment, c.c_nationkey FROM events e JOIN customer c ON e.user_id = c.c_custkey""")
+def st02(spark, d):
+    from ..operators import joins as J
+
+    schema = table(spark, d, "events").schema
+    stream = read_file_stream(spark, d, schema, glob="events.parquet")
+    cust = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    sink = S.scratch_path(spark, "st02")
+
+    def steps(df):
+        j = J.join(df.select("event_id", "event_type", "user_id"), cust, [("user_id", "c_custkey")], "INNER")
+        return j.select("event_id", "event_type", "c_mktsegment", "c_nationkey")
+
+    run_available(stream, steps, sink)
+    return S.read(spark, sink)
