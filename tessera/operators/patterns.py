@@ -36,6 +36,7 @@ def lineage_edges(steps: DataFrame, step_id: str, inputs: str, outputs: str) ->
     """(dataset, step, role) rows from a table of steps with input / output arrays."""
     ins = steps.select(F.explode(inputs).alias("dataset"), F.col(step_id).alias("step"), F.lit("consumer").alias("role"))
     outs = steps.select(F.explode(outputs).alias("dataset"), F.col(step_id).alias("step"), F.lit("producer").alias("role"))
+    # two plain explodes (codegen) measured faster than one explode of role-tagged structs
     return ins.unionByName(outs)
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from .common import with_scalars
+from .window import materialize_if_costly
 
 MAX_BLOCK_CELLS = 20_000_000  # query rows x document rows scored in one task
 MAX_QUERY_BLOCK = 4096
@@ -172,7 +173,9 @@ def bm25_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_i
     """
     dt = tokens(docs, d_id, d_text)
     # one tokenization: term frequencies, then lengths and document frequencies from them
-    tf = dt.groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # (document, term, tf) feeds four consumers whose pruned plans differ, so Spark
+    # cannot reuse the exchange: materialize it once instead of tokenizing four times
+    tf = materialize_if_costly(dt.groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf")))
     dl = tf.groupBy("__id").agg(F.sum("tf").alias("dl"))
     stats = dl.agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl"))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

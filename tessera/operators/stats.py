@@ -139,7 +139,8 @@ def chi_square(df: DataFrame, a: str, b: str, by=None, p_value: bool = True) ->
     grid of levels is never built. Returns chi2, df and (optionally) p.
     """
     keys = _keys(by)
-    cells = df.groupBy(*keys, a, b).agg(F.count(F.lit(1)).alias("o"))
+    # the cell table (levels a x levels b, observed only) feeds four aggregates: compute it once
+    cells = materialize_if_costly(df.groupBy(*keys, a, b).agg(F.count(F.lit(1)).alias("o")))
     rows = cells.groupBy(*keys, a).agg(F.sum("o").alias("ra"))
     cols = cells.groupBy(*keys, b).agg(F.sum("o").alias("cb"))
     tot = cells.groupBy(*keys).agg(F.sum("o").alias("n"), F.count_distinct(a).alias("r"),

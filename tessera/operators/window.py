@@ -456,7 +456,8 @@ def linear_recurrence(df: DataFrame, order_by, a: str, b: str, out: str, partiti
             pdf.iloc[-1, pdf.columns.get_loc("__last")] = True
         return pdf
 
-    local = blocked.groupBy(*pk, "__blk").applyInPandas(solve, schema)
+    # read twice (block ends, then every row): run the Python solve once
+    local = materialize_if_costly(blocked.groupBy(*pk, "__blk").applyInPandas(solve, schema))
     ends = local.filter("__last").select(*pk, "__blk", "__A", "__x")
     end_schema = StructType(list(ends.select(*pk, "__blk").schema.fields) + [StructField("__xin", DoubleType())])
 
