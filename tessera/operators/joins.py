@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import with_scalars
 from .window import running
 
 HOWS = {"LEFT": "left", "INNER": "inner", "RIGHT": "right", "OUTER": "full", "FULL": "full",
@@ -47,14 +48,22 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "LEFT") -> DataFrame:
 def append_fields(target: DataFrame, source: DataFrame, max_source_rows: int = 10_000) -> DataFrame:
     """AppendFields: every target row paired with every source row.
 
-    The source is counted first; above ``max_source_rows`` this raises,
-    because an all-pairs product of two large tables is never intended.
-    Within the bound the source is broadcast (size proven by the count).
+    The source is counted first and must have at most ``max_source_rows``
+    rows (an all-pairs product of two large tables is never intended). A
+    one-row source is attached as a scalar subquery; a larger (bounded)
+    source becomes a literal array exploded on each target row. Neither
+    plans a join.
     """
-    n = source.limit(max_source_rows + 1).count()
-    if n > max_source_rows:
+    rows = source.limit(max_source_rows + 1).collect()
+    if len(rows) > max_source_rows:
         raise ValueError(f"append_fields source has more than {max_source_rows} rows")
-    return target.crossJoin(F.broadcast(source))
+    if len(rows) == 1:
+        return with_scalars(target, source)
+    if not rows:
+        return target.limit(0).select(*target.columns, *[F.lit(None).cast(t).alias(c) for c, t in source.dtypes])
+    lit_rows = F.array(*[F.struct(*[F.lit(r[c]).cast(t).alias(c) for c, t in source.dtypes]) for r in rows])
+    return target.withColumn("__src", F.explode(lit_rows)).select(
+        *target.columns, *[F.col(f"__src.{c}").alias(c) for c in source.columns])
 
 
 # J3 -------------------------------------------------------------------------------

@@ -118,3 +118,12 @@ def test_array_apply_and_row_reduce(spark):
     out = P.row_reduce(out, ["a", "b", "c"], "sum", "s")
     r = {x.id: x for x in out.collect()}
     assert r[1].a_x10 == 10.0 and r[1].s == 4.0 and r[2].s is None
+
+
+def test_append_fields_multi_row(spark):
+    t = table(spark, SF_SMALL, "region")
+    src = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    out = J.append_fields(t, src)
+    assert out.count() == 10 and out.columns == ["r_regionkey", "r_name", "k", "v"]
+    with pytest.raises(ValueError):
+        J.append_fields(t, src, max_source_rows=1)
