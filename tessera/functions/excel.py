@@ -176,11 +176,15 @@ def NETWORKDAYS(start, end, holidays=()) -> Column:
     s, e = F.to_date(col(start)), F.to_date(col(end))
     lo, hi = F.least(s, e), F.greatest(s, e)
     days = _weekdays_before(F.date_add(hi, 1)) - _weekdays_before(lo)
-    hol = sorted(set(holidays))
-    if hol:
+    # only holidays on Monday-Friday can reduce the count; their weekday is known here
+    hol = sorted(h for h in set(holidays) if h.weekday() < 5)
+    if len(hol) <= 256:
+        # a sum of CASE terms stays inside whole-stage codegen
+        for h in hol:
+            days = days - F.when((F.lit(h) >= lo) & (F.lit(h) <= hi), 1).otherwise(0)
+    else:
         arr = F.array(*[F.lit(h) for h in hol])
-        n_hol = F.size(F.filter(arr, lambda h: (h >= lo) & (h <= hi) & (F.weekday(h) < 5)))
-        days = days - n_hol
+        days = days - F.size(F.filter(arr, lambda h: (h >= lo) & (h <= hi)))
     return F.when(s <= e, days).otherwise(-days)
 
 

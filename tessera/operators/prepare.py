@@ -484,17 +484,19 @@ def row_reduce(df: DataFrame, columns, how: str, out: str) -> DataFrame:
     All missing gives null (n gives 0).
     """
     cols = [F.col(c).cast("double") for c in _cols(columns)]
-    vals = F.filter(F.array(*cols), lambda x: x.isNotNull())
+    # plain arithmetic (no higher-order functions) keeps this inside whole-stage codegen
+    n = reduce(lambda a, b: a + b, [F.when(c.isNotNull(), 1).otherwise(0) for c in cols])
+    total = reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0.0)) for c in cols])
     if how == "min":
         expr = F.least(*cols)
     elif how == "max":
         expr = F.greatest(*cols)
     elif how == "sum":
-        expr = F.when(F.size(vals) > 0, F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x))
+        expr = F.when(n > 0, total)
     elif how == "mean":
-        expr = F.when(F.size(vals) > 0, F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x) / F.size(vals))
+        expr = F.when(n > 0, total / n)
     elif how == "n":
-        expr = F.size(vals)
+        expr = n
     else:
         raise ValueError("how is sum, min, max, mean or n")
     return df.withColumn(out, expr)
