@@ -172,10 +172,11 @@ def write_partitioned(df: DataFrame, path: str, discrete=(), time_column: str |
         name = period.lower()
         df = df.withColumn(name, F.date_format(F.col(time_column), fmt_map[period.upper()]))
         cols.append(name)
-    spark = df.sparkSession
+    w = df.write.mode("overwrite").format(fmt).partitionBy(*cols)
     if dynamic_overwrite:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode("overwrite").format(fmt).partitionBy(*cols).save(path)
+        # per-write option: the session setting stays untouched
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.save(path)
 
 
 def read_folder(spark: SparkSession, path: str, fmt: str = "parquet", source_column: str | None = "source_file",
