@@ -15,7 +15,7 @@ from typing import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.blank import blank_to_null, coalesce_false, col, is_blank, lit
+from ..functions.blank import blank_to_null, coalesce_false, is_blank, lit
 
 UNKNOWN = "*Unknown"
 
