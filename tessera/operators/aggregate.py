@@ -292,20 +292,29 @@ def means(df: DataFrame, var: str, by=None) -> DataFrame:
 
 def moments(df: DataFrame, var: str, by=None) -> DataFrame:
     """Sample skewness and excess kurtosis (bias-adjusted, as PROC UNIVARIATE) from power sums."""
+    return _moments(df, var, _keys(by), extremes=False)
+
+
+def _moments(df: DataFrame, var: str, keys: list[str], extremes: bool) -> DataFrame:
+    # two passes for numerical stability: mean first, then central power sums
     x = F.col(var).cast("double")
-    keys = _keys(by)
-    m = df.groupBy(*keys).agg(F.count(x).alias("n"), F.avg(x).alias("mean"))
-    j = df.join(m, keys) if keys else with_scalars(df, m)
+    first = [F.count(x).alias("n"), F.avg(x).alias("mean")]
+    if extremes:
+        first += [F.min(var).alias("min"), F.max(var).alias("max")]
+    m = df.groupBy(*keys).agg(*first)
+    j = df.select(*keys, var).join(m, keys) if keys else with_scalars(df.select(var), m)
     d = F.col(var).cast("double") - F.col("mean")
+    carried = ["n", "mean"] + (["min", "max"] if extremes else [])
     s = j.groupBy(*keys).agg(
-        F.first("n").alias("n"), F.first("mean").alias("mean"),
+        *[F.first(c).alias(c) for c in carried],
         F.sum(d * d).alias("m2"), F.sum(d * d * d).alias("m3"), F.sum(d * d * d * d).alias("m4"))
     n = F.col("n").cast("double")
     var_ = F.col("m2") / (n - 1)
     skew = n / ((n - 1) * (n - 2)) * F.col("m3") / F.pow(var_, 1.5)
     kurt = (n * (n + 1) / ((n - 1) * (n - 2) * (n - 3)) * F.col("m4") / F.pow(var_, 2)
             - 3 * F.pow(n - 1, 2) / ((n - 2) * (n - 3)))
-    return s.select(*keys, "n", "mean", F.sqrt(var_).alias("std"), skew.alias("skewness"), kurt.alias("kurtosis"))
+    extra = [F.col("min"), F.col("max"), (F.col("max") - F.col("min")).alias("range")] if extremes else []
+    return s.select(*keys, *extra, "n", "mean", F.sqrt(var_).alias("std"), skew.alias("skewness"), kurt.alias("kurtosis"))
 
 
 def exact_quantiles(df: DataFrame, var: str, probs: list[float], by=None, prefix: str = "p") -> DataFrame:
@@ -346,11 +355,8 @@ def mode(df: DataFrame, var: str, by=None) -> DataFrame:
 def univariate(df: DataFrame, var: str, by=None, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """PROC UNIVARIATE: moments, range, mode and exact quantiles."""
     keys = _keys(by)
-    x = F.col(var)
-    basic = df.groupBy(*keys).agg(F.min(x).alias("min"), F.max(x).alias("max"), (F.max(x) - F.min(x)).alias("range"))
-    parts = [moments(df, var, keys), mode(df, var, keys), exact_quantiles(df, var, list(probs), keys)]
-    out = basic
-    for p in parts:
+    out = _moments(df, var, keys, extremes=True)
+    for p in (mode(df, var, keys), exact_quantiles(df, var, list(probs), keys)):
         out = out.join(p, keys) if keys else with_scalars(out, p)
     return out
 
