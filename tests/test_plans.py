@@ -91,3 +91,24 @@ def test_partition_pruning(spark):
     df = entry.queries()["s10_partition_pruned_read"](spark, SF_SMALL)
     plan = plan_of(df)
     assert "PartitionFilters: [isnotnull(event_type" in plan and "day" in plan.split("PartitionFilters")[1]
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.sources import io as S
+    from tessera.tables import table
+
+    tag = S.scratch_path(spark, "b").rsplit("-", 1)[-1]
+    S.write_bucketed(table(spark, SF_SMALL, "orders"), f"orders_b_{tag}", S.scratch_path(spark, "ob"), 8, "o_orderkey")
+    S.write_bucketed(table(spark, SF_SMALL, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey"),
+                     f"lineitem_b_{tag}", S.scratch_path(spark, "lb"), 8, "o_orderkey")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table(f"orders_b_{tag}").join(spark.table(f"lineitem_b_{tag}"), "o_orderkey")
+        plan = plan_of(j.groupBy("o_orderstatus").agg(F.count(F.lit(1))))
+        join_part = plan.split("SortMergeJoin")[1]
+        assert "Exchange hashpartitioning(o_orderkey" not in join_part
+        assert j.count() == table(spark, SF_SMALL, "lineitem").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
