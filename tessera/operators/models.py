@@ -239,22 +239,31 @@ def threshold_curve(df: DataFrame, score_col: str, label_col: str, steps: int =
 
 
 # M10, M11 -------------------------------------------------------------------------------------
-def feature_importance(model: PipelineModel, drop_dummies: bool = True) -> list[tuple[str, float]]:
+def feature_importance(model: PipelineModel, dummies: str = "drop") -> list[tuple[str, float]]:
     """Tree-model importances zipped with the assembler's feature names, largest first.
 
-    One-hot dummies are summed back onto their source column when ``drop_dummies``.
+    ``dummies``: ``"drop"`` leaves out one-hot dummy features (only original
+    features remain), ``"sum"`` adds each column's dummies back onto the
+    column, ``"keep"`` lists every dummy as ``column=level``.
     """
     last = model.stages[-1]
     names = _feature_names(model)
-    imp = list(last.featureImportances.toArray())
+    imp = last.featureImportances.toArray()
+    if len(names) != len(imp):
+        raise ValueError(f"{len(names)} feature names for {len(imp)} importances")
     pairs = list(zip(names, imp))
-    if drop_dummies:
+    if dummies == "drop":
+        pairs = [(n, v) for n, v in pairs if "__ohe" not in n]
+    elif dummies == "sum":
         agg: dict[str, float] = {}
         for n, v in pairs:
-            base = n.split("__ohe")[0].split("__imp")[0].split("__vec")[0]
+            base = n.split("__ohe")[0]
             agg[base] = agg.get(base, 0.0) + v
         pairs = list(agg.items())
-    return sorted(((n, float(v)) for n, v in pairs), key=lambda t: (-t[1], t[0]))
+    elif dummies != "keep":
+        raise ValueError("dummies is drop, sum or keep")
+    clean = [(n.split("__imp")[0].split("__vec")[0].replace("__ohe=", "="), float(v)) for n, v in pairs]
+    return sorted(clean, key=lambda t: (-t[1], t[0]))
 
 
 def _feature_names(model: PipelineModel) -> list[str]:
@@ -264,9 +273,9 @@ def _feature_names(model: PipelineModel) -> list[str]:
     for c in assembler.getInputCols():
         if c.endswith("__ohe"):
             base = c[: -len("__ohe")]
-            labels = indexers[f"{base}__idx"].labels
-            names += [f"{base}__ohe={lab}" for lab in labels[:-1]] if len(labels) > 1 else [f"{base}__ohe"]
-            names += [f"{base}__ohe=__invalid"] if len(labels) > 0 else []
+            # handleInvalid="keep" appends an "unseen" index last and dropLast removes exactly
+            # that slot, so the one-hot slots are the labels in index order
+            names += [f"{base}__ohe={lab}" for lab in indexers[f"{base}__idx"].labels]
         else:
             names.append(c)
     return names
