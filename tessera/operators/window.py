@@ -90,7 +90,7 @@ def default_blocks(df: DataFrame) -> int:
 
 
 PLAIN_MAX_ROWS_CONF = "tessera.scan.plainMaxRows"
-DEFAULT_PLAIN_MAX_ROWS = 200_000
+DEFAULT_PLAIN_MAX_ROWS = 50_000
 # Logical operators whose output is costly to recompute (a shuffle or Python).
 _COSTLY = re.compile(r"\b(Join|Aggregate|Window|Sort|Expand|Generate|Deduplicate|Repartition\w*|"
                      r"\w*InPandas\w*|ArrowEvalPython|BatchEvalPython)\b")
