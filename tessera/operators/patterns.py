@@ -20,13 +20,18 @@ def normalize_pattern(c, rules=DEFAULT_RULES) -> Column:
     return x
 
 
-def cluster_patterns(df: DataFrame, column: str, position: str, rules=DEFAULT_RULES, by=()) -> DataFrame:
+def cluster_patterns(df: DataFrame, column, position: str, rules=DEFAULT_RULES, by=()) -> DataFrame:
     """Group values by their normalised shape: count, first/last position, one example.
 
     One aggregation (partial on the map side); the example is the value at
-    the smallest position.
+    the smallest position. A list of columns is stacked first (unpivot) and
+    clustered per (column, pattern).
     """
     keys = [by] if isinstance(by, str) else list(by)
+    if not isinstance(column, str):
+        stacked = df.select(*keys, position, *[F.col(c).cast("string").alias(c) for c in column]).unpivot(
+            [*keys, position], list(column), "column", "value")
+        return cluster_patterns(stacked, "value", position, rules, [*keys, "column"])
     return df.withColumn("pattern", normalize_pattern(column, rules)).groupBy(*keys, "pattern").agg(
         F.count(F.lit(1)).alias("n"), F.min(position).alias("first_pos"), F.max(position).alias("last_pos"),
         F.min_by(F.col(column), F.col(position)).alias("example"))

@@ -17,6 +17,17 @@ def x01(spark, d):
     return X.cluster_patterns(table(spark, d, "pages"), "url", "page_id")
 
 
+@register("x01_cluster_patterns_columns", r"""
+WITH s AS (SELECT p_partkey, name AS "column", value FROM part
+           UNPIVOT INCLUDE NULLS (value FOR name IN (p_name, p_brand, p_type)))
+SELECT "column", regexp_replace(regexp_replace(regexp_replace(value, '[0-9]+', '#', 'g'), '\p{Lu}+', 'A', 'g'), '\p{Ll}+', 'a', 'g')
+         AS pattern, count(*) AS n, min(p_partkey) AS first_pos, max(p_partkey) AS last_pos,
+       arg_min(value, p_partkey) AS example
+FROM s GROUP BY 1, 2""")
+def x01c(spark, d):
+    return X.cluster_patterns(table(spark, d, "part"), ["p_name", "p_brand", "p_type"], "p_partkey")
+
+
 @register("x01_cluster_patterns_by_lang", r"""
 SELECT lang, regexp_replace(regexp_replace(regexp_replace(source, '[0-9]+', '#', 'g'), '\p{Lu}+', 'A', 'g'), '\p{Ll}+', 'a', 'g')
          AS pattern, count(*) AS n, min(doc_id) AS first_pos, max(doc_id) AS last_pos, arg_min(source, doc_id) AS example
