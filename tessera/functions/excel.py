@@ -9,6 +9,7 @@ Kept apart from ``formula.py`` so that one name never means two things.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -310,8 +311,27 @@ def FIND(find, within, start=1) -> Column:
     return F.when(pos > 0, pos)
 
 
+def _wildcard_regex(find: str) -> str:
+    """Spreadsheet wildcards to a regex: ? one character, * any run, ~ escapes ? * ~."""
+    out, i = [], 0
+    while i < len(find):
+        ch = find[i]
+        if ch == "~" and i + 1 < len(find) and find[i + 1] in "?*~":
+            out.append(re.escape(find[i + 1]))
+            i += 2
+            continue
+        out.append("." if ch == "?" else ".*" if ch == "*" else re.escape(ch))
+        i += 1
+    return "(?s)" + "".join(out)
+
+
 def SEARCH(find, within, start=1) -> Column:
-    """As FIND, ignoring case (wildcards are not interpreted)."""
+    """As FIND, ignoring case; a literal find text may use the ? * ~ wildcards."""
+    if isinstance(find, str):
+        st = _num(start)
+        tail = F.substr(F.lower(col(within)), st)
+        pos = F.regexp_instr(tail, F.lit(_wildcard_regex(find.lower())), F.lit(0))
+        return F.when(pos > 0, pos + st - F.lit(1))
     pos = F.position(F.lower(lit(find)), F.lower(col(within)), _num(start))
     return F.when(pos > 0, pos)
 

@@ -3,8 +3,10 @@
 Every function is ``DataFrame -> DataFrame`` (or returns a tuple of frames for
 multi-output tools) and adds only narrow projections and filters, so a chain
 of them collapses into one whole-stage-codegen stage and filters reach the
-Parquet scan. None of them runs a Spark action except ``dynamic_rename``
-from a table, which reads at most one row per existing column.
+Parquet scan. Two read a bounded amount of data to the driver:
+``dynamic_rename`` from a table (at most one row per existing column) and
+``find_replace`` in substring mode (at most ``inline_max + 1`` rules; larger
+rule tables switch to an exact substring join).
 """
 
 from __future__ import annotations

@@ -232,3 +232,11 @@ def test_nan_and_null_keys_blocked(spark):
         plain = W.running(df, spec, {"rn": ("row_number", None)}, blocks=1)
         blocked = W.running(df, spec, {"rn": ("row_number", None)}, splits=[2.0, 4.0, 6.0])
         assert sorted((r.id, r.rn) for r in plain.collect()) == sorted((r.id, r.rn) for r in blocked.collect())
+
+
+def test_search_wildcards(spark):
+    r = spark.range(1).select(
+        X.SEARCH("b?d", F.lit("abcBxd")).alias("a"), X.SEARCH("c*x", F.lit("abcBxd")).alias("b"),
+        X.SEARCH("~?", F.lit("what? yes")).alias("c"), X.SEARCH("B", F.lit("abcb"), 3).alias("d"),
+        X.SEARCH("z*", F.lit("abc")).alias("e"), X.SEARCH("(", F.lit("f(x)")).alias("f")).first()
+    assert (r.a, r.b, r.c, r.d, r.e, r.f) == (4, 3, 5, 4, None, 2)
