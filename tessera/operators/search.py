@@ -28,7 +28,6 @@ from .common import with_scalars
 from .window import materialize_if_costly
 
 MAX_BLOCK_CELLS = 20_000_000  # query rows x document rows scored in one task
-MAX_QUERY_BLOCK = 4096
 
 
 def l2_normalize(v) -> Column:
@@ -52,11 +51,22 @@ def cosine(a, b) -> Column:
 
 
 def _blocks(n_q: int, n_d: int, parallelism: int) -> tuple[int, int]:
-    q_block = max(1, min(n_q, MAX_QUERY_BLOCK))
-    bq = max(1, math.ceil(n_q / q_block))
-    d_block = max(1000, MAX_BLOCK_CELLS // q_block)
-    bd = max(1, math.ceil(n_d / d_block), parallelism // bq)
-    return bq, min(bd, max(1, n_d))
+    """Query and document block counts.
+
+    Every (query block, document block) pair is one task scoring at most
+    ``MAX_BLOCK_CELLS`` pairs, so at least T = Q*D/cells tasks (and at least
+    ``parallelism``) are needed. Queries are copied once per document block
+    and documents once per query block; Q*Bd + D*Bq is smallest when
+    Q*Bd = D*Bq, i.e. Bq = sqrt(T*Q/D), Bd = sqrt(T*D/Q).
+    """
+    n_q, n_d = max(1, n_q), max(1, n_d)
+    tasks = max(parallelism, math.ceil(n_q * n_d / MAX_BLOCK_CELLS))
+    bq = max(1, min(n_q, round(math.sqrt(tasks * n_q / n_d))))
+    bd = max(1, min(n_d, math.ceil(tasks / bq)))
+    # keep each task's score matrix bounded after rounding
+    while math.ceil(n_q / bq) * math.ceil(n_d / bd) > MAX_BLOCK_CELLS and bd < n_d:
+        bd += 1
+    return bq, bd
 
 
 _CAND_SCHEMA = StructType([StructField("__qid", LongType()), StructField("__did", LongType()),
