@@ -120,12 +120,22 @@ def score(model: PipelineModel, df: DataFrame, target: str | None = None, vector
 
 # M5, M6 ------------------------------------------------------------------------------------
 def compare_algorithms(train_df: DataFrame, test_df: DataFrame, target: str, task: str, features: list[str],
-                       algorithms=("random_forest", "logistic", "decision_tree"), vector_features=()) -> DataFrame:
-    """Fit each algorithm, evaluate on ``test_df``; one metrics row per algorithm, best first."""
+                       algorithms=("random_forest", "logistic", "decision_tree"), vector_features=(),
+                       params: dict[str, dict] | None = None) -> DataFrame:
+    """Fit each algorithm (``params[algorithm]`` overrides its settings), evaluate on
+    ``test_df``; one metrics row per algorithm, best first."""
     spark = train_df.sparkSession
     rows = []
+    # the feature stages are fitted once and shared by every algorithm
+    data = _prepare(train_df, target, vector_features)
+    stages, _ = feature_pipeline(data, [f for f in features if f not in vector_features], vector_features)
+    prep = Pipeline(stages=stages).fit(data)
+    feats = prep.transform(data)
+    n_feat = feats.select("features").first()["features"].size
+    n_classes = int(data.agg(F.max("label")).first()[0]) + 1
     for alg in algorithms:
-        m = train(train_df, target, task, features, alg, vector_features=vector_features)
+        est = _estimator(alg, task, dict((params or {}).get(alg) or {}), n_feat, max(2, n_classes))
+        m = PipelineModel(stages=[*prep.stages, est.fit(feats)])
         scored = score(m, test_df, target, vector_features)
         if task == "REGRESSION":
             r = scored.agg(F.sqrt(F.avg((F.col("prediction") - F.col("label")) ** 2)).alias("rmse"),

@@ -46,14 +46,17 @@ def m01r(spark, d):
 def m05(spark, d):
     train, test = _split(_doc_labels(spark, d), "doc_id")
     return M.compare_algorithms(train, test, "quality", "BINARY_CLASSIFICATION", ["n_chars", "lang", "source"],
-                                algorithms=("random_forest", "gbt", "decision_tree", "logistic", "linear_svc", "mlp"))
+                                algorithms=("random_forest", "gbt", "decision_tree", "logistic", "linear_svc", "mlp"),
+                                params={"random_forest": {"numTrees": 20}, "gbt": {"maxIter": 10},
+                                        "logistic": {"maxIter": 50}, "linear_svc": {"maxIter": 20},
+                                        "mlp": {"maxIter": 50}})
 
 
 @register("m06_cross_validate")
 def m06(spark, d):
     data = _doc_labels(spark, d)
     _, rows = M.cross_validate(data, "quality", "BINARY_CLASSIFICATION", ["n_chars", "lang"], "random_forest",
-                               {"maxDepth": [2, 4], "numTrees": [5, 10]}, folds=3)
+                               {"maxDepth": [2, 4], "numTrees": [5, 10]}, folds=3)  # 4 settings x 3 folds
     return spark.createDataFrame([(str(p), a, s) for p, a, s in rows], "params string, auc_mean double, auc_std double")
 
 
