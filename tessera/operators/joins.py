@@ -124,10 +124,19 @@ def match_merge(x: DataFrame, y: DataFrame, by, keep: str = "all", in_x: str | N
         dup_y = y.groupBy(*by).count().filter("count > 1").select(*by)
         if dup_x.join(dup_y, by).limit(1).count():
             raise ValueError("many-to-many match-merge: both inputs repeat a by value")
-    how = {"x": "left", "y": "right", "both": "inner", "all": "full"}[keep]
     xs = x.withColumn("__in_x", F.lit(True))
     ys = y.withColumn("__in_y", F.lit(True))
-    j = xs.join(ys, [xs[k].eqNullSafe(ys[k]) for k in by], how)
+    if keep == "all":
+        # full outer = (x left join y) + (y rows without x): AQE can split a hot key in
+        # both of those joins, but not in a full outer join
+        left = _merge_select(xs.join(ys, [xs[k].eqNullSafe(ys[k]) for k in by], "left"), xs, ys, x, y, by, in_x, in_y)
+        only_y = ys.join(xs, [ys[k].eqNullSafe(xs[k]) for k in by], "left_anti")
+        return left.unionByName(_merge_select_y_only(only_y, x, y, by, in_x, in_y))
+    how = {"x": "left", "y": "right", "both": "inner"}[keep]
+    return _merge_select(xs.join(ys, [xs[k].eqNullSafe(ys[k]) for k in by], how), xs, ys, x, y, by, in_x, in_y)
+
+
+def _merge_select(j: DataFrame, xs: DataFrame, ys: DataFrame, x: DataFrame, y: DataFrame, by, in_x, in_y) -> DataFrame:
     shared = [c for c in x.columns if c in y.columns and c not in by]
     out = [F.coalesce(xs[k], ys[k]).alias(k) for k in by]
     iy = F.coalesce(ys["__in_y"], F.lit(False))
@@ -143,6 +152,23 @@ def match_merge(x: DataFrame, y: DataFrame, by, keep: str = "all", in_x: str | N
     return j.select(*out)
 
 
+def _merge_select_y_only(only_y: DataFrame, x: DataFrame, y: DataFrame, by, in_x, in_y) -> DataFrame:
+    """Rows of y with no x match, in the merge's column layout."""
+    shared = [c for c in x.columns if c in y.columns and c not in by]
+    types = dict(x.dtypes)
+    out = [F.col(k) for k in by]
+    for c in x.columns:
+        if c in by:
+            continue
+        out.append(F.col(c) if c in shared else F.lit(None).cast(types[c]).alias(c))
+    out += [F.col(c) for c in y.columns if c not in by and c not in shared]
+    if in_x:
+        out.append(F.lit(False).alias(in_x))
+    if in_y:
+        out.append(F.lit(True).alias(in_y))
+    return only_y.select(*out)
+
+
 # J9, J11, J12 --------------------------------------------------------------------------
 def lookup_exact(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, values, order_col: str,
                  default=None, prefix: str = "") -> DataFrame:
