@@ -225,7 +225,12 @@ def _running_blocked(df, spec, aggs, pk, splits):
             local_exprs[f"__l_{name}"] = F.dense_rank().over(w)
     local = blocked.withColumns(local_exprs)
 
-    # Per (group, block) summary, from the same shuffle (no new exchange).
+    # Per (group, block) summary. Taken from the input with map-side partial
+    # aggregation (one row per (group, block) per task crosses the network);
+    # only "last" under a descending order needs the window's row numbers.
+    all_asc = all(a for _, a in spec)
+    from_window = any(kind == "last" for kind, _ in aggs.values()) and not all_asc
+    order_key = F.struct(*[F.col(c2) for c2, _ in spec])
     summ = {"__n": F.count(F.lit(1))}
     for name, (kind, c) in aggs.items():
         x = F.col(c) if c else None
@@ -238,10 +243,12 @@ def _running_blocked(df, spec, aggs, pk, splits):
         elif kind == "max":
             summ[f"__s_{name}"] = F.max(x)
         elif kind == "last":
-            summ[f"__s_{name}"] = F.max_by(x, F.when(x.isNotNull(), F.col("__rn")))
+            # ascending order: the struct of order columns sorts like the window (nulls first)
+            rank_key = F.col("__rn") if from_window else order_key
+            summ[f"__s_{name}"] = F.max_by(x, F.when(x.isNotNull(), rank_key))
         elif kind == "dense_rank":
-            summ[f"__s_{name}"] = F.count_distinct(F.struct(*[F.col(c2) for c2, _ in spec]))
-    summary = local.groupBy("__g", "__blk").agg(*[v.alias(k) for k, v in summ.items()])
+            summ[f"__s_{name}"] = F.count_distinct(order_key)
+    summary = (local if from_window else blocked).groupBy("__g", "__blk").agg(*[v.alias(k) for k, v in summ.items()])
 
     wp = Window.partitionBy("__g").orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
     prefix = {"__p_n": F.sum("__n").over(wp)}

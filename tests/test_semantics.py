@@ -240,3 +240,15 @@ def test_search_wildcards(spark):
         X.SEARCH("~?", F.lit("what? yes")).alias("c"), X.SEARCH("B", F.lit("abcb"), 3).alias("d"),
         X.SEARCH("z*", F.lit("abc")).alias("e"), X.SEARCH("(", F.lit("f(x)")).alias("f")).first()
     assert (r.a, r.b, r.c, r.d, r.e, r.f) == (4, 3, 5, 4, None, 2)
+
+
+def test_last_non_null_both_directions(spark):
+    vals = [(g, t, None if (t * 7 + g) % 3 == 0 else float(t)) for g in range(3) for t in range(40)]
+    df = spark.createDataFrame(vals, "g int, t int, x double")
+    for asc in (True, False):
+        spec = [("t", asc)]
+        aggs = {"l": ("last", "x"), "s": ("sum", "x"), "dr": ("dense_rank", None)}
+        plain = W.running(df, spec, aggs, "g", blocks=1)
+        blocked = W.running(df, spec, aggs, "g", splits=[9.5, 20.5, 31.5] if asc else [-31.5, -20.5, -9.5])
+        key = lambda r: (r.g, r.t, r.l, r.s, r.dr)
+        assert sorted(map(key, plain.collect())) == sorted(map(key, blocked.collect())), asc
