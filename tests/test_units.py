@@ -127,3 +127,23 @@ def test_append_fields_multi_row(spark):
     assert out.count() == 10 and out.columns == ["r_regionkey", "r_name", "k", "v"]
     with pytest.raises(ValueError):
         J.append_fields(t, src, max_source_rows=1)
+
+
+def test_select_tool_without_unknown_and_closed_ranges(spark):
+    r = table(spark, SF_SMALL, "region")
+    out = P.select_fields(r, [{"field": "r_name", "rename": "name"}])
+    assert out.columns == ["name", "r_regionkey"]
+    df = spark.createDataFrame([(0.0,), (5.0,), (10.0,), (None,)], "x double")
+    banded = P.range_format(df, "x", [(0, 5, "a", "both"), (5, 10, "b")], "band", other="z")
+    assert [row.band for row in banded.collect()] == ["a", "a", "z", "z"]
+
+
+def test_hash_sample_is_repeatable(spark):
+    from tessera.operators import ordering as O
+
+    li = table(spark, SF_SMALL, "lineitem")
+    a = O.sample_fraction(li, 0.2, ["l_orderkey", "l_linenumber"], seed=3)
+    b = O.sample_fraction(li.repartition(7), 0.2, ["l_orderkey", "l_linenumber"], seed=3)
+    assert sorted(map(tuple, a.select("l_orderkey", "l_linenumber").collect())) == \
+        sorted(map(tuple, b.select("l_orderkey", "l_linenumber").collect()))
+    assert 0.1 < a.count() / li.count() < 0.3
