@@ -362,10 +362,11 @@ def univariate(df: DataFrame, var: str, by=None, probs=(0.25, 0.5, 0.75)) -> Dat
 
 
 # A19 ---------------------------------------------------------------------------------------------
-def describe(df: DataFrame) -> DataFrame:
-    """One pass: per column non-null count, null count, approximate distinct, min, max.
+def describe(df: DataFrame, exact: bool = False) -> DataFrame:
+    """One pass: per column non-null count, null count, distinct count, min, max.
 
-    Returns one row per column (a bounded unpivot of a one-row aggregate).
+    Distinct counts are approximate (HyperLogLog++, bounded memory) unless
+    ``exact``. Returns one row per column (a bounded unpivot of a one-row aggregate).
     """
     exprs = []
     for c, t in df.dtypes:
@@ -373,7 +374,7 @@ def describe(df: DataFrame) -> DataFrame:
             continue
         x = F.col(c)
         exprs += [F.count(x).alias(f"{c}__count"), F.count_if(x.isNull()).alias(f"{c}__nulls"),
-                  F.approx_count_distinct(x).alias(f"{c}__distinct"),
+                  (F.count_distinct(x) if exact else F.approx_count_distinct(x)).alias(f"{c}__distinct"),
                   F.min(x).cast("string").alias(f"{c}__min"), F.max(x).cast("string").alias(f"{c}__max")]
     wide = df.agg(*exprs)
     cols = [c for c, t in df.dtypes if not t.startswith(("array", "map", "struct"))]

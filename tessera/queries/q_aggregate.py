@@ -271,6 +271,22 @@ def a19(spark, d):
     return A.describe(table(spark, d, "orders"))
 
 
+def _describe_sql(cols):
+    parts = []
+    for c, t in cols:
+        parts.append(f"""SELECT '{c}' AS "column", '{t}' AS type, count({c}) AS count,
+       CAST(count_if({c} IS NULL) AS BIGINT) AS nulls, count(DISTINCT {c}) AS distinct_approx,
+       CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max FROM orders""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("a19_describe_exact", _describe_sql([("o_orderkey", "bigint"), ("o_custkey", "bigint"),
+                                               ("o_orderstatus", "string"), ("o_orderpriority", "string")]))
+def a19e(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return A.describe(o, exact=True)
+
+
 @register("a12_subtotal_functions", """
 SELECT o_orderstatus, round(avg(o_totalprice), 6) AS f1, count(o_totalprice) AS f2, max(o_totalprice) AS f4,
        min(o_totalprice) AS f5, round(stddev_samp(o_totalprice), 6) AS f7, round(sum(o_totalprice), 2) AS f9

@@ -78,12 +78,15 @@ def fx06(spark, d):
         (X.YEAR, "y"), (X.MONTH, "m"), (X.DAY, "d"), (X.HOUR, "h"), (X.MINUTE, "mi"), (X.SECOND, "s")]])
 
 
-@register("fx07_today_now")
+@register("fx07_today_now", """
+SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-12-31') AS DOUBLE) AS age_days,
+       true AS now_known FROM orders""")
 def fx07(spark, d):
     o = table(spark, d, "orders")
-    as_of = dt.date(2001, 12, 31)
-    return o.select("o_orderkey", X.DATEDIF(F.to_date("o_orderdate"), X.TODAY(as_of), "D").alias("age_days"),
-                    X.NOW().alias("now"))
+    as_of = dt.date(2001, 12, 31)  # TODAY with a fixed as-of date is repeatable; NOW is only checked for a value
+    out = o.select("o_orderkey", X.DATEDIF(F.to_date("o_orderdate"), X.TODAY(as_of), "D").alias("age_days"),
+                   X.NOW().isNotNull().alias("now_known"))
+    return as_double(out, "age_days")
 
 
 @register("fx08_weekday", """

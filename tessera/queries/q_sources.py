@@ -94,7 +94,8 @@ def s13(spark, d):
                                  "n long, columns string, schema string")
 
 
-@register("s14_csv_export")
+@register("s14_csv_export", """
+SELECT 'r_regionkey,r_name' AS line UNION ALL SELECT CAST(r_regionkey AS VARCHAR) || ',' || r_name FROM region""")
 def s14(spark, d):
     text = S.to_csv_string(table(spark, d, "region"), limit=100)
     return spark.createDataFrame([(line,) for line in text.splitlines()], "line string")
