@@ -156,7 +156,7 @@ def mmr_search(queries: DataFrame, docs: DataFrame, q_id: str, q_vec: str, d_id:
                 red = (vs[left] @ vs[chosen].T).max(axis=1)
             else:
                 red = np.zeros(len(left))
-            val = lam * sims[left] - diversity * red
+            val = np.round(lam * sims[left] - diversity * red, 9)  # ties independent of float noise
             best = max(range(len(left)), key=lambda i: (val[i], -ids[left[i]]))
             chosen.append(left.pop(best))
         return pd.DataFrame({q_id: pdf[q_id].iloc[0] if len(pdf) else [], d_id: ids[chosen], "score": sims[chosen],

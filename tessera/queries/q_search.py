@@ -39,11 +39,37 @@ def v02(spark, d):
     return r.withColumn("score", F.round("score", 9))
 
 
-@register("v03_mmr")
+def _mmr_sql(k: int = 5, pool: int = 20, diversity: float = 0.25) -> str:
+    """Greedy MMR unrolled into one CTE per pick (oracle for V3)."""
+    lam = 1.0 - diversity
+    ctes = [
+        "e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)",
+        "s AS (SELECT q.vec_id AS qid, x.vec_id AS did, list_cosine_similarity(q.v, x.v) AS score FROM e q, e x)",
+        f"p AS (SELECT qid, did, score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, did) "
+        f"AS r FROM s) WHERE r <= {pool})",
+        "pv AS (SELECT p.*, e.v FROM p JOIN e ON p.did = e.vec_id)",
+        f"k1 AS (SELECT qid, did, score, 1 AS mmr_rank FROM (SELECT *, row_number() OVER (PARTITION BY qid "
+        f"ORDER BY round({lam!r} * score, 9) DESC, did) AS r FROM pv) WHERE r = 1)",
+    ]
+    for i in range(2, k + 1):
+        prev = " UNION ALL ".join(f"SELECT * FROM k{j}" for j in range(1, i))
+        ctes.append(
+            f"k{i} AS (SELECT qid, did, score, {i} AS mmr_rank FROM ("
+            f"SELECT c.qid, c.did, c.score, row_number() OVER (PARTITION BY c.qid ORDER BY "
+            f"round({lam!r} * c.score - {diversity!r} * max(list_cosine_similarity(c.v, pk.v)), 9) DESC, c.did) AS r "
+            f"FROM pv c JOIN ({prev}) picked ON picked.qid = c.qid JOIN e pk ON pk.vec_id = picked.did "
+            f"WHERE NOT EXISTS (SELECT 1 FROM ({prev}) z WHERE z.qid = c.qid AND z.did = c.did) "
+            f"GROUP BY c.qid, c.did, c.score) WHERE r = 1)")
+    union = " UNION ALL ".join(f"SELECT * FROM k{j}" for j in range(1, k + 1))
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT qid, did, round(score, 9) AS score, CAST(mmr_rank AS BIGINT) AS mmr_rank FROM ({union})"
+
+
+@register("v03_mmr", _mmr_sql())
 def v03(spark, d):
     e = _emb(spark, d)
-    return V.mmr_search(e.withColumnRenamed("vec_id", "qid"), e.withColumnRenamed("vec_id", "did"),
-                        "qid", "embedding", "did", "embedding", k=5, pool=20, diversity=0.25)
+    r = V.mmr_search(e.withColumnRenamed("vec_id", "qid"), e.withColumnRenamed("vec_id", "did"),
+                     "qid", "embedding", "did", "embedding", k=5, pool=20, diversity=0.25)
+    return r.withColumn("score", F.round("score", 9))
 
 
 _HYB = r"""
