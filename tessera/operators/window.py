@@ -66,11 +66,15 @@ def _block_key(df: DataFrame, name: str, asc: bool) -> Column | None:
     return k if asc else -k
 
 
+CASE_MAX_SPLITS = 255  # a deeper CASE tree outgrows the 64 KB generated-method limit
+
+
 def _bucket(k: Column, splits: list[float], null_block: int, nan_block: int | None = None) -> Column:
     """Binary search over sorted split points as nested CASE (codegen friendly).
 
     Nulls go to ``null_block``; NaN (which Spark orders above every number)
     goes to ``nan_block`` (the last block ascending, the first descending).
+    Used up to ``CASE_MAX_SPLITS`` splits; see :func:`with_block`.
     """
 
     def build(lo: int, hi: int) -> Column:
@@ -85,8 +89,28 @@ def _bucket(k: Column, splits: list[float], null_block: int, nan_block: int | No
     return expr.otherwise(build(0, len(splits)))
 
 
+def with_block(df: DataFrame, k: Column, splits: list[float], null_block: int, nan_block: int,
+               name: str = "__blk") -> DataFrame:
+    """Add the block number of key ``k``: block b holds keys in [splits[b-1], splits[b]).
+
+    Few splits compile to a nested CASE inside whole-stage codegen; many
+    splits (cluster-sized block counts) use ML's ``Bucketizer``, a JVM-side
+    binary search whose code size does not grow with the split count.
+    """
+    if len(splits) <= CASE_MAX_SPLITS:
+        return df.withColumn(name, _bucket(k, splits, null_block, nan_block))
+    from pyspark.ml.feature import Bucketizer
+
+    keyed = df.withColumn("__bkey", k)
+    b = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="__bkey", outputCol="__braw",
+                   handleInvalid="keep").transform(keyed)
+    blk = (F.when(F.col("__bkey").isNull(), F.lit(null_block)).when(F.isnan("__bkey"), F.lit(nan_block))
+           .otherwise(F.col("__braw").cast("int")))
+    return b.withColumn(name, blk).drop("__bkey", "__braw")
+
+
 def default_blocks(df: DataFrame) -> int:
-    return max(1, min(4096, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return max(1, min(16384, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 PLAIN_MAX_ROWS_CONF = "tessera.scan.plainMaxRows"
@@ -201,7 +225,7 @@ def _running_blocked(df, spec, aggs, pk, splits):
     nan_block = len(splits) if asc else 0
     cols = df.columns
     g = F.struct(*[F.col(c) for c in pk]) if pk else F.lit(0)
-    blocked = df.withColumns({"__g": g, "__blk": _bucket(key, splits, null_block, nan_block)})
+    blocked = with_block(df.withColumn("__g", g), key, splits, null_block, nan_block)
 
     order = _order_cols(spec)
     w = Window.partitionBy("__g", "__blk").orderBy(*order)
@@ -440,7 +464,7 @@ def linear_recurrence(df: DataFrame, order_by, a: str, b: str, out: str, partiti
         raise ValueError("order column must be numeric, date or timestamp")
     df = materialize_if_costly(df)
     splits = block_splits(df, order_by, n_blocks) or []
-    blocked = df.withColumn("__blk", _bucket(key, splits, 0 if asc else len(splits), len(splits) if asc else 0))
+    blocked = with_block(df, key, splits, 0 if asc else len(splits), len(splits) if asc else 0)
     order_names = [c for c, _ in spec]
     ascending = [x for _, x in spec]
     # StructType.add mutates in place, and DataFrame.schema is cached: build a new one

@@ -252,3 +252,17 @@ def test_last_non_null_both_directions(spark):
         blocked = W.running(df, spec, aggs, "g", splits=[9.5, 20.5, 31.5] if asc else [-31.5, -20.5, -9.5])
         key = lambda r: (r.g, r.t, r.l, r.s, r.dr)
         assert sorted(map(key, plain.collect())) == sorted(map(key, blocked.collect())), asc
+
+
+def test_many_splits_use_jvm_binary_search(spark):
+    vals = [(i, float(i % 700)) for i in range(2000)] + [(5000, float("nan")), (5001, None)]
+    df = spark.createDataFrame(vals, "id int, k double")
+    for asc in (True, False):
+        spec = [("k", asc), ("id", True)]
+        splits = [float(v) + 0.5 for v in range(0, 600, 2)]  # 300 split points
+        if not asc:
+            splits = sorted(-s for s in splits)
+        plain = W.running(df, spec, {"rn": ("row_number", None), "s": ("sum", "k")}, blocks=1)
+        blocked = W.running(df, spec, {"rn": ("row_number", None), "s": ("sum", "k")}, splits=splits)
+        key = lambda r: (r.id, r.rn)
+        assert sorted(map(key, plain.collect())) == sorted(map(key, blocked.collect())), asc
