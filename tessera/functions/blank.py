@@ -54,3 +54,13 @@ def safe_divide(a, b) -> Column:
 def coalesce_false(cond: Column) -> Column:
     """Treat an unknown (null) condition as false."""
     return F.coalesce(cond, F.lit(False))
+
+
+def balanced_sum(cols: list[Column]) -> Column:
+    """Sum of many columns as a balanced tree (depth log2 n), so long lists
+    stay within the analyzer's iteration and code-size limits."""
+    if not cols:
+        return F.lit(0)
+    while len(cols) > 1:
+        cols = [cols[i] + cols[i + 1] if i + 1 < len(cols) else cols[i] for i in range(0, len(cols), 2)]
+    return cols[0]

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .blank import blank_to_null, coalesce_false, col, lit, to_number
+from .blank import balanced_sum, blank_to_null, coalesce_false, col, lit, to_number
 
 
 def _num(v) -> Column:
@@ -179,10 +179,12 @@ def NETWORKDAYS(start, end, holidays=()) -> Column:
     days = _weekdays_before(F.date_add(hi, 1)) - _weekdays_before(lo)
     # only holidays on Monday-Friday can reduce the count; their weekday is known here
     hol = sorted(h for h in set(holidays) if h.weekday() < 5)
-    if len(hol) <= 256:
-        # a sum of CASE terms stays inside whole-stage codegen
-        for h in hol:
-            days = days - F.when((F.lit(h) >= lo) & (F.lit(h) <= hi), 1).otherwise(0)
+    if not hol:
+        pass
+    elif len(hol) <= 64:
+        # a (balanced) sum of CASE terms stays inside whole-stage codegen (longer lists
+        # would outgrow the generated-method size limit)
+        days = days - balanced_sum([F.when((F.lit(h) >= lo) & (F.lit(h) <= hi), 1).otherwise(0) for h in hol])
     else:
         arr = F.array(*[F.lit(h) for h in hol])
         days = days - F.size(F.filter(arr, lambda h: (h >= lo) & (h <= hi)))

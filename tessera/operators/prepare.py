@@ -17,7 +17,7 @@ from typing import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.blank import blank_to_null, coalesce_false, is_blank, lit
+from ..functions.blank import balanced_sum, blank_to_null, coalesce_false, is_blank, lit
 
 UNKNOWN = "*Unknown"
 
@@ -487,8 +487,8 @@ def row_reduce(df: DataFrame, columns, how: str, out: str) -> DataFrame:
     """
     cols = [F.col(c).cast("double") for c in _cols(columns)]
     # plain arithmetic (no higher-order functions) keeps this inside whole-stage codegen
-    n = reduce(lambda a, b: a + b, [F.when(c.isNotNull(), 1).otherwise(0) for c in cols])
-    total = reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0.0)) for c in cols])
+    n = balanced_sum([F.when(c.isNotNull(), 1).otherwise(0) for c in cols])
+    total = balanced_sum([F.coalesce(c, F.lit(0.0)) for c in cols])
     if how == "min":
         expr = F.least(*cols)
     elif how == "max":
