@@ -283,18 +283,9 @@ def find_replace(
             expr = (F.when if expr is None else expr.when)(cond, rep)
         return df.withColumn(out, v if expr is None else expr.otherwise(v))
     # Large rule table: exact substring join, once per distinct value.
-    lengths = [r[0] for r in rule.select(F.length("__find")).distinct().collect()]
+    lengths = [r[0] for r in rule.select(F.length("__find")).distinct().collect()]  # at most the longest rule
     values = df.select(v.alias("__v")).filter(F.col("__v").isNotNull()).distinct()
-    vv = F.col("__v")
-
-    def grams_of(n: int) -> Column:
-        # every substring of length n (Spark reads a 2-argument lambda as (x, index))
-        starts = F.sequence(F.lit(1), F.greatest(F.length(vv) - F.lit(n - 1), F.lit(1)))
-        return F.transform(starts, lambda i: F.substr(vv, i, F.lit(n)))
-
-    grams = values.select(
-        "__v", F.explode(F.flatten(F.array(*[grams_of(n) for n in lengths]))).alias("__find")
-    ).distinct()
+    grams = values.select("__v", substrings(F.col("__v"), lengths).alias("__find")).distinct()
     first = grams.join(rule, "__find").groupBy("__v").agg(F.min_by(F.struct("__find", "__repl"), "__ord").alias("__hit"))
     res = df.join(first, v == F.col("__v"), "left")
     return res.withColumn(
@@ -302,6 +293,21 @@ def find_replace(
     ).drop("__v", "__hit")
 
 
+def substrings(text: Column, lengths: list[int]) -> Column:
+    """Generator: every substring of ``text`` whose length is in ``lengths``.
+
+    Used to turn "rule text occurs in value" into an equi-join on the
+    substring, which is exact for any number of rules.
+    """
+
+    def grams_of(n: int) -> Column:
+        # Spark reads a 2-argument lambda as (x, index): keep it 1-argument
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - F.lit(n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.substr(text, i, F.lit(n)))
+
+    return F.explode(F.flatten(F.array(*[grams_of(n) for n in lengths])))
+
+
 # P21 ---------------------------------------------------------------------------
 def regex_match(df: DataFrame, column: str, pattern: str, out: str) -> DataFrame:
     return df.withColumn(out, coalesce_false(F.col(column).rlike(pattern)))

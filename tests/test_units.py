@@ -147,3 +147,15 @@ def test_hash_sample_is_repeatable(spark):
     assert sorted(map(tuple, a.select("l_orderkey", "l_linenumber").collect())) == \
         sorted(map(tuple, b.select("l_orderkey", "l_linenumber").collect()))
     assert 0.1 < a.count() / li.count() < 0.3
+
+
+def test_classify_many_rules_matches_inline(spark):
+    from tessera.operators import patterns as XP
+
+    conv = table(spark, SF_SMALL, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("rid"), "text")
+    base = [("the", "en", 1), ("der", "de", 2), ("les", "fr", 3), ("los", "es", 4), ("e", "vowel", 9)]
+    small = spark.createDataFrame(base, "kw string, cat string, p int")
+    big = spark.createDataFrame(base + [(f"zz{i}qq", "x", 100 + i) for i in range(200)], "kw string, cat string, p int")
+    a = XP.classify(conv, "rid", "text", small, "kw", "cat", "p", match="substring", default="u")
+    b = XP.classify(conv, "rid", "text", big, "kw", "cat", "p", match="substring", default="u")
+    assert sorted((r.rid, r.category) for r in a.collect()) == sorted((r.rid, r.category) for r in b.collect())
