@@ -5,8 +5,8 @@ multi-output tools) and adds only narrow projections and filters, so a chain
 of them collapses into one whole-stage-codegen stage and filters reach the
 Parquet scan. Two read a bounded amount of data to the driver:
 ``dynamic_rename`` from a table (at most one row per existing column) and
-``find_replace`` in substring mode (at most ``inline_max + 1`` rules; larger
-rule tables switch to an exact substring join).
+``find_replace`` in substring mode (a rule table counted to at most
+``automaton_max`` rows; larger rule tables switch to an exact substring join).
 """
 
 from __future__ import annotations
@@ -251,6 +251,7 @@ def find_replace(
     mode: str = "whole",
     out: str | None = None,
     inline_max: int = 256,
+    automaton_max: int = 200_000,
 ) -> DataFrame:
     """Find/replace from a lookup table.
 
@@ -258,8 +259,10 @@ def find_replace(
     ``order_col`` when several share a find text); an equi-join, any size.
     ``substring``: the first rule (by ``order_col``) whose find text occurs in
     the value replaces every occurrence of it. Up to ``inline_max`` rules are
-    compiled into one expression (no shuffle); beyond that the value's
-    substrings of each rule length are joined to the rules, which is exact.
+    compiled into one expression (no shuffle); up to ``automaton_max`` rules
+    (counted) run an Aho-Corasick automaton per task in ``mapInPandas``
+    (linear in the text length); beyond that the value's substrings of each
+    rule length are joined to the rules, which is exact for any rule count.
     """
     out = out or column
     rule = rules.select(
@@ -282,7 +285,9 @@ def find_replace(
             rep = F.replace(v, F.lit(r["__find"]), F.lit(r["__repl"]))
             expr = (F.when if expr is None else expr.when)(cond, rep)
         return df.withColumn(out, v if expr is None else expr.otherwise(v))
-    # Large rule table: exact substring join, once per distinct value.
+    if rule.limit(automaton_max + 1).count() <= automaton_max:
+        return _replace_automaton(df, column, rule, out)
+    # Very large rule table: exact substring join, once per distinct value.
     lengths = [r[0] for r in rule.select(F.length("__find")).distinct().collect()]  # at most the longest rule
     values = df.select(v.alias("__v")).filter(F.col("__v").isNotNull()).distinct()
     grams = values.select("__v", substrings(F.col("__v"), lengths).alias("__find")).distinct()
@@ -293,6 +298,42 @@ def find_replace(
     ).drop("__v", "__hit")
 
 
+def _replace_automaton(df: DataFrame, column: str, rule: DataFrame, out: str) -> DataFrame:
+    """Aho-Corasick find/replace inside ``mapInPandas`` (rules counted by the caller)."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    rows = [(r["__find"], r["__repl"], r["__ord"]) for r in rule.collect()]
+    fields = [StructField(f.name, StringType(), True) if f.name == out else f for f in df.schema.fields]
+    if out not in df.columns:
+        fields.append(StructField(out, StringType(), True))
+    schema = StructType(fields)
+
+    def run(batches):
+        import ahocorasick
+
+        auto = ahocorasick.Automaton()
+        for find, repl, order in rows:
+            best = auto.get(find, None)
+            if best is None or (order, find) < best[:2]:
+                auto.add_word(find, (order, find, repl))
+        auto.make_automaton()
+        for pdf in batches:
+            res = []
+            for value in pdf[column]:
+                if value is None or (isinstance(value, float) and value != value):
+                    res.append(None)
+                    continue
+                text = str(value)
+                hit = None
+                for _, found in auto.iter(text):
+                    if hit is None or found[:2] < hit[:2]:
+                        hit = found
+                res.append(text if hit is None else text.replace(hit[1], hit[2] if hit[2] is not None else ""))
+            yield pdf.assign(**{out: res})
+
+    return df.mapInPandas(run, schema)
+
+
 def substrings(text: Column, lengths: list[int]) -> Column:
     """Generator: every substring of ``text`` whose length is in ``lengths``.
 

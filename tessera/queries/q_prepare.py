@@ -291,7 +291,7 @@ hit AS (SELECT p_partkey, arg_min(r.find, r.ord) AS find, arg_min(r.repl, r.ord)
 SELECT part.p_partkey, CASE WHEN hit.find IS NULL THEN p_name ELSE replace(p_name, hit.find, hit.repl) END AS p_name
 FROM part LEFT JOIN hit ON part.p_partkey = hit.p_partkey""")
 def p20j(spark, d):
-    # same rules through the large-rule-table path (substring join), forced by inline_max=0
+    # same rules through the large-rule-table path (automaton per task), forced by inline_max=0
     p = table(spark, d, "part").select("p_partkey", "p_name")
     return P.find_replace(p, "p_name", _name_rules(spark), "find", "repl", "ord", mode="substring", inline_max=0)
 

@@ -159,3 +159,13 @@ def test_classify_many_rules_matches_inline(spark):
     a = XP.classify(conv, "rid", "text", small, "kw", "cat", "p", match="substring", default="u")
     b = XP.classify(conv, "rid", "text", big, "kw", "cat", "p", match="substring", default="u")
     assert sorted((r.rid, r.category) for r in a.collect()) == sorted((r.rid, r.category) for r in b.collect())
+
+
+def test_find_replace_three_paths_agree(spark):
+    p = table(spark, SF_SMALL, "part").select("p_partkey", "p_name")
+    rules = spark.createDataFrame([("ring", "RING", 1), ("red", "RED", 2), ("bolt", "BOLT", 3), ("e", "E", 4)],
+                                  "find string, repl string, ord int")
+    paths = [dict(), dict(inline_max=0), dict(inline_max=0, automaton_max=0)]
+    got = [sorted(map(tuple, P.find_replace(p, "p_name", rules, "find", "repl", "ord", mode="substring", **kw)
+                      .collect())) for kw in paths]
+    assert got[0] == got[1] == got[2]
