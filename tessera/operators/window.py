@@ -97,11 +97,12 @@ def with_block(df: DataFrame, k: Column, splits: list[float], null_block: int, n
     splits (cluster-sized block counts) use ML's ``Bucketizer``, a JVM-side
     binary search whose code size does not grow with the split count.
     """
+    # the key is computed once into a column; the search then reads that column
+    keyed = df.withColumn("__bkey", k)
     if len(splits) <= CASE_MAX_SPLITS:
-        return df.withColumn(name, _bucket(k, splits, null_block, nan_block))
+        return keyed.withColumn(name, _bucket(F.col("__bkey"), splits, null_block, nan_block)).drop("__bkey")
     from pyspark.ml.feature import Bucketizer
 
-    keyed = df.withColumn("__bkey", k)
     b = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="__bkey", outputCol="__braw",
                    handleInvalid="keep").transform(keyed)
     blk = (F.when(F.col("__bkey").isNull(), F.lit(null_block)).when(F.isnan("__bkey"), F.lit(nan_block))
