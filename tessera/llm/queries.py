@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.tables import table
 
@@ -32,3 +33,50 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_decode(docs, path, public_tokenizers.PATTERN, ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+OP3_SQL = """
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[p:p + least(len(ws), 10) - 1], ' ') AS win
+       FROM (SELECT *, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS p FROM i WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT doc_id, n, p, array_to_string(ws[p:p + n - 1], ' ') AS win
+       FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS p FROM w, sizes WHERE len(ws) >= n)),
+hit AS (SELECT doc_id, dw.n, p, item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.win = iw.win),
+words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS k FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op3_decontaminate", OP3_SQL)
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 10 words in every document."""
+    from tessera.llm.op3_decontaminate import mark
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return mark(docs, items, window=10, keep_text=False).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("hit_items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the trees' verdict on every document."""
+    from tessera.llm.op8_quality import COUNTS, fit, judge
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = fit(docs, table(spark, sf_dir, "labels"))
+    return judge(docs, trees, keep_text=False).select("doc_id", *COUNTS, "base_failed", "kept", "score")

@@ -3,6 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.tables import table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the trees keep."""
+    from tessera.llm.op8_quality import fit, judge
+
+    judged = judge(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return judged.where("kept").select(docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages removed; documents of which they are more than 80 % go."""
+    from tessera.llm.op3_decontaminate import mark, remove_hits
+
+    marked = mark(docs, table(spark, sf_dir, "benchmark"))
+    return remove_hits(marked).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
