@@ -28,6 +28,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def _clean() -> None:
     for spark, path in _SCRATCH:
         try:
+            if "/" not in path:
+                spark.sql(f"DROP TABLE IF EXISTS {path}")
+                continue
             hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
         except Exception:  # noqa: BLE001 - the session may be gone; leftovers are only scratch
@@ -44,6 +47,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``key`` and read it back.
+
+    Grouping or joining it on ``key`` then needs no further shuffle of it.
+    """
+    spark = df.sparkSession
+    table = f"tessera_{name}_{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_clean)
+    _SCRATCH.append((spark, table))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("compression", "zstd").bucketBy(n, key).saveAsTable(table)
+    return spark.table(table)
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string or binary array; a null row is empty."""
     if isinstance(column, pa.ChunkedArray):

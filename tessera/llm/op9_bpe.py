@@ -3,9 +3,10 @@
 Documents are cut into pre-tokens. A *block* (a few MB of whole documents)
 keeps each document as positions into the block's own word list, so that the
 words, not the tokens of the corpus, go through the shuffle. The words of all
-blocks meet once: each distinct word is merged into ids once, its ids are
-joined with the token-byte table for decoding, and both are joined back to the
-blocks, where every document is put together again by position.
+blocks meet once: each distinct word is merged into ids once, and its ids go
+back to the blocks that hold it, where every document is put together again by
+position. For decoding, a block's ids are joined with the token-byte table (a
+vocabulary of fixed size, sent to every task).
 
 Null and empty texts have no tokens and decode to nothing. Repeated rows and
 any further columns (also ones named like the outputs, which the outputs then
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import chunks, materialize, without
+from tessera.llm.common import bucketed, chunks, without
 
 #: Text bytes of a block: bounds a task's memory; larger blocks repeat fewer words.
 BLOCK_BYTES = 24 << 20
@@ -92,8 +93,7 @@ def _packed(index: np.ndarray, counts: np.ndarray, rows: pa.RecordBatch) -> byte
     sink = io.BytesIO()
     with pa.ipc.new_stream(sink, rows.schema) as w:
         w.write_batch(rows)
-    planes = index.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-    parts = [np.asarray(counts, "<i8").tobytes(), planes, sink.getvalue()]
+    parts = [np.asarray(counts, "<i8").tobytes(), _planes(index), sink.getvalue()]
     head = np.array([len(p) for p in parts], "<i8").tobytes()
     return zstandard.ZstdCompressor(level=3).compress(head + b"".join(parts))
 
@@ -102,8 +102,7 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, pa.Table]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
     a, b, c = np.frombuffer(raw[:24], "<i8")
     counts = np.frombuffer(raw[24 : 24 + a], "<i8")
-    index = np.frombuffer(raw[24 + a : 24 + a + b], np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
-    return index, counts, pa.ipc.open_stream(raw[24 + a + b : 24 + a + b + c]).read_all()
+    return _values(raw[24 + a : 24 + a + b]), counts, pa.ipc.open_stream(raw[24 + a + b : 24 + a + b + c]).read_all()
 
 
 def word_blocks(docs: DataFrame, pattern: str, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -145,28 +144,71 @@ def word_blocks(docs: DataFrame, pattern: str, text: str = "text", block_bytes:
     return docs.mapInArrow(cut, schema)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _values(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
 def word_codes(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """Distinct ``word`` with its ``ids`` and, by a join with the token-byte table, its ``bytes``."""
-    spark = words.sparkSession
-    shared = spark.sparkContext.broadcast(ranks)  # a vocabulary file: about 50,000 entries
+    """Packed codes of each ``block``'s words, every distinct ``word`` encoded once.
+
+    A word comes from a block at most once, so even the commonest word brings
+    no more rows to its task than there are blocks; its rows follow each other.
+    """
+    shared = words.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary file: about 50,000 entries
+    schema = "block string, codes binary"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, last, ids = shared.value, None, []
+        waiting: dict[str, list[tuple[int, list[int]]]] = {}
+        held = 0
+
+        def done() -> pa.RecordBatch:
+            packed = []
+            for mine in waiting.values():
+                at = np.array([a for a, _ in mine])
+                order = np.argsort(at)
+                n = np.array([len(c) for _, c in mine])[order]
+                flat = np.array([i for k in order for i in mine[k][1]])
+                parts = [_planes(np.diff(at[order], prepend=0)), _planes(n), _planes(flat)]
+                packed.append(zstandard.compress(np.array([len(x) for x in parts], "<i8").tobytes() + b"".join(parts), 3))
+            return pa.RecordBatch.from_arrays([pa.array(list(waiting)), pa.array(packed, pa.binary())], names=["block", "codes"])
+
         for batch in batches:
-            ids = [merge_word(w.encode(), table) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
-
-    coded = materialize(words.select("word").distinct().mapInArrow(encode, "word string, ids array<int>"), "bpe-words")
-    items = [(i, b) for b, i in ranks.items()]
-    token_bytes = spark.createDataFrame(pa.table({"id": pa.array([i for i, _ in items], pa.int32()), "token": pa.array([b for _, b in items], pa.binary())}))
-    spelt = (
-        coded.select("word", F.posexplode("ids").alias("at", "id"))
-        .join(F.broadcast(token_bytes), "id")
-        .groupBy("word")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("parts"))
-        .select("word", F.aggregate("parts", F.lit(b""), lambda a, x: F.concat(a, x["token"])).alias("bytes"))
-    )
-    return coded.join(spelt, "word")
+            for block, at, word in zip(*(batch.column(c).to_pylist() for c in ("block", "at", "word"))):
+                if word != last:
+                    last, ids = word, merge_word(word.encode(), table)
+                waiting.setdefault(block, []).append((at, ids))
+            held += batch.num_rows
+            if held > 400_000:
+                yield done()
+                waiting, held = {}, 0
+        if waiting:
+            yield done()
+
+    return words.repartition("word").sortWithinPartitions("word").mapInArrow(encode, schema)
+
+
+def _codes(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a block's words and where each word's begin."""
+    at, n, flat = [], [], []
+    for blob in packed:
+        raw = zstandard.decompress(blob)
+        a, b, c = np.frombuffer(raw[:24], "<i8")
+        at.append(np.cumsum(_values(raw[24 : 24 + a]), dtype=np.int64))
+        n.append(_values(raw[24 + a : 24 + a + b]).astype(np.int64))
+        flat.append(_values(raw[24 + a + b : 24 + a + b + c]))
+    if not at:
+        return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+    at, n, flat = np.concatenate(at), np.concatenate(n), np.concatenate(flat)
+    begin = np.cumsum(n) - n
+    order = np.argsort(at)
+    n, begin = n[order], begin[order]
+    first = np.concatenate([[0], np.cumsum(n)])
+    return flat[np.arange(first[-1]) + np.repeat(begin - first[:-1], n)], first
 
 
 def encode_decode(
@@ -187,19 +229,19 @@ def encode_decode(
     kept = without(docs, *want).columns
     docs = docs.select(*[f"`{c}`" for c in dict.fromkeys([*kept, text])])
     kept = [c for c in kept if c != text]
-    blocks = materialize(word_blocks(docs, pattern, text, block_bytes), "bpe-blocks")
+    blocks = bucketed(word_blocks(docs, pattern, text, block_bytes), "bpe_blocks", "block_id")
     words = blocks.select(F.col("block_id").alias("block"), F.posexplode("words").alias("at", "word"))
-    codes = words.join(word_codes(words, ranks), "word").select("block", "at", "ids", "bytes")
+    codes = word_codes(words, ranks)
+    token_bytes = docs.sparkSession.sparkContext.broadcast({i: b for b, i in ranks.items()})
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(w, OUTPUTS[w]) for w in want])
     out = pa.schema([(f.name, _arrow(f.dataType)) for f in schema])
 
     def assemble(body: pa.Table, coded: pa.Table) -> pa.Table:
         index, counts, rows = _unpacked(body.column("body")[0].as_py())
-        order = np.argsort(coded.column("at").to_numpy())
-        coded = coded.take(pa.array(order))
-        ids_of, spelt_of = coded.column("ids").combine_chunks(), coded.column("bytes").combine_chunks()
-        ids, id_at = np.asarray(ids_of.flatten(), np.uint32), np.concatenate([[0], np.cumsum(ids_of.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-        spelt = spelt_of.to_pylist()
+        ids, id_at = _codes(coded.column("codes").to_pylist())
+        token = token_bytes.value
+        tokens = [token[i] for i in ids.tolist()]
+        spelt = [b"".join(tokens[a:b]) for a, b in zip(id_at[:-1].tolist(), id_at[1:].tolist())]
         ends = np.concatenate([[0], np.cumsum(counts)])
         made: dict[str, list] = {w: [] for w in want}
         for lo, hi in zip(ends[:-1], ends[1:]):
