@@ -11,6 +11,7 @@ from tessera.tables import table
 #: (name, function): each takes (spark, docs, sf_dir) and keeps the columns of documents, but for the last.
 STAGES = [
     ("quality rules", stages.quality),
+    ("n-gram Jaccard join", stages.near_duplicates),
     ("benchmark decontamination", stages.decontaminate),
     ("bpe", stages.bpe),
 ]

@@ -16,6 +16,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where("kept").select(docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
+    from tessera.llm.op10_ngram_join import keep_one
+
+    return keep_one(docs, n=5, percent=80)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages removed; documents of which they are more than 80 % go."""
     from tessera.llm.op3_decontaminate import mark, remove_hits
