@@ -12,6 +12,7 @@ from tessera.tables import table
 STAGES = [
     ("quality rules", stages.quality),
     ("n-gram Jaccard join", stages.near_duplicates),
+    ("suffix-array dedup", stages.suffix_dedup),
     ("benchmark decontamination", stages.decontaminate),
     ("bpe", stages.bpe),
 ]

@@ -102,3 +102,12 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.op10_ngram_join import groups
 
     return groups(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that start elsewhere too."""
+    from tessera.llm.op6_suffix_dedup import remove_repeats
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, 400, want=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
