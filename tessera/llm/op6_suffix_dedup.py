@@ -358,13 +358,17 @@ def repeated_spans(texts: DataFrame, length: int, block_contexts: int = BLOCK_CO
     return closed.unionByName(opened).groupBy("th").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
-OUTPUTS = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept": T.BinaryType(), "kept_sha256": T.StringType()}
+OUTPUTS = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept": T.BinaryType(), "kept_sha256": T.StringType(), "kept_text": T.StringType()}
 
 
 def remove_repeats(
     docs: DataFrame, length: int = 400, text: str = "text", want: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept"), block_contexts: int = BLOCK_CONTEXTS
 ) -> DataFrame:
-    """``docs`` without the text, with the wanted ones of ``OUTPUTS``: ``kept`` are the bytes that stay."""
+    """``docs`` without the text, with the wanted ones of ``OUTPUTS``.
+
+    ``kept`` are the bytes that stay; ``kept_text`` is the same as text, without
+    the halves of characters that a cut can leave (null for a null text).
+    """
     docs = without(docs, *want)
     texts = docs.where(F.octet_length(text) >= length).select(F.xxhash64(text).alias("th"), F.col(text).alias("text"))
     spans = repeated_spans(texts, length, block_contexts).select(F.col("th").alias("_th"), F.col("spans").alias("_spans"))
@@ -392,8 +396,12 @@ def remove_repeats(
                 made["n_removed"].append(b - a - len(kept))
                 made["n_spans"].append(len(merged))
                 made["kept"].append(kept)
+                if "kept_text" in want:
+                    made["kept_text"].append(kept.decode("utf-8", "ignore"))
                 if "kept_sha256" in want:
                     made["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+            if "kept_text" in want:
+                made["kept_text"] = [x if there else None for x, there in zip(made["kept_text"], part.column(text).is_valid().to_pylist())]
             values = [part.column(f.name) for f in plain] + [pa.array(made[w], out.field(w).type) for w in want]
             yield pa.RecordBatch.from_arrays([v.cast(f.type) for v, f in zip(values, out)], schema=out)
 

@@ -24,18 +24,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without strings of 400 bytes that start elsewhere too; a character cut in two goes as a whole.
-
-    A document of which nothing but white space is left goes; blank ones that
-    lost nothing stay.
-    """
+    """Texts without strings of 400 bytes that start elsewhere too; every document stays, if with less text."""
     from tessera.llm.op6_suffix_dedup import remove_repeats
 
-    columns = docs.columns
-    left = remove_repeats(docs, 400, want=("n_removed", "kept")).where((F.col("n_removed") == 0) | (F.length(F.trim(F.decode("kept", "UTF-8"))) > 0))
-    # a null text stays null; the decoder marks half characters, which only a cut can leave
-    text = F.when(F.col("n_removed") == 0, F.decode("kept", "UTF-8")).otherwise(F.regexp_replace(F.decode("kept", "UTF-8"), "\uFFFD", ""))
-    return left.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(columns)
+    left = remove_repeats(docs, 400, want=("kept_text",)).withColumnRenamed("kept_text", "text")
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
