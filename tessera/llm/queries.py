@@ -111,3 +111,41 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, 400, want=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
+@query("op1_sharding")
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in 16 shards of nearly equal bytes."""
+    from tessera.llm.op1_sharding import shard_by_bytes
+
+    return shard_by_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), 16)
+
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS n, sha1(html) AS hex FROM p),
+b AS (SELECT *, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31), 1) FOR i IN range(0, 32)], '') AS digest,
+      min(page_id) OVER (PARTITION BY hex) AS first FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
+"""
+
+
+@query("op5_warc", OP5_SQL)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back: responses with their payloads, revisits by their headers."""
+    from tessera.llm.op5_warc import read_archives, write_archives
+
+    folder = write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    responses = read_archives(spark, folder).where("warc_type = 'response'").withColumn("n", F.octet_length("payload").cast("long"))
+    revisits = read_archives(spark, folder, payload=False).where("warc_type = 'revisit'").withColumn("n", F.col("payload_length"))
+    page = lambda c: F.regexp_extract(c, "^<urn:page:(.*)>$", 1).cast("long")
+    return responses.unionByName(revisits).select(
+        page("record_id").alias("page_id"),
+        F.col("n").alias("payload_bytes"),
+        "payload_digest",
+        F.col("warc_type").alias("record_type"),
+        page("refers_to").alias("refers_to"),
+    )
