@@ -181,7 +181,9 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, p
     postings = signed.where("node IS NOT NULL").select("node", "n_tokens", F.explode("prefix").alias("token"))
     # partial aggregation meets exact copies and crowded tokens in the map tasks
     shared = postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token")
-    shared = materialize(postings.join(shared, "token").distinct(), "postings")
+    # written first: beneath a join of two plain exchanges Spark can split a token in very many rows
+    shared = materialize(postings.join(materialize(shared, "shared"), "token"), "postings").distinct()
+    shared = materialize(shared, "postings")
     crowd = shared.groupBy("token").agg(F.count("*").alias("df"), F.min(F.struct(F.xxhash64("node", "token").alias("h"), "node", "n_tokens")).alias("hub"))
     crowd = materialize(crowd, "tokens")
     nodes = shared.select("node").distinct()
@@ -196,7 +198,8 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, p
     known = components(links)
     placed = shared.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     apart = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    open_ = materialize(placed.join(apart, "token").join(crowd.select("token", "df"), "token"), "open-postings")
+    apart = materialize(apart.join(crowd.select("token", "df"), "token"), "apart")
+    open_ = materialize(placed.join(apart, "token"), "open-postings")
     alone = open_.where(F.col("df") <= rare)
     # combinations: the frequent tokens of a node's prefix, two at a time
     lists = open_.where(F.col("df") > rare).groupBy("node", "n_tokens", "comp").agg(F.array_sort(F.collect_list("token")).alias("ts"))
@@ -204,7 +207,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, p
     combos = lists.select("node", "n_tokens", "comp", F.explode(F.slice("ts", F.col("i") + 2, F.size("ts"))).alias("t2"), "t1")
     combos = combos.select("node", "n_tokens", "comp", F.struct("t1", "t2").alias("token"))
     mixed = combos.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    combos = combos.join(mixed, "token")
+    combos = materialize(materialize(combos, "combinations").join(materialize(mixed, "mixed"), "token"), "combinations")
     second = _pairs(alone, alone, "token", percent).union(_pairs(combos, combos, "token", percent)).distinct()
     rest = second.join(links, ["a", "b"], "left_anti")
     more = materialize(verify(rest, texts, n, percent), "links")

@@ -324,7 +324,9 @@ def repeated_spans(texts: DataFrame, length: int, block_contexts: int = BLOCK_CO
     """(th, spans): for each text hash of ``texts`` (th, text) the byte ranges that repeated windows cover."""
     rows = materialize(contexts(texts, length), "contexts")
     anchors = rows.groupBy("anchor").agg(F.count("*").alias("n"), F.min("span").alias("s0"), F.max("span").alias("s1")).where("n >= 2")
-    hits = materialize(rows.join(anchors.select("anchor", (F.col("s0") != F.col("s1")).alias("mixed")), "anchor"), "hits")
+    # written first: beneath a join of two plain exchanges Spark can split an anchor with very many contexts
+    anchors = materialize(anchors.select("anchor", (F.col("s0") != F.col("s1")).alias("mixed")), "anchors")
+    hits = materialize(rows.join(anchors, "anchor"), "hits")
     closed = hits.where("NOT mixed").select("th", F.col("a").alias("start"), (F.col("b") + length).alias("end")).distinct()
 
     mixed = hits.where("mixed")
@@ -353,6 +355,7 @@ def repeated_spans(texts: DataFrame, length: int, block_contexts: int = BLOCK_CO
     for v in verdicts[1:]:
         found = found.unionByName(v)
     found = found.select(F.col("anchor").alias("x"), F.col("span").alias("y"), F.explode("runs").alias("run"))
+    found = materialize(found, "verdicts")
     opened = mixed.join(found, (F.col("anchor") == F.col("x")) & (F.col("span") == F.col("y")))
     opened = opened.select("th", (F.col("p") + F.col("run.first")).alias("start"), (F.col("p") + F.col("run.last") + length).alias("end")).distinct()
     return closed.unionByName(opened).groupBy("th").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))

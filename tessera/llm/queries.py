@@ -149,3 +149,55 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("warc_type").alias("record_type"),
         page("refers_to").alias("refers_to"),
     )
+
+
+@query("op2_langid")
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text; learnt where crc32(doc_id) mod 5 is not 0."""
+    from tessera.llm.common import crc_mod
+    from tessera.llm.op2_langid import fit, predict
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod("doc_id", 5) == 0
+    model = fit(docs, ~held_out)
+    return predict(docs.select("doc_id", "text"), model, keep_text=False).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every whole text; labels are learnt where crc32(doc_id) mod 4 is not 2."""
+    from tessera.llm.common import crc_mod
+    from tessera.llm.op7_toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod("doc_id", 4) == 2
+    model = fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return score(docs, model, keep_text=False).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+OP4_SQL = """
+WITH t AS (SELECT conv_id, turn, CAST(floor(turn / 64) AS BIGINT) AS segment, replace(coalesce(role, 'unknown'), '<|', '< |') AS role,
+                  replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
+s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+p AS (SELECT t.conv_id, speaker, segment, turn, role, text, role = speaker AS own,
+        CASE WHEN role = speaker THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>' ELSE '<|user name=' || role || '|>' END || chr(10) AS head,
+        text || '<|end|>' || chr(10) AS body
+      FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, segment ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS stop FROM p)
+SELECT conv_id, speaker, segment, count(*) AS n_turns, CAST(sum(CAST(own AS INT)) AS BIGINT) AS n_spoken,
+       md5(string_agg(head || body, '' ORDER BY turn, role, text)) AS rendered_md5,
+       coalesce(string_agg(CASE WHEN own THEN CAST(stop - length(body) AS BIGINT) || '-' || CAST(stop AS BIGINT) END, ',' ORDER BY turn, role, text), '') AS masks
+FROM o GROUP BY conv_id, speaker, segment
+"""
+
+
+@query("op4_chat", OP4_SQL)
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from every participant's side, with the masks of that side's turns."""
+    from tessera.llm.op4_chat import rotate
+
+    ranges = F.transform("masks", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return rotate(turns).select(
+        "conv_id", "speaker", "segment", "n_turns", "n_spoken", F.md5(F.col("rendered").cast("binary")).alias("rendered_md5"), F.array_join(ranges, ",").alias("masks")
+    )
