@@ -1,19 +1,23 @@
 """N-gram Jaccard join with token-combination prefixes.
 
 A document's set holds its distinct word n-grams; equal sets are one *node*.
-For a similarity of t, all but ``n - ceil(t n)`` tokens of a node's set must be
-in a partner's. Its prefix, in one global order of the token hashes, is that
-number of tokens and two more: one more than a single-token index needs. With
-that extra token two partners share, inside both prefixes, a token of the rare
-class or two tokens of the frequent class (if they shared no rare one and at
-most one frequent one, too many of the prefix would be missing in the partner).
-So rare tokens are indexed alone and frequent ones as pairs.
-
-The join runs in two rounds. First every shared token links its nodes to one of
-them, which joins a crowd of near copies without looking at all pairs. Then
-only nodes of different components meet: through each rare token, and through
-each combination of two frequent tokens. All candidates are verified on their
-whole sets.
+For a similarity of t all but ``n - ceil(t n)`` = r tokens of a set are in a
+partner's. Tokens are in one global order, rare ones before frequent ones (by a
+bounded list of the commonest), each by hash. The frequent ones fall into
+classes, of which a larger set has more. The prefix ends as soon as its rare
+tokens and, for each class, all its tokens but one come to r + 1. If two
+partners shared no rare token of the prefix and at most one token of each
+class, r + 1 tokens would be missing; so they share a rare token or a pair of
+one class, and both are in the shorter of the two prefixes. Rare tokens are
+indexed alone and frequent ones as pairs of their class; the number of classes
+keeps the pairs in proportion to the set.
+
+The join runs in two rounds. First every signature links its nodes to one of
+them, which joins most of a crowd of near copies without looking at all pairs.
+Then nodes of different components meet through each signature that they share.
+There a bitmap of each set (the parities of hashed tokens, which differ in at
+most as many places as the sets do) refuses most pairs. All candidates that are
+left are verified on their whole sets.
 
 Tokens are 64-bit hashes, compared as such. Null and blank texts have the empty
 set, belong to no group and stay alone; a text with fewer words than ``n`` has
@@ -33,8 +37,12 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import chunks, materialize
 
-#: Tokens in more nodes than this are of the frequent class.
-RARE = 12
+#: Tokens in more documents than this can be frequent; so many of the commonest at most are.
+COMMON, COMMON_TOKENS = 64, 1 << 18
+#: Signatures of more nodes than this are met pair by pair behind the bitmaps.
+CROWD = 12
+#: Bits of a set's bitmap, as 64-bit words, and tokens of the frequent kind that a class is meant to have.
+WORDS, CLASS_TOKENS = 8, 8
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 
@@ -65,29 +73,94 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, n: int) -> Iterator[np.ndarra
             yield np.unique(_mix(token))
 
 
-def signatures(docs: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
-    """(doc, text_hash, n_tokens, node, prefix) of every row; node and prefix are null for the empty set."""
+def common_tokens(docs: DataFrame, text: str, n: int, common: int = COMMON, most: int = COMMON_TOKENS) -> np.ndarray:
+    """The commonest tokens, ``most`` at most, in ascending order.
+
+    Tokens are counted within blocks of documents; those found twice in a block
+    are summed over all blocks. Any set of tokens keeps the join exact; this one
+    keeps what many documents have in common out of the prefixes.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(held: list[np.ndarray]) -> pa.RecordBatch:
+            token, times = np.unique(np.concatenate(held), return_counts=True)
+            twice = times > 1
+            return pa.RecordBatch.from_arrays([pa.array(token[twice].view(np.int64)), pa.array(times[twice])], names=["token", "times"])
+
+        held, size = [], 0
+        for _, data, at in chunks(batches, "text", 1 << 20):
+            held += shingle_sets(data, at, n)
+            size += len(data)
+            if size >= 16 << 20:
+                yield done(held)
+                held, size = [], 0
+        if held:
+            yield done(held)
+
+    sums = docs.select(F.col(text).alias("text")).mapInArrow(count, "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
+    top = sums.where(F.col("times") > common).orderBy(F.desc("times"), "token").limit(most).select("token").toPandas()  # bounded by `most`
+    return np.sort(top["token"].to_numpy(np.int64).view(np.uint64))
+
+
+def signature(tokens: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+    """The rare tokens and the pairs of frequent ones that a set is indexed by."""
+    n = len(tokens)
+    spare = n - (percent * n + 99) // 100
+    place = np.searchsorted(common, tokens)
+    frequent = common[np.minimum(place, len(common) - 1)] == tokens if len(common) else np.zeros(n, bool)
+    rare, rest = tokens[~frequent], tokens[frequent]
+    if len(rare) > spare:
+        return rare[: spare + 1]
+    out = [rare]
+    # partners differ in size, at most by the similarity: both are indexed for the larger one's classes
+    for band in range(n.bit_length(), (100 * n // percent).bit_length() + 1):
+        classes = max(1, (1 << band) * (100 - percent) // (200 * CLASS_TOKENS))
+        of = (_mix(rest) % np.uint64(classes)).astype(np.int64)
+        order = np.argsort(of, kind="stable")
+        again = np.ones(len(rest), bool)  # all tokens of a class but its first count
+        again[order[np.flatnonzero(np.diff(of[order], prepend=-1))]] = False
+        end = np.searchsorted(np.cumsum(again), spare + 1 - len(rare)) + 1
+        of, used = of[:end], rest[:end]
+        for c in np.unique(of):
+            mine = used[of == c]
+            i, j = np.triu_indices(len(mine), 1)
+            out.append(_mix((mine[i] * _K + mine[j]) * _K + np.uint64(band)))
+    return np.unique(np.concatenate(out))
+
+
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """The parity of the tokens at each of the bitmap's places, as 64-bit words."""
+    odd = np.bincount((_mix(tokens + _K) % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) % 2
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def signatures(docs: DataFrame, key: str, text: str, n: int, percent: int, common: np.ndarray) -> DataFrame:
+    """(doc, text_hash, n_tokens, node, prefix, bits) of every row; the last three are null for the empty set."""
+    if not 50 < percent <= 100:
+        raise ValueError("the similarity must be above 50 and at most 100 percent")
     rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(common)  # at most COMMON_TOKENS hashes
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in chunks(batches, "text", 1 << 20):
-            size, node, prefix = [], [], []
+            size, node, prefix, bits = [], [], [], []
             for tokens in shingle_sets(data, at, n):
                 size.append(len(tokens))
                 if len(tokens) == 0:
-                    node.append(None), prefix.append(None)
+                    node.append(None), prefix.append(None), bits.append(None)
                     continue
-                least = (percent * len(tokens) + 99) // 100
-                prefix.append(tokens[: len(tokens) - least + 2].view(np.int64))
+                prefix.append(signature(tokens, shared.value, percent).view(np.int64))
+                bits.append(bitmap(tokens))
                 total = _mix(tokens ^ _K).sum(dtype=np.uint64) + np.uint64(len(tokens))
                 node.append(int(_mix(np.array([total], np.uint64)).view(np.int64)[0]))
+            longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc"), part.column("text_hash"), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
-                names=["doc", "text_hash", "n_tokens", "node", "prefix"],
+                [part.column("doc"), part.column("text_hash"), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(prefix, longs), pa.array(bits, longs)],
+                names=["doc", "text_hash", "n_tokens", "node", "prefix", "bits"],
             )
 
     kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"doc {kind}, text_hash long, n_tokens long, node long, prefix array<long>")
+    return rows.mapInArrow(sign, f"doc {kind}, text_hash long, n_tokens long, node long, prefix array<long>, bits array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -153,13 +226,19 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
         def tokens(raw: bytes) -> np.ndarray:
             return next(shingle_sets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), n))
 
-        last, mine = None, np.zeros(0, np.uint64)
+        seen: dict[int, np.ndarray] = {}
+
+        def of(node: int, packed: bytes) -> np.ndarray:
+            if node not in seen:
+                if sum(map(len, seen.values())) > 1 << 21:  # a crowd's nodes come again and again
+                    seen.clear()
+                seen[node] = tokens(unpack(packed))
+            return seen[node]
+
         for batch in batches:
             keep = []
-            for a, packed_a, packed_b in zip(batch.column("a").to_pylist(), batch.column("body_a").to_pylist(), batch.column("body_b").to_pylist()):
-                if a != last:
-                    last, mine = a, tokens(unpack(packed_a))
-                other = tokens(unpack(packed_b))
+            for a, b, packed_a, packed_b in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "body_a", "body_b"))):
+                mine, other = of(a, packed_a), of(b, packed_b)
                 same = len(np.intersect1d(mine, other, assume_unique=True))
                 keep.append(100 * same >= percent * (len(mine) + len(other) - same))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -167,58 +246,77 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
     return both.select("a", "b", "body_a", "body_b").mapInArrow(check, "a long, b long")
 
 
-def _pairs(left: DataFrame, right: DataFrame, on: str, percent: int) -> DataFrame:
-    """Distinct pairs of nodes in different components that share a value of ``on`` and fit in size."""
-    x = left.select(on, F.col("node").alias("a"), F.col("n_tokens").alias("n_a"), F.col("comp").alias("c_a"))
-    y = right.select(on, F.col("node").alias("b"), F.col("n_tokens").alias("n_b"), F.col("comp").alias("c_b"))
-    fits = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-    return x.join(y, on).where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & fits).select("a", "b")
+def _fits(n_a: str, n_b: str, percent: int):
+    """Whether sizes allow the similarity at all."""
+    return (F.col(n_a) * 100 >= F.col(n_b) * percent) & (F.col(n_b) * 100 >= F.col(n_a) * percent)
 
 
-def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, rare: int = RARE) -> tuple[DataFrame, DataFrame]:
+def _near(bits_a: str, bits_b: str, n_a: str, n_b: str, percent: int):
+    """Whether the bitmaps leave the similarity possible: sets that similar differ in few tokens."""
+    differ = sum((F.bit_count(F.col(bits_a)[i].bitwiseXOR(F.col(bits_b)[i])) for i in range(1, WORDS)), F.bit_count(F.col(bits_a)[0].bitwiseXOR(F.col(bits_b)[0])))
+    return differ * (100 + percent) <= (F.col(n_a) + F.col(n_b)) * (100 - percent)
+
+
+def _meet(members: DataFrame, percent: int, crowded: bool) -> DataFrame:
+    """Pairs of nodes in different components that share a signature.
+
+    In crowds the join itself asks the bitmaps, and takes a pair only at the
+    first signature that both have.
+    """
+    keep = ["node", "n_tokens", "comp", *(["bits", "tokens"] if crowded else [])]
+    x = members.select("token", *[F.col(c).alias(f"{c}_a") for c in keep])
+    y = members.select(F.col("token").alias("t"), *[F.col(c).alias(f"{c}_b") for c in keep])
+    on = (F.col("token") == F.col("t")) & (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & _fits("n_tokens_a", "n_tokens_b", percent)
+    if crowded:
+        on = on & _near("bits_a", "bits_b", "n_tokens_a", "n_tokens_b", percent) & (F.array_min(F.array_intersect("tokens_a", "tokens_b")) == F.col("token"))
+    return x.join(y, on).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
+def link(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, common: int = COMMON, crowd: int = CROWD
+) -> tuple[DataFrame, DataFrame]:
     """(signatures, components): rows with their node, and (node, comp) of linked nodes."""
-    signed = materialize(signatures(docs, key, text, n, percent), "signatures")
+    signed = materialize(signatures(docs, key, text, n, percent, common_tokens(docs, text, n, common)), "signatures")
     postings = signed.where("node IS NOT NULL").select("node", "n_tokens", F.explode("prefix").alias("token"))
-    # partial aggregation meets exact copies and crowded tokens in the map tasks
+    # partial aggregation meets exact copies and crowded signatures in the map tasks
     shared = postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token")
-    # written first: beneath a join of two plain exchanges Spark can split a token in very many rows
+    # written first: beneath a join of two plain exchanges Spark can split a signature in very many rows
     shared = materialize(postings.join(materialize(shared, "shared"), "token"), "postings").distinct()
     shared = materialize(shared, "postings")
-    crowd = shared.groupBy("token").agg(F.count("*").alias("df"), F.min(F.struct(F.xxhash64("node", "token").alias("h"), "node", "n_tokens")).alias("hub"))
-    crowd = materialize(crowd, "tokens")
-    nodes = shared.select("node").distinct()
-    reps = signed.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc", "text_hash")).alias("rep")).join(nodes, "node", "left_semi")
+    crowds = shared.groupBy("token").agg(F.count("*").alias("df"), F.min(F.struct(F.xxhash64("node", "token").alias("h"), "node", "n_tokens")).alias("hub"))
+    crowds = materialize(crowds, "tokens")
+    reps = signed.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc", "text_hash")).alias("rep"), F.first("n_tokens").alias("n_tokens"), F.first("bits").alias("bits"))
+    reps = materialize(reps.join(shared.select("node").distinct(), "node", "left_semi"), "nodes")
     texts = materialize(_candidate_texts(docs, reps, key, text), "candidate-texts")
 
-    spokes = shared.join(crowd.select("token", "hub"), "token").where("node <> hub.node")
-    fits = "n_tokens * 100 >= hub.n_tokens * {0} AND hub.n_tokens * 100 >= n_tokens * {0}".format(percent)
-    first = spokes.where(fits).select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
-    links = materialize(verify(first, texts, n, percent), "links")
+    def settled(pairs: DataFrame) -> DataFrame:
+        side = lambda c: reps.select(F.col("node").alias(c), F.col("n_tokens").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+        near = pairs.join(side("a"), "a").join(side("b"), "b").where(_near("bits_a", "bits_b", "n_a", "n_b", percent)).select("a", "b")
+        return materialize(verify(near, texts, n, percent), "links")
+
+    spokes = shared.select("token", "node", "n_tokens").join(crowds.select("token", "hub"), "token").where("node <> hub.node")
+    spokes = spokes.where(_fits("n_tokens", "hub.n_tokens", percent))
+    first = materialize(spokes.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct(), "pairs")
+    links = settled(first)
 
     known = components(links)
     placed = shared.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    apart = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    apart = materialize(apart.join(crowd.select("token", "df"), "token"), "apart")
-    open_ = materialize(placed.join(apart, "token"), "open-postings")
-    alone = open_.where(F.col("df") <= rare)
-    # combinations: the frequent tokens of a node's prefix, two at a time
-    lists = open_.where(F.col("df") > rare).groupBy("node", "n_tokens", "comp").agg(F.array_sort(F.collect_list("token")).alias("ts"))
-    lists = lists.select("*", F.posexplode("ts").alias("i", "t1"))
-    combos = lists.select("node", "n_tokens", "comp", F.explode(F.slice("ts", F.col("i") + 2, F.size("ts"))).alias("t2"), "t1")
-    combos = combos.select("node", "n_tokens", "comp", F.struct("t1", "t2").alias("token"))
-    mixed = combos.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    combos = materialize(materialize(combos, "combinations").join(materialize(mixed, "mixed"), "token"), "combinations")
-    second = _pairs(alone, alone, "token", percent).union(_pairs(combos, combos, "token", percent)).distinct()
-    rest = second.join(links, ["a", "b"], "left_anti")
-    more = materialize(verify(rest, texts, n, percent), "links")
+    placed = materialize(placed, "placed")
+    apart = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("df")).where("lo <> hi AND df > 2")
+    open_ = materialize(placed.join(materialize(apart.select("token", "df"), "apart"), "token"), "open-postings")
+    second = _meet(open_.where(F.col("df") <= crowd), percent, False)
+    lists = open_.where(F.col("df") > crowd).groupBy("node", "n_tokens", "comp").agg(F.collect_list("token").alias("tokens")).join(reps.select("node", "bits"), "node")
+    lists = materialize(lists.select("*", F.explode("tokens").alias("token")), "crowds")
+    second = second.unionByName(_meet(lists, percent, True)).distinct()
+    more = settled(second.join(first, ["a", "b"], "left_anti"))
     if not more.take(1):
         return signed, known
     return signed, components(links.union(more))
 
 
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, rare: int = RARE) -> DataFrame:
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, **limits) -> DataFrame:
     """(key, n_shingles, component_id) of every row of ``docs``."""
-    signed, known = link(docs, key, text, n, percent, rare)
+    signed, known = link(docs, key, text, n, percent, **limits)
     placed = signed.join(known, "node", "left").select("doc", "n_tokens", F.coalesce("comp", "node").alias("comp"))
     least = placed.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc").alias("smallest"))
     return placed.join(least, "comp", "left").select(
@@ -226,9 +324,9 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4,
     )
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, rare: int = RARE) -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, **limits) -> DataFrame:
     """``docs`` with one row of each group, that of the smallest key; rows with the empty set all stay."""
-    signed, known = link(docs, key, text, n, percent, rare)
+    signed, known = link(docs, key, text, n, percent, **limits)
     placed = signed.where("node IS NOT NULL").join(known, "node", "left").select("doc", "text_hash", F.coalesce("comp", "node").alias("comp"))
     counted = placed.groupBy("comp", "doc", "text_hash").agg(F.count("*").alias("copies"))
     chosen = counted.groupBy("comp").agg(F.min(F.struct("doc", "text_hash", "copies")).alias("c")).select("c.*")

@@ -1,9 +1,10 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
-from tessera.llm.op10_ngram_join import components, groups, keep_one
+from tessera.llm.op10_ngram_join import bitmap, components, groups, keep_one, signature
 from tests.conftest import SF_MID, SF_SMALL
 from tests.llm.sql import agrees
 
@@ -41,8 +42,8 @@ def near_copies(r, n_docs, edit):
     return out
 
 
-@pytest.mark.parametrize("n,percent,rare,edit", [(4, 85, 2, 3), (5, 80, 3, 4), (1, 60, 1, 6), (4, 85, 12, 2), (2, 70, 0, 9)])
-def test_against_brute_force(spark, n, percent, rare, edit):
+@pytest.mark.parametrize("n,percent,common,crowd,edit", [(4, 85, 2, 3, 3), (5, 80, 64, 12, 4), (1, 60, 1, 2, 6), (2, 70, 1, 0, 9), (4, 51, 1, 100, 5)])
+def test_against_brute_force(spark, n, percent, common, crowd, edit):
     r = random.Random(n * percent)
     texts = near_copies(r, 90, edit) + [None, "", " \n", "one", "ONE", "\x85 a", "tail\x1f"]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, node string")
@@ -50,9 +51,9 @@ def test_against_brute_force(spark, n, percent, rare, edit):
     least = {}
     for i, k in enumerate(roots):
         least.setdefault(k, i)
-    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in groups(docs, n=n, percent=percent, rare=rare).collect()}
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in groups(docs, n=n, percent=percent, common=common, crowd=crowd).collect()}
     assert got == {i: (sizes[i], least[roots[i]]) for i in range(len(texts))}
-    kept = keep_one(docs, n=n, percent=percent, rare=rare).collect()
+    kept = keep_one(docs, n=n, percent=percent, common=common, crowd=crowd).collect()
     assert sorted(x["doc_id"] for x in kept) == sorted(set(least.values()))
     assert all(texts[x["doc_id"]] == x["text"] for x in kept)
 
@@ -66,6 +67,24 @@ def test_null_and_repeated_keys(spark):
     assert sorted(x["text"] or "" for x in keep_one(docs).collect()) == ["", "a b c d e", "lonely", "other"]
 
 
+@pytest.mark.parametrize("percent", [51, 60, 80, 85, 97])
+def test_partners_share_a_signature(percent):
+    r = np.random.default_rng(percent)
+    universe = np.unique(r.integers(0, 1 << 63, 5000, dtype=np.uint64))
+    for size in (2, 3, 5, 9, 31, 64, 300, 1500):
+        for share in (0.0, 0.5, 1.0):
+            common = np.sort(r.choice(universe, int(share * len(universe)), replace=False))
+            x = np.sort(r.choice(universe, size, replace=False))
+            others = np.setdiff1d(universe, x)
+            for _ in range(20):
+                drop = r.integers(0, size)
+                y = np.sort(np.concatenate([r.choice(x, size - drop, replace=False), r.choice(others, r.integers(0, drop + 1), replace=False)]))
+                same = len(np.intersect1d(x, y))
+                if 100 * same >= percent * (len(x) + len(y) - same) and len(y) and not np.array_equal(x, y):
+                    assert len(np.intersect1d(signature(x, common, percent), signature(y, common, percent)))
+                    assert np.bitwise_count((bitmap(x) ^ bitmap(y)).view(np.uint64)).sum() <= len(x) + len(y) - 2 * same
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert groups(docs).count() == 0 and keep_one(docs).count() == 0
