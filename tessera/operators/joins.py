@@ -224,33 +224,47 @@ def hlookup(df: DataFrame, key: str, wide: DataFrame, header_values: list[str],
 
 # J10 ------------------------------------------------------------------------------------
 def asof_lookup(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, values, by=None,
-                tie_col: str | None = None, prefix: str = "", **kw) -> DataFrame:
+                tie_col: str | None = None, prefix: str = "", direction: str = "down", **kw) -> DataFrame:
     """Approximate lookup: values of the lookup row with the greatest key <= the row's key.
 
+    ``direction='up'`` takes the smallest key >= the row's key. Keys are
+    compared in the wider of the two types. A null key or ``by`` value finds
+    nothing, as in the equi-joins.
+
     Both sides are stacked and scanned in key order per ``by`` group,
     lookup rows first on equal keys; each data row takes the last lookup
     row seen (``last`` ignoring nulls). The scan is the blocked one from
     ``window.running``, so it neither needs a range join nor one task per
-    group. Among equal lookup keys the greatest ``tie_col`` wins.
+    group. Among equal lookup keys the greatest ``tie_col`` wins, in its own order.
     """
+    if direction not in ("down", "up"):
+        raise ValueError("direction is 'down' or 'up'")
     vals = [values] if isinstance(values, str) else list(values)
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
-    key_type = dict(df.dtypes)[key]
+    # the type that Spark itself compares the two keys in
+    both = df.select(F.col(key).alias("__k")).limit(0).union(lookup.select(F.col(lookup_key).alias("__k")).limit(0))
+    key_type = both.schema["__k"].dataType
+    tie_type = lookup.schema[tie_col].dataType if tie_col else "double"
     data = df.withColumns({"__k": F.col(key).cast(key_type), "__side": F.lit(1),
-                           "__tie": F.lit(None).cast("double"), "__v": F.lit(None)})
+                           "__tie": F.lit(None).cast(tie_type), "__v": F.lit(None)})
     struct = F.struct(*[F.col(v).alias(v) for v in vals])
     lk = lookup.select(
         *[F.col(b) for b in by],
         F.col(lookup_key).cast(key_type).alias("__k"),
         F.lit(0).alias("__side"),
-        (F.col(tie_col).cast("double") if tie_col else F.lit(None).cast("double")).alias("__tie"),
+        (F.col(tie_col) if tie_col else F.lit(None).cast("double")).alias("__tie"),
         struct.alias("__v"),
     ).filter(F.col("__k").isNotNull())
+    for b in by:
+        lk = lk.filter(F.col(b).isNotNull())
     data = data.withColumn("__v", F.lit(None).cast(lk.schema["__v"].dataType))
     stacked = data.unionByName(lk, allowMissingColumns=True)
-    scanned = running(stacked, ["__k", "__side", "__tie"], {"__hit": ("last", "__v")}, by, **kw)
+    # upwards the scan runs from the greatest key down; the greatest tie still comes last
+    order = ["__k", "__side", "__tie"] if direction == "down" else [("__k", False), "__side", "__tie"]
+    scanned = running(stacked, order, {"__hit": ("last", "__v")}, by, **kw)
     res = scanned.filter(F.col("__side") == 1)
-    return res.select(*df.columns, *[F.col(f"__hit.{v}").alias(prefix + v) for v in vals])
+    found = F.when(F.col("__k").isNotNull(), F.col("__hit"))
+    return res.select(*df.columns, *[found[v].alias(prefix + v) for v in vals])
 
 
 # J13 ------------------------------------------------------------------------------------

@@ -159,7 +159,13 @@ def cross_validate(df: DataFrame, target: str, task: str, features: list[str], a
 
     data = _prepare(df, target, vector_features)
     stages, _ = feature_pipeline(data, [f for f in features if f not in vector_features], vector_features)
-    est = _estimator(algorithm, task, {})
+    fitted = Pipeline(stages=stages).fit(data)  # the feature stages do not depend on the fold or the grid
+    ready = fitted.transform(data)
+    n_feat, n_classes = None, 2
+    if algorithm == "mlp":  # its layers take their sizes from the data
+        n_feat = ready.schema["features"].metadata.get("ml_attr", {}).get("num_attrs") or ready.select("features").first()[0].size
+        n_classes = int(ready.agg(F.max("label")).first()[0]) + 1
+    est = _estimator(algorithm, task, {}, n_feat, n_classes)
     builder = ParamGridBuilder()
     for p, values in grid.items():
         builder = builder.addGrid(est.getParam(p), values)
@@ -167,9 +173,9 @@ def cross_validate(df: DataFrame, target: str, task: str, features: list[str], a
     ev = {"BINARY_CLASSIFICATION": BinaryClassificationEvaluator(labelCol="label"),
           "MULTICLASS": MulticlassClassificationEvaluator(labelCol="label"),
           "REGRESSION": RegressionEvaluator(labelCol="label")}[task]
-    cv = CrossValidator(estimator=Pipeline(stages=stages + [est]), estimatorParamMaps=maps, evaluator=ev,
-                        numFolds=folds, seed=7)
-    model = cv.fit(data)
+    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, seed=7)
+    model = cv.fit(ready)
+    model.bestModel = PipelineModel([*fitted.stages, model.bestModel])
     rows = [({p.name: v for p, v in m.items()}, float(a), float(s))
             for m, a, s in zip(maps, model.avgMetrics, model.stdMetrics)]
     return model, rows
@@ -193,10 +199,12 @@ def binary_metrics(df: DataFrame, score_col: str, label_col: str, threshold: flo
     desc = running(asc, [("s", False)], {"tp": ("sum", "pos"), "fp": ("sum", "neg")})
     tot = lv.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     j = with_scalars(desc, tot)
-    auc_terms = F.col("pos") * (F.col("neg_le") - F.col("neg")) + 0.5 * F.col("pos") * F.col("neg")
+    # in double: products of counts outgrow a long
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    auc_terms = pos * (F.col("neg_le") - F.col("neg")) + 0.5 * pos * neg
     prec = F.col("tp") / (F.col("tp") + F.col("fp"))
     ap_terms = F.col("pos") / F.col("P") * prec
-    curve = j.agg((F.sum(auc_terms) / (F.first("P") * F.first("N"))).alias("auc"),
+    curve = j.agg((F.sum(auc_terms) / (F.first("P").cast("double") * F.first("N"))).alias("auc"),
                   F.sum(ap_terms).alias("average_precision"))
     p = F.least(F.greatest(F.col(score_col).cast("double"), F.lit(eps)), F.lit(1 - eps))
     y = F.col(label_col).cast("double")

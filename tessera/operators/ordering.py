@@ -38,14 +38,16 @@ def top_k_per_group(df: DataFrame, by, order_by, k: int, out: str | None = None)
     return res if out else res.drop("__rn")
 
 
-def sample_fraction(df: DataFrame, fraction: float, key_columns, seed: int = 42, buckets: int = 1_000_000) -> DataFrame:
-    """Repeatable random sample: a row is kept when its key hashes below the fraction.
+def sample_fraction(df: DataFrame, fraction: float, key_columns, seed: int = 42) -> DataFrame:
+    """Repeatable random sample: a row is kept when its key's 64-bit hash is below the fraction.
 
     Same rows for the same seed on any cluster size (no dependence on partitioning).
     """
+    if fraction >= 1:
+        return df
     cols = [key_columns] if isinstance(key_columns, str) else list(key_columns)
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.lit(seed)), F.lit(buckets))
-    return df.filter(h < F.lit(int(round(fraction * buckets))))
+    h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
+    return df.filter(h < F.lit(int(fraction * 2.0**64) - 2**63))
 
 
 def sample_first(df: DataFrame, n: int, order_by) -> DataFrame:

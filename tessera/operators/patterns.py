@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from .prepare import substrings
+from .prepare import first_rule
 
 # Default normalisation rules (pattern, replacement), applied in order.
 DEFAULT_RULES = [
@@ -65,77 +64,37 @@ def lineage_summary(edges: DataFrame) -> DataFrame:
 
 
 INLINE_RULES = 128  # larger CASE chains outgrow the generated-method size limit
-AUTOMATON_RULES = 200_000  # rule tables up to this size travel to the tasks; larger ones are joined
 
 
 def classify(df: DataFrame, id_col: str, text_col: str, rules: DataFrame, keyword: str, category: str,
-             priority: str, out: str = "category", match: str = "word", default=None) -> DataFrame:
-    """The category of the highest-priority (smallest number) rule that matches.
+             priority: str, out: str = "category", match: str = "word", default=None, inline_max: int = INLINE_RULES) -> DataFrame:
+    """The category of the highest-priority (smallest number, then keyword) rule that matches.
 
     ``match='word'``: a rule matches when its keyword equals a lower-cased
     word of the text; words are exploded and joined to the rules on the
     keyword, then the smallest priority per record wins (a partial
-    aggregation). ``match='substring'``: up to ``INLINE_RULES`` rules compile
-    to one chained expression; up to ``AUTOMATON_RULES`` rules run an
-    Aho-Corasick automaton per task (``mapInPandas``); beyond that the text's
-    substrings of each rule length are joined to the rules (exact, slower).
+    aggregation). ``match='substring'``: up to ``inline_max`` rules compile to
+    one chained expression; beyond that the substrings of each distinct text,
+    of each rule length, are joined to the rules. Both compare lower-cased text,
+    skip rules without a keyword and give the category as text.
     """
+    r = rules.select(F.lower(F.col(keyword).cast("string")).alias("__kw"), F.col(category).cast("string").alias("__cat"), F.col(priority).alias("__p"))
+    r = r.where(F.length("__kw") > 0)
+    fallback = F.lit(default).cast("string")
     if match == "word":
-        r = rules.select(F.lower(F.col(keyword)).alias("__kw"), F.col(category).alias("__cat"), F.col(priority).alias("__p"))
         words = df.select(F.col(id_col).alias("__id"),
                           F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"\p{L}+"), 0)).alias("__kw")).distinct()
-        best = words.join(r, "__kw").groupBy("__id").agg(F.min_by("__cat", F.struct("__p", "__kw")).alias(out))
+        best = words.join(r, "__kw").groupBy("__id").agg(F.min_by("__cat", F.struct("__p", "__kw", "__cat")).alias(out))
         res = df.join(best, df[id_col] == best["__id"], "left").drop("__id")
-        return res.withColumn(out, F.coalesce(F.col(out), F.lit(default))) if default is not None else res
-    rows = rules.orderBy(priority, keyword).limit(INLINE_RULES + 1).collect()
-    if len(rows) <= INLINE_RULES:
+        return res.withColumn(out, F.coalesce(F.col(out), fallback))
+    rows = r.orderBy("__p", "__kw", "__cat").limit(inline_max + 1).collect()
+    text = F.lower(F.col(text_col).cast("string"))
+    if len(rows) <= inline_max:
         expr = None
-        for r in rows:
-            cond = F.instr(F.lower(F.col(text_col)), r[keyword].lower()) > 0
-            expr = (F.when if expr is None else expr.when)(cond, F.lit(r[category]))
-        expr = F.lit(default) if expr is None else expr.otherwise(F.lit(default))
-        return df.withColumn(out, expr)
-    n_rules = rules.limit(AUTOMATON_RULES + 1).count()
-    if n_rules <= AUTOMATON_RULES:
-        return _classify_automaton(df, text_col, rules, keyword, category, priority, out, default)
-    # very many rules: exact substring join on the rule text, best priority per record
-    r = rules.select(F.lower(F.col(keyword)).alias("__kw"), F.col(category).alias("__cat"), F.col(priority).alias("__p"))
-    lengths = [x[0] for x in r.select(F.length("__kw")).distinct().collect()]  # at most the longest rule
-    grams = df.select(F.col(id_col).alias("__id"), substrings(F.lower(F.col(text_col)), lengths).alias("__kw")).distinct()
-    best = grams.join(r, "__kw").groupBy("__id").agg(F.min_by("__cat", F.struct("__p", "__kw")).alias(out))
-    res = df.join(best, df[id_col] == best["__id"], "left").drop("__id")
-    return res.withColumn(out, F.coalesce(F.col(out), F.lit(default))) if default is not None else res
-
-
-def _classify_automaton(df: DataFrame, text_col: str, rules: DataFrame, keyword: str, category: str,
-                        priority: str, out: str, default) -> DataFrame:
-    """Aho-Corasick over each text (linear in its length) inside ``mapInPandas``.
-
-    The rule table (counted: at most ``AUTOMATON_RULES`` rows) travels with the
-    function; each task builds the automaton once and streams its Arrow batches.
-    """
-    rows = [(str(r[0]).lower(), r[1], r[2]) for r in rules.select(keyword, category, priority).collect() if r[0]]
-    schema = StructType(list(df.schema.fields) + [StructField(out, StringType())])
-
-    def run(batches):
-        import ahocorasick
-
-        auto = ahocorasick.Automaton()
-        for kw, cat, prio in rows:
-            best = auto.get(kw, None)
-            if best is None or (prio, kw) < best[:2]:
-                auto.add_word(kw, (prio, kw, cat))
-        if rows:
-            auto.make_automaton()
-        for pdf in batches:
-            cats = []
-            for text in pdf[text_col]:
-                hit = None
-                if rows and isinstance(text, str):
-                    for _, found in auto.iter(text.lower()):
-                        if hit is None or found[:2] < hit[:2]:
-                            hit = found
-                cats.append(hit[2] if hit is not None else default)
-            yield pdf.assign(**{out: cats})
-
-    return df.mapInPandas(run, schema)
+        for row in rows:
+            cond = F.instr(text, row["__kw"]) > 0
+            expr = (F.when if expr is None else expr.when)(cond, F.lit(row["__cat"]))
+        return df.withColumn(out, fallback if expr is None else expr.otherwise(fallback))
+    best = first_rule(df.select(text.alias("__v")), r.select(F.col("__kw").alias("__find"), F.struct("__p", "__kw", "__cat").alias("__rule")))
+    res = df.withColumn("__d", F.md5(text.cast("binary"))).join(best, "__d", "left")
+    return res.withColumn(out, F.when(F.col("__rule").isNull(), fallback).otherwise(F.col("__rule.__cat"))).drop("__d", "__rule")

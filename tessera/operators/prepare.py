@@ -214,10 +214,15 @@ def remove_bad_type(df: DataFrame, columns, data_type: str, mode: str = "OR") ->
 
 # P18-P20 ---------------------------------------------------------------------
 def replace_values(df: DataFrame, column: str, mapping: dict, out: str | None = None, keep_unmatched: bool = True) -> DataFrame:
-    """Exact dictionary replacement (pandas replace, value formats, SWITCH)."""
-    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    hit = F.try_element_at(m, F.col(column))
-    val = F.coalesce(hit, F.col(column)) if keep_unmatched else hit
+    """Exact dictionary replacement (pandas replace, value formats, SWITCH); a value mapped to None becomes null."""
+    known = [k for k in mapping if k is not None]
+    hit = F.lit(None)
+    if known:
+        m = F.create_map(*[F.lit(x) for k in known for x in (k, mapping[k])])
+        hit = F.try_element_at(m, F.col(column))
+    val = hit
+    if keep_unmatched:  # a value mapped to null is a hit, too
+        val = F.when(F.col(column).isin(known), hit).otherwise(F.col(column)) if known else F.col(column)
     return df.withColumn(out or column, val)
 
 
@@ -251,32 +256,31 @@ def find_replace(
     mode: str = "whole",
     out: str | None = None,
     inline_max: int = 256,
-    automaton_max: int = 200_000,
 ) -> DataFrame:
     """Find/replace from a lookup table.
 
     ``whole``: a value equal to a rule's find text is replaced (first rule by
     ``order_col`` when several share a find text); an equi-join, any size.
-    ``substring``: the first rule (by ``order_col``) whose find text occurs in
-    the value replaces every occurrence of it. Up to ``inline_max`` rules are
-    compiled into one expression (no shuffle); up to ``automaton_max`` rules
-    (counted) run an Aho-Corasick automaton per task in ``mapInPandas``
-    (linear in the text length); beyond that the value's substrings of each
-    rule length are joined to the rules, which is exact for any rule count.
+    ``substring``: the first rule (by ``order_col``, then find text) whose find
+    text occurs in the value replaces every occurrence of it. Up to
+    ``inline_max`` rules are compiled into one expression (no shuffle); beyond
+    that the substrings of each distinct value, of each rule length, are joined
+    to the rules, which is exact for any rule count. Both read the column as
+    text, skip rules without a find text and take a null replacement as empty.
     """
     out = out or column
     rule = rules.select(
         F.col(find_col).cast("string").alias("__find"),
-        F.col(replace_col).cast("string").alias("__repl"),
+        F.coalesce(F.col(replace_col).cast("string"), F.lit("")).alias("__repl"),
         F.col(order_col).alias("__ord"),
     ).filter(F.col("__find").isNotNull() & (F.length("__find") > 0))
     if mode == "whole":
-        best = rule.groupBy("__find").agg(F.min_by("__repl", "__ord").alias("__repl"))
+        best = rule.groupBy("__find").agg(F.min_by("__repl", F.struct("__ord", "__repl")).alias("__repl"))
         joined = df.join(best, F.col(column).cast("string") == F.col("__find"), "left")
-        return joined.withColumn(out, F.coalesce(F.col("__repl"), F.col(column))).drop("__find", "__repl")
+        return joined.withColumn(out, F.coalesce(F.col("__repl"), F.col(column).cast("string"))).drop("__find", "__repl")
     if mode != "substring":
         raise ValueError("mode is 'whole' or 'substring'")
-    small = rule.orderBy("__ord").limit(inline_max + 1).collect()
+    small = rule.orderBy("__ord", "__find", "__repl").limit(inline_max + 1).collect()
     v = F.col(column).cast("string")
     if len(small) <= inline_max:
         expr = None
@@ -285,53 +289,21 @@ def find_replace(
             rep = F.replace(v, F.lit(r["__find"]), F.lit(r["__repl"]))
             expr = (F.when if expr is None else expr.when)(cond, rep)
         return df.withColumn(out, v if expr is None else expr.otherwise(v))
-    if rule.limit(automaton_max + 1).count() <= automaton_max:
-        return _replace_automaton(df, column, rule, out)
-    # Very large rule table: exact substring join, once per distinct value.
-    lengths = [r[0] for r in rule.select(F.length("__find")).distinct().collect()]  # at most the longest rule
-    values = df.select(v.alias("__v")).filter(F.col("__v").isNotNull()).distinct()
-    grams = values.select("__v", substrings(F.col("__v"), lengths).alias("__find")).distinct()
-    first = grams.join(rule, "__find").groupBy("__v").agg(F.min_by(F.struct("__find", "__repl"), "__ord").alias("__hit"))
-    res = df.join(first, v == F.col("__v"), "left")
-    return res.withColumn(
-        out, F.when(F.col("__hit").isNull(), v).otherwise(F.replace(v, F.col("__hit.__find"), F.col("__hit.__repl")))
-    ).drop("__v", "__hit")
-
-
-def _replace_automaton(df: DataFrame, column: str, rule: DataFrame, out: str) -> DataFrame:
-    """Aho-Corasick find/replace inside ``mapInPandas`` (rules counted by the caller)."""
-    from pyspark.sql.types import StringType, StructField, StructType
-
-    rows = [(r["__find"], r["__repl"], r["__ord"]) for r in rule.collect()]
-    fields = [StructField(f.name, StringType(), True) if f.name == out else f for f in df.schema.fields]
-    if out not in df.columns:
-        fields.append(StructField(out, StringType(), True))
-    schema = StructType(fields)
-
-    def run(batches):
-        import ahocorasick
-
-        auto = ahocorasick.Automaton()
-        for find, repl, order in rows:
-            best = auto.get(find, None)
-            if best is None or (order, find) < best[:2]:
-                auto.add_word(find, (order, find, repl))
-        auto.make_automaton()
-        for pdf in batches:
-            res = []
-            for value in pdf[column]:
-                if value is None or (isinstance(value, float) and value != value):
-                    res.append(None)
-                    continue
-                text = str(value)
-                hit = None
-                for _, found in auto.iter(text):
-                    if hit is None or found[:2] < hit[:2]:
-                        hit = found
-                res.append(text if hit is None else text.replace(hit[1], hit[2] if hit[2] is not None else ""))
-            yield pdf.assign(**{out: res})
-
-    return df.mapInPandas(run, schema)
+    first = first_rule(df.select(v.alias("__v")), rule.select("__find", F.struct("__ord", "__find", "__repl").alias("__rule")))
+    # the text itself does not travel with its substrings: a digest stands for it
+    res = df.withColumn("__d", F.md5(v.cast("binary"))).join(first, "__d", "left")
+    hit = F.col("__rule")
+    return res.withColumn(out, F.when(hit.isNull(), v).otherwise(F.replace(v, hit["__find"], hit["__repl"]))).drop("__d", "__rule")
+
+
+def first_rule(texts: DataFrame, rules: DataFrame) -> DataFrame:
+    """(``__d``, ``__rule``): by the digest of each text ``__v``, the smallest ``__rule`` whose ``__find`` occurs in it."""
+    lengths = [r[0] for r in rules.select(F.length("__find")).distinct().collect()]  # at most the longest rule
+    if not lengths:
+        return texts.limit(0).select(F.lit("").alias("__d")).join(rules.limit(0).select("__rule"), F.lit(True))
+    values = texts.where("__v IS NOT NULL").distinct()
+    grams = values.select(F.md5(F.col("__v").cast("binary")).alias("__d"), substrings(F.col("__v"), lengths).alias("__find")).distinct()
+    return grams.join(rules, "__find").groupBy("__d").agg(F.min("__rule").alias("__rule"))
 
 
 def substrings(text: Column, lengths: list[int]) -> Column:
@@ -421,7 +393,7 @@ def cleanse(
                 x = F.lower(x)
             elif case == "title":
                 x = F.initcap(x)
-        elif null_numbers_to_zero and types[c] in ("int", "bigint", "double", "float", "smallint", "tinyint") or types[c].startswith("decimal"):
+        elif null_numbers_to_zero and (types[c] in ("int", "bigint", "double", "float", "smallint", "tinyint") or types[c].startswith("decimal")):
             x = F.coalesce(x, F.lit(0).cast(types[c]))
         exprs[c] = x
     return df.withColumns(exprs)
@@ -440,13 +412,14 @@ def dynamic_rename(
 ) -> DataFrame:
     """Rename by prefix/suffix, by a Python function of the name, or from a table.
 
-    With a table, only rows naming an existing column are read: at most one
-    row per column of ``df`` reaches the driver.
+    With a table, the smallest new name given for a column is taken: one row
+    for each column of ``df`` reaches the driver.
     """
     targets = _cols(columns) if columns is not None else df.columns
     mapping = {}
     if names is not None:
-        rows = names.filter(F.col(from_col).isin(targets)).select(from_col, to_col).limit(len(targets) * 2).collect()
+        named = names.filter(F.col(from_col).isin(targets) & F.col(to_col).isNotNull())
+        rows = named.groupBy(from_col).agg(F.min(to_col)).collect()
         mapping = {r[0]: r[1] for r in rows}
     new = []
     for c in df.columns:
@@ -509,14 +482,16 @@ def with_label(df: DataFrame, column: str, label: str | None = None, fmt: str |
 def generate_rows(df: DataFrame, name: str, init, stop, step=1, inclusive: bool = True) -> DataFrame:
     """One row per value of ``init, init+step, ...`` while ``<= stop`` (``< stop`` if not inclusive).
 
-    ``init``/``stop`` may be columns (per-row ranges). Dates step by days.
-    An empty range yields no rows for that input row.
+    A negative step goes down, while ``>= stop`` (``> stop``). ``init``/``stop``
+    may be columns (per-row ranges). Dates step by days. An empty range yields
+    no rows for that input row.
     """
     a, b, s = lit(init), lit(stop), lit(step)
-    if inclusive:
-        seq = F.when(a <= b, F.sequence(a, b, s))
-    else:
-        seq = F.when(a < b, F.filter(F.sequence(a, b, s), lambda x: x < b))
+    down = isinstance(step, (int, float)) and step < 0
+    there = (a >= b) if down else (a <= b)
+    seq = F.when(there, F.sequence(a, b, s))
+    if not inclusive:
+        seq = F.filter(seq, lambda x: (x > b) if down else (x < b))
     return df.withColumn(name, F.explode(seq))
 
 

@@ -152,9 +152,8 @@ def detect_meaning(df: DataFrame, column: str, meanings: dict[str, Column], samp
     ``sample_fraction`` keeps rows whose hash falls under it (repeatable).
     """
     src = df
-    if sample_fraction is not None:
-        h = F.pmod(F.xxhash64(F.col(column), F.lit(seed)), F.lit(1_000_000))
-        src = df.filter(h < int(sample_fraction * 1_000_000))
+    if sample_fraction is not None and sample_fraction < 1:
+        src = df.filter(F.xxhash64(F.col(column), F.lit(seed)) < F.lit(int(sample_fraction * 2.0**64) - 2**63))
     nn = F.col(column).isNotNull()
     wide = src.agg(F.count_if(nn).alias("__n"), *[F.count_if(p == F.lit(True)).alias(f"m{i}")
                                                    for i, p in enumerate(meanings.values())])

@@ -188,9 +188,11 @@ def bm25_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_i
     tf = materialize_if_costly(dt.groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf")))
     dl = tf.groupBy("__id").agg(F.sum("tf").alias("dl"))
     stats = dl.agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl"))
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    qt = tokens(queries, q_id, q_text).distinct().withColumnRenamed("__id", "__qid")
-    post = tf.join(dl, "__id").join(dfreq, "term")
+    qt = materialize_if_costly(tokens(queries, q_id, q_text).distinct().withColumnRenamed("__id", "__qid"))
+    # only postings of terms that some query has go on to the joins
+    hits = tf.join(qt.select("term").distinct(), "term", "left_semi")
+    dfreq = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    post = hits.join(dl, "__id").join(dfreq, "term")
     post = with_scalars(post, stats)
     idf = F.log(F.lit(1.0) + (F.col("N") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))

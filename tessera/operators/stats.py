@@ -148,7 +148,8 @@ def chi_square(df: DataFrame, a: str, b: str, by=None, p_value: bool = True) ->
     j = cells.join(rows, [*keys, a]).join(cols, [*keys, b]).join(tot, keys) if keys else \
         with_scalars(cells.join(rows, a).join(cols, b), tot)
     out = j.groupBy(*keys).agg(
-        (F.sum(F.col("o") * F.col("o") * F.col("n") / (F.col("ra") * F.col("cb"))) - F.first("n")).alias("chi2"),
+        # in double from the start: the product of three counts outgrows a long
+        (F.sum((F.col("o").cast("double") / F.col("ra")) * (F.col("o").cast("double") / F.col("cb"))) * F.first("n") - F.first("n")).alias("chi2"),
         ((F.first("r") - 1) * (F.first("c") - 1)).alias("df"),
     )
     if p_value:
@@ -231,14 +232,21 @@ def ttest_paired(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def anova_one_way(df: DataFrame, var: str, group: str) -> DataFrame:
-    """One-way ANOVA: SSB, SSW, F and degrees of freedom from group sums."""
+    """One-way ANOVA: SSB, SSW, F and degrees of freedom from each group's count, mean and central moment.
+
+    Central moments are merged by Spark's own variance aggregate, so a mean that
+    is large against the spread costs no digits.
+    """
     x = F.col(var).cast("double")
-    g = df.filter(x.isNotNull()).groupBy(group).agg(
-        F.count(x).alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("ss"))
-    t = g.agg(F.sum("n").alias("N"), F.sum("s").alias("S"), F.sum("ss").alias("SS"),
-              F.count(F.lit(1)).alias("k"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("A"))
-    ssb = F.col("A") - F.col("S") * F.col("S") / F.col("N")
-    ssw = F.col("SS") - F.col("A")
+    g = materialize_if_costly(df.filter(x.isNotNull()).groupBy(group).agg(
+        F.count(x).alias("n"), F.avg(x).alias("m"), F.var_pop(x).alias("v")))
+    # the grand mean relative to one group's: differences stay small
+    t = with_scalars(g, g.agg(F.min("m").alias("m0")))
+    d = F.col("m") - F.col("m0")
+    t = t.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"), F.sum(F.col("n") * F.col("v")).alias("W"),
+              F.sum(F.col("n") * d).alias("D"), F.sum(F.col("n") * d * d).alias("DD"))
+    ssb = F.col("DD") - F.col("D") * F.col("D") / F.col("N")
+    ssw = F.col("W")
     d1 = (F.col("k") - 1).cast("double")
     d2 = (F.col("N") - F.col("k")).cast("double")
     out = t.select(ssb.alias("ss_between"), ssw.alias("ss_within"), d1.alias("df_between"), d2.alias("df_within"),

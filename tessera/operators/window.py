@@ -12,9 +12,9 @@ Running calculations use a *blocked scan* instead of one window per group:
    back on (group, block); the big side is already partitioned on those keys.
 
 Ties in the order columns never straddle a block (the block key is a
-monotone function of the first order column), so ranks stay exact. With
-``blocks=1`` (or an order column that is not numeric, date or timestamp)
-the plain per-group window is used.
+monotone function of the first order column), so ranks stay exact. Text is
+cut by the bytes after its common beginning. The scan runs in blocks at every
+input size; ``blocks=1`` asks for the plain per-group window.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ def _order_cols(spec) -> list[Column]:
     return [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in spec]
 
 
-def _block_key(df: DataFrame, name: str, asc: bool) -> Column | None:
+def _block_key(df: DataFrame, name: str, asc: bool, skip: int = 0) -> Column | None:
     t = dict(df.dtypes)[name]
     c = F.col(name)
     if t in NUMERIC or t.startswith("decimal"):
@@ -61,11 +61,23 @@ def _block_key(df: DataFrame, name: str, asc: bool) -> Column | None:
              + F.hour(c) * 3600.0 + F.minute(c) * 60.0 + F.second(c))
     elif t == "date":
         k = F.unix_date(c).cast("double")
+    elif t == "string":
+        # six bytes after what all values begin with, as a number: monotone in the text
+        k = F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), skip + 1, 6)), 12, "0"), 16, 10).cast("double")
     else:
         return None
     return k if asc else -k
 
 
+def _common_prefix(df: DataFrame, name: str) -> int:
+    """Bytes that all values of a text column begin with (0 for other columns)."""
+    if dict(df.dtypes)[name] != "string":
+        return 0
+    row = df.agg(F.min(name).alias("lo"), F.max(name).alias("hi")).first()
+    lo, hi = (row["lo"] or "").encode(), (row["hi"] or "").encode()
+    return next((i for i, (x, y) in enumerate(zip(lo, hi)) if x != y), min(len(lo), len(hi)))
+
+
 CASE_MAX_SPLITS = 255  # a deeper CASE tree outgrows the 64 KB generated-method limit
 
 
@@ -114,17 +126,11 @@ def default_blocks(df: DataFrame) -> int:
     return max(1, min(16384, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-PLAIN_MAX_ROWS_CONF = "tessera.scan.plainMaxRows"
-DEFAULT_PLAIN_MAX_ROWS = 50_000
 # Logical operators whose output is costly to recompute (a shuffle or Python).
 _COSTLY = re.compile(r"\b(Join|Aggregate|Window|Sort|Expand|Generate|Deduplicate|Repartition\w*|"
                      r"\w*InPandas\w*|ArrowEvalPython|BatchEvalPython)\b")
 
 
-def plain_max_rows(spark) -> int:
-    return int(spark.conf.get(PLAIN_MAX_ROWS_CONF, str(DEFAULT_PLAIN_MAX_ROWS)))
-
-
 def materialize_if_costly(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` to the shared checkpoint folder when its plan shuffles or runs Python.
 
@@ -142,22 +148,19 @@ def materialize_if_costly(df: DataFrame) -> DataFrame:
 
 def block_splits(df: DataFrame, order_by, blocks: int, rel_err: float | None = None) -> list[float] | None:
     """Quantile split points of the block key (``blocks - 1`` numbers at most)."""
-    return _count_and_splits(df, order_by, blocks, rel_err)[1]
+    spec = _order_spec(order_by)
+    return _splits(df, _block_key(df, *spec[0], skip=_common_prefix(df, spec[0][0])), blocks, rel_err)
 
 
-def _count_and_splits(df: DataFrame, order_by, blocks: int, rel_err: float | None = None):
-    """Row count and quantile split points of the block key in one aggregate job."""
-    spec = _order_spec(order_by)
-    k = _block_key(df, *spec[0])
+def _splits(df: DataFrame, k: Column | None, blocks: int, rel_err: float | None = None) -> list[float] | None:
     if k is None or blocks <= 1:
-        return None, None
+        return None
     probs = [i / blocks for i in range(1, blocks)]
     err = rel_err if rel_err is not None else 1.0 / (4 * blocks)
     row = df.select(k.alias("__k")).agg(
-        F.count(F.lit(1)).alias("n"),
         F.percentile_approx("__k", probs, int(max(10_000, 1.0 / err))).alias("q")).first()
     qs = row["q"] or []
-    return int(row["n"]), sorted(set(q for q in qs if q is not None and q == q))
+    return sorted(set(q for q in qs if q is not None and q == q))
 
 
 def running(
@@ -183,18 +186,18 @@ def running(
         if kind not in KINDS:
             raise ValueError(f"unknown running kind {kind!r} for {name}")
     n_blocks = default_blocks(df) if blocks is None else blocks
-    if splits is None and n_blocks > 1:
-        # the input is read twice below (statistics, then data): compute it once
-        df = materialize_if_costly(df)
-        n, splits = _count_and_splits(df, order_by, n_blocks)
-        if blocks is None and n is not None and n <= plain_max_rows(df.sparkSession):
-            # small input: no group can be large, one window per group is cheapest
-            splits = None
-    elif splits:
+    skip = 0
+    if splits or n_blocks > 1:
+        # the input is read more than once below (statistics, then data): compute it once
         df = materialize_if_costly(df)
-    if not splits:
-        return _running_plain(df, spec, aggs, pk)
-    return _running_blocked(df, spec, aggs, pk, splits)
+        skip = _common_prefix(df, spec[0][0])
+    if splits is None and n_blocks > 1:
+        splits = _splits(df, _block_key(df, *spec[0], skip=skip), n_blocks)
+    res = _running_blocked(df, spec, aggs, pk, splits, skip) if splits else _running_plain(df, spec, aggs, pk)
+    # the same types whatever the number of blocks
+    sums = {n: df.select(F.sum(c).alias("s")).schema["s"].dataType for n, (k, c) in aggs.items() if k == "sum"}
+    counts = {n: "bigint" for n, (k, _) in aggs.items() if k in ("count", "row_number", "rank", "dense_rank", "group_count")}
+    return res.withColumns({n: F.col(n).cast(t) for n, t in (sums | counts).items()})
 
 
 def _running_plain(df, spec, aggs, pk):
@@ -219,9 +222,9 @@ def _running_plain(df, spec, aggs, pk):
     return df.withColumns(exprs)
 
 
-def _running_blocked(df, spec, aggs, pk, splits):
+def _running_blocked(df, spec, aggs, pk, splits, skip=0):
     first, asc = spec[0]
-    key = _block_key(df, first, asc)
+    key = _block_key(df, first, asc, skip)
     null_block = 0 if asc else len(splits)
     nan_block = len(splits) if asc else 0
     cols = df.columns
@@ -460,10 +463,10 @@ def linear_recurrence(df: DataFrame, order_by, a: str, b: str, out: str, partiti
     spec = _order_spec(order_by)
     n_blocks = default_blocks(df) if blocks is None else blocks
     first, asc = spec[0]
-    key = _block_key(df, first, asc)
-    if key is None:
-        raise ValueError("order column must be numeric, date or timestamp")
     df = materialize_if_costly(df)
+    key = _block_key(df, first, asc, _common_prefix(df, first))
+    if key is None:
+        raise ValueError("order column must be numeric, text, date or timestamp")
     splits = block_splits(df, order_by, n_blocks) or []
     blocked = with_block(df, key, splits, 0 if asc else len(splits), len(splits) if asc else 0)
     order_names = [c for c, _ in spec]

@@ -321,9 +321,11 @@ FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z]+')) AS tok FROM d
 GROUP BY doc_id""")
 def p21t(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    toks = P.regex_tokenize(docs, "text", "[A-Za-z]+", "tok")
-    return toks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"),
-                                      F.count_distinct(F.lower("tok")).alias("n_distinct"))
+    # counted from each row's own array: exploding to count per row would shuffle every token
+    toks = docs.select("doc_id", F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0).alias("toks"))
+    return toks.select("doc_id", F.size("toks").cast("bigint").alias("n_tokens"),
+                       F.size(F.array_distinct(F.transform("toks", F.lower))).cast("bigint").alias("n_distinct")
+                       ).where("n_tokens > 0")
 
 
 @register("p22_parse_date", """

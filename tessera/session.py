@@ -37,8 +37,6 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     )
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
-    if os.environ.get("TESSERA_PLAIN_MAX_ROWS"):
-        builder = builder.config("tessera.scan.plainMaxRows", os.environ["TESSERA_PLAIN_MAX_ROWS"])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -59,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -53,24 +53,20 @@ def test_no_cartesian_products(plans):
 
 
 def test_ordered_operators_not_single_partition(spark):
-    # above the small-input bound, ordered operators use the blocked scan: no global single-partition window
-    spark.conf.set("tessera.scan.plainMaxRows", "0")
-    try:
-        qs = entry.queries()
-        for n in ("p26_record_id", "w01_running_total_global", "j10_asof_global", "w04_row_number"):
-            lines = plan_of(qs[n](spark, SF_SMALL)).split("\n")
-            # every window is keyed by block (and group) ...
-            for ln in lines:
-                if "windowspecdefinition(" in ln:
-                    assert ln.split("windowspecdefinition(")[1].startswith(("__blk", "__g")), (n, ln)
-            # ... and the only single-partition step is the prefix over the per-block
-            # summary table (at most `blocks` rows), never the row data
-            for i, ln in enumerate(lines):
-                if "Exchange SinglePartition" in ln:
-                    above = [x for x in lines[:i] if "Window [" in x][-1]
-                    assert "(__n" in above or "(__s_" in above, (n, above)
-    finally:
-        spark.conf.unset("tessera.scan.plainMaxRows")
+    # ordered operators use the blocked scan: no global single-partition window
+    qs = entry.queries()
+    for n in ("p26_record_id", "w01_running_total_global", "j10_asof_global", "w04_row_number"):
+        lines = plan_of(qs[n](spark, SF_SMALL)).split("\n")
+        # every window is keyed by block (and group) ...
+        for ln in lines:
+            if "windowspecdefinition(" in ln:
+                assert ln.split("windowspecdefinition(")[1].startswith(("__blk", "__g")), (n, ln)
+        # ... and the only single-partition step is the prefix over the per-block
+        # summary table (at most `blocks` rows), never the row data
+        for i, ln in enumerate(lines):
+            if "Exchange SinglePartition" in ln:
+                above = [x for x in lines[:i] if "Window [" in x][-1]
+                assert "(__n" in above or "(__s_" in above, (n, above)
 
 
 def test_top_k_per_group_has_partial_limit(plans):
