@@ -102,16 +102,14 @@ def common_tokens(docs: DataFrame, text: str, n: int, common: int = COMMON, most
     return np.sort(top["token"].to_numpy(np.int64).view(np.uint64))
 
 
-def signature(tokens: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+def signature(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     """The rare tokens and the pairs of frequent ones that a set is indexed by."""
     n = len(tokens)
     spare = n - (percent * n + 99) // 100
-    place = np.searchsorted(common, tokens)
-    frequent = common[np.minimum(place, len(common) - 1)] == tokens if len(common) else np.zeros(n, bool)
-    rare, rest = tokens[~frequent], tokens[frequent]
+    rare = tokens[~frequent]
     if len(rare) > spare:
         return rare[: spare + 1]
-    out = [rare]
+    out, rest = [rare], tokens[frequent]
     # partners differ in size, at most by the similarity: both are indexed for the larger one's classes
     for band in range(n.bit_length(), (100 * n // percent).bit_length() + 1):
         classes = max(1, (1 << band) * (100 - percent) // (200 * CLASS_TOKENS))
@@ -128,14 +126,22 @@ def signature(tokens: np.ndarray, common: np.ndarray, percent: int) -> np.ndarra
     return np.unique(np.concatenate(out))
 
 
-def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """The parity of the tokens at each of the bitmap's places, as 64-bit words."""
-    odd = np.bincount((_mix(tokens + _K) % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) % 2
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+def bitmaps(tokens: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """For n sets (``row`` says whose a token is) the parity of the tokens at each place, as 64-bit words."""
+    wide = 64 * WORDS
+    place = (_mix(tokens + _K) % np.uint64(wide)).astype(np.int64)
+    odd = np.bincount(row * wide + place, minlength=n * wide).reshape(n, wide) % 2
+    return np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view(np.int64)
+
+
+def is_common(tokens: np.ndarray, common: np.ndarray) -> np.ndarray:
+    if not len(common):
+        return np.zeros(len(tokens), bool)
+    return common[np.minimum(np.searchsorted(common, tokens), len(common) - 1)] == tokens
 
 
 def signatures(docs: DataFrame, key: str, text: str, n: int, percent: int, common: np.ndarray) -> DataFrame:
-    """(doc, text_hash, n_tokens, node, prefix, bits) of every row; the last three are null for the empty set."""
+    """(doc, text_hash, n_tokens, node, prefix, bits) of every row; node and prefix are null for the empty set."""
     if not 50 < percent <= 100:
         raise ValueError("the similarity must be above 50 and at most 100 percent")
     rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
@@ -143,19 +149,18 @@ def signatures(docs: DataFrame, key: str, text: str, n: int, percent: int, commo
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in chunks(batches, "text", 1 << 20):
-            size, node, prefix, bits = [], [], [], []
-            for tokens in shingle_sets(data, at, n):
-                size.append(len(tokens))
-                if len(tokens) == 0:
-                    node.append(None), prefix.append(None), bits.append(None)
-                    continue
-                prefix.append(signature(tokens, shared.value, percent).view(np.int64))
-                bits.append(bitmap(tokens))
-                total = _mix(tokens ^ _K).sum(dtype=np.uint64) + np.uint64(len(tokens))
-                node.append(int(_mix(np.array([total], np.uint64)).view(np.int64)[0]))
+            sets = list(shingle_sets(data, at, n))
+            size = np.array([len(x) for x in sets])
+            every, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+            ends = np.cumsum(size)
+            frequent, bits = is_common(every, shared.value), bitmaps(every, row, len(sets))
+            total = np.concatenate([[np.uint64(0)], np.cumsum(_mix(every ^ _K), dtype=np.uint64)])
+            node = _mix(total[ends] - total[ends - size] + size.astype(np.uint64)).view(np.int64)
+            prefix = [signature(x, frequent[b - len(x) : b], percent).view(np.int64) if len(x) else None for x, b in zip(sets, ends)]
+            empty = size == 0
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc"), part.column("text_hash"), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(prefix, longs), pa.array(bits, longs)],
+                [part.column("doc"), part.column("text_hash"), pa.array(size), pa.array(node, mask=empty), pa.array(prefix, longs), pa.array(list(bits), longs)],
                 names=["doc", "text_hash", "n_tokens", "node", "prefix", "bits"],
             )
 
@@ -199,14 +204,13 @@ def _candidate_texts(docs: DataFrame, nodes: DataFrame, key: str, text: str) ->
         for part, data, at in chunks(batches, "text", 1 << 22):
             raw = data.tobytes()
             body = [pack(raw[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("text_hash"), pa.array(body, pa.binary())], names=["doc", "text_hash", "body"])
+            yield pa.RecordBatch.from_arrays([part.column("k"), pa.array(body, pa.binary())], names=["k", "body"])
 
-    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("doc"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
-    kind = rows.schema["doc"].dataType.simpleString()
-    small = rows.mapInArrow(squeeze, f"doc {kind}, text_hash long, body binary")
-    wanted = nodes.select("node", F.col("rep.doc").alias("d"), F.col("rep.text_hash").alias("h"))
-    found = small.join(wanted, (F.col("text_hash") == F.col("h")) & F.col("doc").eqNullSafe(F.col("d")))
-    return found.select("node", "body").dropDuplicates(["node"])
+    # the key of a row is one hash: what is distinct by it is already placed for the join
+    rows = docs.where(F.col(text).isNotNull()).select(F.xxhash64(F.col(key), F.xxhash64(text)).alias("k"), F.col(text).alias("text"))
+    small = rows.mapInArrow(squeeze, "k long, body binary").dropDuplicates(["k"])
+    wanted = nodes.select("node", F.xxhash64("rep.doc", "rep.text_hash").alias("of"))
+    return small.join(wanted, F.col("k") == F.col("of")).select("node", "body")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -257,18 +261,19 @@ def _near(bits_a: str, bits_b: str, n_a: str, n_b: str, percent: int):
     return differ * (100 + percent) <= (F.col(n_a) + F.col(n_b)) * (100 - percent)
 
 
-def _meet(members: DataFrame, percent: int, crowded: bool) -> DataFrame:
-    """Pairs of nodes in different components that share a signature.
+def _meet(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes in different components that share a crowded signature.
 
-    In crowds the join itself asks the bitmaps, and takes a pair only at the
-    first signature that both have.
+    The join itself asks the bitmaps. ``heads`` are a node's smallest crowded
+    signatures: where two nodes share any of them, only the smallest such brings
+    the pair, else each shared signature does.
     """
-    keep = ["node", "n_tokens", "comp", *(["bits", "tokens"] if crowded else [])]
+    keep = ["node", "n_tokens", "comp", "bits", "heads"]
     x = members.select("token", *[F.col(c).alias(f"{c}_a") for c in keep])
     y = members.select(F.col("token").alias("t"), *[F.col(c).alias(f"{c}_b") for c in keep])
     on = (F.col("token") == F.col("t")) & (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & _fits("n_tokens_a", "n_tokens_b", percent)
-    if crowded:
-        on = on & _near("bits_a", "bits_b", "n_tokens_a", "n_tokens_b", percent) & (F.array_min(F.array_intersect("tokens_a", "tokens_b")) == F.col("token"))
+    on = on & _near("bits_a", "bits_b", "n_tokens_a", "n_tokens_b", percent)
+    on = on & F.coalesce(F.array_min(F.array_intersect("heads_a", "heads_b")) == F.col("token"), F.lit(True))
     return x.join(y, on).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
@@ -277,38 +282,40 @@ def link(
 ) -> tuple[DataFrame, DataFrame]:
     """(signatures, components): rows with their node, and (node, comp) of linked nodes."""
     signed = materialize(signatures(docs, key, text, n, percent, common_tokens(docs, text, n, common)), "signatures")
-    postings = signed.where("node IS NOT NULL").select("node", "n_tokens", F.explode("prefix").alias("token"))
+    full = signed.where("node IS NOT NULL")
+    nodes = full.groupBy("node").agg(F.min(F.struct("doc", "text_hash")).alias("rep"), F.first("n_tokens").alias("n_tokens"), F.first("bits").alias("bits"))
+    nodes = materialize(nodes, "nodes")
+    postings = full.select("node", F.explode("prefix").alias("token"))
     # partial aggregation meets exact copies and crowded signatures in the map tasks
-    shared = postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token")
+    shared = postings.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").select("token")
     # written first: beneath a join of two plain exchanges Spark can split a signature in very many rows
     shared = materialize(postings.join(materialize(shared, "shared"), "token"), "postings").distinct()
-    shared = materialize(shared, "postings")
-    crowds = shared.groupBy("token").agg(F.count("*").alias("df"), F.min(F.struct(F.xxhash64("node", "token").alias("h"), "node", "n_tokens")).alias("hub"))
-    crowds = materialize(crowds, "tokens")
-    reps = signed.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc", "text_hash")).alias("rep"), F.first("n_tokens").alias("n_tokens"), F.first("bits").alias("bits"))
-    reps = materialize(reps.join(shared.select("node").distinct(), "node", "left_semi"), "nodes")
-    texts = materialize(_candidate_texts(docs, reps, key, text), "candidate-texts")
-
-    def settled(pairs: DataFrame) -> DataFrame:
-        side = lambda c: reps.select(F.col("node").alias(c), F.col("n_tokens").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
-        near = pairs.join(side("a"), "a").join(side("b"), "b").where(_near("bits_a", "bits_b", "n_a", "n_b", percent)).select("a", "b")
-        return materialize(verify(near, texts, n, percent), "links")
-
-    spokes = shared.select("token", "node", "n_tokens").join(crowds.select("token", "hub"), "token").where("node <> hub.node")
-    spokes = spokes.where(_fits("n_tokens", "hub.n_tokens", percent))
-    first = materialize(spokes.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct(), "pairs")
-    links = settled(first)
-
+    shared = materialize(shared.join(nodes.select("node", "n_tokens"), "node"), "postings")
+    tokens = shared.groupBy("token").agg(F.count("*").alias("df"), F.min(F.struct(F.xxhash64("node", "token").alias("h"), "node", "n_tokens")).alias("hub"))
+    tokens = materialize(tokens.where("df > 1"), "tokens")
+
+    few = shared.join(tokens.where(F.col("df") <= crowd).select("token"), "token")
+    x, y = few.select("token", F.col("node").alias("a"), F.col("n_tokens").alias("n_a")), few.select("token", F.col("node").alias("b"), F.col("n_tokens").alias("n_b"))
+    small = x.join(y, "token").where((F.col("a") < F.col("b")) & _fits("n_a", "n_b", percent)).select("a", "b")
+    crowded = materialize(shared.join(tokens.where(F.col("df") > crowd).select("token", "hub"), "token"), "crowds")
+    spokes = crowded.where((F.col("node") != F.col("hub.node")) & _fits("n_tokens", "hub.n_tokens", percent))
+    spokes = spokes.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("n_tokens").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    first = small.unionByName(spokes).distinct().join(side("a"), "a").join(side("b"), "b")
+    first = materialize(first.where(_near("bits_a", "bits_b", "n_a", "n_b", percent)).select("a", "b"), "pairs")
+
+    wanted = first.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowded.select("node")).distinct()
+    texts = materialize(_candidate_texts(docs, nodes.join(wanted, "node", "left_semi"), key, text), "candidate-texts")
+    links = materialize(verify(first, texts, n, percent), "links")
     known = components(links)
-    placed = shared.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    placed = materialize(placed, "placed")
-    apart = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("df")).where("lo <> hi AND df > 2")
-    open_ = materialize(placed.join(materialize(apart.select("token", "df"), "apart"), "token"), "open-postings")
-    second = _meet(open_.where(F.col("df") <= crowd), percent, False)
-    lists = open_.where(F.col("df") > crowd).groupBy("node", "n_tokens", "comp").agg(F.collect_list("token").alias("tokens")).join(reps.select("node", "bits"), "node")
-    lists = materialize(lists.select("*", F.explode("tokens").alias("token")), "crowds")
-    second = second.unionByName(_meet(lists, percent, True)).distinct()
-    more = settled(second.join(first, ["a", "b"], "left_anti"))
+
+    placed = materialize(crowded.select("token", "node").join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "placed")
+    apart = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
+    open_ = materialize(placed.join(materialize(apart, "apart"), "token"), "open-postings")
+    heads = open_.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, 16).alias("heads"))
+    members = open_.join(heads.join(nodes.select("node", "n_tokens", "bits"), "node"), "node")
+    second = _meet(materialize(members, "members"), percent).distinct().join(first, ["a", "b"], "left_anti")
+    more = materialize(verify(second, texts, n, percent), "links")
     if not more.take(1):
         return signed, known
     return signed, components(links.union(more))

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from tessera.llm.op10_ngram_join import bitmap, components, groups, keep_one, signature
+from tessera.llm.op10_ngram_join import bitmaps, components, groups, is_common, keep_one, signature
 from tests.conftest import SF_MID, SF_SMALL
 from tests.llm.sql import agrees
 
@@ -81,8 +81,8 @@ def test_partners_share_a_signature(percent):
                 y = np.sort(np.concatenate([r.choice(x, size - drop, replace=False), r.choice(others, r.integers(0, drop + 1), replace=False)]))
                 same = len(np.intersect1d(x, y))
                 if 100 * same >= percent * (len(x) + len(y) - same) and len(y) and not np.array_equal(x, y):
-                    assert len(np.intersect1d(signature(x, common, percent), signature(y, common, percent)))
-                    assert np.bitwise_count((bitmap(x) ^ bitmap(y)).view(np.uint64)).sum() <= len(x) + len(y) - 2 * same
+                    assert len(np.intersect1d(*(signature(v, is_common(v, common), percent) for v in (x, y))))
+                    assert np.bitwise_count(np.bitwise_xor(*bitmaps(np.concatenate([x, y]), np.repeat([0, 1], [len(x), len(y)]), 2)).view(np.uint64)).sum() <= len(x) + len(y) - 2 * same
 
 
 def test_empty_table(spark):
