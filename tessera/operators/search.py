@@ -28,6 +28,8 @@ from .common import with_scalars
 from .window import materialize_if_costly
 
 MAX_BLOCK_CELLS = 20_000_000  # query rows x document rows scored in one task
+# Vectors of one side in a task: 20,000 of 1,000 doubles are 160 MB.
+MAX_BLOCK_VECTORS = 20_000
 
 
 def l2_normalize(v) -> Column:
@@ -54,15 +56,16 @@ def _blocks(n_q: int, n_d: int, parallelism: int) -> tuple[int, int]:
     """Query and document block counts.
 
     Every (query block, document block) pair is one task scoring at most
-    ``MAX_BLOCK_CELLS`` pairs, so at least T = Q*D/cells tasks (and at least
+    ``MAX_BLOCK_CELLS`` pairs and holding about ``MAX_BLOCK_VECTORS`` vectors
+    of either side, so at least T = Q*D/cells tasks (and at least
     ``parallelism``) are needed. Queries are copied once per document block
     and documents once per query block; Q*Bd + D*Bq is smallest when
     Q*Bd = D*Bq, i.e. Bq = sqrt(T*Q/D), Bd = sqrt(T*D/Q).
     """
     n_q, n_d = max(1, n_q), max(1, n_d)
     tasks = max(parallelism, math.ceil(n_q * n_d / MAX_BLOCK_CELLS))
-    bq = max(1, min(n_q, round(math.sqrt(tasks * n_q / n_d))))
-    bd = max(1, min(n_d, math.ceil(tasks / bq)))
+    bq = max(math.ceil(n_q / MAX_BLOCK_VECTORS), min(n_q, round(math.sqrt(tasks * n_q / n_d))), 1)
+    bd = max(math.ceil(n_d / MAX_BLOCK_VECTORS), min(n_d, math.ceil(tasks / bq)), 1)
     # keep each task's score matrix bounded after rounding
     while math.ceil(n_q / bq) * math.ceil(n_d / bd) > MAX_BLOCK_CELLS and bd < n_d:
         bd += 1
@@ -211,7 +214,8 @@ def hybrid_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, q
     ``rrf_window`` documents; the ``k`` best fused documents are returned.
     """
     kw = bm25_search(queries, docs, q_id, q_text, d_id, d_text, k=rrf_window)
-    vec = similarity_search(queries, docs, q_id, q_vec, d_id, d_vec, k=rrf_window)
+    # a document or query without a vector still takes part by its words
+    vec = similarity_search(queries.where(F.col(q_vec).isNotNull()), docs.where(F.col(d_vec).isNotNull()), q_id, q_vec, d_id, d_vec, k=rrf_window)
     both = kw.select(q_id, d_id, "rank").unionByName(vec.select(q_id, d_id, "rank"))
     fused = both.groupBy(q_id, d_id).agg(F.sum(F.lit(1.0) / (F.lit(rrf_constant) + F.col("rank"))).alias("rrf_score"))
     w = Window.partitionBy(q_id).orderBy(F.desc(F.round("rrf_score", 9)), F.asc(d_id))

@@ -74,8 +74,8 @@ def v03(spark, d):
 
 _HYB = r"""
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-d AS (SELECT doc_id AS did, text, e.v FROM documents JOIN e ON doc_id = e.vec_id),
-q AS (SELECT item_id AS qid, text, e.v FROM benchmark JOIN e ON item_id = e.vec_id),
+d AS (SELECT doc_id AS did, text, e.v FROM documents LEFT JOIN e ON doc_id = e.vec_id),
+q AS (SELECT item_id AS qid, text, e.v FROM benchmark LEFT JOIN e ON item_id = e.vec_id),
 dt AS (SELECT did, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS term FROM d),
 tf AS (SELECT did, term, count(*) AS tf FROM dt GROUP BY 1, 2),
 dl AS (SELECT did, count(*) AS dl FROM dt GROUP BY 1),
@@ -85,7 +85,7 @@ qt AS (SELECT DISTINCT qid, term FROM (SELECT qid, unnest(regexp_extract_all(low
 sc AS (SELECT qid, tf.did, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))) AS score
        FROM qt JOIN tf ON qt.term = tf.term JOIN dl ON tf.did = dl.did JOIN dfq ON tf.term = dfq.term, st GROUP BY 1, 2),
 kw AS (SELECT qid, did, score, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, did) AS rank FROM sc),
-vs AS (SELECT q.qid, d.did, list_cosine_similarity(q.v, d.v) AS score FROM q, d),
+vs AS (SELECT q.qid, d.did, list_cosine_similarity(q.v, d.v) AS score FROM q, d WHERE q.v IS NOT NULL AND d.v IS NOT NULL),
 vr AS (SELECT qid, did, score, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, did) AS rank FROM vs)"""
 
 
@@ -111,9 +111,9 @@ def v04h(spark, d):
 
 def _hybrid_inputs(spark, d):
     e = _emb(spark, d).select("vec_id", "embedding")
-    docs = table(spark, d, "documents").join(e, F.col("doc_id") == F.col("vec_id")).select(
+    docs = table(spark, d, "documents").join(e, F.col("doc_id") == F.col("vec_id"), "left").select(
         F.col("doc_id").alias("did"), "text", "embedding")
-    q = table(spark, d, "benchmark").join(e, F.col("item_id") == F.col("vec_id")).select(
+    q = table(spark, d, "benchmark").join(e, F.col("item_id") == F.col("vec_id"), "left").select(
         F.col("item_id").alias("qid"), "text", "embedding")
     return q, docs
 
