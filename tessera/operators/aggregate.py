@@ -330,18 +330,18 @@ def exact_quantiles(df: DataFrame, var: str, probs: list[float], by=None, prefix
     g = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
     numbered = materialize_if_costly(numbered.withColumn("__g", g))
     counts = numbered.groupBy("__g").agg(F.max("__n").alias("__n"), *[F.first(F.col(k)).alias(k) for k in keys])
-    out = counts
-    for p in probs:
+    # all wanted positions meet the numbered rows in one join
+    at = [F.lit(1.0) + F.lit(float(p)) * (F.col("__n") - 1) for p in probs]
+    rows = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(x).cast("bigint"), F.ceil(x).cast("bigint")) for x in at])))
+    want = counts.select("__g", F.explode(rows).alias("__rn"))
+    found = want.join(numbered.select("__g", "__rn", "__v"), ["__g", "__rn"])
+    values = found.groupBy("__g").agg(F.map_from_entries(F.collect_list(F.struct("__rn", "__v"))).alias("__m"))  # two entries for each probability
+    out = counts.join(values, "__g", "left")
+    for p, x in zip(probs, at):
         name = f"{prefix}{int(round(p * 100)) if abs(p * 100 - round(p * 100)) < 1e-9 else p}"
-        pos = F.lit(1.0) + F.lit(float(p)) * (F.col("__n") - 1)
-        want = counts.select("__g", pos.alias("__pos"))
-        lo = want.select("__g", "__pos", F.floor("__pos").cast("bigint").alias("__rn"))
-        hi = want.select("__g", F.ceil("__pos").cast("bigint").alias("__rn"))
-        vlo = lo.join(numbered.select("__g", "__rn", F.col("__v").alias("__vlo")), ["__g", "__rn"]).drop("__rn")
-        vhi = hi.join(numbered.select("__g", "__rn", F.col("__v").alias("__vhi")), ["__g", "__rn"]).drop("__rn")
-        q = vlo.join(vhi, "__g").select(
-            "__g", (F.col("__vlo") + (F.col("__pos") - F.floor("__pos")) * (F.col("__vhi") - F.col("__vlo"))).alias(name))
-        out = out.join(q, "__g", "left")
+        lo, hi = F.try_element_at("__m", F.floor(x).cast("bigint")), F.try_element_at("__m", F.ceil(x).cast("bigint"))
+        out = out.withColumn(name, lo + (x - F.floor(x)) * (hi - lo))
+    out = out.drop("__m")
     return out.drop("__g", "__n")
 
 

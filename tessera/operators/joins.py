@@ -39,9 +39,16 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "LEFT") -> DataFrame:
     """
     how = HOWS.get(how.upper(), how)
     pairs = _pairs(on)
-    if all(lk == rk for lk, rk in pairs):
-        return left.join(right, [lk for lk, _ in pairs], how)
-    return left.join(right, condition(left, right, pairs), how)
+    same = all(lk == rk for lk, rk in pairs)
+    keys = [lk for lk, _ in pairs]
+    if how == "full":
+        # a full join cannot be split at a hot key; a left join and the right side's rest can
+        cond = keys if same else condition(left, right, pairs)
+        rest = right.join(left, cond, "left_anti")
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema if not (same and f.name in keys)]
+        own = [rest[k] for k in keys] if same else []
+        return left.join(right, cond, "left").union(rest.select(*own, *none, *[rest[c] for c in right.columns if not (same and c in keys)]))
+    return left.join(right, keys if same else condition(left, right, pairs), how)
 
 
 # J2 -------------------------------------------------------------------------------

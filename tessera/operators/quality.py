@@ -176,7 +176,9 @@ def reconcile(expected: DataFrame, produced: DataFrame, keys, compare=None) -> D
                         F.lit(True).alias("__e"))
     p = produced.select(*[F.col(k).alias(f"p_k__{k}") for k in keys], *[F.col(c).alias(f"p__{c}") for c in cols],
                         F.lit(True).alias("__p"))
-    j = e.join(p, reduce(lambda a, b: a & b, [F.col(f"e_k__{k}").eqNullSafe(F.col(f"p_k__{k}")) for k in keys]), "full")
+    # left join and the other side's rest: unlike a full join, both can be split at a hot key
+    on = reduce(lambda a, b: a & b, [F.col(f"e_k__{k}").eqNullSafe(F.col(f"p_k__{k}")) for k in keys])
+    j = e.join(p, on, "left").unionByName(p.join(e, on, "left_anti"), allowMissingColumns=True)
     diffs = F.filter(F.array(*[F.when(~F.col(f"e__{c}").eqNullSafe(F.col(f"p__{c}")), F.lit(c)) for c in cols]),
                      lambda x: x.isNotNull()) if cols else F.array().cast("array<string>")
     status = (F.when(F.col("__p").isNull(), "missing").when(F.col("__e").isNull(), "extra")

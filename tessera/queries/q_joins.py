@@ -177,6 +177,18 @@ def j10u(spark, d):
     return as_double(J.asof_lookup(p, "ts", v, "ts", ["view_id", "view_value"], by="user_id", tie_col="view_id"), "view_id")
 
 
+@register("j10_asof_up", """
+WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+     v AS (SELECT user_id, ts, max(event_id) AS view_id FROM events WHERE event_type = 'view' GROUP BY 1, 2)
+SELECT p.event_id, p.user_id, p.ts, CAST(v.view_id AS DOUBLE) AS view_id
+FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts <= v.ts""")
+def j10up(spark, d):
+    ev = table(spark, d, "events")
+    p = ev.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    v = ev.filter("event_type = 'view'").select("user_id", "ts", F.col("event_id").alias("view_id"))
+    return as_double(J.asof_lookup(p, "ts", v, "ts", "view_id", by="user_id", tie_col="view_id", direction="up"), "view_id")
+
+
 @register("j10_asof_global", """
 WITH p AS (SELECT event_id, ts FROM events WHERE event_type = 'purchase'),
      v AS (SELECT ts, event_id AS err_id FROM events WHERE event_type = 'error')

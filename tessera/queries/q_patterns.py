@@ -53,6 +53,21 @@ FROM edges GROUP BY dataset"""
 
 @register("x02_lineage", _LINEAGE_SQL)
 def x02(spark, d):
+    return X.lineage_summary(_order_edges(spark, d))
+
+
+@register("x02_lineage_edges", """
+SELECT 'customer_' || o_custkey AS dataset, 'order_step_' || o_orderkey AS step, 'consumer' AS role FROM orders
+UNION ALL SELECT 'order_' || o_orderkey, 'order_step_' || o_orderkey, 'producer' FROM orders
+UNION ALL SELECT 'order_' || l_orderkey, 'line_step_' || l_orderkey || '_' || l_linenumber, 'consumer' FROM lineitem
+UNION ALL SELECT 'part_' || l_partkey, 'line_step_' || l_orderkey || '_' || l_linenumber, 'consumer' FROM lineitem
+UNION ALL SELECT 'line_' || l_orderkey || '_' || l_linenumber, 'line_step_' || l_orderkey || '_' || l_linenumber, 'producer' FROM lineitem""")
+def x02e(spark, d):
+    # every producer and consumer of every dataset, as rows
+    return _order_edges(spark, d)
+
+
+def _order_edges(spark, d):
     o = table(spark, d, "orders").select(
         F.concat(F.lit("order_step_"), F.col("o_orderkey").cast("string")).alias("step"),
         F.array(F.concat(F.lit("customer_"), F.col("o_custkey").cast("string"))).alias("inputs"),
@@ -63,7 +78,7 @@ def x02(spark, d):
                 F.concat(F.lit("part_"), F.col("l_partkey").cast("string"))).alias("inputs"),
         F.array(F.concat(F.lit("line_"), F.col("l_orderkey").cast("string"), F.lit("_"),
                          F.col("l_linenumber").cast("string"))).alias("outputs"))
-    return X.lineage_summary(X.lineage_edges(o.unionByName(li), "step", "inputs", "outputs"))
+    return X.lineage_edges(o.unionByName(li), "step", "inputs", "outputs")
 
 
 _RULES = [("the", "en", 1), ("and", "en", 2), ("der", "de", 1), ("und", "de", 2), ("les", "fr", 1),

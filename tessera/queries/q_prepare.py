@@ -424,6 +424,20 @@ def p30(spark, d):
     return P.generate_rows(p, "i", F.lit(1).cast("bigint"), F.col("p_size"), F.lit(5).cast("bigint")).drop("p_size")
 
 
+@register("p30_generate_rows_down", """
+SELECT p_partkey, CAST(i AS BIGINT) AS i FROM part, LATERAL (SELECT unnest(range(p_size, 0, -4)) AS i)""")
+def p30d(spark, d):
+    p = table(spark, d, "part").select("p_partkey", F.col("p_size").cast("bigint").alias("p_size"))
+    return P.generate_rows(p, "i", F.col("p_size"), F.lit(1).cast("bigint"), -4).drop("p_size")
+
+
+@register("p33_make_struct", """
+SELECT p_partkey, p_brand || '/' || p_type AS label, p_size + 1 AS next_size FROM part""")
+def p33(spark, d):
+    s = P.make_struct(table(spark, d, "part"), "s", ["p_brand", "p_type", "p_size"])
+    return s.select("p_partkey", F.concat_ws("/", "s.p_brand", "s.p_type").alias("label"), (F.col("s.p_size") + 1).alias("next_size"))
+
+
 @register("p30_generate_rows_exclusive", """
 SELECT p_partkey, CAST(i AS BIGINT) AS i FROM part, LATERAL (SELECT unnest(range(0, p_size, 7)) AS i)""")
 def p30b(spark, d):

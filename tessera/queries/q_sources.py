@@ -149,3 +149,38 @@ def st02(spark, d):
 
     run_available(stream, steps, sink)
     return S.read(spark, sink)
+
+
+@register("s05_inline_table", """
+SELECT o_orderpriority, label, count(*) AS n FROM orders
+JOIN (VALUES ('1-URGENT', 'now'), ('2-HIGH', 'soon'), ('5-LOW', 'later')) AS t(code, label) ON o_orderpriority = code
+GROUP BY 1, 2""")
+def s05(spark, d):
+    labels = S.inline_table(spark, ["code", "label"], [("1-URGENT", "now"), ("2-HIGH", "soon"), ("5-LOW", "later")])
+    o = table(spark, d, "orders").select("o_orderpriority")
+    return o.join(labels, F.col("o_orderpriority") == F.col("code")).groupBy("o_orderpriority", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("ux2_vectorized", """
+SELECT p_partkey, length(p_name) + p_size AS score FROM part""")
+def ux2(spark, d):
+    from pyspark.sql.types import LongType
+
+    from ..plans import custom as UX
+
+    score = UX.vectorized(lambda name, size: name.str.len() + size, LongType())
+    return table(spark, d, "part").select("p_partkey", score("p_name", "p_size").alias("score"))
+
+
+@register("ux3_grouped_map", """
+SELECT n_regionkey, count(*) AS n, min(n_name) AS first_name FROM nation GROUP BY 1""")
+def ux3(spark, d):
+    import pandas as pd
+
+    from ..plans import custom as UX
+
+    def one(group):
+        return pd.DataFrame({"n_regionkey": [group["n_regionkey"].iloc[0]], "n": [len(group)], "first_name": [group["n_name"].min()]})
+
+    schema = f"n_regionkey {dict(table(spark, d, 'nation').dtypes)['n_regionkey']}, n long, first_name string"
+    return UX.grouped_map(table(spark, d, "nation").select("n_regionkey", "n_name"), "n_regionkey", one, schema)
