@@ -90,9 +90,7 @@ def write_archives(
     folder = folder or scratch_dir(spark, "warc")
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        pack = zstandard.ZstdCompressor(level=3).compress
+        pack = _packer(words).compress
         for part, data, at in chunks(batches, "payload", 1 << 22):
             raw = data.tobytes()
             each = [raw[a:b] for a, b in zip(at[:-1], at[1:])]
@@ -100,9 +98,7 @@ def write_archives(
             yield pa.RecordBatch.from_arrays([part.column("name"), part.column("url"), *columns], names=["name", "url", "digest", "n_bytes", "body"])
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        unpack = zstandard.ZstdDecompressor().decompress
+        unpack = _unpacker(words).decompress
         system, base = place(folder)
         system.create_dir(base, recursive=True)
         out, done, path, size, starts = None, [], "", 0, [0]
@@ -130,6 +126,8 @@ def write_archives(
 
     kind = pages.schema[key].dataType.simpleString()
     rows = pages.select(F.col(key).alias("name"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
+    # what pages have in common makes their way through the shuffle shorter; any sample does
+    words = _shared_words([r[0].encode() for r in rows.select(F.substring("payload", 1, 20_000)).limit(400).collect()])
     packed = rows.mapInArrow(squeeze, f"name {kind}, url string, digest string, n_bytes long, body binary")
     light = rows.mapInArrow(_digests, f"name {kind}, digest string, n_bytes long")
     least = light.groupBy("digest").agg(F.min("name").alias("first")).select(F.col("digest").alias("d"), "first")
@@ -142,6 +140,28 @@ def write_archives(
     return folder
 
 
+def _shared_words(sample: list[bytes]) -> bytes:
+    """A compression dictionary; empty where the sample is too small for one."""
+    import zstandard
+
+    try:
+        return zstandard.train_dictionary(112_640, sample).as_bytes()
+    except zstandard.ZstdError:
+        return b""
+
+
+def _packer(words: bytes):
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(words) if words else None)
+
+
+def _unpacker(words: bytes):
+    import zstandard
+
+    return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(words) if words else None)
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, data, at in chunks(batches, "payload", 1 << 22):
         raw = data.tobytes()
