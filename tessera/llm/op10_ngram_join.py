@@ -28,6 +28,7 @@ members; a group's id is its smallest non-null key. Further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,8 @@ from tessera.llm.common import chunks, materialize
 COMMON, COMMON_TOKENS = 64, 1 << 18
 #: Signatures of more nodes than this are met pair by pair behind the bitmaps.
 CROWD = 12
-#: Bits of a set's bitmap, as 64-bit words, and tokens of the frequent kind that a class is meant to have.
-WORDS, CLASS_TOKENS = 8, 8
+#: Sizes of a set's bitmap and of its folded form, as 64-bit words; tokens of the frequent kind that a class is meant to have.
+WORDS, FOLDED, CLASS_TOKENS = 32, 8, 8
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 
@@ -54,23 +55,39 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they first come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def shingle_sets(data: np.ndarray, at: np.ndarray, n: int) -> Iterator[np.ndarray]:
     """The sorted distinct token hashes of each text."""
     low = data.tobytes().lower()  # of bytes: A-Z only
-    vocabulary: dict[bytes, int] = {}
-    rows = [[vocabulary.setdefault(w, len(vocabulary)) for w in low[a:b].split()] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))
-    for ids in rows:
-        words = hashes[np.array(ids, np.int64)]
-        if len(words) == 0:
-            yield words
+    vocabulary, words, ends = _Numbers(), [], [0]
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        words += low[a:b].split()
+        ends.append(len(words))
+    ids = np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words))
+    every = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))[ids]
+
+    def grams(part: np.ndarray, size: int) -> np.ndarray:
+        token = np.full(len(part) - size + 1, np.uint64(size))
+        for k in range(size):
+            token = token * _K + part[k : len(part) - size + 1 + k]
+            token ^= token >> np.uint64(29)
+        return _mix(token)
+
+    tokens = grams(every, n) if len(every) >= n else None
+    for a, b in zip(ends[:-1], ends[1:]):
+        if a == b:
+            yield every[:0]
+        elif b - a < n:
+            yield grams(every[a:b], b - a)  # the whole sequence is the one token
         else:
-            size = min(n, len(words))
-            token = np.full(len(words) - size + 1, np.uint64(size))
-            for k in range(size):
-                token = token * _K + words[k : len(words) - size + 1 + k]
-                token ^= token >> np.uint64(29)
-            yield np.unique(_mix(token))
+            yield np.unique(tokens[a : b - n + 1])
 
 
 def common_tokens(docs: DataFrame, text: str, n: int, common: int = COMMON, most: int = COMMON_TOKENS) -> np.ndarray:
@@ -255,10 +272,16 @@ def _fits(n_a: str, n_b: str, percent: int):
     return (F.col(n_a) * 100 >= F.col(n_b) * percent) & (F.col(n_b) * 100 >= F.col(n_a) * percent)
 
 
-def _near(bits_a: str, bits_b: str, n_a: str, n_b: str, percent: int):
+def _near(bits_a: str, bits_b: str, n_a: str, n_b: str, percent: int, words: int = WORDS):
     """Whether the bitmaps leave the similarity possible: sets that similar differ in few tokens."""
-    differ = sum((F.bit_count(F.col(bits_a)[i].bitwiseXOR(F.col(bits_b)[i])) for i in range(1, WORDS)), F.bit_count(F.col(bits_a)[0].bitwiseXOR(F.col(bits_b)[0])))
-    return differ * (100 + percent) <= (F.col(n_a) + F.col(n_b)) * (100 - percent)
+    differ = [F.bit_count(F.col(bits_a)[i].bitwiseXOR(F.col(bits_b)[i])) for i in range(words)]
+    return sum(differ[1:], differ[0]) * (100 + percent) <= (F.col(n_a) + F.col(n_b)) * (100 - percent)
+
+
+def _folded(bits: str):
+    """The bitmap with its parts laid over each other: the parities of hashes modulo the smaller size."""
+    parts = [[F.col(bits)[i + k] for k in range(0, WORDS, FOLDED)] for i in range(FOLDED)]
+    return F.array(*[reduce(lambda x, y: x.bitwiseXOR(y), p) for p in parts])
 
 
 def _meet(members: DataFrame, percent: int) -> DataFrame:
@@ -272,7 +295,7 @@ def _meet(members: DataFrame, percent: int) -> DataFrame:
     x = members.select("token", *[F.col(c).alias(f"{c}_a") for c in keep])
     y = members.select(F.col("token").alias("t"), *[F.col(c).alias(f"{c}_b") for c in keep])
     on = (F.col("token") == F.col("t")) & (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & _fits("n_tokens_a", "n_tokens_b", percent)
-    on = on & _near("bits_a", "bits_b", "n_tokens_a", "n_tokens_b", percent)
+    on = on & _near("bits_a", "bits_b", "n_tokens_a", "n_tokens_b", percent, FOLDED)
     on = on & F.coalesce(F.array_min(F.array_intersect("heads_a", "heads_b")) == F.col("token"), F.lit(True))
     return x.join(y, on).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
@@ -301,8 +324,12 @@ def link(
     spokes = crowded.where((F.col("node") != F.col("hub.node")) & _fits("n_tokens", "hub.n_tokens", percent))
     spokes = spokes.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("n_tokens").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
-    first = small.unionByName(spokes).distinct().join(side("a"), "a").join(side("b"), "b")
-    first = materialize(first.where(_near("bits_a", "bits_b", "n_a", "n_b", percent)).select("a", "b"), "pairs")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
+        return materialize(both.where(_near("bits_a", "bits_b", "n_a", "n_b", percent)).select("a", "b"), "pairs")
+
+    first = possible(small.unionByName(spokes))
 
     wanted = first.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowded.select("node")).distinct()
     texts = materialize(_candidate_texts(docs, nodes.join(wanted, "node", "left_semi"), key, text), "candidate-texts")
@@ -313,8 +340,8 @@ def link(
     apart = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
     open_ = materialize(placed.join(materialize(apart, "apart"), "token"), "open-postings")
     heads = open_.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, 16).alias("heads"))
-    members = open_.join(heads.join(nodes.select("node", "n_tokens", "bits"), "node"), "node")
-    second = _meet(materialize(members, "members"), percent).distinct().join(first, ["a", "b"], "left_anti")
+    members = open_.join(heads.join(nodes.select("node", "n_tokens", _folded("bits").alias("bits")), "node"), "node")
+    second = possible(_meet(materialize(members, "members"), percent)).join(first, ["a", "b"], "left_anti")
     more = materialize(verify(second, texts, n, percent), "links")
     if not more.take(1):
         return signed, known
