@@ -10,6 +10,12 @@ from ..tables import table
 from . import register
 
 
+def _all_docs(spark, d):
+    """Every document, with its label where it has one."""
+    docs = table(spark, d, "documents").select("doc_id", "n_chars", "lang", "source")
+    return docs.join(table(spark, d, "labels"), "doc_id", "left")
+
+
 def _doc_labels(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "n_chars", "lang", "source")
     return docs.join(table(spark, d, "labels"), "doc_id")
@@ -22,10 +28,10 @@ def _split(df, key):
 
 @register("m01_train_binary")
 def m01b(spark, d):
-    data = _doc_labels(spark, d)
-    m = M.train(data, "quality", "BINARY_CLASSIFICATION", ["n_chars", "lang", "source"], "random_forest",
+    m = M.train(_doc_labels(spark, d), "quality", "BINARY_CLASSIFICATION", ["n_chars", "lang", "source"], "random_forest",
                 {"numTrees": 20, "maxDepth": 5})
-    return M.score(m, data, "quality").select("doc_id", "label", "prediction", "score")
+    # documents without a label are scored too; their label is null
+    return M.score(m, _all_docs(spark, d), "quality").select("doc_id", "label", "prediction", "score")
 
 
 @register("m01_train_multiclass")
@@ -133,4 +139,4 @@ def m11(spark, d):
     M.save_model(m, base, 1)
     m2 = M.train(data, "quality", "BINARY_CLASSIFICATION", ["n_chars", "lang"], "logistic", {"regParam": 0.1})
     path = M.save_model(m2, base, 2)
-    return M.score(M.load_model(path), data, "quality").select("doc_id", "prediction", "score")
+    return M.score(M.load_model(path), _all_docs(spark, d)).select("doc_id", "prediction", "score")

@@ -122,10 +122,11 @@ def t06(spark, d):
 
 @register("t07_logistic_regression")
 def t07(spark, d):
-    lab = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "n_chars", "lang"), "doc_id")
-    lab = lab.withColumn("log_chars", F.log1p("n_chars"))
-    m = T.logistic_regression(lab, "quality", ["log_chars", "lang"], categorical=["lang"])
-    return m.transform(lab).select("doc_id", "quality", "prediction", F.col("probability").cast("string").alias("probability"))
+    docs = table(spark, d, "documents").select("doc_id", "n_chars", "lang").withColumn("log_chars", F.log1p("n_chars"))
+    labels = table(spark, d, "labels")
+    m = T.logistic_regression(docs.join(labels, "doc_id"), "quality", ["log_chars", "lang"], categorical=["lang"])
+    # fitted on the labelled documents, every document scored
+    return m.transform(docs.join(labels, "doc_id", "left")).select("doc_id", "quality", "prediction", F.col("probability").cast("string").alias("probability"))
 
 
 @register("t08_genmod_poisson")
