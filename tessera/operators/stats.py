@@ -255,9 +255,14 @@ def anova_one_way(df: DataFrame, var: str, group: str) -> DataFrame:
 
 
 # T6-T8 models ------------------------------------------------------------------------------
-def _assemble(df: DataFrame, features: list[str], categorical=()):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+def _fit(df: DataFrame, target: str, features: list[str], categorical, estimator):
+    """Fit ``estimator`` on the rows whose target and numeric features are complete.
+
+    The model keeps every row it is applied to: a row with a null (or NaN) numeric
+    feature gets nulls in the columns the estimator adds.
+    """
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 
     stages, cols = [], []
     for c in features:
@@ -267,43 +272,43 @@ def _assemble(df: DataFrame, features: list[str], categorical=()):
             cols.append(f"{c}__ohe")
         else:
             cols.append(c)
-    stages.append(VectorAssembler(inputCols=cols, outputCol="__features", handleInvalid="skip"))
-    return Pipeline(stages=stages)
+    stages.append(VectorAssembler(inputCols=cols, outputCol="__features", handleInvalid="keep"))
+    nums = [c for c in features if c not in categorical]
+    model = Pipeline(stages=[*stages, estimator]).fit(df.dropna(subset=[target, *nums]))
+    # "keep" assembles a null as NaN, from which a classifier would still give a class
+    added = [c for c in ("rawPrediction", "probability", "prediction") if estimator.hasParam(f"{c}Col")]
+    whole = " AND ".join([f"`{c}` IS NOT NULL AND NOT isnan(CAST(`{c}` AS DOUBLE))" for c in nums]) or "true"
+    nulls = ", ".join(f"CASE WHEN {whole} THEN {c} END AS {c}" for c in added)
+    return PipelineModel([*model.stages, SQLTransformer(
+        statement=f"SELECT * EXCEPT ({', '.join(added)}), {nulls} FROM __THIS__")])
 
 
 def linear_regression(df: DataFrame, target: str, features: list[str], categorical=(), reg: float = 0.0,
                       elastic: float = 0.0):
     """PROC REG / GLM: least squares (``categorical`` columns one-hot, GLM class variables)."""
-    from pyspark.ml import Pipeline
     from pyspark.ml.regression import LinearRegression
 
-    prep = _assemble(df, features, categorical)
-    lr = LinearRegression(featuresCol="__features", labelCol=target, regParam=reg, elasticNetParam=elastic)
-    return Pipeline(stages=prep.getStages() + [lr]).fit(df)
+    return _fit(df, target, features, categorical, LinearRegression(
+        featuresCol="__features", labelCol=target, regParam=reg, elasticNetParam=elastic))
 
 
 def logistic_regression(df: DataFrame, target: str, features: list[str], categorical=(), reg: float = 0.0):
-    from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
 
-    prep = _assemble(df, features, categorical)
-    lr = LogisticRegression(featuresCol="__features", labelCol=target, regParam=reg)
-    return Pipeline(stages=prep.getStages() + [lr]).fit(df)
+    return _fit(df, target, features, categorical, LogisticRegression(
+        featuresCol="__features", labelCol=target, regParam=reg))
 
 
 def genmod(df: DataFrame, target: str, features: list[str], family: str = "poisson", link: str | None = None,
            categorical=()):
-    from pyspark.ml import Pipeline
     from pyspark.ml.regression import GeneralizedLinearRegression
 
-    prep = _assemble(df, features, categorical)
-    glm = GeneralizedLinearRegression(featuresCol="__features", labelCol=target, family=family,
-                                      **({"link": link} if link else {}))
-    return Pipeline(stages=prep.getStages() + [glm]).fit(df)
+    return _fit(df, target, features, categorical, GeneralizedLinearRegression(
+        featuresCol="__features", labelCol=target, family=family, **({"link": link} if link else {})))
 
 
 def coefficients(model, names: list[str]) -> list[tuple[str, float]]:
-    last = model.stages[-1]
+    last = model.stages[-2]  # the stage after it nulls the predictions of incomplete rows
     coefs = list(last.coefficients.toArray())
     return [("intercept", float(last.intercept))] + list(zip(names, coefs))
 
