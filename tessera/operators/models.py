@@ -189,10 +189,13 @@ def _levels(df: DataFrame, score_col: str, label_col: str) -> DataFrame:
 
 
 def binary_metrics(df: DataFrame, score_col: str, label_col: str, threshold: float = 0.5, eps: float = 1e-15) -> DataFrame:
-    """auc, log_loss, average_precision, precision, recall, f1 (at ``threshold``), one row.
+    """auc, log_loss, average_precision, precision, recall, f1 (at ``threshold``), and the
+    f1-best threshold with its precision, recall, f1 and lift (``optimal_*``), one row.
 
     AUC counts tied scores as half; average precision = sum over distinct
     score levels (descending) of (recall gain) x (precision at that level).
+    The optimal threshold is a score level (rows at or above it are predicted
+    positive), the highest one on ties; without positives its metrics are null.
     """
     lv = _levels(df, score_col, label_col)
     asc = running(lv, ["s"], {"neg_le": ("sum", "neg")})
@@ -202,10 +205,18 @@ def binary_metrics(df: DataFrame, score_col: str, label_col: str, threshold: flo
     # in double: products of counts outgrow a long
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     auc_terms = pos * (F.col("neg_le") - F.col("neg")) + 0.5 * pos * neg
-    prec = F.col("tp") / (F.col("tp") + F.col("fp"))
-    ap_terms = F.col("pos") / F.col("P") * prec
-    curve = j.agg((F.sum(auc_terms) / (F.first("P").cast("double") * F.first("N"))).alias("auc"),
-                  F.sum(ap_terms).alias("average_precision"))
+    # a ratio over no rows is null
+    prec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
+    ap_terms = F.try_divide(F.col("pos"), F.col("P")) * prec
+    level_f1 = F.try_divide(2 * F.col("tp"), F.col("tp") + F.col("fp") + F.col("P"))
+    best = F.max(F.when(F.col("s").isNotNull() & (F.col("P") > 0),
+                        F.struct(level_f1.alias("f1"), "s", prec.alias("precision"),
+                                 F.try_divide(F.col("tp"), F.col("P")).alias("recall"),
+                                 F.try_divide(prec, F.try_divide(F.col("P"), F.col("P") + F.col("N"))).alias("lift"))))
+    curve = j.agg(F.try_divide(F.sum(auc_terms), F.first("P").cast("double") * F.first("N")).alias("auc"),
+                  F.sum(ap_terms).alias("average_precision"), best.alias("__best"))
+    curve = curve.select("auc", "average_precision", F.col("__best.s").alias("optimal_threshold"),
+                         *[F.col(f"__best.{c}").alias(f"optimal_{c}") for c in ("precision", "recall", "f1", "lift")])
     p = F.least(F.greatest(F.col(score_col).cast("double"), F.lit(eps)), F.lit(1 - eps))
     y = F.col(label_col).cast("double")
     pred = F.col(score_col) >= threshold
@@ -214,8 +225,8 @@ def binary_metrics(df: DataFrame, score_col: str, label_col: str, threshold: flo
         F.count_if(pred & (y == 1)).alias("__tp"), F.count_if(pred & (y != 1)).alias("__fp"),
         F.count_if(~pred & (y == 1)).alias("__fn"))
     tp, fp, fn = F.col("__tp"), F.col("__fp"), F.col("__fn")
-    pt = pt.select("log_loss", (tp / (tp + fp)).alias("precision"), (tp / (tp + fn)).alias("recall"),
-                   (2 * tp / (2 * tp + fp + fn)).alias("f1"))
+    pt = pt.select("log_loss", F.try_divide(tp, tp + fp).alias("precision"), F.try_divide(tp, tp + fn).alias("recall"),
+                   F.try_divide(2 * tp, 2 * tp + fp + fn).alias("f1"))
     return with_scalars(curve, pt)
 
 
@@ -237,6 +248,13 @@ def lift_table(df: DataFrame, score_col: str, label_col: str, bins: int = 10) ->
                       "mean_score", F.abs(F.col("mean_score") - rate).alias("calibration_gap"))
 
 
+def calibration_loss(df: DataFrame, score_col: str, label_col: str, bins: int = 10) -> DataFrame:
+    """M8: the calibration gaps of ``lift_table`` weighted by their rows, one value."""
+    n = F.col("n")
+    return lift_table(df, score_col, label_col, bins).agg(
+        (F.sum(n * F.col("calibration_gap")) / F.sum(n)).alias("calibration_loss"))
+
+
 def threshold_curve(df: DataFrame, score_col: str, label_col: str, steps: int = 100) -> DataFrame:
     """M9: precision, recall and F1 at thresholds 0, 1/steps, ..., 1 (predict positive when score >= t)."""
     spark = df.sparkSession

@@ -92,6 +92,21 @@ def m07(spark, d):
     return m.select(*[F.round(c, 9).alias(c) for c in ("auc", "average_precision", "log_loss", "precision", "recall", "f1")])
 
 
+@register("m07_optimal_threshold", f"""
+WITH t AS ({_SCORE_SQL}),
+lv AS (SELECT s, count_if(y = 1) AS pos, count_if(y <> 1) AS neg FROM t GROUP BY s),
+c AS (SELECT s, sum(pos) OVER (ORDER BY s DESC) AS tp, sum(neg) OVER (ORDER BY s DESC) AS fp FROM lv WHERE s IS NOT NULL),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM lv),
+f AS (SELECT s, tp / (tp + fp) AS prec, tp / P AS rec, 2 * tp / (tp + fp + P) AS f1, P / (P + N) AS rate FROM c, tot)
+SELECT round(s, 9) AS optimal_threshold, round(prec, 9) AS optimal_precision, round(rec, 9) AS optimal_recall,
+       round(f1, 9) AS optimal_f1, round(prec / rate, 9) AS optimal_lift
+FROM f ORDER BY f1 DESC, s DESC LIMIT 1""")
+def m07o(spark, d):
+    m = M.binary_metrics(_scores(spark, d), "s", "y")
+    return m.select(*[F.round(c, 9).alias(c) for c in ("optimal_threshold", "optimal_precision", "optimal_recall",
+                                                       "optimal_f1", "optimal_lift")])
+
+
 @register("m08_lift", f"""
 WITH t AS ({_SCORE_SQL}),
 r AS (SELECT s, y, row_number() OVER (ORDER BY s DESC, y) AS rn, count(*) OVER () AS n FROM t),
@@ -106,6 +121,17 @@ def m08(spark, d):
     return t.select("bin", "n", "positives", *[F.round(c, 9).alias(c) for c in ("rate", "lift", "mean_score", "calibration_gap")])
 
 
+@register("m08_calibration_loss", f"""
+WITH t AS ({_SCORE_SQL}),
+r AS (SELECT s, y, row_number() OVER (ORDER BY s DESC, y) AS rn, count(*) OVER () AS n FROM t),
+b AS (SELECT floor((rn - 1) * 10 / n) AS bin, s, y FROM r),
+g AS (SELECT count(*) AS n, abs(avg(s) - avg(y)) AS gap FROM b GROUP BY bin)
+SELECT round(sum(n * gap) / sum(n), 9) AS calibration_loss FROM g""")
+def m08c(spark, d):
+    c = M.calibration_loss(_scores(spark, d), "s", "y", 10)
+    return c.select(F.round("calibration_loss", 9).alias("calibration_loss"))
+
+
 @register("m09_threshold_curve", f"""
 WITH t AS ({_SCORE_SQL}),
 per AS (SELECT CAST(least(floor(round(s * 100, 9)), 100) AS INTEGER) AS b, count_if(y = 1) AS pos, count_if(y <> 1) AS neg
