@@ -159,12 +159,13 @@ def cross_validate(df: DataFrame, target: str, task: str, features: list[str], a
 
     data = _prepare(df, target, vector_features)
     stages, _ = feature_pipeline(data, [f for f in features if f not in vector_features], vector_features)
-    fitted = Pipeline(stages=stages).fit(data)  # the feature stages do not depend on the fold or the grid
-    ready = fitted.transform(data)
     n_feat, n_classes = None, 2
     if algorithm == "mlp":  # its layers take their sizes from the data
-        n_feat = ready.schema["features"].metadata.get("ml_attr", {}).get("num_attrs") or ready.select("features").first()[0].size
-        n_classes = int(ready.agg(F.max("label")).first()[0]) + 1
+        fitted = Pipeline(stages=stages).fit(data)
+        # every fold's features have these sizes: the string levels of the whole input
+        stages = [fit if type(fit).__name__ == "StringIndexerModel" else st for st, fit in zip(stages, fitted.stages)]
+        n_feat = fitted.transform(data.limit(1)).first()["features"].size
+        n_classes = int(data.agg(F.max("label")).first()[0]) + 1
     est = _estimator(algorithm, task, {}, n_feat, n_classes)
     builder = ParamGridBuilder()
     for p, values in grid.items():
@@ -173,9 +174,10 @@ def cross_validate(df: DataFrame, target: str, task: str, features: list[str], a
     ev = {"BINARY_CLASSIFICATION": BinaryClassificationEvaluator(labelCol="label"),
           "MULTICLASS": MulticlassClassificationEvaluator(labelCol="label"),
           "REGRESSION": RegressionEvaluator(labelCol="label")}[task]
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, seed=7)
-    model = cv.fit(ready)
-    model.bestModel = PipelineModel([*fitted.stages, model.bestModel])
+    # the feature stages are fitted on each fold's training rows, as the algorithm is
+    cv = CrossValidator(estimator=Pipeline(stages=[*stages, est]), estimatorParamMaps=maps, evaluator=ev,
+                        numFolds=folds, seed=7)
+    model = cv.fit(data)
     rows = [({p.name: v for p, v in m.items()}, float(a), float(s))
             for m, a, s in zip(maps, model.avgMetrics, model.stdMetrics)]
     return model, rows
