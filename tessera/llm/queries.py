@@ -201,3 +201,98 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(turns).select(
         "conv_id", "speaker", "segment", "n_turns", "n_spoken", F.md5(F.col("rendered").cast("binary")).alias("rendered_md5"), F.array_join(ranges, ",").alias("masks")
     )
+
+
+# rank is a long with nulls, which pandas shows as float64: so does this side
+OP11_SQL = """
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+i AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+step AS (SELECT list(c ORDER BY k) AS tab FROM (SELECT k, list_reduce([k] || range(8), lambda x, j: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c FROM range(256) t(k))),
+dw AS (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM w) GROUP BY word),
+iw AS (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM i) GROUP BY word),
+hexed AS (SELECT word, hex(encode(word)) AS x FROM (SELECT word FROM dw UNION SELECT word FROM iw)),
+coded AS (SELECT word, list_transform(range(len(x) // 2), lambda j: CAST('0x' || substr(x, 2 * j + 1, 2) AS BIGINT)) AS b FROM hexed),
+crc AS (SELECT word, xor(list_reduce([4294967295] || b, lambda x, y: xor(x >> 8, tab[xor(x & 255, y) + 1])), 4294967295) % 10000 AS bucket FROM coded, step),
+ds AS (SELECT bucket, sum(n) AS s FROM dw JOIN crc USING (word) GROUP BY bucket),
+ts AS (SELECT bucket, sum(n) AS t FROM iw JOIN crc USING (word) GROUP BY bucket),
+tot AS (SELECT coalesce((SELECT sum(s) FROM ds), 0)::DOUBLE AS big_s, coalesce((SELECT sum(t) FROM ts), 0)::DOUBLE AS big_t),
+gain AS (SELECT word, CAST(floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (big_s + 10000) / ((s::DOUBLE + 1) * (big_t + 10000)))) AS BIGINT) AS gain
+         FROM crc JOIN ds USING (bucket) LEFT JOIN ts USING (bucket), tot),
+weights AS (SELECT doc_id, sum(gain) AS weight FROM (SELECT doc_id, unnest(ws) AS word FROM w) JOIN gain USING (word) GROUP BY doc_id),
+scored AS (SELECT w.doc_id, len(ws) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || w.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS score
+           FROM w LEFT JOIN weights USING (doc_id)),
+ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CAST(CASE WHEN rank <= 10 * n // 100 THEN rank END AS DOUBLE) AS rank
+FROM scored LEFT JOIN ranks USING (doc_id)
+"""
+
+
+@query("op11_resampling", OP11_SQL)
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all documents towards the benchmark's words, and the ranks of the tenth that is drawn."""
+    from tessera.llm.op11_resampling import ranked
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = ranked(docs, table(spark, sf_dir, "benchmark"), runs=1, buckets=10000, seed=2024, min_words=20, percent=10)
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+OP12_SQL = """
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS p FROM s),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key, true AS common FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(common) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE common IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN c USING (key) GROUP BY doc_id
+"""
+
+
+@query("op12_line_dedup", OP12_SQL)
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten documents and more have."""
+    from tessera.llm.op12_line_dedup import drop_common_lines
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_common_lines(docs, min_docs=10, min_chars=1, want=("n_lines", "n_dropped", "kept_sha256"))
+
+
+def _op13_sql(rounds: int = 3) -> str:
+    """Assignment and update, written out for each round."""
+    parts = [
+        """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * x::DOUBLE) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        "c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v AS m FROM v QUALIFY c < 16)",
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS MATERIALIZED (SELECT vec_id, any_value(v) AS v, min(struct_pack(d := d, c := c)) AS near FROM
+  (SELECT vec_id, v, c, list_sum(list_transform(range(1, 65), lambda i: (v[i] - m[i]) * (v[i] - m[i]))) AS d FROM v, c{r}) GROUP BY vec_id)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""u{r} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM
+  (SELECT near.c AS c, i, sum(v[i]) AS s, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY 1, 2) GROUP BY c)"""
+            )
+            parts.append(f"c{r + 1} AS MATERIALIZED (SELECT c, coalesce(u{r}.m, c{r}.m) AS m FROM c{r} LEFT JOIN u{r} USING (c))")
+    return (
+        ",\n".join(parts)
+        + f"""
+SELECT vec_id, CAST(near.c AS INT) AS cluster, CAST(near.d AS BIGINT) AS distance, CAST(sum(near.d) OVER (PARTITION BY near.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(near.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = near.c"""
+    )
+
+
+@query("op13_centroids", _op13_sql())
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen clusters of all vectors after three rounds."""
+    from tessera.llm.op13_centroids import cluster, digests
+
+    rows, centroids = cluster(table(spark, sf_dir, "embeddings"), dims=64, scale=64, clusters=16, rounds=3, seed=1)
+    of = F.array(*[F.lit(d) for d in digests(centroids)])  # a digest a cluster
+    return rows.withColumn("centroid_sha256", of[F.col("cluster")] if len(centroids) else F.lit(""))
