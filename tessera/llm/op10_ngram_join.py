@@ -12,10 +12,12 @@ one class, and both are in the shorter of the two prefixes. Rare tokens are
 indexed alone and frequent ones as pairs of their class; the number of classes
 keeps the pairs in proportion to the set.
 
-The join runs in two rounds. First every signature links its nodes to one of
-them, which joins most of a crowd of near copies without looking at all pairs.
-Then nodes of different components meet through each signature that they share.
-There a bitmap of each set (the parities of hashed tokens, which differ in at
+The join runs in rounds. First every signature links its nodes to one of them,
+its hub: the node of the smallest hash, so that the signatures of one crowd of
+near copies have few hubs between them and each member is compared with those
+few. Signatures whose nodes are still in several components then get a hub by
+another hash, for the nodes of other components. At last nodes of different
+components meet through each signature that they share. There a bitmap of each set (the parities of hashed tokens, which differ in at
 most as many places as the sets do) refuses most pairs. All candidates that are
 left are verified on their whole sets.
 
@@ -42,6 +44,8 @@ from tessera.llm.common import chunks, materialize
 COMMON, COMMON_TOKENS = 64, 1 << 18
 #: Signatures of more nodes than this are met pair by pair behind the bitmaps.
 CROWD = 12
+#: Rounds of hubs after the first, between the components left.
+HUB_ROUNDS = 1
 #: Sizes of a set's bitmap and of its folded form, as 64-bit words; tokens of the frequent kind that a class is meant to have.
 WORDS, FOLDED, CLASS_TOKENS = 32, 8, 8
 
@@ -211,6 +215,15 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def joined_components(known: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, comp) as in ``known``, with what ``links`` (a, b) join between its components and other nodes."""
+    x, y = known.select(F.col("node").alias("a"), F.col("comp").alias("x")), known.select(F.col("node").alias("b"), F.col("comp").alias("y"))
+    between = links.join(x, "a", "left").join(y, "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+    over = components(between)
+    old = known.join(over.select(F.col("node").alias("c"), F.col("comp").alias("to")), F.col("comp") == F.col("c"), "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    return materialize(old.unionByName(over.join(known, "node", "left_anti")), "components")
+
+
 def _candidate_texts(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
     """(node, body): the compressed text of one document of each candidate node."""
 
@@ -314,38 +327,56 @@ def link(
     # written first: beneath a join of two plain exchanges Spark can split a signature in very many rows
     shared = materialize(postings.join(materialize(shared, "shared"), "token"), "postings").distinct()
     shared = materialize(shared.join(nodes.select("node", "n_tokens"), "node"), "postings")
-    tokens = shared.groupBy("token").agg(F.count("*").alias("df"), F.min(F.struct(F.xxhash64("node", "token").alias("h"), "node", "n_tokens")).alias("hub"))
+    hub = lambda seed, *more: F.min(F.struct(F.xxhash64("node", F.lit(seed)).alias("h"), "node", "n_tokens", *more)).alias("hub")
+    tokens = shared.groupBy("token").agg(F.count("*").alias("df"), hub(0))
     tokens = materialize(tokens.where("df > 1"), "tokens")
 
     few = shared.join(tokens.where(F.col("df") <= crowd).select("token"), "token")
     x, y = few.select("token", F.col("node").alias("a"), F.col("n_tokens").alias("n_a")), few.select("token", F.col("node").alias("b"), F.col("n_tokens").alias("n_b"))
     small = x.join(y, "token").where((F.col("a") < F.col("b")) & _fits("n_a", "n_b", percent)).select("a", "b")
     crowded = materialize(shared.join(tokens.where(F.col("df") > crowd).select("token", "hub"), "token"), "crowds")
-    spokes = crowded.where((F.col("node") != F.col("hub.node")) & _fits("n_tokens", "hub.n_tokens", percent))
-    spokes = spokes.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+
+    def spokes(at: DataFrame) -> DataFrame:
+        far = at.where((F.col("node") != F.col("hub.node")) & _fits("n_tokens", "hub.n_tokens", percent))
+        return far.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("n_tokens").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
 
     def possible(pairs: DataFrame) -> DataFrame:
         both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
         return materialize(both.where(_near("bits_a", "bits_b", "n_a", "n_b", percent)).select("a", "b"), "pairs")
 
-    first = possible(small.unionByName(spokes))
+    first = possible(small.unionByName(spokes(crowded)))
 
     wanted = first.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowded.select("node")).distinct()
     texts = materialize(_candidate_texts(docs, nodes.join(wanted, "node", "left_semi"), key, text), "candidate-texts")
     links = materialize(verify(first, texts, n, percent), "links")
     known = components(links)
 
-    placed = materialize(crowded.select("token", "node").join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "placed")
-    apart = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    open_ = materialize(placed.join(materialize(apart, "apart"), "token"), "open-postings")
+    tried = [first]
+
+    def settle(pairs: DataFrame, known: DataFrame) -> DataFrame:
+        for before in tried:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        more = materialize(verify(pairs, texts, n, percent), "links")
+        return joined_components(known, more) if more.take(1) else known
+
+    def still_open(known: DataFrame) -> DataFrame:
+        placed = materialize(crowded.select("token", "node", "n_tokens").join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "placed")
+        apart = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
+        return materialize(placed.join(materialize(apart, "apart"), "token"), "open-postings")
+
+    for seed in range(1, HUB_ROUNDS + 1):
+        open_ = still_open(known)
+        hubs = materialize(open_.groupBy("token").agg(hub(seed, "comp")), "hubs")
+        pairs = possible(spokes(open_.join(hubs, "token").where("comp <> hub.comp")))
+        known = settle(pairs, known)
+        tried.append(pairs)
+
+    open_ = still_open(known).drop("n_tokens")
     heads = open_.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, 16).alias("heads"))
     members = open_.join(heads.join(nodes.select("node", "n_tokens", _folded("bits").alias("bits")), "node"), "node")
-    second = possible(_meet(materialize(members, "members"), percent)).join(first, ["a", "b"], "left_anti")
-    more = materialize(verify(second, texts, n, percent), "links")
-    if not more.take(1):
-        return signed, known
-    return signed, components(links.union(more))
+    return signed, settle(possible(_meet(materialize(members, "members"), percent)), known)
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, **limits) -> DataFrame:
