@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
@@ -96,6 +96,11 @@ def crc_mod(column: str, mod: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % mod
 
 
+def text_id(text: str) -> Column:
+    """16 bytes that stand for a text."""
+    return F.unhex(F.md5(F.col(text).cast("binary")))
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns of these names, whatever their case."""
     taken = {n.lower() for n in names}

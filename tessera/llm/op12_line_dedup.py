@@ -23,22 +23,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import chunks, materialize, without
+from tessera.llm.common import chunks, materialize, text_id, without
 
 OUTPUTS = {"n_lines": T.LongType(), "n_dropped": T.LongType(), "kept_text": T.StringType(), "kept_sha256": T.StringType()}
 #: Lines in one batch of the exploded table, about.
 BATCH_LINES = 1 << 16
 
 
-def text_id(text: str) -> Column:
-    """16 bytes that stand for a text."""
-    return F.unhex(F.md5(F.col(text).cast("binary")))
-
-
 def exploded(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
     """(th, line, at): for each row the hashes of its distinct keys of ``min_chars`` and more, with their places."""
     kind = pa.schema([("th", pa.binary()), ("line", pa.binary()), ("at", pa.list_(pa.int32()))])

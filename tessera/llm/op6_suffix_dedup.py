@@ -23,7 +23,7 @@ A block with very many distinct contexts is first split by the half of the
 window's places, which lengthens what its members share, as often as needed.
 
 Null and empty texts have no bytes. Repeated rows and equal texts repeat each
-other; they share one result, by the hash of the text. Matches never cross
+other; they share one result, by a 128-bit hash of the text. Matches never cross
 rows. Further columns pass through; those named like the outputs are replaced.
 """
 
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import chunks, materialize, without
+from tessera.llm.common import chunks, materialize, text_id, without
 
 #: Distinct contexts of a block beyond which it is split.
 BLOCK_CONTEXTS = 4096
@@ -105,12 +105,12 @@ class Hasher:
 
 def contexts(texts: DataFrame, length: int) -> DataFrame:
     """(anchor, span, th, a, b, p) of every context of ``texts`` (th, text)."""
-    kind = "anchor long, span long, th long, a int, b int, p int"
+    kind = "anchor long, span long, th binary, a int, b int, p int"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(length)
         for part, data, at in chunks(batches, "text", PIECE):
-            th = part.column("th").to_numpy()
+            th = part.column("th").cast(pa.binary())
             for lo in range(0, max(1, len(data)), PIECE):
                 # more than one piece only where a single text is longer
                 piece = data[lo : lo + PIECE + length - 1] if len(data) > PIECE else data
@@ -118,7 +118,7 @@ def contexts(texts: DataFrame, length: int) -> DataFrame:
                 anchor, span, row, first, last, place = hasher.contexts(piece, ends)
                 start = at[row] - lo
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(v) for v in (anchor.view(np.int64), span.view(np.int64), th[row])]
+                    [pa.array(anchor.view(np.int64)), pa.array(span.view(np.int64)), th.take(pa.array(row))]
                     + [pa.array((v - start).astype(np.int32)) for v in (first, last, place)],
                     names=["anchor", "span", "th", "a", "b", "p"],
                 )
@@ -317,7 +317,7 @@ def _packed(texts: DataFrame) -> DataFrame:
             raw = data.tobytes()
             yield pa.RecordBatch.from_arrays([part.column("th"), pa.array([pack(raw[a:b]) for a, b in zip(at[:-1], at[1:])], pa.binary())], names=["th", "body"])
 
-    return texts.mapInArrow(squeeze, "th long, body binary")
+    return texts.mapInArrow(squeeze, "th binary, body binary")
 
 
 def repeated_spans(texts: DataFrame, length: int, block_contexts: int = BLOCK_CONTEXTS) -> DataFrame:
@@ -344,8 +344,10 @@ def repeated_spans(texts: DataFrame, length: int, block_contexts: int = BLOCK_CO
             F.least(F.col("lo") + F.octet_length("right"), F.col("hi")).cast("int").alias("last"),
         )
         verdicts.append(one.select("anchor", "span", F.array(reach).alias("runs")))
-        fits = (F.col("m") <= block_contexts) | (F.col("lo") == F.col("hi"))
-        verdicts.append(_merge(sized.where((F.col("m") >= 2) & fits).drop("m")))
+        # what members with one window left share is that window
+        same = F.array(F.struct(F.col("lo").alias("first"), F.col("hi").alias("last")))
+        verdicts.append(sized.where("m >= 2 AND lo = hi").select("anchor", "span", same.alias("runs")))
+        verdicts.append(_merge(sized.where((F.col("m") >= 2) & (F.col("lo") < F.col("hi")) & (F.col("m") <= block_contexts)).drop("m")))
         large = sizes.where(F.col("m") > block_contexts)
         if not large.take(1):
             break
@@ -361,7 +363,7 @@ def repeated_spans(texts: DataFrame, length: int, block_contexts: int = BLOCK_CO
     return closed.unionByName(opened).groupBy("th").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
-OUTPUTS = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept": T.BinaryType(), "kept_sha256": T.StringType(), "kept_text": T.StringType()}
+OUTPUTS = {"n_bytes": T.LongType(), "n_kept": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept": T.BinaryType(), "kept_sha256": T.StringType(), "kept_text": T.StringType()}
 
 
 def remove_repeats(
@@ -373,9 +375,9 @@ def remove_repeats(
     the halves of characters that a cut can leave (null for a null text).
     """
     docs = without(docs, *want)
-    texts = docs.where(F.octet_length(text) >= length).select(F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    texts = docs.where(F.octet_length(text) >= length).select(text_id(text).alias("th"), F.col(text).alias("text"))
     spans = repeated_spans(texts, length, block_contexts).select(F.col("th").alias("_th"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans, F.xxhash64(text) == F.col("_th"), "left").drop("_th")
+    joined = docs.join(spans, text_id(text) == F.col("_th"), "left").drop("_th")
     plain = [f for f in docs.schema if f.name != text]
     schema = T.StructType(plain + [T.StructField(w, OUTPUTS[w]) for w in want])
 
@@ -396,6 +398,7 @@ def remove_repeats(
                 edges = [0, *(x for m in merged for x in m), b - a]
                 kept = b"".join([raw[a + x : a + y] for x, y in zip(edges[::2], edges[1::2])])
                 made["n_bytes"].append(b - a)
+                made["n_kept"].append(len(kept))
                 made["n_removed"].append(b - a - len(kept))
                 made["n_spans"].append(len(merged))
                 made["kept"].append(kept)

@@ -110,7 +110,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.op6_suffix_dedup import remove_repeats
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove_repeats(docs, 400, want=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+    return remove_repeats(docs, 400, want=("n_bytes", "n_kept", "n_removed", "n_spans", "kept_sha256"))
 
 
 @query("op1_sharding")

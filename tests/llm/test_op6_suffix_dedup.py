@@ -39,11 +39,12 @@ def test_against_brute_force(spark, length, limit, seed):
     texts = some_texts(r, 60) + [None, "", "a", "ab" * 300, "z" * 700, "z" * length]
     texts += [texts[3], texts[5][:-1] + "Q", "q" + texts[5], "the " * 200]
     docs = spark.createDataFrame([(i if i % 9 else None, t, "k", i) for i, t in enumerate(texts)], "doc_id long, text string, kept string, at int")
-    got = remove_repeats(docs, length, want=("n_bytes", "n_removed", "n_spans", "kept", "kept_text"), block_contexts=limit).collect()
+    got = remove_repeats(docs, length, want=("n_bytes", "n_kept", "n_removed", "n_spans", "kept", "kept_text"), block_contexts=limit).collect()
     assert len(got) == len(texts)
     want = brute(texts, length)
     for x in got:
         assert (x["n_bytes"], x["n_removed"], x["n_spans"], bytes(x["kept"])) == want[x["at"]], (x["at"], texts[x["at"]])
+        assert x["n_kept"] == len(x["kept"])
         assert x["kept_text"] == (None if texts[x["at"]] is None else bytes(x["kept"]).decode(errors="ignore"))
 
 
