@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tessera.tables import table
 
+#: Bytes of a repeated passage that the pipeline removes: below the shortest passages of 50 words.
+PASSAGE_BYTES = 250
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the trees keep."""
@@ -24,10 +27,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without strings of 400 bytes that start elsewhere too; every document stays, if with less text."""
+    """Texts without strings of ``PASSAGE_BYTES`` bytes that start elsewhere too; every document stays, if with less text."""
     from tessera.llm.op6_suffix_dedup import remove_repeats
 
-    left = remove_repeats(docs, 400, want=("kept_text",)).withColumnRenamed("kept_text", "text")
+    left = remove_repeats(docs, PASSAGE_BYTES, want=("kept_text",)).withColumnRenamed("kept_text", "text")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

@@ -12,6 +12,7 @@ import __spark_entry__
 import corpus_pipeline
 from tessera.llm.common import materialize
 from tessera.llm.op8_quality import measure
+from tessera.llm.stages import PASSAGE_BYTES
 from tests.conftest import SF_SMALL
 from tests.llm import test_op3_decontaminate as op3
 from tests.llm import test_op6_suffix_dedup as op6
@@ -70,7 +71,7 @@ def test_near_duplicates(steps):
 
 def test_suffix_dedup(steps):
     before = sorted(texts(steps[2]).items())
-    want = {i: kept.decode(errors="ignore") for (i, _), (_, _, _, kept) in zip(before, op6.brute([t for _, t in before], 400))}
+    want = {i: kept.decode(errors="ignore") for (i, _), (_, _, _, kept) in zip(before, op6.brute([t for _, t in before], PASSAGE_BYTES))}
     assert texts(steps[3]) == want
 
 
@@ -100,8 +101,8 @@ def test_bpe(steps):
 
 def test_registered(spark, steps):
     queries = __spark_entry__.queries()
-    assert {n for n in queries if n.startswith("op")} >= {n for n in queries if n.split("_")[0] in {f"op{k}" for k in range(1, 11)}}
-    assert sum(n.split("_")[0] == f"op{k}" for k in range(1, 11) for n in queries) == 10
+    assert {n for n in queries if n.startswith("op")} >= {n for n in queries if n.split("_")[0] in {f"op{k}" for k in range(1, 14)}}
+    assert sum(n.split("_")[0] == f"op{k}" for k in range(1, 14) for n in queries) == 13
     assert queries["pipeline"](spark, SF_SMALL).count() == steps[5].count()
 
 
