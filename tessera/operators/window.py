@@ -13,8 +13,11 @@ Running calculations use a *blocked scan* instead of one window per group:
 
 Ties in the order columns never straddle a block (the block key is a
 monotone function of the first order column), so ranks stay exact. Text is
-cut by the bytes after its common beginning. The scan runs in blocks at every
-input size; ``blocks=1`` asks for the plain per-group window.
+cut by the bytes after its common beginning. Where one value of the first
+order column (or null) fills more than a block, or its type has no numeric key,
+the cuts are tuples of all leading order columns of one direction, so a day that
+holds most rows is cut by what follows the date. The scan runs in blocks at
+every input size; ``blocks=1`` asks for the plain per-group window.
 """
 
 from __future__ import annotations
@@ -152,15 +155,74 @@ def block_splits(df: DataFrame, order_by, blocks: int, rel_err: float | None = N
     return _splits(df, _block_key(df, *spec[0], skip=_common_prefix(df, spec[0][0])), blocks, rel_err)
 
 
-def _splits(df: DataFrame, k: Column | None, blocks: int, rel_err: float | None = None) -> list[float] | None:
-    if k is None or blocks <= 1:
-        return None
+def _quantiles(df: DataFrame, k: Column, blocks: int, rel_err: float | None = None) -> tuple[list[float], float]:
+    """Values of ``k`` at the block ends, repeats included, and the share of rows without a value."""
     probs = [i / blocks for i in range(1, blocks)]
     err = rel_err if rel_err is not None else 1.0 / (4 * blocks)
     row = df.select(k.alias("__k")).agg(
-        F.percentile_approx("__k", probs, int(max(10_000, 1.0 / err))).alias("q")).first()
-    qs = row["q"] or []
-    return sorted(set(q for q in qs if q is not None and q == q))
+        F.percentile_approx("__k", probs, int(max(10_000, 1.0 / err))).alias("q"),
+        F.count("__k").alias("n"), F.count(F.lit(1)).alias("all")).first()
+    return [q for q in row["q"] or [] if q is not None and q == q], 1 - row["n"] / max(row["all"], 1)
+
+
+def _splits(df: DataFrame, k: Column | None, blocks: int, rel_err: float | None = None) -> list[float] | None:
+    if k is None or blocks <= 1:
+        return None
+    return sorted(set(_quantiles(df, k, blocks, rel_err)[0]))
+
+
+SAMPLE_EACH = 64  # order tuples sampled for each block when cutting by tuples
+
+
+def _tuple_bounds(df: DataFrame, names: list[str], blocks: int) -> tuple[DataFrame, int]:
+    """One row holding the tuples at which blocks 1, 2, ... begin (ascending), and their number.
+
+    Spark's range partitioner finds them on a sample of the order columns;
+    equal tuples are in one of its partitions. They are checkpointed, so that
+    every reader sees the same cuts.
+    """
+    keys = df.select(F.struct(*names).alias("k"))
+    share = SAMPLE_EACH * blocks / max(keys.count(), 1)
+    sample = keys if share >= 1 else keys.sample(share, seed=7)
+    parts = sample.repartitionByRange(blocks, "k").groupBy(F.spark_partition_id().alias("p")).agg(F.min("k").alias("k"))
+    ensure_checkpoint_dir(df.sparkSession)
+    # at most `blocks` tuples; the first block needs no cut
+    starts = F.sort_array(F.collect_list("k"))
+    bounds = parts.agg(F.slice(starts, 2, blocks).alias("bounds")).checkpoint(eager=True)
+    return bounds, bounds.select(F.size("bounds").alias("n")).first()["n"]
+
+
+def _with_tuple_block(df: DataFrame, names: list[str], asc: bool, bounds: DataFrame, n: int, name: str) -> DataFrame:
+    """Add the number of cuts at or before each row's tuple (counted from the end for descending order)."""
+    key = F.struct(*names)
+    steps = F.array(*[F.lit(1 << j) for j in reversed(range(n.bit_length()))])
+    cuts = F.col("__cuts")
+    # binary search: beyond the last cut F.get is null, which takes no step
+    at = F.aggregate(steps, F.lit(0), lambda pos, step: F.when(F.get(cuts, pos + step - 1) <= key, pos + step).otherwise(pos))
+    return df.withColumn("__cuts", bounds.scalar()).withColumn(name, at if asc else F.lit(n) - at).drop("__cuts")
+
+
+def _cut(df: DataFrame, spec, blocks: int, splits: list[float] | None = None, name: str = "__blk") -> DataFrame | None:
+    """``df`` with the number of the block that each row is in; None where there is one block only."""
+    if not splits and blocks <= 1:
+        return None
+    first, asc = spec[0]
+    key = _block_key(df, first, asc, _common_prefix(df, first))
+    if splits is None:
+        ends = next((i for i, (_, a) in enumerate(spec) if a != asc), len(spec))
+        leading = [c for c, _ in spec[:ends]]
+        hot = key is None
+        if key is not None:
+            at, nulls = _quantiles(df, key, blocks)
+            splits = sorted(set(at))
+            hot = len(leading) > 1 and (len(at) > len(splits) or nulls * blocks > 1.5)
+        if hot:
+            bounds, n = _tuple_bounds(df, leading, blocks)
+            if n:
+                return _with_tuple_block(df, leading, asc, bounds, n, name)
+    if not splits:
+        return None
+    return with_block(df, key, splits, 0 if asc else len(splits), len(splits) if asc else 0, name)
 
 
 def running(
@@ -186,14 +248,11 @@ def running(
         if kind not in KINDS:
             raise ValueError(f"unknown running kind {kind!r} for {name}")
     n_blocks = default_blocks(df) if blocks is None else blocks
-    skip = 0
     if splits or n_blocks > 1:
         # the input is read more than once below (statistics, then data): compute it once
         df = materialize_if_costly(df)
-        skip = _common_prefix(df, spec[0][0])
-    if splits is None and n_blocks > 1:
-        splits = _splits(df, _block_key(df, *spec[0], skip=skip), n_blocks)
-    res = _running_blocked(df, spec, aggs, pk, splits, skip) if splits else _running_plain(df, spec, aggs, pk)
+    blocked = _cut(df, spec, n_blocks, splits)
+    res = _running_plain(df, spec, aggs, pk) if blocked is None else _running_blocked(df, blocked, spec, aggs, pk)
     # the same types whatever the number of blocks
     sums = {n: df.select(F.sum(c).alias("s")).schema["s"].dataType for n, (k, c) in aggs.items() if k == "sum"}
     counts = {n: "bigint" for n, (k, _) in aggs.items() if k in ("count", "row_number", "rank", "dense_rank", "group_count")}
@@ -222,14 +281,10 @@ def _running_plain(df, spec, aggs, pk):
     return df.withColumns(exprs)
 
 
-def _running_blocked(df, spec, aggs, pk, splits, skip=0):
-    first, asc = spec[0]
-    key = _block_key(df, first, asc, skip)
-    null_block = 0 if asc else len(splits)
-    nan_block = len(splits) if asc else 0
+def _running_blocked(df, blocked, spec, aggs, pk):
     cols = df.columns
     g = F.struct(*[F.col(c) for c in pk]) if pk else F.lit(0)
-    blocked = with_block(df.withColumn("__g", g), key, splits, null_block, nan_block)
+    blocked = blocked.withColumn("__g", g)
 
     order = _order_cols(spec)
     w = Window.partitionBy("__g", "__blk").orderBy(*order)
@@ -279,9 +334,9 @@ def _running_blocked(df, spec, aggs, pk, splits, skip=0):
     summary = (local if from_window else blocked).groupBy("__g", "__blk").agg(*[v.alias(k) for k, v in summ.items()])
 
     wp = Window.partitionBy("__g").orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = {"__p_n": F.sum("__n").over(wp)}
+    prefix = {"__before": F.sum("__n").over(wp)}
     if any(k == "group_count" for k, _ in aggs.values()):
-        prefix["__p_total"] = F.sum("__n").over(Window.partitionBy("__g"))
+        prefix["__whole"] = F.sum("__n").over(Window.partitionBy("__g"))
     for name, (kind, _) in aggs.items():
         s = F.col(f"__s_{name}")
         if kind in ("sum", "count", "dense_rank"):
@@ -295,7 +350,7 @@ def _running_blocked(df, spec, aggs, pk, splits, skip=0):
     offsets = summary.select("__g", "__blk", *[v.alias(k) for k, v in prefix.items()])
 
     joined = local.join(offsets, ["__g", "__blk"], "left")
-    pn = F.coalesce(F.col("__p_n"), F.lit(0))
+    pn = F.coalesce(F.col("__before"), F.lit(0))
     final = {}
     for name, (kind, _) in aggs.items():
         lc, pc = F.col(f"__l_{name}"), F.col(f"__p_{name}")
@@ -317,7 +372,7 @@ def _running_blocked(df, spec, aggs, pk, splits, skip=0):
         elif kind == "dense_rank":
             final[name] = lc + F.coalesce(pc, F.lit(0))
         elif kind == "group_count":
-            final[name] = F.col("__p_total")
+            final[name] = F.col("__whole")
     return joined.select(*cols, *[v.alias(k) for k, v in final.items()])
 
 
@@ -462,13 +517,10 @@ def linear_recurrence(df: DataFrame, order_by, a: str, b: str, out: str, partiti
     pk = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     spec = _order_spec(order_by)
     n_blocks = default_blocks(df) if blocks is None else blocks
-    first, asc = spec[0]
     df = materialize_if_costly(df)
-    key = _block_key(df, first, asc, _common_prefix(df, first))
-    if key is None:
-        raise ValueError("order column must be numeric, text, date or timestamp")
-    splits = block_splits(df, order_by, n_blocks) or []
-    blocked = with_block(df, key, splits, 0 if asc else len(splits), len(splits) if asc else 0)
+    blocked = _cut(df, spec, n_blocks)
+    if blocked is None:
+        blocked = df.withColumn("__blk", F.lit(0))
     order_names = [c for c, _ in spec]
     ascending = [x for _, x in spec]
     # StructType.add mutates in place, and DataFrame.schema is cached: build a new one
@@ -509,3 +561,81 @@ def linear_recurrence(df: DataFrame, order_by, a: str, b: str, out: str, partiti
     joined = local.join(starts, cond, "left")
     return joined.select(*[local[c] for c in df.columns],
                          (local["__A"] * F.coalesce(starts["__xin"], F.lit(x0)) + local["__x"]).alias(out))
+
+
+COEFFICIENT_MAX = 1e150  # beyond it a composed slope is no longer multiplied: the bounds decide
+
+
+def _then(m: tuple[float, float, float, float], a: float, b: float, lo: float, hi: float) -> tuple[float, float, float, float]:
+    """The clamped affine map ``m`` = (A, B, L, H), x -> min(H, max(L, A*x + B)), followed by one more step."""
+    A, B, L, H = m
+    low, high = (min(hi, max(lo, (a * end if a else 0.0) + b)) for end in (L, H))
+    if a < 0:
+        low, high = high, low
+    if abs(a * A) > COEFFICIENT_MAX:
+        return (A, B, low, high) if a > 0 else (-A, -B, low, high)
+    return a * A, a * B + b, low, high
+
+
+def clamped_recurrence(df: DataFrame, order_by, a: str, b: str, out: str, lo: str | float | None = None,
+                       hi: str | float | None = None, partition_by=(), x0: float = 0.0, blocks: int | None = None) -> DataFrame:
+    """Multi-row formula with bounds: ``x = min(hi, max(lo, a*x_prev + b))``.
+
+    Stock that stops at zero, capped balances, throttled counters. ``a`` and
+    ``b`` name columns; ``lo`` and ``hi`` are columns, numbers or None. A row
+    with a null (or NaN) ``a`` or ``b`` carries the previous value on; a null
+    bound is no bound; where ``lo`` exceeds ``hi``, ``hi`` holds.
+
+    Clamped affine maps are closed under composition: a run of rows is one map
+    ``x -> min(H, max(L, A*x + B))``. Each (group, block) composes its rows
+    from the identity, the blocks' maps are composed in order per group (one row
+    a block), and every row applies its map to its block's start. Task size is
+    bounded by the blocks, not by the size of a group. Slopes composed beyond
+    1e150 stay there (what is left between the bounds is decided by them).
+    Give a total order.
+    """
+    pk = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    spec = _order_spec(order_by)
+    bound = lambda v, none: F.lit(none) if v is None else F.col(v).cast("double") if isinstance(v, str) else F.lit(float(v))
+    df = materialize_if_costly(df)
+    blocked = _cut(df, spec, default_blocks(df) if blocks is None else blocks)
+    if blocked is None:
+        blocked = df.withColumn("__blk", F.lit(0))
+    inf = float("inf")
+    blocked = blocked.withColumns({"__lo": F.coalesce(F.nanvl(bound(lo, -inf), F.lit(-inf)), F.lit(-inf)),
+                                   "__hi": F.coalesce(F.nanvl(bound(hi, inf), F.lit(inf)), F.lit(inf))})
+    order_names, ascending = [c for c, _ in spec], [x for _, x in spec]
+    maps = [StructField(f"__{c}", DoubleType()) for c in "ABLH"]
+    schema = StructType(list(blocked.schema.fields) + maps + [StructField("__last", BooleanType())])
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        # nulls first ascending, last descending; the least significant column is sorted first
+        for name, up in reversed(list(zip(order_names, ascending))):
+            pdf = pdf.sort_values(name, ascending=up, kind="mergesort", na_position="first" if up else "last")
+        m, made = (1.0, 0.0, -inf, inf), []
+        for step in zip(*(pdf[c].astype("float64").tolist() for c in (a, b, "__lo", "__hi"))):
+            if step[0] == step[0] and step[1] == step[1]:
+                m = _then(m, *step)
+            made.append(m)
+        pdf = pdf.assign(**{f"__{c}": [x[i] for x in made] for i, c in enumerate("ABLH")}, __last=False)
+        if len(pdf):
+            pdf.iloc[-1, pdf.columns.get_loc("__last")] = True
+        return pdf
+
+    local = materialize_if_costly(blocked.groupBy(*pk, "__blk").applyInPandas(solve, schema))
+    ends = local.filter("__last").select(*pk, "__blk", *[f.name for f in maps])
+    start_schema = StructType(list(ends.select(*pk, "__blk").schema.fields) + [StructField("__xin", DoubleType())])
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__blk")
+        x, ins = x0, []
+        for A, B, L, H in zip(*(pdf[f.name].tolist() for f in maps)):
+            ins.append(x)
+            x = min(H, max(L, A * x + B))
+        return pdf[[*pk, "__blk"]].assign(__xin=ins)
+
+    starts = ends.groupBy(*pk).applyInPandas(compose, start_schema)
+    cond = [local[c].eqNullSafe(starts[c]) for c in pk] + [local["__blk"] == starts["__blk"]]
+    x = local["__A"] * F.coalesce(starts["__xin"], F.lit(x0)) + local["__B"]
+    joined = local.join(starts, cond, "left")
+    return joined.select(*[local[c] for c in df.columns], F.least(local["__H"], F.greatest(local["__L"], x)).alias(out))

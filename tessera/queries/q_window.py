@@ -137,6 +137,30 @@ def w09(spark, d):
     return r.select("event_id", F.round("smooth", 6).alias("smooth"))
 
 
+@register("w09_clamped_recurrence", """
+WITH RECURSIVE n AS (
+  SELECT user_id, event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value - 20 END AS delta,
+         CASE WHEN event_type = 'error' THEN 0.5123456789 WHEN event_id % 7 = 0 THEN -0.2123456789 ELSE 1.0 END AS rate,
+         CASE WHEN event_id % 3 > 0 THEN 60.0 + event_id % 5 END AS cap,
+         row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('month', ts), event_id DESC) AS rn FROM events),
+r AS (SELECT user_id, 0 AS rn, CAST(NULL AS BIGINT) AS event_id, CAST(10 AS DOUBLE) AS x FROM (SELECT DISTINCT user_id FROM n)
+      UNION ALL
+      SELECT n.user_id, n.rn, n.event_id,
+             CASE WHEN n.delta IS NULL THEN r.x ELSE least(coalesce(n.cap, 1e300), greatest(0.0, n.rate * r.x + n.delta)) END
+      FROM r JOIN n ON n.user_id = r.user_id AND n.rn = r.rn + 1)
+SELECT event_id, round(x, 6) AS stock FROM r WHERE event_id IS NOT NULL""")
+def w09_clamped(spark, d):
+    """Stock that neither falls below zero nor above a cap; the first order column holds few values."""
+    i = F.col("event_id")
+    ev = table(spark, d, "events").select(
+        "event_id", "user_id", F.date_trunc("month", "ts").alias("month"), (-i).alias("back"),
+        F.when(i % 11 == 0, None).otherwise(F.col("value") - 20).alias("delta"),
+        F.when(F.col("event_type") == "error", 0.5123456789).when(i % 7 == 0, -0.2123456789).otherwise(1.0).alias("rate"),
+        F.when(i % 3 > 0, 60.0 + i % 5).alias("cap"))
+    r = W.clamped_recurrence(ev, ["month", "back"], "rate", "delta", "stock", 0.0, "cap", "user_id", x0=10.0)
+    return r.select("event_id", F.round("stock", 6).alias("stock"))
+
+
 @register("w10_sql_window", """
 WITH m AS (SELECT o_custkey, date_trunc('year', o_orderdate) AS yr, sum(o_totalprice) AS total
            FROM orders GROUP BY 1, 2)
