@@ -16,6 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .blank import balanced_sum, blank_to_null, coalesce_false, col, lit, to_number
+from .text_format import compile_text
 
 
 def _num(v) -> Column:
@@ -192,49 +193,12 @@ def NETWORKDAYS(start, end, holidays=()) -> Column:
 
 
 # FX12 TEXT -----------------------------------------------------------------
-# Spreadsheet format codes this function accepts and the
-# Spark date pattern each stands for.
-TEXT_DATE_CODES = {
-    "yyyy-mm-dd": "yyyy-MM-dd",
-    "mm/dd/yyyy": "MM/dd/yyyy",
-    "dd/mm/yyyy": "dd/MM/yyyy",
-    "yyyy": "yyyy",
-    "mm": "MM",
-    "mmm": "MMM",
-    "mmmm": "MMMM",
-    "ddd": "EEE",
-    "dddd": "EEEE",
-    "mmm yyyy": "MMM yyyy",
-    "hh:mm:ss": "HH:mm:ss",
-    "yyyy-mm-dd hh:mm:ss": "yyyy-MM-dd HH:mm:ss",
-}
-# Numeric format codes (decimals, thousands separator, percent).
-TEXT_NUMBER_CODES = {
-    "0": (0, False, False),
-    "0.0": (1, False, False),
-    "0.00": (2, False, False),
-    "#,##0": (0, True, False),
-    "#,##0.00": (2, True, False),
-    "0%": (0, False, True),
-    "0.0%": (1, False, True),
-}
-
-
-def TEXT(value, code: str) -> Column:
-    v = col(value)
-    key = code.lower()
-    if key in TEXT_DATE_CODES:
-        return F.date_format(v, TEXT_DATE_CODES[key])
-    if code in TEXT_NUMBER_CODES:
-        decimals, grouped, percent = TEXT_NUMBER_CODES[code]
-        x = v.cast("double") * (100 if percent else 1)
-        x = F.round(x, decimals)
-        if grouped:
-            s = F.format_number(x, decimals)
-        else:
-            s = F.format_string(f"%.{decimals}f", x)
-        return F.concat(s, F.lit("%")) if percent else s
-    raise ValueError(f"unsupported TEXT format code {code!r}")
+def TEXT(value, code: str, serial: bool = False) -> Column:
+    """A number, date or text under a spreadsheet format code (see ``text_format``).
+
+    ``serial``: a date code is applied to day serials instead of dates.
+    """
+    return compile_text(code, col(value), serial)
 
 
 # FX13-FX19 text ------------------------------------------------------------

@@ -540,6 +540,26 @@ def flatten_json(df: DataFrame, column: str, schema: str, out: str | None = None
     return df.withColumn(out or column, parsed)
 
 
+def flatten_variant(df: DataFrame, column: str, path: str = "$", outer: bool = False, prefix: str = "") -> DataFrame:
+    """One row per element of the JSON text at ``path``, without a schema: LATERAL FLATTEN.
+
+    Adds ``pos`` (place), ``key`` (of an object's field; null in arrays),
+    ``value`` (a VARIANT) and ``type`` (its schema as text), each behind
+    ``prefix``. Text that is not JSON, a missing path and values without
+    elements give no row, or with ``outer`` one row of nulls.
+    """
+    parsed = F.try_variant_get(F.try_parse_json(F.col(column)), path, "variant")
+    tvf = df.sparkSession.tvf
+    parts = (tvf.variant_explode_outer if outer else tvf.variant_explode)(parsed.outer())
+    names = [f"{prefix}{c}" for c in ("pos", "key", "value")]
+    return df.lateralJoin(parts.toDF(*names)).withColumn(f"{prefix}type", F.schema_of_variant(names[-1]))
+
+
+def variant_field(column: str, path: str, kind: str = "string") -> Column:
+    """The field at ``path`` of a VARIANT column, or of JSON text by ``F.parse_json``; null where it does not fit."""
+    return F.try_variant_get(F.col(column), path, kind)
+
+
 def make_struct(df: DataFrame, name: str, columns) -> DataFrame:
     return df.withColumn(name, F.struct(*_cols(columns)))
 

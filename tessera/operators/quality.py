@@ -6,6 +6,8 @@ check; meanings are Column predicates; reconciliation is a full outer join.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -90,9 +92,23 @@ def check_dataset(df: DataFrame, checks: list[tuple[str, Column]]) -> DataFrame:
 
 
 # Q4-Q7 meanings ------------------------------------------------------------------------
-# Accented letters folded by NORMALIZED matching, and their base letters.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-UNACCENTED = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+def _latin_folds() -> tuple[str, str]:
+    """Accented Latin letters and their base letters, from the Unicode names of the Latin blocks.
+
+    A letter called "LATIN SMALL LETTER L WITH STROKE" folds to "l"; letters
+    that are no variant of one base letter (such as the ligatures) stay.
+    """
+    marked, base = [], []
+    for block in (range(0x00C0, 0x0250), range(0x1E00, 0x1F00), range(0x2C60, 0x2C80), range(0xA720, 0xA800)):
+        for code in block:
+            named = re.match(r"LATIN (SMALL|CAPITAL) LETTER (DOTLESS )?([A-Z])( WITH .*)?$", unicodedata.name(chr(code), ""))
+            if named:
+                marked.append(chr(code))
+                base.append(named[3].lower() if named[1] == "SMALL" else named[3])
+    return "".join(marked), "".join(base)
+
+
+ACCENTED, UNACCENTED = _latin_folds()
 
 
 def normalize(c, mode: str = "EXACT") -> Column:
@@ -104,7 +120,8 @@ def normalize(c, mode: str = "EXACT") -> Column:
     if mode == "LOWERCASE":
         return F.lower(x)
     if mode == "NORMALIZED":
-        return F.lower(F.regexp_replace(F.translate(x, ACCENTED, UNACCENTED), r"\s+", ""))
+        # combining marks go, so that composed and decomposed spellings agree
+        return F.lower(F.regexp_replace(F.translate(x, ACCENTED, UNACCENTED), r"[\s\p{M}]+", ""))
     raise ValueError("mode is EXACT, LOWERCASE or NORMALIZED")
 
 
@@ -136,24 +153,26 @@ def _py_normalize(s: str, mode: str) -> str:
     if mode.upper() == "LOWERCASE":
         return s.lower()
     table = str.maketrans(ACCENTED, UNACCENTED)
-    return "".join(s.translate(table).lower().split())
+    return "".join(c for c in s.translate(table).lower() if not c.isspace() and not unicodedata.category(c).startswith("M"))
 
 
 def pattern_meaning(column: str, pattern: str) -> Column:
-    """Pattern meaning: the whole value matches the regex (null for null)."""
-    anchored = pattern if pattern.startswith("^") else f"^(?:{pattern})$"
+    """Pattern meaning: the whole value matches the regex (null for null), whether or not it has anchors of its own."""
+    anchored = rf"\A(?:{pattern})\z"
     return F.when(F.col(column).isNotNull(), F.col(column).rlike(anchored))
 
 
 def detect_meaning(df: DataFrame, column: str, meanings: dict[str, Column], sample_fraction: float | None = None,
-                   seed: int = 17) -> DataFrame:
+                   seed: int = 17, key: str | None = None) -> DataFrame:
     """Match ratio of each candidate meaning over non-null values, best first.
 
-    ``sample_fraction`` keeps rows whose hash falls under it (repeatable).
+    ``sample_fraction`` samples rows, not values: those whose ``key`` has a
+    hash under it (the same rows each time), or at random from ``seed``.
     """
     src = df
     if sample_fraction is not None and sample_fraction < 1:
-        src = df.filter(F.xxhash64(F.col(column), F.lit(seed)) < F.lit(int(sample_fraction * 2.0**64) - 2**63))
+        limit = F.lit(int(sample_fraction * 2.0**64) - 2**63)
+        src = df.sample(sample_fraction, seed) if key is None else df.filter(F.xxhash64(F.col(key), F.lit(seed)) < limit)
     nn = F.col(column).isNotNull()
     wide = src.agg(F.count_if(nn).alias("__n"), *[F.count_if(p == F.lit(True)).alias(f"m{i}")
                                                    for i, p in enumerate(meanings.values())])

@@ -184,16 +184,15 @@ def bm25_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_i
 
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)); each distinct query term counts once.
     """
-    dt = tokens(docs, d_id, d_text)
-    # one tokenization: term frequencies, then lengths and document frequencies from them
-    # (document, term, tf) feeds four consumers whose pruned plans differ, so Spark
-    # cannot reuse the exchange: materialize it once instead of tokenizing four times
-    tf = materialize_if_costly(dt.groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf")))
-    dl = tf.groupBy("__id").agg(F.sum("tf").alias("dl"))
-    stats = dl.agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl"))
     qt = materialize_if_costly(tokens(queries, q_id, q_text).distinct().withColumnRenamed("__id", "__qid"))
-    # only postings of terms that some query has go on to the joins
-    hits = tf.join(qt.select("term").distinct(), "term", "left_semi")
+    # only postings of terms that some query has are counted and kept; lengths come from the rows' own arrays
+    words = F.regexp_extract_all(F.lower(F.col(d_text)), F.lit(TOKEN_PATTERN), 0)
+    wanted = materialize_if_costly(qt.select("term").distinct())
+    hits = tokens(docs, d_id, d_text).join(wanted, "term", "left_semi").groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    hits = materialize_if_costly(hits)
+    dl = docs.select(F.col(d_id).alias("__id"), F.size(words).cast("long").alias("dl")).where("dl > 0")
+    dl = materialize_if_costly(dl.groupBy("__id").agg(F.sum("dl").alias("dl")))
+    stats = dl.agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl"))
     dfreq = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     post = hits.join(dl, "__id").join(dfreq, "term")
     post = with_scalars(post, stats)

@@ -9,6 +9,7 @@ numeric helpers, applied as an Arrow-batched ``pandas_udf``.
 from __future__ import annotations
 
 import math
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
@@ -338,11 +339,37 @@ def kaplan_meier(df: DataFrame, time: str, event: str, by=None) -> DataFrame:
                      surv.alias("survival"))
 
 
+def mean_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The listed columns as ranks from 1 (ties: their mean), over the rows in which none is null or NaN.
+
+    Each column's distinct values are counted and numbered by the blocked scan;
+    the rows then meet their value's rank (a join that AQE broadcasts or splits).
+    """
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in columns])
+    out = materialize_if_costly(values.where(complete))
+    for c in columns:
+        # -0.0 and 0.0 are one value
+        level = (F.col(c) + F.lit(0.0)).alias("__v")
+        levels = materialize_if_costly(out.groupBy(level).agg(F.count(F.lit(1)).alias("__n")))
+        upto = running(levels, ["__v"], {"__upto": ("sum", "__n")})
+        ranks = upto.select("__v", (F.col("__upto") - (F.col("__n") - 1) / 2).alias("__rank"))
+        out = out.withColumn("__k", F.col(c) + F.lit(0.0)).join(ranks, F.col("__k") == F.col("__v")).withColumn(c, F.col("__rank")).drop("__k", "__v", "__rank")
+    return out
+
+
 # T10 -----------------------------------------------------------------------------------------
 def correlation_matrix(df: DataFrame, columns: list[str], method: str = "pearson") -> DataFrame:
-    """Pairwise Pearson correlations in one aggregate; one row per column with one value per column."""
-    if method != "pearson":
-        raise ValueError("only pearson is computed in one aggregate; use pyspark.ml.stat.Correlation for spearman")
+    """Pairwise correlations in one aggregate; one row per column with one value per column.
+
+    ``pearson`` uses the rows in which both columns of a pair have a value;
+    ``spearman`` correlates the ranks (ties: their mean) of the rows in which
+    all columns have one.
+    """
+    if method not in ("pearson", "spearman"):
+        raise ValueError("method is pearson or spearman")
+    if method == "spearman":
+        df = mean_ranks(df, columns)
     pairs = {(a, b): F.corr(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]}
     wide = df.agg(*[v.alias(f"{a}__{b}") for (a, b), v in pairs.items()]).first()
     rows = []

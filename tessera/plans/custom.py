@@ -2,11 +2,13 @@
 
 UX1: any ``DataFrame -> DataFrame`` callable is a step (``df.transform``).
 UX2: a vectorised column function (``pandas_udf``, Arrow batches).
-UX3: a grouped map (``applyInPandas``) with a checked bound on group size.
+UX3: a grouped map (``applyInPandas``), over whole groups or, for groups of any
+size, over a stream of batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Callable
 
 import pandas as pd
@@ -26,15 +28,50 @@ def vectorized(fn: Callable[..., pd.Series], return_type: DataType) -> Callable[
 
 
 def grouped_map(df: DataFrame, by, fn: Callable[[pd.DataFrame], pd.DataFrame], schema,
-                max_group_rows: int = 1_000_000) -> DataFrame:
-    """UX3: run ``fn`` on each group as a pandas DataFrame.
+                max_group_rows: int | None = None) -> DataFrame:
+    """UX3: run ``fn`` on each group as one pandas DataFrame.
 
-    A group is processed whole in one task, so the largest group is counted
-    first and a group above ``max_group_rows`` is refused (use a blocked or
-    aggregate formulation for unbounded groups).
+    A task holds a whole group, so this is for groups of a bounded size;
+    ``max_group_rows`` counts the largest one first and refuses more. Groups
+    of any size go through :func:`grouped_stream`.
     """
     keys = [by] if isinstance(by, str) else list(by)
-    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if biggest > max_group_rows:
-        raise ValueError(f"largest group has {biggest} rows, above max_group_rows={max_group_rows}")
+    if max_group_rows is not None:
+        biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if biggest > max_group_rows:
+            raise ValueError(f"largest group has {biggest} rows, above max_group_rows={max_group_rows}")
     return df.groupBy(*keys).applyInPandas(fn, schema)
+
+
+def grouped_stream(df: DataFrame, by, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema,
+                   order_by=(), salts: int = 1, merge: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]] | None = None) -> DataFrame:
+    """UX3 for groups of any size: ``fn`` gets a group's rows in batches and yields rows.
+
+    Memory holds one batch, whatever the size of the group. With ``order_by``
+    the batches come in that order. With ``salts`` a group's rows are dealt to
+    so many tasks, each of which runs ``fn`` on its part; ``merge`` then runs in
+    the same way over what the parts of a group yielded (which has the key columns).
+    """
+    keys = [by] if isinstance(by, str) else list(by)
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from fn(frames)
+
+    def merged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from merge(frames)
+
+    def unsalted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from fn(f.drop(columns="__salt") for f in frames)
+
+    if salts > 1 and (merge is None or order_by):
+        raise ValueError("parts of a group need a merge function and have no common order")
+    placed = df
+    if order_by:
+        # the sort by key that grouping needs is kept by the longer one
+        placed = df.repartition(*keys).sortWithinPartitions(*keys, *order_by)
+    if salts == 1:
+        return placed.groupBy(*keys).applyInPandas(batches, schema)
+    # rows are dealt in turn within each task, so identical rows spread too
+    salted = df.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    parts = salted.groupBy(*keys, "__salt").applyInPandas(unsalted, schema)
+    return parts.groupBy(*keys).applyInPandas(merged, schema)

@@ -163,6 +163,36 @@ def fx12(spark, d):
                     X.TEXT(F.col("p_size") / 100, "0%").alias("t_pct"))
 
 
+@register("fx12_text_codes", """
+WITH p AS (SELECT p_partkey, p_size, p_retailprice AS x, CAST(round(p_retailprice * 100) AS BIGINT) AS cents,
+                  DATE '2024-01-01' + CAST(p_partkey % 366 AS INT) AS d,
+                  TIMESTAMP '2024-01-01 00:00:00' + to_seconds(p_partkey * 7919 % 86400) AS t FROM part)
+SELECT p_partkey, lpad(CAST(p_size AS VARCHAR), 5, '0') AS zeros, '$' || format('{:,.2f}', x) AS money,
+       CASE WHEN p_size < 25 THEN '(' || (25 - p_size) || ')' WHEN p_size = 25 THEN '-' ELSE CAST(p_size - 25 AS VARCHAR) END AS parts,
+       CASE WHEN p_size % 10 = 0 THEN (p_size // 10) || '.' ELSE (p_size // 10) || '.' || (p_size % 10) END AS optional,
+       format('{:,}', CAST(round(x * 1000) AS BIGINT)) || ' m' AS mille, lpad(CAST(p_size AS VARCHAR), 4, ' ') AS spaces,
+       substr(lpad(CAST(cents AS VARCHAR), 9, '0'), 1, 3) || '-' || substr(lpad(CAST(cents AS VARCHAR), 9, '0'), 4, 2) || '-' || right(lpad(CAST(cents AS VARCHAR), 9, '0'), 4) AS dashes,
+       CASE WHEN p_size >= 40 THEN 'large' WHEN p_size < 10 THEN 'small' ELSE CAST(p_size AS VARCHAR) END AS rules,
+       printf('%.1f', CAST(p_size AS DOUBLE)) || '%' AS percent, left(CAST(p_size AS VARCHAR), 1) || '.' || rpad(substr(CAST(p_size AS VARCHAR), 2), 1, '0') || 'E+0' || (length(CAST(p_size AS VARCHAR)) - 1) AS science,
+       strftime(d, '%-d/%-m/%y') AS short, strftime(d, '%A, %B %-d, %Y') AS long, strftime(d, '%a %b %d') AS names, left(strftime(d, '%b'), 1) AS letter,
+       strftime(t, '%-I:%M %p') AS clock, strftime(t, '%H%M%S') AS plain, strftime(t, '%M:%S') AS minutes, (45292 * 24 + hour(t)) || 'h' AS elapsed
+FROM p""")
+def fx12_codes(spark, d):
+    """Codes of every kind: digits, groups, sections, conditions, exponents, dates and times."""
+    p = table(spark, d, "part")
+    size, x = F.col("p_size"), F.col("p_retailprice")
+    day = F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("p_partkey") % 366).cast("int"))
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("p_partkey") * 7919 % 86400).cast("timestamp_ntz")
+    codes = {
+        "zeros": (size, "00000"), "money": (x, "$#,##0.00"), "parts": (size - 25, "0;(0);-"), "optional": (size / 10, "0.#"),
+        "mille": (x * 1000000, '#,##0, "m"'), "spaces": (size, "???0"), "dashes": (F.round(x * 100), "000-00-0000"),
+        "rules": (size, '[>=40]"large";[<10]"small";0'), "percent": (size / 100, "0.0%"), "science": (size, "0.0E+00"),
+        "short": (day, "d/m/yy"), "long": (day, "dddd, mmmm d, yyyy"), "names": (day, "ddd mmm dd"), "letter": (day, "mmmmm"),
+        "clock": (at, "h:mm AM/PM"), "plain": (at, "hhmmss"), "minutes": (at, "mm:ss"), "elapsed": (at, '[h]"h"'),
+    }
+    return p.select("p_partkey", *[X.TEXT(v, code).alias(name) for name, (v, code) in codes.items()])
+
+
 @register("fx13_left_right_mid_len", """
 SELECT c_custkey, left(c_name, 8) AS l, right(c_name, 4) AS r, substr(c_name, 10, 3) AS m, length(c_name) AS n
 FROM customer""")

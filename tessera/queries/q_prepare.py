@@ -491,6 +491,23 @@ def p32b(spark, d):
     return out.select("event_id", F.col("e.k").alias("k"))
 
 
+@register("p32_flatten_variant", """
+WITH e AS (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'no json' WHEN event_id % 5 = 1 THEN '[' || props || ', 7, null, "x"]'
+                                 ELSE '{"a": ' || props || ', "b": [' || event_id || ', 2.5, true]}' END AS j FROM events),
+ok AS (SELECT event_id, CAST(j AS JSON) AS j FROM e WHERE event_id % 5 > 0),
+parts AS (SELECT event_id, key, value FROM ok, json_each(j))
+SELECT event_id, CASE WHEN event_id % 5 = 1 THEN NULL ELSE key END AS key,
+       CASE WHEN json_type(value) = 'NULL' THEN NULL ELSE coalesce(value ->> '$', CAST(value AS VARCHAR)) END AS value,
+       CAST(json_extract(value, '$.k') AS DOUBLE) AS k
+FROM parts""")
+def p32v(spark, d):
+    i = F.col("event_id")
+    text = (F.when(i % 5 == 0, "no json").when(i % 5 == 1, F.concat(F.lit("["), "props", F.lit(', 7, null, "x"]')))
+            .otherwise(F.concat(F.lit('{"a": '), "props", F.lit(', "b": ['), i.cast("string"), F.lit(", 2.5, true]}"))))
+    flat = P.flatten_variant(table(spark, d, "events").select("event_id", text.alias("j")), "j")
+    return flat.select("event_id", "key", P.variant_field("value", "$").alias("value"), P.variant_field("value", "$.k", "bigint").cast("double").alias("k"))
+
+
 @register("p34_prepare_chain", """
 SELECT o_orderkey, lower(o_orderpriority) AS prio, o_totalprice * 1.1 AS gross,
        strftime(o_orderdate, '%Y') AS yr

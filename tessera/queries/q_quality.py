@@ -90,6 +90,19 @@ def q06(spark, d):
     return Q.meaning_counts(ev, "props", Q.pattern_meaning("props", r'\{"k": [0-9]+\}'))
 
 
+@register("q06_pattern_anchors", r"""
+SELECT CAST(count_if(regexp_full_match(name, 'Customer#0000[0-9]+')) AS BIGINT) AS valid,
+       CAST(count_if(NOT regexp_full_match(name, 'Customer#0000[0-9]+')) AS BIGINT) AS invalid,
+       CAST(count_if(name IS NULL) AS BIGINT) AS empty
+FROM (SELECT CASE c_custkey % 4 WHEN 0 THEN c_name || ' x' WHEN 1 THEN c_name || chr(10) WHEN 2 THEN NULL ELSE c_name END AS name FROM customer)""")
+def q06_anchors(spark, d):
+    """A pattern with anchors of its own still has to match the whole value."""
+    k = F.col("c_custkey") % 4
+    c = table(spark, d, "customer").select(F.when(k == 0, F.concat("c_name", F.lit(" x"))).when(k == 1, F.concat("c_name", F.lit("\n")))
+                                           .when(k == 3, F.col("c_name")).alias("name"))
+    return Q.meaning_counts(c, "name", Q.pattern_meaning("name", "^Customer#0000[0-9]+$"))
+
+
 @register("q07_detect_meaning", r"""
 SELECT meaning, ratio FROM (
   SELECT 'url' AS meaning, count_if(regexp_full_match(url, 'https?://[^ ]+')) / count(url) AS ratio FROM pages

@@ -173,14 +173,23 @@ def ux2(spark, d):
 
 
 @register("ux3_grouped_map", """
-SELECT n_regionkey, count(*) AS n, min(n_name) AS first_name FROM nation GROUP BY 1""")
+SELECT o_custkey, CAST(year(o_orderdate) AS INT) AS yr, count(*) AS n, min(o_orderkey) AS first_key,
+       round(max(o_totalprice) - min(o_totalprice), 2) AS spread FROM orders GROUP BY 1, 2""")
 def ux3(spark, d):
+    """A step over each customer's orders of a year, in batches."""
     import pandas as pd
 
     from ..plans import custom as UX
 
-    def one(group):
-        return pd.DataFrame({"n_regionkey": [group["n_regionkey"].iloc[0]], "n": [len(group)], "first_name": [group["n_name"].min()]})
-
-    schema = f"n_regionkey {dict(table(spark, d, 'nation').dtypes)['n_regionkey']}, n long, first_name string"
-    return UX.grouped_map(table(spark, d, "nation").select("n_regionkey", "n_name"), "n_regionkey", one, schema)
+    def one(batches):
+        n, least, low, high = 0, None, None, None
+        for b in batches:
+            key = (b["o_custkey"].iloc[0], b["yr"].iloc[0])
+            n += len(b)
+            least = int(b["o_orderkey"].min()) if least is None else min(least, int(b["o_orderkey"].min()))
+            low = b["o_totalprice"].min() if low is None else min(low, b["o_totalprice"].min())
+            high = b["o_totalprice"].max() if high is None else max(high, b["o_totalprice"].max())
+        yield pd.DataFrame({"o_custkey": [key[0]], "yr": [key[1]], "n": [n], "first_key": [least], "spread": [round(high - low, 2)]})
+
+    o = table(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("yr"), "o_orderkey", "o_totalprice")
+    return UX.grouped_stream(o, ["o_custkey", "yr"], one, "o_custkey long, yr int, n long, first_key long, spread double")

@@ -180,3 +180,15 @@ def _corr_sql():
 def t10(spark, d):
     m = T.correlation_matrix(table(spark, d, "lineitem"), _CORR_COLS)
     return m.withColumns({c: F.round(c, 9) for c in _CORR_COLS})
+
+
+def _spearman_sql() -> str:
+    ranks = ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in _CORR_COLS)
+    rows = [f"SELECT '{a}' AS \"column\", " + ", ".join(f"round(corr({a}, {b}), 9) AS {b}" if a != b else f"1.0::DOUBLE AS {b}" for b in _CORR_COLS) + " FROM r" for a in _CORR_COLS]
+    return f"WITH r AS (SELECT {ranks} FROM lineitem) " + " UNION ALL ".join(rows)
+
+
+@register("t10_rank_correlation", _spearman_sql())
+def t10_spearman(spark, d):
+    m = T.correlation_matrix(table(spark, d, "lineitem"), _CORR_COLS, method="spearman")
+    return m.withColumns({c: F.round(c, 9) for c in _CORR_COLS})
