@@ -176,18 +176,19 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP4_SQL = """
-WITH t AS (SELECT conv_id, turn, CAST(floor(turn / 64) AS BIGINT) AS segment, replace(coalesce(role, 'unknown'), '<|', '< |') AS role,
+WITH t0 AS (SELECT conv_id, turn, CAST(floor(turn / 64) AS BIGINT) AS segment, replace(coalesce(role, 'unknown'), '<|', '< |') AS role,
                   replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
+t AS (SELECT *, (row_number() OVER (PARTITION BY conv_id, segment ORDER BY turn, role, text) - 1) // 64 AS part FROM t0),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
-p AS (SELECT t.conv_id, speaker, segment, turn, role, text, role = speaker AS own,
+p AS (SELECT t.conv_id, speaker, segment, part, turn, role, text, role = speaker AS own,
         CASE WHEN role = speaker THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>' ELSE '<|user name=' || role || '|>' END || chr(10) AS head,
         text || '<|end|>' || chr(10) AS body
       FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
-o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, segment ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS stop FROM p)
-SELECT conv_id, speaker, segment, count(*) AS n_turns, CAST(sum(CAST(own AS INT)) AS BIGINT) AS n_spoken,
+o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, segment, part ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS stop FROM p)
+SELECT conv_id, speaker, segment, part, count(*) AS n_turns, CAST(sum(CAST(own AS INT)) AS BIGINT) AS n_spoken,
        md5(string_agg(head || body, '' ORDER BY turn, role, text)) AS rendered_md5,
        coalesce(string_agg(CASE WHEN own THEN CAST(stop - length(body) AS BIGINT) || '-' || CAST(stop AS BIGINT) END, ',' ORDER BY turn, role, text), '') AS masks
-FROM o GROUP BY conv_id, speaker, segment
+FROM o GROUP BY conv_id, speaker, segment, part
 """
 
 
@@ -199,7 +200,7 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranges = F.transform("masks", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return rotate(turns).select(
-        "conv_id", "speaker", "segment", "n_turns", "n_spoken", F.md5(F.col("rendered").cast("binary")).alias("rendered_md5"), F.array_join(ranges, ",").alias("masks")
+        "conv_id", "speaker", "segment", "part", "n_turns", "n_spoken", F.md5(F.col("rendered").cast("binary")).alias("rendered_md5"), F.array_join(ranges, ",").alias("masks")
     )
 
 
