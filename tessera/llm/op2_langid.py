@@ -163,8 +163,10 @@ def predict(docs: DataFrame, model: Kernel | None, text: str = "text", sharpness
                 sure = ascii_letters[at[1:]] > ascii_letters[at[:-1]]
                 found = known.presence(data, at, column)
                 letters = [bool(s) or _has_letter(data[a:b].tobytes()) for s, a, b in zip(sure, at[:-1], at[1:])]
-                ok = np.array(letters) & (found.sum(axis=1) > 0)
-                odds = np.exp(sharpness * (s := known.scores(found)) - sharpness * s.max(axis=1, keepdims=True))
+                ok = np.array(letters)
+                # a text that shares no n-gram with the model has a kernel of 0 to all: every language is as likely
+                s = np.where(found.sum(axis=1, keepdims=True) > 0, np.nan_to_num(known.scores(found)), 0)
+                odds = np.exp(sharpness * s - sharpness * s.max(axis=1, keepdims=True))
                 first = odds.argmax(axis=1)
                 best = np.where(ok, (1 / odds.sum(axis=1)).astype(float), 0.0)
                 names = [known.languages[i] if fine else UNKNOWN for i, fine in zip(first, ok)]

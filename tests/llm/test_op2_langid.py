@@ -40,6 +40,10 @@ def test_odd_rows(spark):
     assert len(got) == 6 and all(0 <= r["score"] <= 1 for r in got)
     assert [r["lang_pred"] for r in got if r["doc_id"] in (1, 2, 3)] == ["und"] * 3
     assert {r["lang_pred"] for r in got if r["text"] and r["text"].startswith("the")} == {"en"}
+    far = spark.createDataFrame([(7, "你好"), (8, "你 1 "), (9, "1 2")], "doc_id long, text string")
+    plain = fit(docs.where("text rlike '^[ -~\\n]*$'"), F.lit(True), rows=60)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in predict(far, plain).collect()}
+    assert got[7][0] in plain.languages and got[8][0] in plain.languages and 0 < got[7][1] <= 1 and got[9] == ("und", 0.0)
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert fit(none, F.lit(True)) is None and predict(none, model).count() == 0
     assert {r["lang_pred"] for r in predict(docs.limit(3), None).collect()} == {"und"}
