@@ -132,7 +132,7 @@ def write_archives(
     light = rows.mapInArrow(_digests, f"name {kind}, digest string, n_bytes long")
     least = light.groupBy("digest").agg(F.min("name").alias("first")).select(F.col("digest").alias("d"), "first")
     joined = packed.join(least, F.col("digest") == F.col("d")).drop("d")  # a payload of very many pages is a skewed join, which Spark splits
-    archives = [json.loads(r["archive"]) for r in joined.mapInArrow(store, "archive string").toLocalIterator()]  # a row for each archive file
+    archives = [json.loads(r["archive"]) for r in joined.mapInArrow(store, "archive string").collect()]  # names and offsets of the archive files, in one job
     system, base = place(folder)
     system.create_dir(base, recursive=True)
     with system.open_output_stream(f"{base}/{LISTING}") as f:
