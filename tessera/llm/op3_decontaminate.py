@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tessera.llm.common import chunks, materialize, without
 
 #: Item bytes of one automaton; beyond them the items are cut into shards.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 2 << 20
 
 #: Lower-cases A-Z; digits, a-z and all bytes of non-ASCII characters are word bytes.
 WORD_BYTES = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
