@@ -219,14 +219,16 @@ def ranked(
     gain = gains(bucket_counts(docs, text, runs, buckets), bucket_counts(target, target_text, runs, buckets))
     rows = scored(docs, gain, key, text, runs, seed, keep_text).withColumn("_pos", F.monotonically_increasing_id())
     rows = materialize(rows, "scored")
-    lowest = F.lit(-(1 << 63))
-    eligible = rows.where(F.col("n_words") >= min_words).select(
+    able = rows.where(F.col("n_words") >= min_words)
+    edge = able.agg(F.count("*").alias("n"), F.max("score").alias("top")).first()
+    lowest, top = F.lit(-(1 << 63)), F.lit(edge["top"]).cast("long")
+    eligible = able.select(
         F.col("_pos").alias("pos"),
-        F.bitwise_not("score").bitwiseXOR(lowest).alias("down"),
+        (top - F.col("score")).alias("down"),
         F.col(key).isNotNull().cast("long").alias("there"),
         F.coalesce(F.col(key).cast("long").bitwiseXOR(lowest), F.lit(0)).alias("up"),
     )
-    drawn = percent * eligible.count() // 100
+    drawn = percent * edge["n"] // 100
     ranks = radix_ranks(eligible, ["down", "there", "up"]).where(F.col("rank") <= drawn).withColumnRenamed("pos", "_at")
     return rows.join(ranks, F.col("_pos") == F.col("_at"), "left").drop("_pos", "_at")
 
