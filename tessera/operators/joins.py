@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import with_scalars
-from .window import running
+from .window import materialize_if_costly, running
 
 HOWS = {"LEFT": "left", "INNER": "inner", "RIGHT": "right", "OUTER": "full", "FULL": "full",
         "LEFT_ANTI": "left_anti", "LEFT_SEMI": "left_semi"}
@@ -122,8 +122,7 @@ def match_merge(x: DataFrame, y: DataFrame, by, keep: str = "all", in_x: str | N
     ``keep``: ``'x'`` (if inX), ``'y'`` (if inY), ``'both'`` (if inX and inY),
     ``'all'`` (no subsetting). On a match, y's same-named columns win (even
     when missing), as in the program data vector. Many-to-many merges are
-    refused when ``check`` (SAS pairs those by position, which has no
-    relational meaning).
+    refused when ``check``; :func:`match_merge_by_position` pairs them.
     """
     by = [by] if isinstance(by, str) else list(by)
     if check:
@@ -143,6 +142,46 @@ def match_merge(x: DataFrame, y: DataFrame, by, keep: str = "all", in_x: str | N
     return _merge_select(xs.join(ys, [xs[k].eqNullSafe(ys[k]) for k in by], how), xs, ys, x, y, by, in_x, in_y)
 
 
+def match_merge_by_position(tables: list[tuple[DataFrame, object]], by, in_flags: list[str] | None = None) -> DataFrame:
+    """``merge a b c ...; by k;`` of any number of tables, repeats on every side allowed.
+
+    ``tables`` are (table, order columns), the order being that of its rows
+    within a by value (make it total). Rows of a by value are paired by
+    position; a table that has run out keeps its last row. A column of several
+    tables takes the value of the last one, in the order listed, that gave a new
+    row; at a position where none did, the value stays. ``in_flags`` name
+    columns that say which tables have the by value. Null by values match.
+
+    Positions come from the blocked scan, and pairing is a join on (by,
+    position), so a frequent by value is spread over its positions.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    numbered, values = [], []
+    for t, order in tables:
+        n = running(t, order, {"__p": ("row_number", None), "__n": ("group_count", None)}, by)
+        numbered.append(materialize_if_costly(n.withColumn("__g", F.struct(*by))))
+        values.append([c for c in t.columns if c not in by])
+    spine = reduce(DataFrame.unionByName, [n.select("__g", "__p") for n in numbered]).distinct()
+    for i, (n, own) in enumerate(zip(numbered, values)):
+        sizes = n.where("__p = 1").select("__g", F.col("__n").alias(f"__n{i}"))
+        spine = spine.join(sizes, "__g", "left").withColumn(f"__at{i}", F.least("__p", f"__n{i}"))
+        right = n.select(F.col("__g").alias("__h"), F.col("__p").alias("__q"), F.struct(F.lit(1).alias("__one"), *own).alias(f"__v{i}"))
+        # least ignores nulls: a table without the by value has no size and matches nothing
+        on = (F.col("__g") == F.col("__h")) & (F.col(f"__at{i}") == F.col("__q")) & F.col(f"__n{i}").isNotNull()
+        spine = spine.join(right, on, "left").drop("__h", "__q")
+    out = []
+    for c in dict.fromkeys(c for own in values for c in own):
+        have = [i for i, own in enumerate(values) if c in own]
+        x = F.col(f"__v{have[0]}")[c]
+        if len(have) > 1:
+            newest = F.least(F.col("__p"), F.greatest(*[F.coalesce(f"__n{i}", F.lit(0)) for i in have]))
+            for i in have[1:]:
+                x = F.when(F.col(f"__n{i}") >= newest, F.col(f"__v{i}")[c]).otherwise(x)
+        out.append(x.alias(c))
+    flags = [F.col(f"__n{i}").isNotNull().alias(name) for i, name in enumerate(in_flags or []) if name]
+    return spine.select(*[F.col(f"__g.{k}").alias(k) for k in by], *out, *flags)
+
+
 def _merge_select(j: DataFrame, xs: DataFrame, ys: DataFrame, x: DataFrame, y: DataFrame, by, in_x, in_y) -> DataFrame:
     shared = [c for c in x.columns if c in y.columns and c not in by]
     out = [F.coalesce(xs[k], ys[k]).alias(k) for k in by]

@@ -8,14 +8,17 @@ precision, lift and threshold curves are exact without a global sort.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .common import with_scalars
-from .window import running
+from .window import materialize_if_costly, running
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -183,6 +186,36 @@ def cross_validate(df: DataFrame, target: str, task: str, features: list[str], a
     return model, rows
 
 
+def cross_test(df: DataFrame, target: str, task: str, features: list[str], algorithm: str, params: dict | None = None,
+               folds: int = 3, seed: int = 7, vector_features=()) -> DataFrame:
+    """M6: K-fold cross-test with every metric: (metric, mean, std, folds), one row per metric.
+
+    Rows are dealt to folds at random (written once, so each row stays in its
+    fold) and scored by a model fitted on the other folds. All folds are
+    measured together: score levels by fold, one scan over them. ``std`` is the
+    sample deviation over the folds in which the metric is defined.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    dealt = df.withColumn("__fold", F.floor(F.rand(seed) * folds).cast("int")).checkpoint(eager=True)
+    parts = []
+    for k in range(folds):
+        model = train(dealt.where(F.col("__fold") != k), target, task, features, algorithm, params, vector_features)
+        parts.append(score(model, dealt.where(F.col("__fold") == k), target, vector_features))
+    wanted = ["__fold", "label", "prediction"] + (["score"] if task == "BINARY_CLASSIFICATION" else [])
+    scored = materialize_if_costly(reduce(DataFrame.unionByName, [p.select(*wanted) for p in parts])).where(F.col("label").isNotNull())
+    y, p = F.col("label"), F.col("prediction")
+    if task == "REGRESSION":
+        by = scored.groupBy("__fold").agg(F.sqrt(F.avg((p - y) ** 2)).alias("rmse"), F.avg(F.abs(p - y)).alias("mae"),
+                                          (1 - F.try_divide(F.sum((p - y) ** 2), F.var_pop(y) * F.count(y))).alias("r2"))
+    elif task == "BINARY_CLASSIFICATION":
+        by = binary_metrics_by(scored, "score", "label", "__fold")
+    else:
+        by = scored.groupBy("__fold").agg(F.avg((p == y).cast("double")).alias("accuracy"))
+    names = [c for c in by.columns if c != "__fold"]
+    rows = by.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in names])).alias("m"))
+    return rows.groupBy(F.col("m.metric").alias("metric")).agg(F.avg("m.v").alias("mean"), F.stddev("m.v").alias("std"), F.count("m.v").alias("folds"))
+
+
 # M7-M9 metrics -----------------------------------------------------------------------------
 def _levels(df: DataFrame, score_col: str, label_col: str) -> DataFrame:
     s = F.col(score_col).cast("double")
@@ -232,6 +265,28 @@ def binary_metrics(df: DataFrame, score_col: str, label_col: str, threshold: flo
     return with_scalars(curve, pt)
 
 
+def binary_metrics_by(df: DataFrame, score_col: str, label_col: str, by: str, threshold: float = 0.5, eps: float = 1e-15) -> DataFrame:
+    """One row per value of ``by``: auc, average_precision, log_loss, precision, recall, f1 (as in :func:`binary_metrics`)."""
+    s, y = F.col(score_col).cast("double"), F.col(label_col).cast("double")
+    lv = df.groupBy(by, s.alias("s")).agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
+    asc = running(lv, ["s"], {"neg_le": ("sum", "neg")}, by)
+    desc = running(asc, [("s", False)], {"tp": ("sum", "pos"), "fp": ("sum", "neg")}, by)
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    # in sums over levels the totals of a group can be divided out at the end
+    curve = desc.groupBy(by).agg(
+        F.sum("pos").alias("P"), F.sum("neg").alias("N"),
+        F.sum(pos * (F.col("neg_le") - F.col("neg")) + 0.5 * pos * neg).alias("pairs"),
+        F.sum(pos * F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))).alias("gains"))
+    curve = curve.select(by, F.try_divide("pairs", F.col("P").cast("double") * F.col("N")).alias("auc"), F.try_divide("gains", "P").alias("average_precision"))
+    p = F.least(F.greatest(s, F.lit(eps)), F.lit(1 - eps))
+    hit = s >= threshold
+    tp, fp, fn = F.count_if(hit & (y == 1)), F.count_if(hit & (y != 1)), F.count_if(~hit & (y == 1))
+    point = df.groupBy(F.col(by).alias("__by")).agg(
+        (-F.avg(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"), F.try_divide(tp, tp + fp).alias("precision"),
+        F.try_divide(tp, tp + fn).alias("recall"), F.try_divide(2 * tp, 2 * tp + fp + fn).alias("f1"))
+    return curve.join(point, F.col(by).eqNullSafe(F.col("__by"))).drop("__by")
+
+
 def lift_table(df: DataFrame, score_col: str, label_col: str, bins: int = 10) -> DataFrame:
     """M8: rows ranked by score (descending, ties by score only) into ``bins`` equal-count bins;
     per bin: rows, positives, rate, lift over the overall rate, mean score, and

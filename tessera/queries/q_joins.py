@@ -141,6 +141,27 @@ def j08x(spark, d):
     return as_double(J.match_merge(x, y, "k", keep="x"), "n_orders")
 
 
+@register("j08_match_merge_positional", """
+WITH x AS (SELECT c_nationkey AS k, c_custkey, c_acctbal AS v, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS p FROM customer WHERE c_nationkey % 7 <> 3),
+     y AS (SELECT s_nationkey AS k, s_suppkey, s_acctbal AS v, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS p FROM supplier WHERE s_nationkey <> 5),
+     z AS (SELECT n_nationkey AS k, n_name, 1 AS p FROM nation WHERE n_nationkey <> 9),
+     n AS (SELECT k, (SELECT count(*) FROM x WHERE x.k = a.k) AS nx, (SELECT count(*) FROM y WHERE y.k = a.k) AS ny, (SELECT count(*) FROM z WHERE z.k = a.k) AS nz
+           FROM (SELECT k FROM x UNION SELECT k FROM y UNION SELECT k FROM z) a),
+     spine AS (SELECT n.*, unnest(range(1, greatest(nx, ny, nz) + 1)) AS p FROM n)
+SELECT spine.k, CAST(c_custkey AS DOUBLE) AS c_custkey, CASE WHEN ny >= least(spine.p, greatest(nx, ny)) AND ny > 0 THEN y.v ELSE x.v END AS v,
+       CAST(s_suppkey AS DOUBLE) AS s_suppkey, n_name, nx > 0 AS in_x, ny > 0 AS in_y, nz > 0 AS in_z
+FROM spine LEFT JOIN x ON x.k = spine.k AND x.p = least(spine.p, nx) LEFT JOIN y ON y.k = spine.k AND y.p = least(spine.p, ny)
+     LEFT JOIN z ON z.k = spine.k AND z.p = least(spine.p, nz)""")
+def j08_positional(spark, d):
+    """Three tables whose by values repeat, paired row by row."""
+    k = lambda c: F.col(c).alias("k")
+    x = table(spark, d, "customer").filter("c_nationkey % 7 <> 3").select(k("c_nationkey"), "c_custkey", F.col("c_acctbal").alias("v"))
+    y = table(spark, d, "supplier").filter("s_nationkey <> 5").select(k("s_nationkey"), "s_suppkey", F.col("s_acctbal").alias("v"))
+    z = table(spark, d, "nation").filter("n_nationkey <> 9").select(k("n_nationkey"), "n_name")
+    merged = J.match_merge_by_position([(x, ["c_custkey"]), (y, [("v", False), "s_suppkey"]), (z, ["n_name"])], "k", ["in_x", "in_y", "in_z"])
+    return as_double(merged, "c_custkey", "s_suppkey")
+
+
 @register("j09_lookup_exact", """
 WITH lk AS (SELECT n_nationkey AS k, n_name AS name, 1 AS ord FROM nation WHERE n_nationkey < 20
             UNION ALL SELECT n_nationkey, lower(n_name), 2 FROM nation),

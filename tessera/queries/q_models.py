@@ -66,6 +66,12 @@ def m06(spark, d):
     return spark.createDataFrame([(str(p), a, s) for p, a, s in rows], "params string, auc_mean double, auc_std double")
 
 
+@register("m06_cross_test")
+def m06_test(spark, d):
+    """Every metric of a cross-test, with its deviation over the folds."""
+    return M.cross_test(_doc_labels(spark, d), "quality", "BINARY_CLASSIFICATION", ["n_chars", "lang"], "logistic", folds=3)
+
+
 _SCORE_SQL = "SELECT least(n_chars / 20000.0, 1.0) AS s, CAST(quality AS DOUBLE) AS y FROM documents JOIN labels USING (doc_id)"
 
 
