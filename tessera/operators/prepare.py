@@ -5,8 +5,8 @@ multi-output tools) and adds only narrow projections and filters, so a chain
 of them collapses into one whole-stage-codegen stage and filters reach the
 Parquet scan. Two read a bounded amount of data to the driver:
 ``dynamic_rename`` from a table (at most one row per existing column) and
-``find_replace`` in substring mode (a rule table counted to at most
-``automaton_max`` rows; larger rule tables switch to an exact substring join).
+``find_replace`` in substring mode (rules up to ``inline_max``; beyond, an exact
+substring join needs the rules' distinct lengths only).
 """
 
 from __future__ import annotations
