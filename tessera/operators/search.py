@@ -11,7 +11,9 @@ counts are derived from the table sizes so a task holds a bounded matrix.
 
 Keyword scoring (BM25) is relational: tokens are exploded, document
 frequency / term frequency / document length are aggregates, and query terms
-meet postings in an equi-join on the term (AQE splits hot terms).
+meet postings in an equi-join on the term (AQE splits hot terms). Bounds on
+what a term can add keep very common terms out of that join, but for the
+documents that can still be among the best.
 """
 
 from __future__ import annotations
@@ -169,37 +171,87 @@ def mmr_search(queries: DataFrame, docs: DataFrame, q_id: str, q_vec: str, d_id:
 
 
 # Keyword (BM25) --------------------------------------------------------------------------
-TOKEN_PATTERN = r"\p{L}+"
+NO_LETTERS = r"\P{L}+"
+PROBE = 20  # postings scored first, for each of a query's k results
+SCORE_MARGIN = 1e-6  # scores are compared to 9 places; bounds leave room for the order of summation
 
 
 def tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, term) rows: lower-cased letter runs of the whole text."""
-    return df.select(F.col(id_col).alias("__id"),
-                     F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0)).alias("term"))
+    return df.select(F.col(id_col).alias("__id"), F.explode(F.split(F.lower(F.col(text_col)), NO_LETTERS)).alias("term")).where("term <> ''")
 
 
-def bm25_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_id: str, d_text: str,
-                k: int = 10, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """BM25 keyword search: the ``k`` best documents per query.
+def postings(qt: DataFrame, docs: DataFrame, d_id: str, d_text: str, k1: float, b: float) -> DataFrame:
+    """(term, __id, __s): the BM25 share of every query term in every document that has it.
 
-    idf = ln(1 + (N - df + 0.5) / (df + 0.5)); each distinct query term counts once.
+    The texts are read once: a token that no query has is counted under the
+    null term, so a document's length is the sum of its own counts.
     """
-    qt = materialize_if_costly(tokens(queries, q_id, q_text).distinct().withColumnRenamed("__id", "__qid"))
-    # only postings of terms that some query has are counted and kept; lengths come from the rows' own arrays
-    words = F.regexp_extract_all(F.lower(F.col(d_text)), F.lit(TOKEN_PATTERN), 0)
-    wanted = materialize_if_costly(qt.select("term").distinct())
-    hits = tokens(docs, d_id, d_text).join(wanted, "term", "left_semi").groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    hits = materialize_if_costly(hits)
-    dl = docs.select(F.col(d_id).alias("__id"), F.size(words).cast("long").alias("dl")).where("dl > 0")
-    dl = materialize_if_costly(dl.groupBy("__id").agg(F.sum("dl").alias("dl")))
+    wanted = materialize_if_costly(qt.select("term").distinct()).withColumn("__w", F.lit(True))
+    counts = tokens(docs, d_id, d_text).join(wanted, "term", "left").groupBy(
+        "__id", F.when(F.col("__w"), F.col("term")).alias("term")).agg(F.count(F.lit(1)).alias("tf"))
+    counts = materialize_if_costly(counts)
+    dl = counts.groupBy("__id").agg(F.sum("tf").alias("dl"))
     stats = dl.agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl"))
+    hits = counts.where("term IS NOT NULL")
     dfreq = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    post = hits.join(dl, "__id").join(dfreq, "term")
-    post = with_scalars(post, stats)
+    post = with_scalars(hits.join(dl, "__id").join(dfreq, "term"), stats)
     idf = F.log(F.lit(1.0) + (F.col("N") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    scored = qt.join(post.select("term", "__id", part.alias("__s")), "term").groupBy("__qid", "__id").agg(
-        F.sum("__s").alias("score"))
+    return materialize_if_costly(post.select("term", "__id", part.alias("__s")))
+
+
+def _scores(terms: DataFrame, post: DataFrame) -> DataFrame:
+    return terms.select("__qid", "term").join(post, "term").groupBy("__qid", "__id").agg(F.sum("__s").alias("__s"))
+
+
+def _kth_best(scored: DataFrame, k: int) -> DataFrame:
+    """(__qid, __tau): the k-th best score of each query that has k scores."""
+    w = Window.partitionBy("__qid").orderBy(F.desc("__s"))
+    best = scored.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k)
+    return best.groupBy("__qid").agg(F.min("__s").alias("__tau"), F.count(F.lit(1)).alias("__n")).where(
+        F.col("__n") == k).drop("__n")
+
+
+def term_plan(qt: DataFrame, post: DataFrame, k: int) -> DataFrame:
+    """(__qid, term, df, u, essential): the terms of each query by whether they can lift a document into its top ``k``.
+
+    A query's rarest terms are scored first; the k-th best of these scores is
+    a floor of the final k-th best. The terms whose greatest shares (``u``),
+    the smallest first, add up to less than that floor cannot reach it alone.
+    """
+    heads = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("__s").alias("u"))
+    by_df = Window.partitionBy("__qid").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
+    by_u = Window.partitionBy("__qid").orderBy("u", "term").rowsBetween(Window.unboundedPreceding, 0)
+    terms = materialize_if_costly(qt.join(heads, "term").withColumns(
+        {"__before": F.coalesce(F.sum("df").over(by_df), F.lit(0)), "__reach": F.sum("u").over(by_u)}))
+    floor = _kth_best(_scores(terms.where(F.col("__before") < PROBE * k), post), k)
+    essential = F.col("__tau").isNull() | (F.col("__reach") >= F.col("__tau") - SCORE_MARGIN)
+    return materialize_if_costly(terms.join(floor, "__qid", "left").select("__qid", "term", "df", "u", essential.alias("essential")))
+
+
+def bm25_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_id: str, d_text: str,
+                k: int = 10, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """BM25 keyword search: the ``k`` best documents per query.
+
+    idf = ln(1 + (N - df + 0.5) / (df + 0.5)); each distinct query term counts
+    once. Only the postings of a query's essential terms (``term_plan``) are
+    scored in full; its other terms, the very common ones, are looked up just
+    for the documents that can still reach the top ``k``. The rows are those
+    of scoring everything.
+    """
+    qt = materialize_if_costly(tokens(queries, q_id, q_text).distinct().withColumnRenamed("__id", "__qid"))
+    post = postings(qt, docs, d_id, d_text, k1, b)
+    plan = term_plan(qt, post, k)
+    part = materialize_if_costly(_scores(plan.where("essential"), post))
+    rest = plan.where("NOT essential")
+    slack = rest.groupBy("__qid").agg(F.sum("u").alias("__rest"))
+    bound = slack.join(_kth_best(part, k), "__qid", "left")
+    near = part.join(bound, "__qid", "left").where(
+        F.col("__rest").isNull() | F.col("__tau").isNull() | (F.col("__s") + F.col("__rest") >= F.col("__tau") - SCORE_MARGIN))
+    near = materialize_if_costly(near.select("__qid", "__id", "__s"))
+    more = near.select("__qid", "__id").join(rest.select("__qid", "term"), "__qid").join(post, ["term", "__id"])
+    scored = near.unionByName(more.select("__qid", "__id", "__s")).groupBy("__qid", "__id").agg(F.sum("__s").alias("score"))
     w = Window.partitionBy("__qid").orderBy(F.desc(F.round("score", 9)), F.asc("__id"))
     top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return top.select(F.col("__qid").alias(q_id), F.col("__id").alias(d_id), "score", F.col("rank").cast("bigint").alias("rank"))
