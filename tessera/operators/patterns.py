@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .prepare import first_rule
+from .rule_match import with_first_rule
 
 # Default normalisation rules (pattern, replacement), applied in order.
 DEFAULT_RULES = [
@@ -74,8 +74,8 @@ def classify(df: DataFrame, id_col: str, text_col: str, rules: DataFrame, keywor
     word of the text; words are exploded and joined to the rules on the
     keyword, then the smallest priority per record wins (a partial
     aggregation). ``match='substring'``: up to ``inline_max`` rules compile to
-    one chained expression; beyond that the substrings of each distinct text,
-    of each rule length, are joined to the rules. Both compare lower-cased text,
+    one chained expression; more become automata (``rule_match``), which read
+    each text once. Both compare lower-cased text,
     skip rules without a keyword and give the category as text.
     """
     r = rules.select(F.lower(F.col(keyword).cast("string")).alias("__kw"), F.col(category).cast("string").alias("__cat"), F.col(priority).alias("__p"))
@@ -95,6 +95,5 @@ def classify(df: DataFrame, id_col: str, text_col: str, rules: DataFrame, keywor
             cond = F.instr(text, row["__kw"]) > 0
             expr = (F.when if expr is None else expr.when)(cond, F.lit(row["__cat"]))
         return df.withColumn(out, fallback if expr is None else expr.otherwise(fallback))
-    best = first_rule(df.select(text.alias("__v")), r.select(F.col("__kw").alias("__find"), F.struct("__p", "__kw", "__cat").alias("__rule")))
-    res = df.withColumn("__d", F.md5(text.cast("binary"))).join(best, "__d", "left")
-    return res.withColumn(out, F.when(F.col("__rule").isNull(), fallback).otherwise(F.col("__rule.__cat"))).drop("__d", "__rule")
+    res = with_first_rule(df, text, r.select(F.col("__kw").alias("__find"), F.col("__cat").alias("__value"), F.col("__p").alias("__order")))
+    return res.withColumn(out, F.when(F.col("__hit").isNull(), fallback).otherwise(F.col("__hit.value"))).drop("__hit")

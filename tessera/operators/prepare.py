@@ -5,8 +5,8 @@ multi-output tools) and adds only narrow projections and filters, so a chain
 of them collapses into one whole-stage-codegen stage and filters reach the
 Parquet scan. Two read a bounded amount of data to the driver:
 ``dynamic_rename`` from a table (at most one row per existing column) and
-``find_replace`` in substring mode (rules up to ``inline_max``; beyond, an exact
-substring join needs the rules' distinct lengths only).
+``find_replace`` in substring mode (its rules, up to ``rule_match.MAX_CHARS``
+characters; beyond, an exact substring join needs the rules' distinct lengths only).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.blank import balanced_sum, blank_to_null, coalesce_false, is_blank, lit
+from .rule_match import with_first_rule
 
 UNKNOWN = "*Unknown"
 
@@ -263,10 +264,10 @@ def find_replace(
     ``order_col`` when several share a find text); an equi-join, any size.
     ``substring``: the first rule (by ``order_col``, then find text) whose find
     text occurs in the value replaces every occurrence of it. Up to
-    ``inline_max`` rules are compiled into one expression (no shuffle); beyond
-    that the substrings of each distinct value, of each rule length, are joined
-    to the rules, which is exact for any rule count. Both read the column as
-    text, skip rules without a find text and take a null replacement as empty.
+    ``inline_max`` rules are compiled into one expression (no shuffle); more
+    become automata (``rule_match``), exact for any rule count. Both read the
+    column as text, skip rules without a find text and take a null replacement
+    as empty.
     """
     out = out or column
     rule = rules.select(
@@ -289,36 +290,9 @@ def find_replace(
             rep = F.replace(v, F.lit(r["__find"]), F.lit(r["__repl"]))
             expr = (F.when if expr is None else expr.when)(cond, rep)
         return df.withColumn(out, v if expr is None else expr.otherwise(v))
-    first = first_rule(df.select(v.alias("__v")), rule.select("__find", F.struct("__ord", "__find", "__repl").alias("__rule")))
-    # the text itself does not travel with its substrings: a digest stands for it
-    res = df.withColumn("__d", F.md5(v.cast("binary"))).join(first, "__d", "left")
-    hit = F.col("__rule")
-    return res.withColumn(out, F.when(hit.isNull(), v).otherwise(F.replace(v, hit["__find"], hit["__repl"]))).drop("__d", "__rule")
-
-
-def first_rule(texts: DataFrame, rules: DataFrame) -> DataFrame:
-    """(``__d``, ``__rule``): by the digest of each text ``__v``, the smallest ``__rule`` whose ``__find`` occurs in it."""
-    lengths = [r[0] for r in rules.select(F.length("__find")).distinct().collect()]  # at most the longest rule
-    if not lengths:
-        return texts.limit(0).select(F.lit("").alias("__d")).join(rules.limit(0).select("__rule"), F.lit(True))
-    values = texts.where("__v IS NOT NULL").distinct()
-    grams = values.select(F.md5(F.col("__v").cast("binary")).alias("__d"), substrings(F.col("__v"), lengths).alias("__find")).distinct()
-    return grams.join(rules, "__find").groupBy("__d").agg(F.min("__rule").alias("__rule"))
-
-
-def substrings(text: Column, lengths: list[int]) -> Column:
-    """Generator: every substring of ``text`` whose length is in ``lengths``.
-
-    Used to turn "rule text occurs in value" into an equi-join on the
-    substring, which is exact for any number of rules.
-    """
-
-    def grams_of(n: int) -> Column:
-        # Spark reads a 2-argument lambda as (x, index): keep it 1-argument
-        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - F.lit(n - 1), F.lit(1)))
-        return F.transform(starts, lambda i: F.substr(text, i, F.lit(n)))
-
-    return F.explode(F.flatten(F.array(*[grams_of(n) for n in lengths])))
+    res = with_first_rule(df, v, rule.select("__find", F.col("__repl").alias("__value"), F.col("__ord").alias("__order")))
+    hit = F.col("__hit")
+    return res.withColumn(out, F.when(hit.isNull(), v).otherwise(F.replace(v, hit["find"], hit["value"]))).drop("__hit")
 
 
 # P21 ---------------------------------------------------------------------------

@@ -110,3 +110,17 @@ def x03s(spark, d):
                                   "kw string, cat string, p int")
     docs = table(spark, d, "documents").select("doc_id", "text")
     return X.classify(docs, "doc_id", "text", rules, "kw", "cat", "p", match="substring", default="unknown").drop("text")
+
+
+@register("x03_classify_many_rules", r"""
+WITH r AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}{4,}')) AS kw FROM benchmark),
+m AS (SELECT doc_id, kw, row_number() OVER (PARTITION BY doc_id ORDER BY length(kw) DESC, kw) AS rn
+      FROM documents JOIN r ON contains(lower(text), kw))
+SELECT d.doc_id, coalesce(m.kw, 'none') AS category FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id AND m.rn = 1""")
+def x03_many(spark, d):
+    """The longest benchmark word that occurs in each document: as many rules as the benchmark has words."""
+    words = table(spark, d, "benchmark").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{4,}"), 0)).alias("kw")).distinct()
+    rules = words.select("kw", F.col("kw").alias("cat"), (-F.length("kw")).alias("p"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return X.classify(docs, "doc_id", "text", rules, "kw", "cat", "p", match="substring", default="none").drop("text")
