@@ -20,7 +20,7 @@ pass through; those named like the outputs are replaced.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from random import Random
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,36 +34,56 @@ OUTPUTS = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 class Capacities:
-    """Bins ordered by what is left in them; a balanced tree of blocks of at most 2 * WIDTH bins.
+    """Bins ordered by what is left in them: a treap, a binary tree balanced by random priorities.
 
-    Finding, taking out and putting in cost the root of the number of bins at
-    most; the blocks stay balanced by splitting.
+    A node is [(left, shard), priority, lower, higher]. Finding, taking out and
+    putting in cost the logarithm of the number of bins, as expected over the
+    priorities, whatever the order in which bins come.
     """
 
-    WIDTH = 512
-
     def __init__(self):
-        self.blocks: list[list[tuple[int, int]]] = [[]]
+        self.root, self.draw = None, Random(0).random
 
     def add(self, left: int, shard: int) -> None:
-        at = max(0, bisect_left([b[0] for b in self.blocks if b], (left, shard)) - 1)
-        insort(self.blocks[at], (left, shard))
-        if len(self.blocks[at]) > 2 * self.WIDTH:
-            block = self.blocks[at]
-            self.blocks[at : at + 1] = [block[: self.WIDTH], block[self.WIDTH :]]
+        lower, higher = _split(self.root, (left, shard))
+        self.root = _joined(_joined(lower, [(left, shard), self.draw(), None, None]), higher)
 
     def take_tightest(self, need: int) -> tuple[int, int] | None:
         """The bin with the least room of those that have ``need``, taken out; None if there is none."""
-        at = bisect_left([b[-1] for b in self.blocks if b], (need, -1))
-        if at == len(self.blocks) or not self.blocks[at]:
-            return None
-        block = self.blocks[at]
-        found = block.pop(bisect_left(block, (need, -1)))
-        if not block and len(self.blocks) > 1:
-            del self.blocks[at]
+        node, found = self.root, None
+        while node:
+            if node[0] >= (need, -1):
+                node, found = node[2], node[0]
+            else:
+                node = node[3]
+        if found:
+            lower, rest = _split(self.root, found)
+            self.root = _joined(lower, _split(rest, (found[0], found[1] + 1))[1])
         return found
 
 
+def _split(node: list | None, key: tuple[int, int]) -> tuple[list | None, list | None]:
+    """The nodes below ``key``, and the others."""
+    if node is None:
+        return None, None
+    if node[0] < key:
+        node[3], higher = _split(node[3], key)
+        return node, higher
+    lower, node[2] = _split(node[2], key)
+    return lower, node
+
+
+def _joined(lower: list | None, higher: list | None) -> list | None:
+    """One tree of two, where every bin of ``lower`` comes before those of ``higher``."""
+    if not lower or not higher:
+        return lower or higher
+    if lower[1] > higher[1]:
+        lower[3] = _joined(lower[3], higher)
+        return lower
+    higher[2] = _joined(lower, higher[2])
+    return higher
+
+
 def best_fit(counts: list[tuple[int, int]], capacity: int, most: int | None = None) -> list[tuple[int, int, int, int]] | None:
     """(size, first rank, last rank, shard) for counts of groups by size, the largest size first.
 
@@ -137,6 +157,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, key: str = "doc_id", text:
             "size": (F.octet_length(value) + 1).cast("long"),
             "text_crc32": F.crc32(value.cast("binary")),
             "_text": F.unhex(F.md5(value.cast("binary"))),
+            "_row": F.monotonically_increasing_id(),
         }
     )
     rows = materialize(rows.drop(text), "shard-rows")
@@ -150,5 +171,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, key: str = "doc_id", text:
     placed = ranked.join(ranges, (F.col("_total") == F.col("_size")) & F.col("_rank").between(F.col("_from"), F.col("_to")))
     # every group has one shard; a group of very many rows is a skewed join, which Spark splits
     dealt = rows.join(placed.select(F.col("_text").alias("_t"), "shard"), F.col("_text") == F.col("_t")).drop("_t")
-    slots = _ranked(dealt, "shard", F.xxhash64(key, "_text"), ["_text", key], "slot")
-    return slots.drop("_text").withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+    # rows equal in key and text would share a bucket: their place in the written rows spreads them
+    twice = rows.groupBy(F.col(key).alias("_k"), F.col("_text").alias("_t")).count().where("count > 1").drop("count")
+    dealt = dealt.join(twice, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_text") == F.col("_t")), "left")
+    dealt = dealt.withColumn("_row", F.when(F.col("_t").isNotNull(), F.col("_row"))).drop("_k", "_t")
+    slots = _ranked(dealt, "shard", F.xxhash64(key, "_text", "_row"), ["_text", key, "_row"], "slot")
+    return slots.drop("_text", "_row").withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})

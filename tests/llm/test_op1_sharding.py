@@ -2,13 +2,24 @@ import random
 import zlib
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from tessera.llm.op1_sharding import Capacities, best_fit, equal_shards, shard_by_bytes
 from tessera.llm.queries import QUERIES
 from tests.conftest import SF_SMALL
 
 
-def test_tree_of_capacities_equals_a_sorted_list(monkeypatch):
-    monkeypatch.setattr(Capacities, "WIDTH", 3)
+def test_tree_stays_shallow_for_bins_in_order():
+    def depth(n):
+        return 1 + max(depth(n[2]), depth(n[3])) if n else 0
+
+    tree = Capacities()
+    for i in range(20_000):
+        tree.add(i, i)
+    assert depth(tree.root) < 60
+
+
+def test_tree_of_capacities_equals_a_sorted_list():
     r, tree, plain = random.Random(4), Capacities(), []
     for i in range(3000):
         if r.random() < 0.6:
@@ -90,3 +101,34 @@ def test_query_shards(spark):
     assert all((r["law"], r["grown_shard"]) == ("bytes", None) for r in got)
     largest = max(defaultdict(int, {t: 0 for t in docs.values()}), key=len)
     assert max(total.values()) - min(total.values()) <= 2 * len(largest.encode())
+
+
+def test_documents_equal_packing_one_group_at_a_time(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    total = defaultdict(int)
+    for r in docs.collect():
+        total[r["text"] or ""] += len((r["text"] or "").encode()) + 1
+    capacity, bins = 60_000, []
+    for size in sorted(total.values(), reverse=True):
+        fits = [(capacity - sum(b), i) for i, b in enumerate(bins) if capacity - sum(b) >= size]
+        if fits:
+            bins[min(fits)[1]].append(size)
+        else:
+            bins.append([size])
+    got = defaultdict(lambda: defaultdict(int))
+    for r in shard_by_bytes(docs.select("doc_id", "text", F.md5("text").alias("m")), capacity=capacity).collect():
+        got[r["shard"]][r["m"]] += r["size"]
+    assert sorted(sorted(b.values(), reverse=True) for b in got.values()) == sorted(bins)
+
+
+def test_a_third_of_identical_rows_is_spread(spark):
+    rows = spark.range(9000).selectExpr("IF(id % 3 = 0, -1, id) AS doc_id", "IF(id % 3 = 0, 'same', concat('text ', id)) AS text")
+    got = shard_by_bytes(rows, 4).collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert len(got) == 9000 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    same = sorted(r["slot"] for r in got if r["doc_id"] == -1)
+    runs = sum(b != a + 1 for a, b in zip(same, same[1:]))  # in one bucket they would be one run
+    assert len(same) == 3000 and len({r["shard"] for r in got if r["doc_id"] == -1}) == 1
+    assert len(set(slots)) == 4 and (runs > 10 or len(slots[next(r["shard"] for r in got if r["doc_id"] == -1)]) == 3000)
