@@ -26,8 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .common import with_scalars
-from .window import materialize_if_costly
+from .common import with_scalars, written
 
 MAX_BLOCK_CELLS = 20_000_000  # query rows x document rows scored in one task
 # Vectors of one side in a task: 20,000 of 1,000 doubles are 160 MB.
@@ -187,10 +186,10 @@ def postings(qt: DataFrame, docs: DataFrame, d_id: str, d_text: str, k1: float,
     The texts are read once: a token that no query has is counted under the
     null term, so a document's length is the sum of its own counts.
     """
-    wanted = materialize_if_costly(qt.select("term").distinct()).withColumn("__w", F.lit(True))
+    wanted = written(qt.select("term").distinct()).withColumn("__w", F.lit(True))
     counts = tokens(docs, d_id, d_text).join(wanted, "term", "left").groupBy(
         "__id", F.when(F.col("__w"), F.col("term")).alias("term")).agg(F.count(F.lit(1)).alias("tf"))
-    counts = materialize_if_costly(counts)
+    counts = written(counts)
     dl = counts.groupBy("__id").agg(F.sum("tf").alias("dl"))
     stats = dl.agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl"))
     hits = counts.where("term IS NOT NULL")
@@ -198,7 +197,8 @@ def postings(qt: DataFrame, docs: DataFrame, d_id: str, d_text: str, k1: float,
     post = with_scalars(hits.join(dl, "__id").join(dfreq, "term"), stats)
     idf = F.log(F.lit(1.0) + (F.col("N") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    return materialize_if_costly(post.select("term", "__id", part.alias("__s")))
+    # a document's rows stay together, so that its scores add up before they are shuffled
+    return written(post.select("term", "__id", part.alias("__s")).repartition("__id"))
 
 
 def _scores(terms: DataFrame, post: DataFrame) -> DataFrame:
@@ -223,11 +223,11 @@ def term_plan(qt: DataFrame, post: DataFrame, k: int) -> DataFrame:
     heads = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("__s").alias("u"))
     by_df = Window.partitionBy("__qid").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
     by_u = Window.partitionBy("__qid").orderBy("u", "term").rowsBetween(Window.unboundedPreceding, 0)
-    terms = materialize_if_costly(qt.join(heads, "term").withColumns(
+    terms = written(qt.join(heads, "term").withColumns(
         {"__before": F.coalesce(F.sum("df").over(by_df), F.lit(0)), "__reach": F.sum("u").over(by_u)}))
     floor = _kth_best(_scores(terms.where(F.col("__before") < PROBE * k), post), k)
     essential = F.col("__tau").isNull() | (F.col("__reach") >= F.col("__tau") - SCORE_MARGIN)
-    return materialize_if_costly(terms.join(floor, "__qid", "left").select("__qid", "term", "df", "u", essential.alias("essential")))
+    return written(terms.join(floor, "__qid", "left").select("__qid", "term", "df", "u", essential.alias("essential")))
 
 
 def bm25_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_id: str, d_text: str,
@@ -240,16 +240,16 @@ def bm25_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_i
     for the documents that can still reach the top ``k``. The rows are those
     of scoring everything.
     """
-    qt = materialize_if_costly(tokens(queries, q_id, q_text).distinct().withColumnRenamed("__id", "__qid"))
+    qt = written(tokens(queries, q_id, q_text).distinct().withColumnRenamed("__id", "__qid"))
     post = postings(qt, docs, d_id, d_text, k1, b)
     plan = term_plan(qt, post, k)
-    part = materialize_if_costly(_scores(plan.where("essential"), post))
+    part = written(_scores(plan.where("essential"), post))
     rest = plan.where("NOT essential")
     slack = rest.groupBy("__qid").agg(F.sum("u").alias("__rest"))
     bound = slack.join(_kth_best(part, k), "__qid", "left")
     near = part.join(bound, "__qid", "left").where(
         F.col("__rest").isNull() | F.col("__tau").isNull() | (F.col("__s") + F.col("__rest") >= F.col("__tau") - SCORE_MARGIN))
-    near = materialize_if_costly(near.select("__qid", "__id", "__s"))
+    near = written(near.select("__qid", "__id", "__s"))
     more = near.select("__qid", "__id").join(rest.select("__qid", "term"), "__qid").join(post, ["term", "__id"])
     scored = near.unionByName(more.select("__qid", "__id", "__s")).groupBy("__qid", "__id").agg(F.sum("__s").alias("score"))
     w = Window.partitionBy("__qid").orderBy(F.desc(F.round("score", 9)), F.asc("__id"))
