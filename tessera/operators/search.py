@@ -9,9 +9,10 @@ The final top-k per query is a ``row_number() <= k`` over at most
 ``doc_blocks * k`` candidates (planned with a partial group limit). Block
 counts are derived from the table sizes so a task holds a bounded matrix.
 
-Keyword scoring (BM25) is relational: tokens are exploded, document
-frequency / term frequency / document length are aggregates, and query terms
-meet postings in an equi-join on the term (AQE splits hot terms). Bounds on
+Keyword scoring (BM25): each text's words are counted in the task that reads it
+(Arrow batches), so that only postings of query terms leave it; document
+frequencies are aggregates, and query terms meet postings in an equi-join on
+the term (AQE splits hot terms). Bounds on
 what a term can add keep very common terms out of that join, but for the
 documents that can still be among the best.
 """
@@ -19,14 +20,17 @@ documents that can still be among the best.
 from __future__ import annotations
 
 import math
+import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from .common import with_scalars, written
+from .common import written
 
 MAX_BLOCK_CELLS = 20_000_000  # query rows x document rows scored in one task
 # Vectors of one side in a task: 20,000 of 1,000 doubles are 160 MB.
@@ -172,6 +176,9 @@ def mmr_search(queries: DataFrame, docs: DataFrame, q_id: str, q_vec: str, d_id:
 # Keyword (BM25) --------------------------------------------------------------------------
 NO_LETTERS = r"\P{L}+"
 PROBE = 20  # postings scored first, for each of a query's k results
+TERM_BITS = 24  # of the query terms' hash bitmap: 2 MB go to each executor
+KNOWN_TERMS = 1 << 20  # words whose bit a task remembers
+POSTING_ROWS = 1 << 17  # of an Arrow batch of postings, and one document's more
 SCORE_MARGIN = 1e-6  # scores are compared to 9 places; bounds leave room for the order of summation
 
 
@@ -180,29 +187,89 @@ def tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("__id"), F.explode(F.split(F.lower(F.col(text_col)), NO_LETTERS)).alias("term")).where("term <> ''")
 
 
+def term_filter(terms: DataFrame) -> bytes:
+    """A bit for each hash value that a term has: ``2 ** TERM_BITS`` bits, whatever the number of terms."""
+    value = F.crc32(F.col("term").cast("binary")).bitwiseAND(F.lit((1 << TERM_BITS) - 1)) + 1
+    rows = terms.groupBy(F.bitmap_bucket_number(value).alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits")).collect()
+    out = bytearray(1 << (TERM_BITS - 3))
+    for r in rows:
+        out[(r["b"] - 1) * len(r["bits"]) : r["b"] * len(r["bits"])] = r["bits"]
+    return bytes(out)
+
+
+def document_terms(docs: DataFrame, d_id: str, d_text: str, wanted: bytes) -> DataFrame:
+    """(__id, term, tf, dl): how often each document has each term whose hash is in ``wanted``, and its length.
+
+    Every text is counted where it is read, without a shuffle. A row with the
+    null term and tf = dl stands for the document itself.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    words = docs.select(F.col(d_id).alias("__id"), F.regexp_replace(F.lower(F.col(d_text)), NO_LETTERS, " ").alias("words"))
+    schema = StructType([StructField("__id", docs.schema[d_id].dataType), StructField("term", StringType()),
+                         StructField("tf", LongType()), StructField("dl", LongType())])
+
+    def count(batches):
+        bits, mask = shared.value, (1 << TERM_BITS) - 1
+        known: dict[str, bool] = {}
+        for batch in batches:
+            at: list[int] = []
+            terms: list[str | None] = []
+            tf: list[int] = []
+            dl: list[int] = []
+
+            def rows():
+                ids = batch.column(0).take(pa.array(at, pa.int64()))
+                arrays = [ids, pa.array(terms, pa.string()), pa.array(tf, pa.int64()), pa.array(dl, pa.int64())]
+                for kept in (at, terms, tf, dl):
+                    kept.clear()
+                return pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+            for i, text in enumerate(batch.column(1)):
+                tokens_of = (text.as_py() or "").split()
+                if not tokens_of:
+                    continue
+                counts = Counter(tokens_of)
+                if len(known) > KNOWN_TERMS:
+                    known.clear()
+                for w in counts:
+                    if w not in known:
+                        h = zlib.crc32(w.encode()) & mask
+                        known[w] = bool(bits[h >> 3] >> (h & 7) & 1)
+                hits = [w for w in counts if known[w]]
+                at += [i] * (len(hits) + 1)
+                terms += [None, *hits]
+                tf += [len(tokens_of), *(counts[w] for w in hits)]
+                dl += [len(tokens_of)] * (len(hits) + 1)
+                if len(at) > POSTING_ROWS:
+                    yield rows()
+            if at:
+                yield rows()
+
+    return words.mapInArrow(count, schema)
+
+
 def postings(qt: DataFrame, docs: DataFrame, d_id: str, d_text: str, k1: float, b: float) -> DataFrame:
-    """(term, __id, __s): the BM25 share of every query term in every document that has it.
+    """(term, __id, __s, __n): the BM25 share, without its idf, of every query term in every document that has it.
 
-    The texts are read once: a token that no query has is counted under the
-    null term, so a document's length is the sum of its own counts.
+    ``__n`` is the number of documents with a token. The texts are read once
+    and the postings written once. Rows that repeat an id are one document;
+    only where there are such rows do the counts travel, by id.
     """
-    wanted = written(qt.select("term").distinct()).withColumn("__w", F.lit(True))
-    counts = tokens(docs, d_id, d_text).join(wanted, "term", "left").groupBy(
-        "__id", F.when(F.col("__w"), F.col("term")).alias("term")).agg(F.count(F.lit(1)).alias("tf"))
+    counts = document_terms(docs, d_id, d_text, term_filter(qt.select("term").distinct()))
+    if docs.groupBy(d_id).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+        counts = counts.repartition("__id").groupBy("__id", "term").agg(F.sum("tf").alias("tf"))
+        counts = counts.withColumn("dl", F.max(F.when(F.col("term").isNull(), F.col("tf"))).over(Window.partitionBy("__id")))
     counts = written(counts)
-    dl = counts.groupBy("__id").agg(F.sum("tf").alias("dl"))
-    stats = dl.agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl"))
-    hits = counts.where("term IS NOT NULL")
-    dfreq = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    post = with_scalars(hits.join(dl, "__id").join(dfreq, "term"), stats)
-    idf = F.log(F.lit(1.0) + (F.col("N") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    # a document's rows stay together, so that its scores add up before they are shuffled
-    return written(post.select("term", "__id", part.alias("__s")).repartition("__id"))
+    n, avgdl = counts.where("term IS NULL").agg(F.count(F.lit(1)), F.avg("tf")).first()
+    share = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(avgdl or 1.0)))
+    return counts.where("term IS NOT NULL").select("term", "__id", share.alias("__s"), F.lit(n).cast("bigint").alias("__n"))
 
 
 def _scores(terms: DataFrame, post: DataFrame) -> DataFrame:
-    return terms.select("__qid", "term").join(post, "term").groupBy("__qid", "__id").agg(F.sum("__s").alias("__s"))
+    # a document with a null id counts for its terms' frequencies, but is no result
+    hits = terms.select("__qid", "term", "idf").join(post.where("__id IS NOT NULL"), "term")
+    return hits.groupBy("__qid", "__id").agg(F.sum(F.col("idf") * F.col("__s")).alias("__s"))
 
 
 def _kth_best(scored: DataFrame, k: int) -> DataFrame:
@@ -214,20 +281,22 @@ def _kth_best(scored: DataFrame, k: int) -> DataFrame:
 
 
 def term_plan(qt: DataFrame, post: DataFrame, k: int) -> DataFrame:
-    """(__qid, term, df, u, essential): the terms of each query by whether they can lift a document into its top ``k``.
+    """(__qid, term, df, u, idf, essential): the terms of each query by whether they can lift a document into its top ``k``.
 
     A query's rarest terms are scored first; the k-th best of these scores is
     a floor of the final k-th best. The terms whose greatest shares (``u``),
     the smallest first, add up to less than that floor cannot reach it alone.
     """
-    heads = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("__s").alias("u"))
+    heads = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("__s").alias("__most"), F.max("__n").alias("__n"))
+    idf = F.log(F.lit(1.0) + (F.col("__n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    heads = heads.withColumn("idf", idf).select("term", "df", "idf", (F.col("idf") * F.col("__most")).alias("u"))
     by_df = Window.partitionBy("__qid").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
     by_u = Window.partitionBy("__qid").orderBy("u", "term").rowsBetween(Window.unboundedPreceding, 0)
     terms = written(qt.join(heads, "term").withColumns(
         {"__before": F.coalesce(F.sum("df").over(by_df), F.lit(0)), "__reach": F.sum("u").over(by_u)}))
     floor = _kth_best(_scores(terms.where(F.col("__before") < PROBE * k), post), k)
     essential = F.col("__tau").isNull() | (F.col("__reach") >= F.col("__tau") - SCORE_MARGIN)
-    return written(terms.join(floor, "__qid", "left").select("__qid", "term", "df", "u", essential.alias("essential")))
+    return written(terms.join(floor, "__qid", "left").select("__qid", "term", "df", "u", "idf", essential.alias("essential")))
 
 
 def bm25_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_id: str, d_text: str,
@@ -250,23 +319,29 @@ def bm25_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_i
     near = part.join(bound, "__qid", "left").where(
         F.col("__rest").isNull() | F.col("__tau").isNull() | (F.col("__s") + F.col("__rest") >= F.col("__tau") - SCORE_MARGIN))
     near = written(near.select("__qid", "__id", "__s"))
-    more = near.select("__qid", "__id").join(rest.select("__qid", "term"), "__qid").join(post, ["term", "__id"])
-    scored = near.unionByName(more.select("__qid", "__id", "__s")).groupBy("__qid", "__id").agg(F.sum("__s").alias("score"))
+    more = near.select("__qid", "__id").join(rest.select("__qid", "term", "idf"), "__qid").join(post, ["term", "__id"])
+    scored = near.unionByName(more.select("__qid", "__id", (F.col("idf") * F.col("__s")).alias("__s"))).groupBy("__qid", "__id").agg(F.sum("__s").alias("score"))
     w = Window.partitionBy("__qid").orderBy(F.desc(F.round("score", 9)), F.asc("__id"))
     top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return top.select(F.col("__qid").alias(q_id), F.col("__id").alias(d_id), "score", F.col("rank").cast("bigint").alias("rank"))
 
 
 def hybrid_search(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, q_vec: str, d_id: str, d_text: str,
-                  d_vec: str, k: int = 10, rrf_constant: int = 60, rrf_window: int = 4) -> DataFrame:
+                  d_vec: str, k: int = 10, rrf_constant: int = 60, rrf_window: int = 4,
+                  query_vectors: DataFrame | None = None, doc_vectors: DataFrame | None = None) -> DataFrame:
     """HYBRID: reciprocal rank fusion of the keyword and vector rankings.
 
     Each list contributes ``1 / (rrf_constant + rank)`` for its top
     ``rrf_window`` documents; the ``k`` best fused documents are returned.
+    Vectors kept in tables of their own come as ``query_vectors`` (``q_id``,
+    ``q_vec``) and ``doc_vectors`` (``d_id``, ``d_vec``), so that no text
+    travels to meet its vector.
     """
+    query_vectors = queries if query_vectors is None else query_vectors
+    doc_vectors = docs if doc_vectors is None else doc_vectors
     kw = bm25_search(queries, docs, q_id, q_text, d_id, d_text, k=rrf_window)
     # a document or query without a vector still takes part by its words
-    vec = similarity_search(queries.where(F.col(q_vec).isNotNull()), docs.where(F.col(d_vec).isNotNull()), q_id, q_vec, d_id, d_vec, k=rrf_window)
+    vec = similarity_search(query_vectors.where(F.col(q_vec).isNotNull()), doc_vectors.where(F.col(d_vec).isNotNull()), q_id, q_vec, d_id, d_vec, k=rrf_window)
     both = kw.select(q_id, d_id, "rank").unionByName(vec.select(q_id, d_id, "rank"))
     fused = both.groupBy(q_id, d_id).agg(F.sum(F.lit(1.0) / (F.lit(rrf_constant) + F.col("rank"))).alias("rrf_score"))
     w = Window.partitionBy(q_id).orderBy(F.desc(F.round("rrf_score", 9)), F.asc(d_id))

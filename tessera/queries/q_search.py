@@ -92,7 +92,7 @@ vr AS (SELECT qid, did, score, row_number() OVER (PARTITION BY qid ORDER BY roun
 @register("v04_keyword_bm25", _HYB + """
 SELECT qid, did, round(score, 9) AS score, rank FROM kw WHERE rank <= 10""")
 def v04k(spark, d):
-    q, docs = _hybrid_inputs(spark, d)
+    q, docs, _, _ = _hybrid_inputs(spark, d)
     r = V.bm25_search(q, docs, "qid", "text", "did", "text", k=10)
     return r.withColumn("score", F.round("score", 9))
 
@@ -104,18 +104,18 @@ fused AS (SELECT qid, did, sum(1.0 / (60 + rank)) AS rrf_score
 fr AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(rrf_score, 9) DESC, did) AS rank FROM fused)
 SELECT qid, did, round(rrf_score, 9) AS rrf_score, rank FROM fr WHERE rank <= 10""")
 def v04h(spark, d):
-    q, docs = _hybrid_inputs(spark, d)
-    r = V.hybrid_search(q, docs, "qid", "text", "embedding", "did", "text", "embedding", k=10)
+    q, docs, qv, dv = _hybrid_inputs(spark, d)
+    r = V.hybrid_search(q, docs, "qid", "text", "embedding", "did", "text", "embedding", k=10, query_vectors=qv, doc_vectors=dv)
     return r.withColumn("rrf_score", F.round("rrf_score", 9))
 
 
 def _hybrid_inputs(spark, d):
-    e = _emb(spark, d).select("vec_id", "embedding")
-    docs = table(spark, d, "documents").join(e, F.col("doc_id") == F.col("vec_id"), "left").select(
-        F.col("doc_id").alias("did"), "text", "embedding")
-    q = table(spark, d, "benchmark").join(e, F.col("item_id") == F.col("vec_id"), "left").select(
-        F.col("item_id").alias("qid"), "text", "embedding")
-    return q, docs
+    """Texts of queries and documents, and the vectors of those that have one."""
+    q = table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), "text")
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("did"), "text")
+    e = _emb(spark, d)
+    vectors = [e.select(F.col("vec_id").alias(k), "embedding").join(t.select(k), k, "left_semi") for k, t in (("qid", q), ("did", docs))]
+    return q, docs, *vectors
 
 
 @register("v05_metadata_filter", f"""
