@@ -9,8 +9,8 @@ The final top-k per query is a ``row_number() <= k`` over at most
 ``doc_blocks * k`` candidates (planned with a partial group limit). Block
 counts are derived from the table sizes so a task holds a bounded matrix.
 
-Keyword scoring (BM25): each text's words are counted in the task that reads it
-(Arrow batches), so that only postings of query terms leave it; document
+Keyword scoring (BM25): each text's words are sorted and counted in the task
+that reads it, so that only postings of query terms leave it; document
 frequencies are aggregates, and query terms meet postings in an equi-join on
 the term (AQE splits hot terms). Bounds on
 what a term can add keep very common terms out of that join, but for the
@@ -20,15 +20,12 @@ documents that can still be among the best.
 from __future__ import annotations
 
 import math
-import zlib
-from collections import Counter
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from .common import written
 
@@ -176,9 +173,6 @@ def mmr_search(queries: DataFrame, docs: DataFrame, q_id: str, q_vec: str, d_id:
 # Keyword (BM25) --------------------------------------------------------------------------
 NO_LETTERS = r"\P{L}+"
 PROBE = 20  # postings scored first, for each of a query's k results
-TERM_BITS = 24  # of the query terms' hash bitmap: 2 MB go to each executor
-KNOWN_TERMS = 1 << 20  # words whose bit a task remembers
-POSTING_ROWS = 1 << 17  # of an Arrow batch of postings, and one document's more
 SCORE_MARGIN = 1e-6  # scores are compared to 9 places; bounds leave room for the order of summation
 
 
@@ -187,66 +181,22 @@ def tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("__id"), F.explode(F.split(F.lower(F.col(text_col)), NO_LETTERS)).alias("term")).where("term <> ''")
 
 
-def term_filter(terms: DataFrame) -> bytes:
-    """A bit for each hash value that a term has: ``2 ** TERM_BITS`` bits, whatever the number of terms."""
-    value = F.crc32(F.col("term").cast("binary")).bitwiseAND(F.lit((1 << TERM_BITS) - 1)) + 1
-    rows = terms.groupBy(F.bitmap_bucket_number(value).alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits")).collect()
-    out = bytearray(1 << (TERM_BITS - 3))
-    for r in rows:
-        out[(r["b"] - 1) * len(r["bits"]) : r["b"] * len(r["bits"])] = r["bits"]
-    return bytes(out)
+def document_terms(docs: DataFrame, d_id: str, d_text: str) -> DataFrame:
+    """(__id, term, tf, dl): how often each document has each term, and its length.
 
-
-def document_terms(docs: DataFrame, d_id: str, d_text: str, wanted: bytes) -> DataFrame:
-    """(__id, term, tf, dl): how often each document has each term whose hash is in ``wanted``, and its length.
-
-    Every text is counted where it is read, without a shuffle. A row with the
-    null term and tf = dl stands for the document itself.
+    Every text is counted where it is read, without a shuffle: its words are
+    sorted, and a term's count is the length of its run. A row with the null
+    term and tf = dl stands for the document itself.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
-    words = docs.select(F.col(d_id).alias("__id"), F.regexp_replace(F.lower(F.col(d_text)), NO_LETTERS, " ").alias("words"))
-    schema = StructType([StructField("__id", docs.schema[d_id].dataType), StructField("term", StringType()),
-                         StructField("tf", LongType()), StructField("dl", LongType())])
-
-    def count(batches):
-        bits, mask = shared.value, (1 << TERM_BITS) - 1
-        known: dict[str, bool] = {}
-        for batch in batches:
-            at: list[int] = []
-            terms: list[str | None] = []
-            tf: list[int] = []
-            dl: list[int] = []
-
-            def rows():
-                ids = batch.column(0).take(pa.array(at, pa.int64()))
-                arrays = [ids, pa.array(terms, pa.string()), pa.array(tf, pa.int64()), pa.array(dl, pa.int64())]
-                for kept in (at, terms, tf, dl):
-                    kept.clear()
-                return pa.RecordBatch.from_arrays(arrays, names=schema.names)
-
-            for i, text in enumerate(batch.column(1)):
-                tokens_of = (text.as_py() or "").split()
-                if not tokens_of:
-                    continue
-                counts = Counter(tokens_of)
-                if len(known) > KNOWN_TERMS:
-                    known.clear()
-                for w in counts:
-                    if w not in known:
-                        h = zlib.crc32(w.encode()) & mask
-                        known[w] = bool(bits[h >> 3] >> (h & 7) & 1)
-                hits = [w for w in counts if known[w]]
-                at += [i] * (len(hits) + 1)
-                terms += [None, *hits]
-                tf += [len(tokens_of), *(counts[w] for w in hits)]
-                dl += [len(tokens_of)] * (len(hits) + 1)
-                if len(at) > POSTING_ROWS:
-                    yield rows()
-            if at:
-                yield rows()
-
-    return words.mapInArrow(count, schema)
+    words = F.filter(F.split(F.lower(F.col(d_text)), NO_LETTERS), lambda w: w != "")
+    own = docs.select(F.col(d_id).alias("__id"), F.sort_array(words).alias("__w"))
+    own = own.where(F.size("__w") > 0).withColumn("dl", F.size("__w"))
+    starts = F.filter(F.sequence(F.lit(0), F.col("dl") - 1), lambda i: (i == 0) | (F.get("__w", i) != F.get("__w", i - 1)))
+    runs = F.transform(F.col("__at"), lambda i, j: F.struct(
+        F.get("__w", i).alias("term"), (F.coalesce(F.get("__at", j + 1), F.col("dl")) - i).alias("tf")))
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.col("dl").alias("tf")))
+    rows = own.withColumn("__at", starts).select("__id", "dl", F.explode(F.concat(whole, runs)).alias("__r"))
+    return rows.select("__id", "__r.term", F.col("__r.tf").cast("bigint").alias("tf"), F.col("dl").cast("bigint").alias("dl"))
 
 
 def postings(qt: DataFrame, docs: DataFrame, d_id: str, d_text: str, k1: float, b: float) -> DataFrame:
@@ -256,7 +206,9 @@ def postings(qt: DataFrame, docs: DataFrame, d_id: str, d_text: str, k1: float,
     and the postings written once. Rows that repeat an id are one document;
     only where there are such rows do the counts travel, by id.
     """
-    counts = document_terms(docs, d_id, d_text, term_filter(qt.select("term").distinct()))
+    wanted = written(qt.select("term").distinct()).withColumn("__w", F.lit(True))
+    counts = document_terms(docs, d_id, d_text).join(wanted, "term", "left")
+    counts = counts.where("__w OR term IS NULL").select("__id", "term", "tf", "dl")
     if docs.groupBy(d_id).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
         counts = counts.repartition("__id").groupBy("__id", "term").agg(F.sum("tf").alias("tf"))
         counts = counts.withColumn("dl", F.max(F.when(F.col("term").isNull(), F.col("tf"))).over(Window.partitionBy("__id")))
