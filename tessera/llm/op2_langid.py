@@ -9,8 +9,9 @@ language is solved in that space. Scoring is two matrix products for a batch:
 texts by landmarks, landmarks by languages.
 
 The fit uses a bounded number of training texts of each language. Every whole
-text is scored. A null text, one without letters or without a known n-gram, is
-``und`` with the score 0. Without any training text all are ``und``. Rows with
+text is scored. A null text or one without letters is ``und`` with the score 0;
+one with letters but without a known n-gram is as likely to be any language and
+gets the first. Without any training text all are ``und``. Rows with
 null or repeated keys are scored like others; further columns pass through,
 those named like the outputs are replaced.
 """
