@@ -13,11 +13,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_scalars
+from .common import with_scalars, written
 from .window import materialize_if_costly, running
 
 HOWS = {"LEFT": "left", "INNER": "inner", "RIGHT": "right", "OUTER": "full", "FULL": "full",
         "LEFT_ANTI": "left_anti", "LEFT_SEMI": "left_semi"}
+BLOCKS_OF_KEY = 8  # packed blocks that a copy of a target row meets, on average
 
 
 def _pairs(on) -> list[tuple[str, str]]:
@@ -59,7 +60,7 @@ def append_fields(target: DataFrame, source: DataFrame, max_source_rows: int = 1
     rows (an all-pairs product of two large tables is never intended). A
     one-row source is attached as a scalar subquery; a larger (bounded)
     source becomes a literal array exploded on each target row. Neither
-    plans a join.
+    plans a join. ``append_in_blocks`` takes a source of any size.
     """
     rows = source.limit(max_source_rows + 1).collect()
     if len(rows) > max_source_rows:
@@ -73,6 +74,29 @@ def append_fields(target: DataFrame, source: DataFrame, max_source_rows: int = 1
         *target.columns, *[F.col(f"__src.{c}").alias(c) for c in source.columns])
 
 
+def append_in_blocks(target: DataFrame, source: DataFrame, block_rows: int = 1000) -> DataFrame:
+    """AppendFields for a source of any size: every target row with every source row.
+
+    The product is what is asked for, so its rows cannot be avoided; what is
+    moved can. The source is packed into arrays of at most ``block_rows``
+    rows, and a target row travels once for about ``BLOCKS_OF_KEY`` of them;
+    the pairs are only unpacked after the join. Equal rows on either side
+    keep their number, an empty side gives no rows.
+    """
+    rows = written(source.select(F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("__src")))
+    # places in the written files, so that a task that runs again packs the same blocks
+    place = rows.withColumn("__at", F.monotonically_increasing_id())
+    part, offset = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    packed = place.groupBy(part.alias("__part"), F.floor(offset / F.lit(block_rows)).alias("__no")).agg(F.collect_list("__src").alias("__rows"))
+    packed = written(packed)
+    keys = max(1, packed.count() // BLOCKS_OF_KEY)
+    packed = packed.select(F.pmod(F.xxhash64("__part", "__no"), F.lit(keys)).cast("int").alias("__key"), "__rows")
+    copies = target.select(F.struct(*[F.col(f"`{c}`") for c in target.columns]).alias("__row"),
+                           F.explode(F.sequence(F.lit(0), F.lit(keys - 1))).alias("__key"))
+    pairs = copies.join(packed, "__key").select("__row", F.explode("__rows").alias("__src"))
+    return pairs.select("__row.*", "__src.*")
+
+
 # J3 -------------------------------------------------------------------------------
 def join_multiple(base: DataFrame, joins: list[tuple[DataFrame, object, str]]) -> DataFrame:
     """Left fold: each later input joins the result so far with its own keys and type."""
