@@ -10,7 +10,7 @@ The fit uses bounded numbers of positives and of unlabelled texts; the prior is
 given, or counted over all labelled rows of the training part. Every whole text
 is scored. A null or empty text has no words and gets the score that the bias
 gives. Without positives all scores are the prior. Rows with null or repeated
-keys are scored like others; further columns pass through, those named like
+keys are scored like others, and equal rows are learnt from once; further columns pass through, those named like
 the outputs are replaced.
 """
 
@@ -112,7 +112,12 @@ def fit(
     ids = known.where("y = 1").orderBy(F.xxhash64("k"), "k").limit(positives).select("k")
     any_ids = docs.where(train_part & F.col(key).isNotNull()).select(F.col(key).alias("k")).orderBy(F.xxhash64("k"), "k").limit(unlabelled).distinct()
     texts = docs.select(F.col(key).alias("key"), F.xxhash64(key, text).alias("h"), F.col(text).alias("text"))
-    pick = lambda which, n: texts.join(F.broadcast(which), F.col("key") == F.col("k")).select("h", "text").limit(n)
+
+    def pick(which: DataFrame, n: int) -> DataFrame:
+        # repeated rows count once, and of a repeated key's texts those of the smallest hashes are taken
+        rows = texts.join(F.broadcast(which), F.col("key") == F.col("k")).groupBy("h").agg(F.max("text").alias("text"))
+        return rows.orderBy("h").limit(n)
+
     p, u = _sets(pick(ids, positives)), _sets(pick(any_ids, unlabelled))
     if not p or not u:
         return Model(np.zeros(0, np.int64), np.zeros(0, np.float32), float(np.log(prior / (1 - prior))))

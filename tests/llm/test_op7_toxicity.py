@@ -39,3 +39,16 @@ def test_held_out_accuracy(spark):
 
 def test_query_covers_every_row(spark):
     assert QUERIES["op7_toxicity"](spark, SF_MID).count() == spark.read.parquet(f"{SF_MID}/documents.parquet").count()
+
+
+def test_the_fit_does_not_depend_on_repeated_rows_or_their_order(spark):
+    docs, labels = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    once = fit(docs, labels, F.lit(True))
+    again = fit(docs.union(docs).repartition(7), labels, F.lit(True), unlabelled=6000)
+    assert len(once.words) and np.array_equal(once.words, again.words)
+    assert np.array_equal(once.weights, again.weights) and once.bias == again.bias
+    # one key with many texts: the sample is bounded and the same in whatever order
+    hot = docs.select(F.lit(1).cast("long").alias("doc_id"), "text")
+    one = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    a, b = (fit(docs.select("doc_id", "text").union(x), one, F.lit(True), positives=20, unlabelled=50) for x in (hot, hot.repartition(5)))
+    assert np.array_equal(a.words, b.words) and np.array_equal(a.weights, b.weights) and a.bias == b.bias
