@@ -176,8 +176,9 @@ def ux2(spark, d):
 SELECT o_custkey, CAST(year(o_orderdate) AS INT) AS yr, count(*) AS n, min(o_orderkey) AS first_key,
        round(max(o_totalprice) - min(o_totalprice), 2) AS spread FROM orders GROUP BY 1, 2""")
 def ux3(spark, d):
-    """A step over each customer's orders of a year, in batches."""
+    """A step over each customer's orders of a year, in batches; small groups many at a time."""
     import pandas as pd
+    import pyarrow as pa
 
     from ..plans import custom as UX
 
@@ -191,5 +192,13 @@ def ux3(spark, d):
             high = b["o_totalprice"].max() if high is None else max(high, b["o_totalprice"].max())
         yield pd.DataFrame({"o_custkey": [key[0]], "yr": [key[1]], "n": [n], "first_key": [least], "spread": [round(high - low, 2)]})
 
+    def many(t):
+        price = "o_totalprice"
+        g = t.group_by(["o_custkey", "yr"], use_threads=False).aggregate([([], "count_all"), ("o_orderkey", "min"), (price, "min"), (price, "max")])
+        spread = (g[f"{price}_max"].to_numpy() - g[f"{price}_min"].to_numpy()).round(2)
+        return pa.table({"o_custkey": g["o_custkey"], "yr": g["yr"], "n": g["count_all"], "first_key": g["o_orderkey_min"],
+                         "spread": pa.array(spread, from_pandas=True)})
+
     o = table(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("yr"), "o_orderkey", "o_totalprice")
-    return UX.grouped_stream(o, ["o_custkey", "yr"], one, "o_custkey long, yr int, n long, first_key long, spread double")
+    kind = "o_custkey long, yr int, n long, first_key long, spread double"
+    return UX.grouped_stream(o, ["o_custkey", "yr"], one, kind, many=many)
