@@ -23,12 +23,12 @@ every input size; ``blocks=1`` asks for the plain per-group window.
 from __future__ import annotations
 
 import re
-from typing import Iterable
+from typing import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..session import ensure_checkpoint_dir
 from .common import with_scalars
@@ -507,60 +507,99 @@ def linear_recurrence(df: DataFrame, order_by, a: str, b: str, out: str, partiti
     """Multi-row formula that reads its own previous result: ``x = a*x_prev + b``.
 
     Covers running balances with rates, exponential smoothing and decay.
-    Exact and scalable: each (group, block) is solved in ``applyInPandas``
-    from a zero start, together with its transfer factor ``A = prod(a)``;
-    the block transfer maps (one row per block) are composed in block order
-    per group, and ``x = A_local * x_in + x_local`` fixes every row. Task
-    size is bounded by the quantile blocks, not by the size of a group.
+    Groups of at most a block's rows are solved whole, many in a task. Each
+    (group, block) of a larger one is solved from a zero start, together with its
+    transfer factor ``A = prod(a)``; the block transfer maps (one row per block)
+    are composed in block order per group, and ``x = A_local * x_in + x_local``
+    fixes every row. Task size is bounded by the quantile blocks, not by the size
+    of a group. A null ``a`` or ``b`` leaves its group null from there on.
     Give a total order.
     """
+
+    def follow(x, ai, bi):
+        return None if x is None or ai is None or bi is None else ai * x + bi
+
+    def then(m, ai, bi):
+        return (None, None) if m[0] is None or ai is None or bi is None else (m[0] * ai, ai * m[1] + bi)
+
+    return _recurrence(df, order_by, [a, b], out, partition_by, x0, blocks, follow, (1.0, 0.0), then,
+                       lambda x, A, B: None if x is None or A is None else A * x + B,
+                       lambda x, A, B: A * x + B)
+
+
+def _states(df: DataFrame, key: list[str], order: list[Column], inputs: list[str], start, step, names: list[str],
+            before: bool = False) -> DataFrame:
+    """Add the state after each row (``before``: ahead of it) of a run over each key's rows in order.
+
+    Keys are brought together and sorted by Spark; a task goes through its rows
+    once, batch by batch, starting anew at each key, so neither the number of
+    keys nor the size of one counts. ``names`` gives the state's columns.
+    """
+    w = Window.partitionBy(*key).orderBy(*order)
+    marked = df.withColumn("__first", F.row_number().over(w) == 1)
+    schema = StructType(list(df.schema.fields) + [StructField(n, DoubleType()) for n in names])
+    kept, columns, single = df.columns, schema.names, len(names) == 1
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = start
+        for batch in batches:
+            made = []
+            for first, *row in zip(batch.column("__first").to_pylist(), *(batch.column(c).to_pylist() for c in inputs)):
+                if first:
+                    state = start
+                if before:
+                    made.append(state)
+                state = step(state, *row)
+                if not before:
+                    made.append(state)
+            parts = [made] if single else [list(c) for c in zip(*made)] or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(pa.array(p, pa.float64()) for p in parts)], names=columns)
+
+    return marked.mapInArrow(run, schema)
+
+
+def _recurrence(df: DataFrame, order_by, inputs: list[str], out: str, partition_by, x0: float, blocks: int | None, follow,
+                identity: tuple, then, at, at_column) -> DataFrame:
+    """A recurrence whose runs of rows are maps of the value before them.
+
+    ``follow(x, *inputs)`` is the value after a row; ``then(m, *inputs)`` the map
+    ``m`` followed by a row; ``at(x, *m)`` and ``at_column`` apply a map.
+    """
     pk = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     spec = _order_spec(order_by)
+    cols, order = df.columns, _order_cols(spec)
+    df = df.select(*cols, *[F.col(c).cast("double").alias(f"__in{i}") for i, c in enumerate(inputs)])
+    inputs = [f"__in{i}" for i in range(len(inputs))]
     n_blocks = default_blocks(df) if blocks is None else blocks
     df = materialize_if_costly(df)
-    blocked = _cut(df, spec, n_blocks)
+    whole, large = df, None
+    if n_blocks > 1 and pk:
+        # only groups beyond a block's share of the rows are cut: fewer than there are blocks
+        ensure_checkpoint_dir(df.sparkSession)
+        sizes = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("__n"))
+        share = df.agg((F.count(F.lit(1)) / n_blocks).alias("s")).first()["s"]
+        over = sizes.where(F.col("__n") > share).select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(pk)]).checkpoint(eager=True)
+        if not over.isEmpty():
+            same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(pk)]
+            whole, large = (df.join(F.broadcast(over), same, how) for how in ("left_anti", "left_semi"))
+    elif n_blocks > 1:
+        whole, large = None, df
+    blocked = None if large is None else _cut(large, spec, n_blocks)
     if blocked is None:
-        blocked = df.withColumn("__blk", F.lit(0))
-    order_names = [c for c, _ in spec]
-    ascending = [x for _, x in spec]
-    # StructType.add mutates in place, and DataFrame.schema is cached: build a new one
-    schema = StructType(list(blocked.schema.fields) + [
-        StructField("__A", DoubleType()), StructField("__x", DoubleType()), StructField("__last", BooleanType())])
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order_names, ascending=ascending, kind="mergesort", na_position="first")
-        av = pdf[a].astype("float64").tolist()
-        bv = pdf[b].astype("float64").tolist()
-        A, X = [], []
-        acc_a, acc_x = 1.0, 0.0
-        for ai, bi in zip(av, bv):
-            acc_a *= ai
-            acc_x = ai * acc_x + bi
-            A.append(acc_a)
-            X.append(acc_x)
-        pdf = pdf.assign(__A=A, __x=X, __last=False)
-        if len(pdf):
-            pdf.iloc[-1, pdf.columns.get_loc("__last")] = True
-        return pdf
-
+        return _states(df, pk, order, inputs, x0, follow, [out]).select(*cols, out)
+    names = [f"__m{i}" for i in range(len(identity))]
+    w = Window.partitionBy(*pk, "__blk").orderBy(*order)
+    blocked = blocked.withColumn("__last", F.lead(F.lit(True)).over(w).isNull())
     # read twice (block ends, then every row): run the Python solve once
-    local = materialize_if_costly(blocked.groupBy(*pk, "__blk").applyInPandas(solve, schema))
-    ends = local.filter("__last").select(*pk, "__blk", "__A", "__x")
-    end_schema = StructType(list(ends.select(*pk, "__blk").schema.fields) + [StructField("__xin", DoubleType())])
-
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__blk")
-        x_in, ins = x0, []
-        for bA, bx in zip(pdf["__A"].tolist(), pdf["__x"].tolist()):
-            ins.append(x_in)
-            x_in = bA * x_in + bx
-        return pdf[[*pk, "__blk"]].assign(__xin=ins)
-
-    starts = ends.groupBy(*pk).applyInPandas(compose, end_schema)
-    cond = [local[c].eqNullSafe(starts[c]) for c in pk] + [local["__blk"] == starts["__blk"]]
-    joined = local.join(starts, cond, "left")
-    return joined.select(*[local[c] for c in df.columns],
-                         (local["__A"] * F.coalesce(starts["__xin"], F.lit(x0)) + local["__x"]).alias(out))
+    local = materialize_if_costly(_states(blocked, [*pk, "__blk"], order, inputs, identity, then, names))
+    ends = local.where("__last").select(*pk, "__blk", *names)
+    ins = _states(ends, pk, [F.col("__blk")], names, x0, at, ["__xin"], before=True)
+    starts = ins.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate([*pk, "__blk"])], "__xin")
+    cond = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate([*pk, "__blk"])]
+    solved = local.join(starts, cond, "left").select(*cols, at_column(F.col("__xin"), *map(F.col, names)).alias(out))
+    if whole is None:
+        return solved
+    return solved.unionByName(_states(whole, pk, order, inputs, x0, follow, [out]).select(*cols, out))
 
 
 COEFFICIENT_MAX = 1e150  # beyond it a composed slope is no longer multiplied: the bounds decide
@@ -587,55 +626,29 @@ def clamped_recurrence(df: DataFrame, order_by, a: str, b: str, out: str, lo: st
     bound is no bound; where ``lo`` exceeds ``hi``, ``hi`` holds.
 
     Clamped affine maps are closed under composition: a run of rows is one map
-    ``x -> min(H, max(L, A*x + B))``. Each (group, block) composes its rows
+    ``x -> min(H, max(L, A*x + B))``. Groups of at most a block's rows are
+    followed row by row. Each (group, block) of a larger one composes its rows
     from the identity, the blocks' maps are composed in order per group (one row
     a block), and every row applies its map to its block's start. Task size is
     bounded by the blocks, not by the size of a group. Slopes composed beyond
     1e150 stay there (what is left between the bounds is decided by them).
     Give a total order.
     """
-    pk = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    spec = _order_spec(order_by)
-    bound = lambda v, none: F.lit(none) if v is None else F.col(v).cast("double") if isinstance(v, str) else F.lit(float(v))
-    df = materialize_if_costly(df)
-    blocked = _cut(df, spec, default_blocks(df) if blocks is None else blocks)
-    if blocked is None:
-        blocked = df.withColumn("__blk", F.lit(0))
     inf = float("inf")
-    blocked = blocked.withColumns({"__lo": F.coalesce(F.nanvl(bound(lo, -inf), F.lit(-inf)), F.lit(-inf)),
-                                   "__hi": F.coalesce(F.nanvl(bound(hi, inf), F.lit(inf)), F.lit(inf))})
-    order_names, ascending = [c for c, _ in spec], [x for _, x in spec]
-    maps = [StructField(f"__{c}", DoubleType()) for c in "ABLH"]
-    schema = StructType(list(blocked.schema.fields) + maps + [StructField("__last", BooleanType())])
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        # nulls first ascending, last descending; the least significant column is sorted first
-        for name, up in reversed(list(zip(order_names, ascending))):
-            pdf = pdf.sort_values(name, ascending=up, kind="mergesort", na_position="first" if up else "last")
-        m, made = (1.0, 0.0, -inf, inf), []
-        for step in zip(*(pdf[c].astype("float64").tolist() for c in (a, b, "__lo", "__hi"))):
-            if step[0] == step[0] and step[1] == step[1]:
-                m = _then(m, *step)
-            made.append(m)
-        pdf = pdf.assign(**{f"__{c}": [x[i] for x in made] for i, c in enumerate("ABLH")}, __last=False)
-        if len(pdf):
-            pdf.iloc[-1, pdf.columns.get_loc("__last")] = True
-        return pdf
-
-    local = materialize_if_costly(blocked.groupBy(*pk, "__blk").applyInPandas(solve, schema))
-    ends = local.filter("__last").select(*pk, "__blk", *[f.name for f in maps])
-    start_schema = StructType(list(ends.select(*pk, "__blk").schema.fields) + [StructField("__xin", DoubleType())])
-
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__blk")
-        x, ins = x0, []
-        for A, B, L, H in zip(*(pdf[f.name].tolist() for f in maps)):
-            ins.append(x)
-            x = min(H, max(L, A * x + B))
-        return pdf[[*pk, "__blk"]].assign(__xin=ins)
-
-    starts = ends.groupBy(*pk).applyInPandas(compose, start_schema)
-    cond = [local[c].eqNullSafe(starts[c]) for c in pk] + [local["__blk"] == starts["__blk"]]
-    x = local["__A"] * F.coalesce(starts["__xin"], F.lit(x0)) + local["__B"]
-    joined = local.join(starts, cond, "left")
-    return joined.select(*[local[c] for c in df.columns], F.least(local["__H"], F.greatest(local["__L"], x)).alias(out))
+    bound = lambda v, none: F.lit(none) if v is None else F.col(v).cast("double") if isinstance(v, str) else F.lit(float(v))
+    bounded = df.withColumns({"__lo": F.coalesce(F.nanvl(bound(lo, -inf), F.lit(-inf)), F.lit(-inf)),
+                              "__hi": F.coalesce(F.nanvl(bound(hi, inf), F.lit(inf)), F.lit(inf))})
+
+    def known(ai, bi):
+        return ai is not None and bi is not None and ai == ai and bi == bi
+
+    def follow(x, ai, bi, low, high):
+        return min(high, max(low, (ai * x if ai else 0.0) + bi)) if known(ai, bi) else x
+
+    def then(m, ai, bi, low, high):
+        return _then(m, ai, bi, low, high) if known(ai, bi) else m
+
+    r = _recurrence(bounded, order_by, [a, b, "__lo", "__hi"], out, partition_by, x0, blocks, follow, (1.0, 0.0, -inf, inf), then,
+                    lambda x, A, B, L, H: min(H, max(L, A * x + B)),
+                    lambda x, A, B, L, H: F.least(H, F.greatest(L, A * x + B)))
+    return r.drop("__lo", "__hi")

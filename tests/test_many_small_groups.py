@@ -1,10 +1,13 @@
 """Steps over very many small groups: no Python call of its own for each of them."""
 
+import time
+
 import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators import window as W
 from tessera.plans import custom as UX
 
 
@@ -38,3 +41,24 @@ def test_small_groups_share_a_call(spark):
     assert {r["g"] for r in got if r["how"] == "stream"} == {-1}
     with pytest.raises(ValueError):
         UX.grouped_stream(df, "g", one, "g long", salts=2, many=many)
+
+
+@pytest.mark.parametrize("blocks", [1, 8])
+def test_recurrences_of_many_small_groups(spark, blocks):
+    """20,000 groups and a large one: no Python call for each (before, 20,000 groups in up to 8 blocks)."""
+    small = spark.range(60000).select((F.col("id") % 20000).alias("g"), "id")
+    hot = spark.range(60000, 80000).select(F.lit(None).cast("long").alias("g"), "id")
+    df = small.union(hot).select("g", "id", F.lit(0.9).alias("a"), F.when(F.col("id") != 70000, F.col("id") % 13 - 6.0).alias("b"))
+    rows = df.orderBy("id").collect()
+    start = time.monotonic()
+    linear = {r["id"]: r["x"] for r in W.linear_recurrence(df, "id", "a", "b", "x", "g", x0=2.0, blocks=blocks).collect()}
+    clamped = {r["id"]: r["x"] for r in W.clamped_recurrence(df, "id", "a", "b", "x", 0.0, 9.0, "g", x0=2.0, blocks=blocks).collect()}
+    assert time.monotonic() - start < 60
+    assert len(linear) == len(clamped) == len(rows)
+    x, y = {}, {}
+    for g, i, a, b in rows:
+        before = x.get(g, 2.0)
+        x[g] = None if before is None or b is None else a * before + b
+        y[g] = y.get(g, 2.0) if b is None else min(9.0, max(0.0, a * y.get(g, 2.0) + b))
+        assert linear[i] is x[g] is None or abs(linear[i] - x[g]) < 1e-9, i
+        assert abs(clamped[i] - y[g]) < 1e-9, i
