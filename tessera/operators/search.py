@@ -3,11 +3,12 @@ table of documents.
 
 Vector scoring never materialises the (query, document) product. Queries
 and documents are hashed into blocks; each query block meets each document
-block once in a cogrouped ``applyInPandas`` that multiplies the two
-L2-normalised matrices with numpy and emits only the block's top-k per query.
+block once in a cogrouped ``applyInArrow`` that multiplies the two
+L2-normalised matrices with numpy, a tile at a time, and emits only the block's
+top-k per query.
 The final top-k per query is a ``row_number() <= k`` over at most
 ``doc_blocks * k`` candidates (planned with a partial group limit). Block
-counts are derived from the table sizes so a task holds a bounded matrix.
+counts are derived from the table sizes so a task holds bounded vectors.
 
 Keyword scoring (BM25): each text's words are sorted and counted in the task
 that reads it, so that only postings of query terms leave it; document
@@ -20,18 +21,21 @@ documents that can still be among the best.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from .common import written
 
-MAX_BLOCK_CELLS = 20_000_000  # query rows x document rows scored in one task
-# Vectors of one side in a task: 20,000 of 1,000 doubles are 160 MB.
-MAX_BLOCK_VECTORS = 20_000
+MAX_BLOCK_CELLS = 1_000_000_000  # query rows x document rows scored in one task, tile by tile
+MAX_BLOCK_BYTES = 32_000_000  # one side's vectors of a task, as doubles
+TILE_QUERIES, TILE_DOCS = 256, 4096  # scores held at once: 8 MB
+FIRST_DOCS = 2048  # documents of a block's first tile, which sets the scores to beat
 
 
 def l2_normalize(v) -> Column:
@@ -54,26 +58,83 @@ def cosine(a, b) -> Column:
     return dot(l2_normalize(a), l2_normalize(b))
 
 
-def _blocks(n_q: int, n_d: int, parallelism: int) -> tuple[int, int]:
+def _blocks(n_q: int, n_d: int, parallelism: int, dim: int = 1) -> tuple[int, int]:
     """Query and document block counts.
 
     Every (query block, document block) pair is one task scoring at most
-    ``MAX_BLOCK_CELLS`` pairs and holding about ``MAX_BLOCK_VECTORS`` vectors
+    ``MAX_BLOCK_CELLS`` pairs and holding about ``MAX_BLOCK_BYTES`` of vectors
     of either side, so at least T = Q*D/cells tasks (and at least
     ``parallelism``) are needed. Queries are copied once per document block
     and documents once per query block; Q*Bd + D*Bq is smallest when
     Q*Bd = D*Bq, i.e. Bq = sqrt(T*Q/D), Bd = sqrt(T*D/Q).
     """
     n_q, n_d = max(1, n_q), max(1, n_d)
+    held = max(1, MAX_BLOCK_BYTES // (8 * max(1, dim)))
     tasks = max(parallelism, math.ceil(n_q * n_d / MAX_BLOCK_CELLS))
-    bq = max(math.ceil(n_q / MAX_BLOCK_VECTORS), min(n_q, round(math.sqrt(tasks * n_q / n_d))), 1)
-    bd = max(math.ceil(n_d / MAX_BLOCK_VECTORS), min(n_d, math.ceil(tasks / bq)), 1)
-    # keep each task's score matrix bounded after rounding
+    bq = max(math.ceil(n_q / held), min(n_q, round(math.sqrt(tasks * n_q / n_d))), 1)
+    bd = max(math.ceil(n_d / held), min(n_d, math.ceil(tasks / bq)), 1)
+    # keep each task's pairs bounded after rounding
     while math.ceil(n_q / bq) * math.ceil(n_d / bd) > MAX_BLOCK_CELLS and bd < n_d:
         bd += 1
     return bq, bd
 
 
+def _floats(df: DataFrame, v: str) -> Column:
+    """The vector as it is stored where that is float, otherwise as doubles."""
+    return F.col(v) if dict(df.dtypes)[v] == "array<float>" else F.col(v).cast("array<double>")
+
+
+def _matrix(v: pa.ChunkedArray, unit: bool = True) -> np.ndarray:
+    """Vectors of an Arrow column as rows of doubles, of length one (a zero vector stays zero)."""
+    m = v.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(v), -1)
+    if unit:
+        norm = np.sqrt(np.einsum("ij,ij->i", m, m))[:, None]
+        np.divide(m, norm, out=m, where=norm > 0)
+    return m
+
+
+def _best_of_tiles(qm: np.ndarray, dm: np.ndarray, k: int, threshold: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, document row, score) of each query's ``k`` best documents, ties to the earlier row.
+
+    Scores are compared rounded to 9 places, so that ties do not depend on BLAS
+    summation order. Tiles go by document row: a later document enters only
+    above the k-th score so far, never on a tie.
+    """
+    finite = np.isfinite(qm).all() and np.isfinite(dm).all()
+    floor = -np.inf if threshold is None else threshold
+    found = []
+    for q0 in range(0, len(qm), TILE_QUERIES):
+        q = qm[q0:q0 + TILE_QUERIES]
+        best = (np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0))
+        kth = np.full(len(q), -np.inf)
+        d0 = 0
+        while d0 < len(dm):
+            d1 = d0 + (TILE_DOCS if d0 else FIRST_DOCS)
+            s = q @ dm[d0:d1].T
+            if not finite:
+                s[~np.isfinite(s)] = -np.inf
+            # what rounds above the k-th score so far
+            least = np.maximum(kth + 4e-10, floor)
+            if not d0 and s.shape[1] > k:
+                least = np.maximum(least, np.partition(s, -k, axis=1)[:, -k] - 1e-9)
+            flat = np.flatnonzero(s >= least[:, None])
+            vals = s.ravel()[flat]
+            rows, cols = np.divmod(flat, s.shape[1])
+            keep = (np.round(vals, 9) > kth[rows]) & (vals > -np.inf)
+            if keep.any():
+                rows, cols, vals = (np.concatenate([x, y]) for x, y in zip(best, (rows[keep], cols[keep] + d0, vals[keep])))
+                # stable: the earlier document first on ties
+                order = np.lexsort((cols, -np.round(vals, 9), rows))
+                rows, cols, vals = rows[order], cols[order], vals[order]
+                place = np.arange(len(rows)) - np.searchsorted(rows, np.arange(len(q)))[rows]
+                best = tuple(x[place < k] for x in (rows, cols, vals))
+                last = place == k - 1
+                kth[rows[last]] = np.round(vals[last], 9)
+            d0 = d1
+        found.append((best[0] + q0, best[1], best[2]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 _CAND_SCHEMA = StructType([StructField("__qid", LongType()), StructField("__did", LongType()),
                            StructField("score", DoubleType())])
 
@@ -90,42 +151,29 @@ def similarity_search(
     """
     if doc_filter is not None:
         docs = docs.filter(doc_filter)
-    qn = queries.select(F.col(q_id).cast("bigint").alias("__qid"), l2_normalize(q_vec).alias("__v"))
-    dn = docs.select(F.col(d_id).cast("bigint").alias("__did"), l2_normalize(d_vec).alias("__v"))
+    qn = queries.select(F.col(q_id).cast("bigint").alias("__qid"), _floats(queries, q_vec).alias("__v"))
+    dn = docs.select(F.col(d_id).cast("bigint").alias("__did"), _floats(docs, d_vec).alias("__v"))
     if blocks is None:
         par = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        blocks = _blocks(qn.count(), dn.count(), par)
+        (n_q, dim), (n_d, _) = (x.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("__v")), F.lit(1))).first() for x in (qn, dn))
+        blocks = _blocks(n_q, n_d, par, dim)
     bq, bd = blocks
     # both sides must carry the block keys with the same types, or the cogroup hashes them apart
     qx = qn.withColumns({"__qb": F.pmod(F.xxhash64("__qid"), F.lit(bq)).cast("int"),
                          "__db": F.explode(F.sequence(F.lit(0), F.lit(bd - 1)))})
     dx = dn.withColumns({"__db": F.pmod(F.xxhash64("__did"), F.lit(bd)).cast("int"),
                          "__qb": F.explode(F.sequence(F.lit(0), F.lit(bq - 1)))})
-    thr = threshold
-
-    def score_block(qp: pd.DataFrame, dp: pd.DataFrame) -> pd.DataFrame:
-        if qp.empty or dp.empty:
-            return pd.DataFrame({"__qid": pd.Series([], dtype="int64"), "__did": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64")})
-        qm = np.stack(qp["__v"].to_numpy()).astype("float64")
-        dm = np.stack(dp["__v"].to_numpy()).astype("float64")
-        dids = dp["__did"].to_numpy()
-        s = qm @ dm.T
-        if thr is not None:
-            s = np.where(s >= thr, s, -np.inf)
-        kk = min(k, s.shape[1])
-        order_ids = np.argsort(dids, kind="stable")
-        s_sorted, dids_sorted = s[:, order_ids], dids[order_ids]
-        # best kk per row on the score rounded to 9 places (ties do not depend on
-        # BLAS summation order); the stable sort keeps the smaller id first on ties
-        top = np.argsort(-np.round(s_sorted, 9), axis=1, kind="stable")[:, :kk]
-        rows = np.repeat(qp["__qid"].to_numpy(), kk)
-        cols = dids_sorted[top].ravel()
-        vals = np.take_along_axis(s_sorted, top, axis=1).ravel()
-        keep = np.isfinite(vals)
-        return pd.DataFrame({"__qid": rows[keep], "__did": cols[keep], "score": vals[keep]})
-
-    cand = qx.groupBy("__qb", "__db").cogroup(dx.groupBy("__qb", "__db")).applyInPandas(score_block, _CAND_SCHEMA)
+    types = to_arrow_schema(_CAND_SCHEMA)
+
+    def score_block(qp: pa.Table, dp: pa.Table) -> pa.Table:
+        if not qp.num_rows or not dp.num_rows:
+            return types.empty_table()
+        dp = dp.sort_by("__did")
+        rows, cols, vals = _best_of_tiles(_matrix(qp["__v"]), _matrix(dp["__v"]), k, threshold)
+        return pa.table([qp["__qid"].combine_chunks().take(pa.array(rows)), dp["__did"].combine_chunks().take(pa.array(cols)),
+                         pa.array(vals)], schema=types)
+
+    cand = qx.groupBy("__qb", "__db").cogroup(dx.groupBy("__qb", "__db")).applyInArrow(score_block, _CAND_SCHEMA)
     w = Window.partitionBy("__qid").orderBy(F.desc(F.round("score", 9)), F.asc("__did"))
     top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return top.select(F.col("__qid").alias(q_id), F.col("__did").alias(d_id), "score", F.col("rank").cast("bigint").alias("rank"))
@@ -136,38 +184,62 @@ def mmr_search(queries: DataFrame, docs: DataFrame, q_id: str, q_vec: str, d_id:
     """MMR: from the ``pool`` most similar documents, pick ``k`` greedily by
     ``(1 - diversity) * sim(q, d) - diversity * max sim(d, already picked)``.
 
-    The greedy step runs per query in ``applyInPandas`` on the pool only
-    (``pool`` rows per group, a fixed bound).
+    The greedy step takes the pools of many queries at once, as the rows come
+    sorted by query: a batch of rows and one pool are held.
     """
     cand = similarity_search(queries, docs, q_id, q_vec, d_id, d_vec, k=pool)
-    vecs = docs.select(F.col(d_id).cast("bigint").alias(d_id), l2_normalize(d_vec).alias("__v"))
-    qv = queries.select(F.col(q_id).cast("bigint").alias(q_id), l2_normalize(q_vec).alias("__qv"))
-    j = cand.join(vecs, d_id).join(qv, q_id)
-    lam = 1.0 - diversity
+    vecs = docs.select(F.col(d_id).cast("bigint").alias(d_id), _floats(docs, d_vec).alias("__v"))
+    j = cand.join(vecs, d_id).select(q_id, d_id, "score", "rank", "__v")
     schema = StructType([StructField(q_id, LongType()), StructField(d_id, LongType()),
                          StructField("score", DoubleType()), StructField("mmr_rank", LongType())])
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf.empty:
-            return pd.DataFrame({q_id: [], d_id: [], "score": [], "mmr_rank": []})
-        pdf = pdf.sort_values(["rank"])
-        vs = np.stack(pdf["__v"].to_numpy()).astype("float64")
-        sims = pdf["score"].to_numpy()
-        ids = pdf[d_id].to_numpy()
-        chosen: list[int] = []
-        left = list(range(len(pdf)))
-        while left and len(chosen) < k:
-            if chosen:
-                red = (vs[left] @ vs[chosen].T).max(axis=1)
-            else:
-                red = np.zeros(len(left))
-            val = np.round(lam * sims[left] - diversity * red, 9)  # ties independent of float noise
-            best = max(range(len(left)), key=lambda i: (val[i], -ids[left[i]]))
-            chosen.append(left.pop(best))
-        return pd.DataFrame({q_id: pdf[q_id].iloc[0] if len(pdf) else [], d_id: ids[chosen], "score": sims[chosen],
-                             "mmr_rank": np.arange(1, len(chosen) + 1)})
-
-    return j.select(q_id, d_id, "score", "rank", "__v").groupBy(q_id).applyInPandas(pick, schema)
+    types = to_arrow_schema(schema)
+
+    def starts(t: pa.Table) -> np.ndarray:
+        q = t[q_id].to_numpy()
+        return np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
+
+    def picks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last query's pool may go on in the next batch
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            cut = int(starts(t)[-1])
+            held = t.slice(cut).combine_chunks()
+            if cut:
+                yield from pick(t.slice(0, cut))
+        if held is not None:
+            yield from pick(held)
+
+    def pick(t: pa.Table) -> list[pa.RecordBatch]:
+        chosen = _mmr(starts(t), t[d_id].to_numpy(), t["score"].to_numpy(), _matrix(t["__v"]), k, diversity)
+        return pa.table([t[q_id].take(pa.array(chosen[0])), t[d_id].take(pa.array(chosen[0])), t["score"].take(pa.array(chosen[0])),
+                         pa.array(chosen[1])], schema=types).to_batches()
+
+    return j.repartition(q_id).sortWithinPartitions(q_id, "rank", d_id).mapInArrow(picks, schema)
+
+
+def _mmr(start: np.ndarray, ids: np.ndarray, sims: np.ndarray, vs: np.ndarray, k: int, diversity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows picked and their ranks, greedily and side by side in every run of rows beginning at ``start``."""
+    sizes = np.diff(np.append(start, len(ids)))
+    # runs beside each other, filled up with a repeat of their first row that is never free
+    at = start[:, None] + np.arange(sizes.max())
+    free = np.arange(sizes.max()) < sizes[:, None]
+    at = np.where(free, at, start[:, None])
+    runs, red, made = np.arange(len(start)), np.zeros(at.shape), []
+    for rank in range(1, min(k, sizes.max()) + 1):
+        # ties independent of float noise, to the smaller id
+        val = np.where(free, np.round((1.0 - diversity) * sims[at] - diversity * red, 9), -np.inf)
+        top = free & (val == val.max(axis=1, keepdims=True))
+        best = np.where(top, ids[at], np.iinfo("int64").max).argmin(axis=1)
+        some = free.any(axis=1)
+        rows = at[runs, best]
+        made.append((rows[some], np.full(some.sum(), rank)))
+        free[runs, best] = False
+        now = np.einsum("gpd,gd->gp", vs[at], vs[rows])
+        red = now if rank == 1 else np.maximum(red, now)
+    return tuple(np.concatenate(x) for x in zip(*made))
 
 
 # Keyword (BM25) --------------------------------------------------------------------------
