@@ -48,6 +48,19 @@ def test_against_brute_force(spark, length, limit, seed):
         assert x["kept_text"] == (None if texts[x["at"]] is None else bytes(x["kept"]).decode(errors="ignore"))
 
 
+def test_blocks_are_dealt_anew_after_their_join(spark):
+    import tessera.llm.op6_suffix_dedup as m
+
+    # the join's own exchange does not do: adaptive execution may read it as it was written
+    rows = [(str(i).encode(), i, side, 1, -4, 0, b"abcd", b"efgh") for side in range(2) for i in range(40)]
+    members = spark.createDataFrame(rows, m.MEMBER)
+    sized = members.join(members.groupBy("block").count().hint("merge"), "block").where("count >= 2").drop("count")
+    merged = m._merge(sized)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "REPARTITION_BY_COL" in plan
+    assert all([tuple(r) for r in x["runs"]] == [(-4, 0)] for x in merged.collect())
+
+
 def test_a_block_of_many_shards(monkeypatch):
     import tessera.llm.op6_suffix_dedup as m
 
